@@ -1,16 +1,17 @@
-"""Exact per-group ranks over a uniform hash order, without a one-task window.
-
-``row_number() OVER (PARTITION BY g ORDER BY md5(...))`` sends a whole group to
-one task; with one group holding a third of the rows that task is the job.
-Because the order key is a uniform hex digest, its first few hex digits split
-every group into up to 16**d equally sized, *ordered* buckets. Each bucket is
-numbered by a window partitioned on ``(g, bucket)`` (a hot group is spread over
-all buckets), and a small count table (groups x buckets rows) gives each bucket
-its offset. The rank equals the single-window rank exactly.
+"""Exact per-group ranks without a one-task window.
+
+``row_number() OVER (PARTITION BY g ORDER BY k)`` sends a whole group to one
+task; with one group holding a third of the rows that task is the job. Here the
+order key is cut into ordered buckets (the leading hex digits of a uniform
+digest, or equal-width ranges of a numeric key). Each bucket is numbered by a
+window partitioned on ``(g, bucket)`` — a hot group is spread over all buckets —
+and a small count table (groups x buckets rows) gives every bucket its offset.
+The result equals the single-window rank exactly.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,25 +24,59 @@ def seeded_key(seed: str | int, *cols) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), *parts))
 
 
-def hash_rank(
+def bucket_rank(
     df: DataFrame,
-    hash_col: str,
+    bucket: Column,
+    order_cols: Sequence[str],
     group_cols: Sequence[str] = (),
-    tie_cols: Sequence[str] = (),
     rank_col: str = "rank",
-    bucket_digits: int = 3,
+    total_col: str | None = None,
 ) -> DataFrame:
-    """Add ``rank_col`` = 1-based position inside ``group_cols`` ordered by
-    ``hash_col`` (a hex digest) then ``tie_cols``."""
+    """Rank rows by ``order_cols`` inside ``group_cols``; ``bucket`` must be
+    monotone in the order (rows of a lower bucket always sort first)."""
     g = list(group_cols)
-    b = F.substring(F.col(hash_col), 1, bucket_digits)
-    with_b = df.withColumn("_bucket", b)
+    with_b = df.withColumn("_bucket", bucket)
     counts = with_b.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*g, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy(*g, "_bucket").orderBy(hash_col, *tie_cols)
+    cols = [*g, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    if total_col:
+        cols.append(F.sum("_n").over(Window.partitionBy(*g)).cast("long").alias(total_col))
+    offsets = counts.select(*cols)
+    local = Window.partitionBy(*g, "_bucket").orderBy(*order_cols)
     ranked = with_b.withColumn("_local", F.row_number().over(local))
-    # offsets has at most (#groups x 16**digits) rows; join on the same keys the
-    # window already shuffled on, so no extra exchange of the big side.
     out = ranked.join(offsets, [*g, "_bucket"])
     return out.withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long")).drop("_bucket", "_local", "_off")
+
+
+def hash_rank(
+    df: DataFrame,
+    hash_col: str,
+    group_cols: Sequence[str] = (),
+    tie_cols: Sequence[str] = (),
+    rank_col: str = "rank",
+    bucket_digits: int = 3,
+    total_col: str | None = None,
+) -> DataFrame:
+    """Rank by a hex digest column (uniform, so 16**digits balanced buckets)."""
+    return bucket_rank(
+        df, F.substring(F.col(hash_col), 1, bucket_digits), [hash_col, *tie_cols], group_cols, rank_col, total_col
+    )
+
+
+def range_rank(
+    df: DataFrame,
+    order_col: str,
+    group_cols: Sequence[str] = (),
+    tie_cols: Sequence[str] = (),
+    rank_col: str = "rank",
+    buckets: int = 4096,
+    total_col: str | None = None,
+) -> DataFrame:
+    """Rank by a numeric column using equal-width value ranges as buckets. Only
+    two scalars (min, max) come back to the driver to size the ranges."""
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        lo, hi = 0, 0
+    width = max(1, math.ceil((float(hi) - float(lo) + 1) / buckets))
+    b = F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)).cast("long")
+    return bucket_rank(df, b, [order_col, *tie_cols], group_cols, rank_col, total_col)
