@@ -80,3 +80,26 @@ def range_rank(
     width = max(1, math.ceil((float(hi) - float(lo) + 1) / buckets))
     b = F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)).cast("long")
     return bucket_rank(df, b, [order_col, *tie_cols], group_cols, rank_col, total_col)
+
+
+def running_sum(
+    df: DataFrame,
+    order_col: str,
+    value_col: str,
+    out_col: str = "running",
+    buckets: int = 4096,
+) -> DataFrame:
+    """Cumulative sum of ``value_col`` in ``order_col`` order (order values unique),
+    computed per equal-width range bucket plus a small table of bucket totals —
+    no window over the whole table."""
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        lo, hi = 0, 0
+    width = max(1, math.ceil((float(hi) - float(lo) + 1) / buckets))
+    with_b = df.withColumn("_bucket", F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)).cast("long"))
+    tot = with_b.groupBy("_bucket").agg(F.sum(value_col).alias("_s"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tot.select("_bucket", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    local = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    r = with_b.withColumn("_loc", F.sum(value_col).over(local)).join(offsets, "_bucket")
+    return r.withColumn(out_col, (F.col("_off") + F.col("_loc")).cast("long")).drop("_bucket", "_loc", "_off")
