@@ -1,0 +1,275 @@
+"""End-to-end jobs a user calls (G1-G5), checked on their final tables.
+
+Fixture: existing rows = even ``doc_id`` documents (label = lang); newly
+generated rows = the string items of per-label raw batches built from the odd
+documents (``plans.responses.raw_batches``). Random choices use the seeded md5
+order (SURVEY §2.9(11)).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tessera.functions import contracts as K
+from tessera.functions import text as T
+from tessera.operators.dedupe import append_if_absent, first_wins
+from tessera.operators.ordering import hash_rank, seeded_key
+from tessera.plans import fixtures as X
+from tessera.plans import sql as S
+from tessera.plans.catalog import sql_template_error
+from tessera.plans.dataset import (
+    BALANCE_LABEL,
+    BALANCE_TARGET,
+    DOC_MAX,
+    EXPECTED_LABELS,
+    SEED,
+    TARGET_PER_LABEL,
+    _LABELS_SQL,
+    category_gap_df,
+    downsample_label,
+    label_counts_with_zero_df,
+    validate_clean,
+)
+from tessera.plans.registry import register
+from tessera.plans.responses import items_sql, parse_string_batch, raw_batches, strict_parse_json
+from tessera.session import scratch_path
+from tessera.sources import files as FS
+from tessera.sources.tables import table
+
+AUG_TARGETS = {"fr": 50, "de": 20}
+MAX_ATTEMPTS = 4
+
+
+def _label_ord() -> F.Column:
+    m = F.create_map(*[x for i, lab in enumerate(EXPECTED_LABELS) for x in (F.lit(lab), F.lit(i))])
+    return F.coalesce(m[F.col("label")], F.lit(99))
+
+
+_LABEL_ORD_SQL = "CASE label " + " ".join(f"WHEN '{lab}' THEN {i}" for i, lab in enumerate(EXPECTED_LABELS)) + " ELSE 99 END"
+
+
+def existing_rows(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents").where(F.col("doc_id") % 2 == 0)
+    return d.select("text", F.col("lang").alias("label"), F.col("doc_id").alias("seq"))
+
+
+def generated_items(spark, sf) -> DataFrame:
+    """Distinct (label, item) pairs from the new batches (a set per category)."""
+    items = parse_string_batch(raw_batches(spark, sf, "doc_id % 2 = 1", by_label=True))
+    return items.select("label", "item").distinct()
+
+
+# --------------------------------------------------------------------------- G1
+@register(
+    "build_training_set",
+    f"""WITH s AS (SELECT DISTINCT label, item FROM {items_sql('doc_id % 2 = 1', True)}),
+ c AS (SELECT label, item, row_number() OVER (PARTITION BY label ORDER BY {S.md5_order(SEED, 'item')}, item) AS r FROM s),
+ u AS (SELECT item AS text, label, 0 AS src_rank, {_LABEL_ORD_SQL} AS label_ord, CAST(r AS BIGINT) AS seq FROM c WHERE r <= {TARGET_PER_LABEL}
+       UNION ALL SELECT text, lang AS label, 1, 0, doc_id FROM documents WHERE doc_id % 2 = 0),
+ v AS (SELECT src_rank, label, label_ord, seq, {S.clean('text')} AS t FROM u WHERE {S.validate('text', 3, DOC_MAX)}),
+ k AS (SELECT *, row_number() OVER (PARTITION BY {S.key('t')} ORDER BY src_rank, label_ord, seq) AS rn FROM v)
+SELECT src_rank, label, seq, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5 FROM k WHERE rn = 1""",
+)
+def build_training_set(spark, sf):
+    """G1: new items capped per label (E2) first, then existing rows (C7) ->
+    validate (B8) -> clean (B9) -> first-wins dedupe (E1)."""
+    w = Window.partitionBy("label").orderBy(seeded_key(SEED, "item"), "item")
+    capped = generated_items(spark, sf).withColumn("seq", F.row_number().over(w)).where(F.col("seq") <= TARGET_PER_LABEL)
+    new = capped.select(F.col("item").alias("text"), "label", F.lit(0).alias("src_rank"), _label_ord().alias("label_ord"), F.col("seq").cast("long"))
+    old = existing_rows(spark, sf).select("text", "label", F.lit(1).alias("src_rank"), F.lit(0).alias("label_ord"), "seq")
+    rows = validate_clean(new.unionByName(old), DOC_MAX)
+    out = first_wins(rows, T.dedup_key("text"), ["src_rank", "label_ord", "seq"])
+    return out.select("src_rank", "label", "seq", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+# --------------------------------------------------------------------------- G2
+_GAP_SQL = f"""(SELECT l.label, coalesce(c.n, 0) AS existing, greatest(0, {TARGET_PER_LABEL} - coalesce(c.n, 0)) AS needed
+  FROM {_LABELS_SQL} l LEFT JOIN (SELECT lang AS label, count(*) AS n FROM documents WHERE doc_id % 2 = 0 GROUP BY lang) c USING (label))"""
+
+
+@register(
+    "top_up",
+    f"""WITH g AS {_GAP_SQL},
+ s AS (SELECT DISTINCT label, item FROM {items_sql('doc_id % 2 = 1', True)}),
+ c AS (SELECT s.label, item, row_number() OVER (PARTITION BY s.label ORDER BY {S.md5_order(SEED, 'item')}, item) AS r, g.needed
+       FROM s JOIN g USING (label)),
+ ex AS (SELECT text, lang AS label, doc_id AS seq FROM documents WHERE doc_id % 2 = 0),
+ p0 AS (SELECT item AS text, label, 0 AS phase, {_LABEL_ORD_SQL} AS label_ord, CAST(r AS BIGINT) AS seq FROM c WHERE needed > 0 AND r <= needed
+        UNION ALL SELECT text, label, 0, {_LABEL_ORD_SQL}, seq FROM ex WHERE label IN (SELECT label FROM g WHERE needed = 0)),
+ ex1 AS (SELECT *, row_number() OVER (PARTITION BY text, label ORDER BY seq) AS rr FROM ex),
+ p1 AS (SELECT text, label, 1 AS phase, 0 AS label_ord, seq FROM ex1 WHERE rr = 1
+        AND NOT EXISTS (SELECT 1 FROM p0 WHERE p0.text IS NOT DISTINCT FROM ex1.text AND p0.label IS NOT DISTINCT FROM ex1.label)),
+ u AS (SELECT * FROM p0 UNION ALL SELECT * FROM p1),
+ v AS (SELECT phase, label, label_ord, seq, {S.clean('text')} AS t FROM u WHERE {S.validate('text', 3, DOC_MAX)}),
+ k AS (SELECT *, row_number() OVER (PARTITION BY {S.key('t')} ORDER BY phase, label_ord, seq) AS rn FROM v)
+SELECT phase, label, seq, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5 FROM k WHERE rn = 1""",
+)
+def top_up(spark, sf):
+    """Per category, full -> keep existing, else only the missing amount of new
+    items (rank <= needed, a per-label bound, so a bucketed rank, not a window
+    over the whole label); then existing rows not yet collected (C6); then G1's
+    validate / clean / dedupe."""
+    ex = existing_rows(spark, sf)
+    gap = category_gap_df(spark, ex, TARGET_PER_LABEL).select("label", "needed")
+    items = generated_items(spark, sf).withColumn("_h", seeded_key(SEED, "item"))
+    ranked = hash_rank(items, "_h", ["label"], ["item"], "seq").join(F.broadcast(gap), "label")  # gap: one row per label
+    new = ranked.where((F.col("needed") > 0) & (F.col("seq") <= F.col("needed"))).select(
+        F.col("item").alias("text"), "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq"
+    )
+    full = ex.join(F.broadcast(gap.where(F.col("needed") == 0)), "label", "left_semi").select(
+        "text", "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq"
+    )
+    phase0 = new.unionByName(full)
+    rest = append_if_absent(phase0, ex, ["text", "label"], ["seq"]).select(
+        "text", "label", F.lit(1).alias("phase"), F.lit(0).alias("label_ord"), "seq"
+    )
+    rows = validate_clean(phase0.unionByName(rest), DOC_MAX)
+    out = first_wins(rows, T.dedup_key("text"), ["phase", "label_ord", "seq"])
+    return out.select("phase", "label", "seq", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+# --------------------------------------------------------------------------- G3
+_AUG_SQL_LABELS = ", ".join(f"('{k}', {v})" for k, v in AUG_TARGETS.items())
+
+
+@register(
+    "augment",
+    f"""WITH s AS (SELECT DISTINCT label, item FROM {items_sql('doc_id % 2 = 1', True)}),
+ t AS (SELECT * FROM (VALUES {_AUG_SQL_LABELS}) v(label, target)),
+ c AS (SELECT s.label, item, t.target, row_number() OVER (PARTITION BY s.label ORDER BY {S.md5_order(SEED, 'item')}, item) AS r
+       FROM s JOIN t USING (label)),
+ u AS (SELECT text, lang AS label, 0 AS src_rank, doc_id AS seq FROM documents WHERE doc_id % 2 = 0
+       UNION ALL SELECT item, label, 1, r FROM c WHERE r <= target),
+ k AS (SELECT label, row_number() OVER (PARTITION BY {S.key('text')} ORDER BY src_rank, seq) AS rn FROM u),
+ n AS (SELECT label, count(*) AS n FROM k WHERE rn = 1 GROUP BY label)
+SELECT l.label, coalesce(n.n, 0) AS n FROM {_LABELS_SQL} l LEFT JOIN n USING (label)""",
+)
+def augment(spark, sf):
+    """Existing + capped new items (existing wins), de-duplicated on the raw
+    text key (no cleaning), counted for the fixed label list."""
+    targets = F.create_map(*[x for k, v in AUG_TARGETS.items() for x in (F.lit(k), F.lit(v))])
+    items = generated_items(spark, sf).where(F.col("label").isin(list(AUG_TARGETS)))
+    ranked = hash_rank(items.withColumn("_h", seeded_key(SEED, "item")), "_h", ["label"], ["item"], "seq")
+    new = ranked.where(F.col("seq") <= targets[F.col("label")]).select(F.col("item").alias("text"), "label", F.lit(1).alias("src_rank"), "seq")
+    old = existing_rows(spark, sf).select("text", "label", F.lit(0).alias("src_rank"), "seq")
+    kept = first_wins(new.unionByName(old), T.dedup_key("text"), ["src_rank", "seq"], ["label"])
+    return label_counts_with_zero_df(spark, kept.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+
+
+# --------------------------------------------------------------------------- G4
+@register(
+    "balance",
+    f"""SELECT label, count(*) AS n FROM (
+  SELECT lang AS label FROM documents WHERE lang <> '{BALANCE_LABEL}'
+  UNION ALL SELECT label FROM (SELECT lang AS label FROM documents WHERE lang = '{BALANCE_LABEL}'
+    ORDER BY {S.md5_order(SEED, 'CAST(doc_id AS VARCHAR)')}, doc_id LIMIT {BALANCE_TARGET})) GROUP BY label""",
+)
+def balance(spark, sf):
+    """JSONL in (A1) -> downsample one class (E3) -> seeded shuffle order
+    -> JSONL out (A2) -> label histogram (D1) of what was written."""
+    src, dst = scratch_path(spark, "balance-in"), scratch_path(spark, "balance-out")
+    d = table(spark, sf, "documents").select("text", F.col("lang").alias("label"), "doc_id")
+    d.write.json(src)
+    data = spark.read.schema("text string, label string, doc_id long").option("mode", "FAILFAST").json(src)
+    kept = downsample_label(data.withColumnRenamed("doc_id", "seq"), BALANCE_LABEL, BALANCE_TARGET, SEED)
+    # the shuffled order is materialised as the file order of a range-partitioned, sorted write
+    shuffled = kept.withColumn("_h", seeded_key(SEED, "seq")).orderBy("_h", "seq")
+    FS.write_labelled(shuffled, dst)
+    back = FS.read_labelled(spark, dst)
+    return back.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --------------------------------------------------------------------------- G5
+def _json_str(c: str) -> F.Column:
+    """A string as a JSON string literal (Spark's JSON writer)."""
+    j = F.to_json(F.array(F.col(c)))
+    return j.substr(F.lit(2), F.length(j) - 2)
+
+
+def responses(spark, sf) -> DataFrame:
+    """Up to 4 generated responses per remaining spec: broken JSON on attempt 1 for
+    page_id % 4 = 1, fenced on 2, css key missing on 3, plain on 4."""
+    t = X.templates(spark, sf)
+    base = F.concat(
+        F.lit('{"meta": '), "meta", F.lit(', "html": '), _json_str("html"),
+        F.when(F.col("css").isNull(), F.lit("")).otherwise(F.concat(F.lit(', "css": '), _json_str("css"))), F.lit("}"),
+    )
+    no_css = F.concat(F.lit('{"meta": '), "meta", F.lit(', "html": '), _json_str("html"), F.lit("}"))
+    payloads = F.array(
+        F.when(F.col("page_id") % 4 == 1, F.concat(F.lit('{"meta": '), "meta")).otherwise(base),
+        F.concat(F.lit("```json\n"), base, F.lit("\n```")),
+        no_css,
+        base,
+    )
+    return t.select("page_id", "spec_id", F.posexplode(payloads).alias("attempt", "raw")).withColumn("attempt", F.col("attempt") + 1)
+
+
+def response_error(raw: str = "raw") -> F.Column:
+    """Strip fences -> JSON (whole text) -> top-level keys -> B13."""
+    cleaned = T.strip_code_fences(raw)
+    parsed = strict_parse_json(cleaned)
+    keys = F.json_object_keys(cleaned)
+    has_all = F.array_contains(keys, "meta") & F.array_contains(keys, "html") & F.array_contains(keys, "css")
+    meta, html, css = F.get_json_object(cleaned, "$.meta"), F.get_json_object(cleaned, "$.html"), F.get_json_object(cleaned, "$.css")
+    return (
+        F.when(parsed.isNull(), F.lit("Invalid JSON"))
+        .when(~F.coalesce(has_all, F.lit(False)), F.lit("Missing required top-level keys (meta/html/css)"))
+        .otherwise(K.template_error(meta, html, css))
+    )
+
+
+def _sql_response_error():
+    cleaned = (
+        f"CASE WHEN starts_with({S.strip('raw')}, '```') THEN {S.strip(f'''regexp_replace(regexp_replace({S.strip('raw')}, '^```[a-zA-Z]*' || chr(10), ''), chr(10) || '```$', '')''')} "
+        f"ELSE {S.strip('raw')} END"
+    )
+    return cleaned
+
+
+_RESP_SQL = f"""(SELECT page_id, spec_id, attempt, raw FROM (
+  SELECT page_id, spec_id, meta, html, css,
+    '{{"meta": ' || meta || ', "html": ' || to_json(html)::VARCHAR || CASE WHEN css IS NULL THEN '' ELSE ', "css": ' || to_json(css)::VARCHAR END || '}}' AS base,
+    '{{"meta": ' || meta || ', "html": ' || to_json(html)::VARCHAR || '}}' AS no_css FROM {X.TEMPLATES_SQL}) t,
+  LATERAL (SELECT unnest([CASE WHEN page_id % 4 = 1 THEN '{{"meta": ' || meta ELSE base END,
+                          '```json' || chr(10) || base || chr(10) || '```', no_css, base]) AS raw,
+                  unnest([1, 2, 3, 4]) AS attempt))"""
+
+_PARSED_SQL = f"""(SELECT page_id, spec_id, attempt, cleaned,
+   CASE WHEN json_valid(cleaned) THEN json_extract(cleaned, '$.meta')::VARCHAR END AS meta,
+   CASE WHEN json_valid(cleaned) THEN json_extract_string(cleaned, '$.html') END AS html,
+   CASE WHEN json_valid(cleaned) THEN json_extract_string(cleaned, '$.css') END AS css,
+   json_valid(cleaned) AS ok_json,
+   CASE WHEN json_valid(cleaned) THEN list_contains(json_keys(cleaned), 'meta') AND list_contains(json_keys(cleaned), 'html')
+     AND list_contains(json_keys(cleaned), 'css') ELSE false END AS ok_keys
+ FROM (SELECT page_id, spec_id, attempt, {_sql_response_error()} AS cleaned FROM {_RESP_SQL}))"""
+
+
+@register(
+    "ingest_generated",
+    f"""WITH e AS (SELECT page_id, spec_id, attempt,
+    CASE WHEN NOT ok_json THEN 'Invalid JSON' WHEN NOT ok_keys THEN 'Missing required top-level keys (meta/html/css)' ELSE error END AS err
+  FROM {sql_template_error(_PARSED_SQL)}),
+ r AS (SELECT * FROM e WHERE page_id % 9 <> 0),
+ g AS (SELECT spec_id, min(CASE WHEN err IS NULL THEN attempt END) AS first_ok, max_by(err, attempt) AS last_err FROM r GROUP BY spec_id)
+SELECT spec_id, CASE WHEN first_ok IS NULL THEN 'failed' ELSE 'saved' END AS status, CAST(first_ok AS BIGINT) AS attempt_used,
+  CASE WHEN first_ok IS NULL THEN 'Failed after {MAX_ATTEMPTS} attempts. Last error: ' || last_err END AS error FROM g""",
+)
+def ingest_generated(spark, sf):
+    """Resume (C1 against the progress log, A7) -> per spec the first valid of
+    up to 4 responses (B15); specs with none get the last error (A8 form)."""
+    progress = scratch_path(spark, "progress")
+    done = X.templates(spark, sf).where(F.col("page_id") % 9 == 0).select(F.col("spec_id").alias("id"))
+    FS.append_log(done, progress)
+    completed = FS.completed_ids(spark, progress).withColumnRenamed("id", "spec_id")
+    r = responses(spark, sf).join(completed, "spec_id", "left_anti")
+    e = r.select("spec_id", "attempt", response_error("raw").alias("err"))
+    g = e.groupBy("spec_id").agg(
+        F.min(F.when(F.col("err").isNull(), F.col("attempt"))).alias("first_ok"), F.max_by("err", "attempt").alias("last_err")
+    )
+    return g.select(
+        "spec_id",
+        F.when(F.col("first_ok").isNull(), "failed").otherwise("saved").alias("status"),
+        F.col("first_ok").cast("long").alias("attempt_used"),
+        F.when(F.col("first_ok").isNull(), F.concat(F.lit(f"Failed after {MAX_ATTEMPTS} attempts. Last error: "), "last_err")).alias("error"),
+    )

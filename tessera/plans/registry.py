@@ -36,6 +36,7 @@ PLAN_MODULES = [
     "vectors",
     "models",
     "streaming_plans",
+    "pipelines",
     "io_plans",
 ]
 

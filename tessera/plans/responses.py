@@ -168,11 +168,14 @@ def previews(spark, sf):
 BATCH = 25
 
 
-def raw_batches(spark, sf) -> DataFrame:
-    """JSON-array batches of 25 documents (bounded groups). Elements: the text, or
-    a number (doc_id % 9 = 4), a blank string (% 11 = 3), an object (% 13 = 6).
-    Batch % 3 = 1 is fenced, % 5 = 2 is broken JSON."""
-    d = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+def raw_batches(spark, sf, where: str | None = None, by_label: bool = False) -> DataFrame:
+    """JSON-array batches of 25 documents (bounded groups; per label when
+    ``by_label``). Elements: the text, or a number (doc_id % 9 = 4), a blank
+    string (% 11 = 3), an object (% 13 = 6). Batch % 3 = 1 is fenced, % 5 = 2 is
+    broken JSON."""
+    d = table(spark, sf, "documents").select("doc_id", "text", "n_chars", F.col("lang").alias("label"))
+    if where:
+        d = d.where(where)
     k = F.col("doc_id")
     as_json = F.expr("substring(to_json(array(text)), 2, length(to_json(array(text))) - 2)")
     elem = (
@@ -181,13 +184,36 @@ def raw_batches(spark, sf) -> DataFrame:
         .when(k % 13 == 6, F.concat(F.lit('{"x": '), F.col("n_chars").cast("string"), F.lit("}")))
         .otherwise(as_json)
     )
-    g = d.select((k / BATCH).cast("long").alias("batch_id"), F.struct(k.alias("doc_id"), elem.alias("e")).alias("s"))
-    b = g.groupBy("batch_id").agg(F.array_sort(F.collect_list("s")).alias("l"))
+    keys = ["label", "batch_id"] if by_label else ["batch_id"]
+    g = d.select("label", (k / BATCH).cast("long").alias("batch_id"), F.struct(k.alias("doc_id"), elem.alias("e")).alias("s"))
+    b = g.groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("l"))
     arr = F.concat(F.lit("["), F.array_join(F.col("l.e"), ", "), F.lit("]"))
     bid = F.col("batch_id")
     raw = F.when(bid % 3 == 1, F.concat(F.lit("```json\n"), arr, F.lit("\n```"))).otherwise(arr)
     raw = F.when(bid % 5 == 2, F.concat(raw, F.lit(" trailing"))).otherwise(raw)
-    return b.select("batch_id", F.concat(F.lit(" "), raw, F.lit("\n")).alias("raw"))
+    return b.select(*keys, F.concat(F.lit(" "), raw, F.lit("\n")).alias("raw"))
+
+
+def items_sql(where: str = "TRUE", by_label: bool = False) -> str:
+    """DuckDB twin of ``raw_batches`` + ``parse_string_batch``: (label?, batch_id, pos, item)."""
+    keys = "lang AS label, doc_id // 25 AS batch_id" if by_label else "doc_id // 25 AS batch_id"
+    kc = "label, batch_id" if by_label else "batch_id"
+    return f"""(WITH b AS (
+  SELECT {keys}, list(CASE WHEN doc_id % 9 = 4 THEN CAST(n_chars AS VARCHAR)
+      WHEN doc_id % 11 = 3 THEN '"   "' WHEN doc_id % 13 = 6 THEN '{{"x": ' || CAST(n_chars AS VARCHAR) || '}}'
+      ELSE to_json(text)::VARCHAR END ORDER BY doc_id) AS l FROM documents WHERE {where} GROUP BY ALL),
+r AS (SELECT {kc}, '[' || array_to_string(l, ', ') || ']' AS arr FROM b),
+f AS (SELECT {kc}, CASE WHEN batch_id % 3 = 1 THEN '```json' || chr(10) || arr || chr(10) || '```' ELSE arr END AS raw0 FROM r),
+g AS (SELECT {kc}, ' ' || CASE WHEN batch_id % 5 = 2 THEN raw0 || ' trailing' ELSE raw0 END || chr(10) AS raw FROM f),
+c AS (SELECT {kc}, CASE WHEN starts_with({S.strip('raw')}, '```') THEN
+          regexp_replace(regexp_replace({S.strip('raw')}, '^```[a-zA-Z]*' || chr(10), ''), chr(10) || '```$', '')
+        ELSE {S.strip('raw')} END AS cleaned FROM g),
+j AS (SELECT {kc}, CAST(cleaned AS JSON) AS js FROM c WHERE json_valid(cleaned) AND json_type(CAST(cleaned AS JSON)) = 'ARRAY'),
+e AS (SELECT {kc}, unnest(range(0, CAST(json_array_length(js) AS BIGINT))) AS pos, js FROM j),
+s AS (SELECT {kc}, pos, json_extract(js, '$[' || pos || ']') AS el FROM e)
+SELECT {kc}, CAST(pos AS INTEGER) AS pos, item FROM
+ (SELECT {kc}, pos, {S.strip("json_extract_string(el, '$')")} AS item FROM s WHERE json_type(el) = 'VARCHAR')
+WHERE item <> '')"""
 
 
 def strict_parse_json(x: F.Column) -> F.Column:
@@ -211,22 +237,7 @@ def parse_string_batch(df: DataFrame, raw_col: str = "raw") -> DataFrame:
 
 @register(
     "batch_parse",
-    f"""WITH b AS (
-  SELECT doc_id // {BATCH} AS batch_id, list(CASE WHEN doc_id % 9 = 4 THEN CAST(n_chars AS VARCHAR)
-      WHEN doc_id % 11 = 3 THEN '"   "' WHEN doc_id % 13 = 6 THEN '{{"x": ' || CAST(n_chars AS VARCHAR) || '}}'
-      ELSE to_json(text)::VARCHAR END ORDER BY doc_id) AS l FROM documents GROUP BY 1),
-r AS (SELECT batch_id, '[' || array_to_string(l, ', ') || ']' AS arr FROM b),
-f AS (SELECT batch_id, CASE WHEN batch_id % 3 = 1 THEN '```json' || chr(10) || arr || chr(10) || '```' ELSE arr END AS raw0 FROM r),
-g AS (SELECT batch_id, ' ' || CASE WHEN batch_id % 5 = 2 THEN raw0 || ' trailing' ELSE raw0 END || chr(10) AS raw FROM f),
-c AS (SELECT batch_id, CASE WHEN starts_with({S.strip('raw')}, '```') THEN
-          regexp_replace(regexp_replace({S.strip('raw')}, '^```[a-zA-Z]*' || chr(10), ''), chr(10) || '```$', '')
-        ELSE {S.strip('raw')} END AS cleaned FROM g),
-j AS (SELECT batch_id, CAST(cleaned AS JSON) AS js FROM c WHERE json_valid(cleaned) AND json_type(CAST(cleaned AS JSON)) = 'ARRAY'),
-e AS (SELECT batch_id, unnest(range(0, CAST(json_array_length(js) AS BIGINT))) AS pos, js FROM j),
-s AS (SELECT batch_id, pos, json_extract(js, '$[' || pos || ']') AS el FROM e)
-SELECT batch_id, CAST(pos AS INTEGER) AS pos, md5(item) AS item_md5, CAST(length(item) AS BIGINT) AS item_len FROM
- (SELECT batch_id, pos, {S.strip("json_extract_string(el, '$')")} AS item FROM s WHERE json_type(el) = 'VARCHAR')
-WHERE item <> ''""",
+    f"SELECT batch_id, pos, md5(item) AS item_md5, CAST(length(item) AS BIGINT) AS item_len FROM {items_sql()}",
 )
 def batch_parse(spark, sf):
     p = parse_string_batch(raw_batches(spark, sf))
