@@ -1,8 +1,9 @@
 """Structured Streaming forms of the batch operators (H1-H4).
 
-* ``minute_rate`` / ``daily_quota``: windowed counts with a watermark (late rows
-  beyond it are dropped; only windows closed by the watermark are emitted in
-  append mode).
+* ``minute_rate`` / ``daily_quota``: windowed counts with a watermark. In append
+  mode a window is emitted once the watermark passes its end. A row is dropped
+  as late when it is older than the watermark of the *previous* micro-batch
+  (Spark's late-event watermark), so lateness is judged one batch behind.
 * ``dedupe_into``: first-wins de-duplication against a growing target table via
   ``foreachBatch`` — within a batch by the order key, across batches by an
   anti-join on the key. Each batch writes its own ``batch_id=`` partition with
