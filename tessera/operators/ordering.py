@@ -36,14 +36,16 @@ def bucket_rank(
     monotone in the order (rows of a lower bucket always sort first)."""
     g = list(group_cols)
     with_b = df.withColumn("_bucket", bucket)
-    counts = with_b.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    local = Window.partitionBy(*g, "_bucket").orderBy(*order_cols)
+    ranked = with_b.withColumn("_local", F.row_number().over(local))
+    # bucket sizes come from the numbered rows themselves: same partitioning, so
+    # no second shuffle and the input is evaluated once
+    counts = ranked.groupBy(*g, "_bucket").agg(F.max("_local").cast("long").alias("_n"))
     before = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     cols = [*g, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
     if total_col:
         cols.append(F.sum("_n").over(Window.partitionBy(*g)).cast("long").alias(total_col))
     offsets = counts.select(*cols)
-    local = Window.partitionBy(*g, "_bucket").orderBy(*order_cols)
-    ranked = with_b.withColumn("_local", F.row_number().over(local))
     out = ranked.join(offsets, [*g, "_bucket"])
     return out.withColumn(rank_col, (F.col("_off") + F.col("_local")).cast("long")).drop("_bucket", "_local", "_off")
 

@@ -283,10 +283,12 @@ def cap_per_label(spark, sf):
 
 def downsample_label(df: DataFrame, label: str, target: int, seed, key_col: str = "seq") -> DataFrame:
     """Exactly ``target`` rows of ``label`` (smallest seeded hashes) when it has
-    more; other labels whole. A global take-ordered (per-task top-n, then merge)
-    rather than a window, so the big class never sits in one task."""
+    more; other labels whole. The literal ``rank <= target`` gets a partial
+    WindowGroupLimit before the shuffle, so each task sends at most ``target``
+    rows and the big class never sits in one task."""
     big = df.where(F.col("label") == label)
-    kept = big.orderBy(seeded_key(seed, key_col), key_col).limit(target)
+    w = Window.partitionBy("label").orderBy(seeded_key(seed, key_col), key_col)
+    kept = big.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= target).drop("_rn")
     return df.where(F.col("label") != label).unionByName(kept)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import contracts as K
 from tessera.functions import text as T
 from tessera.operators.dedupe import append_if_absent, first_wins
-from tessera.operators.ordering import hash_rank, seeded_key
+from tessera.operators.ordering import seeded_key
 from tessera.plans import fixtures as X
 from tessera.plans import sql as S
 from tessera.plans.catalog import sql_template_error
@@ -107,21 +107,29 @@ SELECT phase, label, seq, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_m
 )
 def top_up(spark, sf):
     """Per category, full -> keep existing, else only the missing amount of new
-    items (rank <= needed, a per-label bound, so a bucketed rank, not a window
-    over the whole label); then existing rows not yet collected (C6); then G1's
+    items (rank <= needed); then existing rows not yet collected (C6); then G1's
     validate / clean / dedupe."""
     ex = existing_rows(spark, sf)
     gap = category_gap_df(spark, ex, TARGET_PER_LABEL).select("label", "needed")
-    items = generated_items(spark, sf).withColumn("_h", seeded_key(SEED, "item"))
-    ranked = hash_rank(items, "_h", ["label"], ["item"], "seq").join(F.broadcast(gap), "label")  # gap: one row per label
+    # needed <= TARGET_PER_LABEL, so the literal bound gets a partial WindowGroupLimit
+    # (at most TARGET rows per label leave each task); the exact per-label cut follows
+    w = Window.partitionBy("label").orderBy(seeded_key(SEED, "item"), "item")
+    items = generated_items(spark, sf).withColumn("seq", F.row_number().over(w).cast("long"))
+    ranked = items.where(F.col("seq") <= TARGET_PER_LABEL).join(F.broadcast(gap), "label")  # gap: one row per label
     new = ranked.where((F.col("needed") > 0) & (F.col("seq") <= F.col("needed"))).select(
         F.col("item").alias("text"), "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq"
     )
-    full = ex.join(F.broadcast(gap.where(F.col("needed") == 0)), "label", "left_semi").select(
+    # at most TARGET rows per label: materialise once in the checkpoint folder, so
+    # the batch parse is not run a second time for the anti-join below
+    new = new.checkpoint()
+    full_labels = F.broadcast(gap.where(F.col("needed") == 0).select("label"))
+    full = ex.join(full_labels, "label", "left_semi").select(
         "text", "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq"
     )
     phase0 = new.unionByName(full)
-    rest = append_if_absent(phase0, ex, ["text", "label"], ["seq"]).select(
+    # Rows of full labels are all collected already; the others are kept once
+    # unless equal (text and label) to a new row
+    rest = append_if_absent(new, ex.join(full_labels, "label", "left_anti"), ["text", "label"], ["seq"]).select(
         "text", "label", F.lit(1).alias("phase"), F.lit(0).alias("label_ord"), "seq"
     )
     rows = validate_clean(phase0.unionByName(rest), DOC_MAX)
@@ -150,7 +158,8 @@ def augment(spark, sf):
     text key (no cleaning), counted for the fixed label list."""
     targets = F.create_map(*[x for k, v in AUG_TARGETS.items() for x in (F.lit(k), F.lit(v))])
     items = generated_items(spark, sf).where(F.col("label").isin(list(AUG_TARGETS)))
-    ranked = hash_rank(items.withColumn("_h", seeded_key(SEED, "item")), "_h", ["label"], ["item"], "seq")
+    w = Window.partitionBy("label").orderBy(seeded_key(SEED, "item"), "item")
+    ranked = items.withColumn("seq", F.row_number().over(w).cast("long")).where(F.col("seq") <= max(AUG_TARGETS.values()))
     new = ranked.where(F.col("seq") <= targets[F.col("label")]).select(F.col("item").alias("text"), "label", F.lit(1).alias("src_rank"), "seq")
     old = existing_rows(spark, sf).select("text", "label", F.lit(0).alias("src_rank"), "seq")
     kept = first_wins(new.unionByName(old), T.dedup_key("text"), ["src_rank", "seq"], ["label"])
