@@ -37,6 +37,7 @@ PLAN_MODULES = [
     "models",
     "streaming_plans",
     "pipelines",
+    "listing",
     "io_plans",
 ]
 
