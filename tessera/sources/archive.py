@@ -10,11 +10,14 @@ reported on its own row and does not stop the rest.
 from __future__ import annotations
 
 import hashlib
+import io
 import os
+import posixpath
 import uuid
 import zipfile
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,15 +26,33 @@ READ_SCHEMA = "archive string, entry string, base_name string, n_bytes long, con
 ENTRY_BLOCK = 256  # entries per read task group within one archive
 
 
+def _resolve(uri: str):
+    """(filesystem, path) for a local path or any URI pyarrow knows (file, hdfs, s3,
+    gs), so tasks read and write the same shared folder Spark uses."""
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), os.path.abspath(uri)
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _open_zip(uri: str) -> zipfile.ZipFile:
+    fs, path = _resolve(uri)
+    return zipfile.ZipFile(fs.open_input_file(path))  # seekable random-access reader
+
+
 def write_archives(df: DataFrame, root: str, entry_col: str = "entry", content_col: str = "content") -> DataFrame:
     """Write each partition of (entry, content) rows as one zip under ``root``
     (a shared folder); entries ending in '/' become directory entries. Returns
     the archive paths."""
 
     def write(batches):
-        path = os.path.join(root, f"archive-{uuid.uuid4().hex[:12]}.zip")
+        fs, base = _resolve(root)
+        fs.create_dir(base, recursive=True)
+        name = f"archive-{uuid.uuid4().hex[:12]}.zip"
+        buf = io.BytesIO()  # one partition's entries; the archive is then written once
         n = 0
-        with zipfile.ZipFile(path, "w", compression=zipfile.ZIP_DEFLATED) as z:
+        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
             for pdf in batches:
                 for e, c in zip(pdf[entry_col], pdf[content_col]):
                     if e.endswith("/"):
@@ -39,9 +60,10 @@ def write_archives(df: DataFrame, root: str, entry_col: str = "entry", content_c
                     else:
                         z.writestr(e, (c or "").encode("utf-8"))
                     n += 1
-        yield pd.DataFrame({"archive": [path], "n_entries": [n]})
+        with fs.open_output_stream(posixpath.join(base, name)) as out:
+            out.write(buf.getvalue())
+        yield pd.DataFrame({"archive": [root.rstrip("/") + "/" + name], "n_entries": [n]})
 
-    os.makedirs(root, exist_ok=True)
     return df.select(entry_col, content_col).mapInPandas(write, "archive string, n_entries long")
 
 
@@ -54,7 +76,7 @@ def list_entries(archives: DataFrame, path_col: str = "archive") -> DataFrame:
             rows = []
             for a in pdf[path_col]:
                 try:
-                    with zipfile.ZipFile(a) as z:
+                    with _open_zip(a) as z:
                         for i, info in enumerate(z.infolist()):
                             rows.append((a, i, info.filename, info.is_dir(), info.file_size, None))
                 except (zipfile.BadZipFile, OSError) as e:
@@ -75,7 +97,7 @@ def read_entries(entries: DataFrame) -> DataFrame:
             out = []
             for a, g in pdf.groupby("archive", sort=False):
                 try:
-                    z = zipfile.ZipFile(a)
+                    z = _open_zip(a)
                 except (zipfile.BadZipFile, OSError) as e:
                     out += [(a, n, os.path.basename(n), None, None, f"Corrupt zip file: {e}") for n in g["entry"]]
                     continue
