@@ -33,7 +33,7 @@ from tessera.plans.dataset import (
 )
 from tessera.plans.registry import register
 from tessera.plans.responses import items_sql, parse_string_batch, raw_batches, strict_parse_json
-from tessera.session import scratch_path
+from tessera.session import checkpoint_dir, scratch_path
 from tessera.sources import files as FS
 from tessera.sources.tables import table
 
@@ -121,6 +121,7 @@ def top_up(spark, sf):
     )
     # at most TARGET rows per label: materialise once in the checkpoint folder, so
     # the batch parse is not run a second time for the anti-join below
+    checkpoint_dir(spark)  # the cluster's shared folder (set only when the session names none)
     new = new.checkpoint()
     full_labels = F.broadcast(gap.where(F.col("needed") == 0).select("label"))
     full = ex.join(full_labels, "label", "left_semi").select(

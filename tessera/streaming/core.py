@@ -70,10 +70,15 @@ def dedupe_into(stream: DataFrame, target: str, checkpoint: str, key: Column, or
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         firsts = first_wins(batch.withColumn("_k", F.sha2(key, 256)), F.col("_k"), order_cols, ["_k", *keep_cols], hash_key=False)
         try:
-            seen = spark.read.parquet(target).where(F.col("batch_id") != batch_id).select("_k")
-            firsts = firsts.join(seen, "_k", "left_anti")
+            target_keys = spark.read.parquet(target).where(F.col("batch_id") != batch_id).select("_k")
         except AnalysisException:  # first batch: no target yet
-            pass
+            target_keys = None
+        if target_keys is not None:
+            # The micro-batch is bounded (maxFilesPerTrigger); its keys are broadcast
+            # so the growing target is scanned but never shuffled.
+            batch_keys = F.broadcast(firsts.select("_k"))
+            seen = target_keys.join(batch_keys, "_k", "left_semi").distinct()
+            firsts = firsts.join(seen, "_k", "left_anti")
         (
             firsts.withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite")
