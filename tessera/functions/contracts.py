@@ -71,7 +71,8 @@ def template_error(meta, html, css) -> Column:
             F.concat(F.lit("<!--END:"), b, F.lit("-->"))
         )
 
-    bad_block = F.filter(F.map_keys(rep), lambda b: ~F.array_contains(blocks, b) | ~end_ok(b))[0]
+    # get(): null (not an error under ANSI) when no block fails
+    bad_block = F.get(F.filter(F.map_keys(rep), lambda b: ~F.array_contains(blocks, b) | ~end_ok(b)), 0)
     block_msg = F.when(
         ~F.array_contains(blocks, bad_block),
         F.concat(F.lit("Declared repeating block '"), bad_block, F.lit("' not found in html")),

@@ -70,4 +70,4 @@ def priority_pick(daily: DataFrame, days: DataFrame, models: list[tuple[int, str
         F.array(*[F.lit(n) for n in ordered]),
         lambda m: ~F.array_contains(F.coalesce(F.col("spent"), F.array().cast("array<string>")), m),
     )
-    return j.select("day", F.element_at(free, 1).alias("picked"), F.size(F.coalesce("spent", F.array())).cast("long").alias("n_spent"))
+    return j.select("day", F.try_element_at(free, F.lit(1)).alias("picked"), F.size(F.coalesce("spent", F.array())).cast("long").alias("n_spent"))

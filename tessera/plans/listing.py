@@ -73,7 +73,7 @@ def first_file_per_repo(spark, sf):
     p = table(spark, sf, "pages").select("page_id", F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1).alias("files"))
     hit = F.transform("files", lambda f: f.endswith(FILE_SUFFIX))
     pos = F.array_position(hit, True)
-    return p.select("page_id", F.element_at("files", pos.cast("int")).alias("first_file"), pos.cast("long").alias("pos")).where(
+    return p.select("page_id", F.try_element_at("files", pos.cast("int")).alias("first_file"), pos.cast("long").alias("pos")).where(
         F.col("pos") > 0
     )
 

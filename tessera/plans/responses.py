@@ -288,7 +288,7 @@ def envelopes(spark, sf) -> DataFrame:
 def envelope_text(body: str) -> F.Column:
     """Concatenated ``candidates[0].content.parts[*].text`` (missing text = '')."""
     e = F.from_json(F.col(body), _ENV_SCHEMA)
-    return F.array_join(F.transform(e["candidates"][0]["content"]["parts"], lambda p: F.coalesce(p["text"], F.lit(""))), "")
+    return F.array_join(F.transform(F.get(e["candidates"], 0)["content"]["parts"], lambda p: F.coalesce(p["text"], F.lit(""))), "")
 
 
 @register(

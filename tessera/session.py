@@ -34,7 +34,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.ansi.enabled", "false")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
