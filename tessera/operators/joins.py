@@ -1,0 +1,17 @@
+"""Broadcast only what is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a data-derived side is joined by shuffle instead of broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for ``df`` only after counting it (one small job); above the
+    bound the plain DataFrame is returned and the join shuffles. ``limit`` keeps
+    the check from scanning more than ``max_rows + 1`` rows."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators.dedupe import append_absent_text, append_if_absent, first_wins, ordered_union
+from tessera.operators.joins import bounded_broadcast
 from tessera.operators.ordering import hash_rank, seeded_key
 from tessera.plans import sql as S
 from tessera.plans.registry import register
@@ -333,8 +334,8 @@ def stratified_split_df(df: DataFrame, pct: int, seed, key_col: str = "seq") ->
     q = q.withColumn("rr", F.row_number().over(Window.orderBy(F.desc("rem"), "label")))
     quota = q.select("label", (F.col("base") + F.when(F.col("rr") <= F.col("short"), 1).otherwise(0)).alias("quota"))
     ranked = hash_rank(df.withColumn("_h", seeded_key(seed, key_col)), "_h", ["label"], [key_col], "_r")
-    # quota has one row per label: bounded by the label set.
-    out = ranked.join(F.broadcast(quota), "label")
+    # quota has one row per label; broadcast only after checking its size
+    out = ranked.join(bounded_broadcast(quota), "label")
     return out.withColumn("split", F.when(F.col("_r") <= F.col("quota"), "val").otherwise("train")).drop(
         "_h", "_r", "quota"
     )

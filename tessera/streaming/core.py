@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tessera.operators.dedupe import first_wins
+from tessera.operators.joins import bounded_broadcast
 
 WATERMARK = "10 minutes"
 
@@ -74,9 +75,9 @@ def dedupe_into(stream: DataFrame, target: str, checkpoint: str, key: Column, or
         except AnalysisException:  # first batch: no target yet
             target_keys = None
         if target_keys is not None:
-            # The micro-batch is bounded (maxFilesPerTrigger); its keys are broadcast
-            # so the growing target is scanned but never shuffled.
-            batch_keys = F.broadcast(firsts.select("_k"))
+            # A micro-batch is bounded (maxFilesPerTrigger); its keys are broadcast
+            # after a size check, so the growing target is scanned, not shuffled.
+            batch_keys = bounded_broadcast(firsts.select("_k"))
             seen = target_keys.join(batch_keys, "_k", "left_semi").distinct()
             firsts = firsts.join(seen, "_k", "left_anti")
         (
