@@ -31,20 +31,14 @@ def jsonl_roundtrip(spark, sf):
     return back.select(F.md5("text").alias("text_md5"), "label")
 
 
-@register(
-    "catalog_scan",
-    f"""SELECT coalesce(json_extract_string(meta, '$.id'), path) AS id, path, md5(meta) AS meta_md5,
-  md5(html) AS html_md5, md5(css) AS css_md5, (html IS NULL OR css IS NULL) AS files_missing FROM {X.TEMPLATES_SQL}""",
-)
-def catalog_scan(spark, sf):
-    """A4 (folder per spec: category/spec_id) then A3 (scan, join sibling files)."""
-    root = scratch_path(spark, "catalogue")
-    t = X.templates(spark, sf).withColumn("category", F.lit("site"))
-    FS.write_catalogue(t, root)
-    s = FS.scan_catalogue(spark, root)
+_CATALOG_SQL = f"""SELECT coalesce(json_extract_string(meta, '$.id'), path) AS id, path, md5(meta) AS meta_md5,
+  md5(html) AS html_md5, md5(css) AS css_md5, (html IS NULL OR css IS NULL) AS files_missing FROM {X.TEMPLATES_SQL}"""
+
+
+def _catalogue_view(s):
     return s.select(
-        F.coalesce(F.get_json_object("meta", "$.id"), F.concat(F.lit("site/"), "spec_id")).alias("id"),
-        F.concat(F.lit("site/"), "spec_id").alias("path"),
+        F.coalesce(F.get_json_object("meta", "$.id"), F.col("path")).alias("id"),
+        "path",
         F.md5("meta").alias("meta_md5"),
         F.md5("html").alias("html_md5"),
         F.md5("css").alias("css_md5"),
@@ -52,6 +46,24 @@ def catalog_scan(spark, sf):
     )
 
 
+@register("catalog_scan", _CATALOG_SQL)
+def catalog_scan(spark, sf):
+    """A4 tree form (folder per spec: category/spec_id with meta.json, index.html,
+    style.css, written by the tasks) then A3 (recursive scan, siblings joined)."""
+    root = scratch_path(spark, "catalogue-tree")
+    t = X.templates(spark, sf).withColumn("category", F.lit("site"))
+    FS.write_catalogue_tree(t, root).count()  # action: the tasks write the tree
+    return _catalogue_view(FS.scan_catalogue_tree(spark, root))
+
+
+@register("catalog_table", _CATALOG_SQL)
+def catalog_table(spark, sf):
+    """A4 Spark-native form: parquet partitioned by category, read back."""
+    root = scratch_path(spark, "catalogue-table")
+    FS.write_catalogue(X.templates(spark, sf).withColumn("category", F.lit("site")), root)
+    return _catalogue_view(FS.read_catalogue(spark, root))
+
+
 def page_entries(spark, sf):
     """Archive entries from pages: ``p{page_id}/{url path}`` holding the html."""
     p = table(spark, sf, "pages")

@@ -97,7 +97,7 @@ def stream_resume(spark, sf):
     t = X.templates(spark, sf)
     root = scratch_path(spark, "tpl-landing")
     sink, ckpt = scratch_path(spark, "review-sink"), scratch_path(spark, "review-ckpt")
-    cut = t.approxQuantile("page_id", [0.66], 0.0)[0]
+    cut = t.approxQuantile("page_id", [0.66], 0.001)[0]
     first, rest = t.where(F.col("page_id") <= cut), t.where(F.col("page_id") > cut)
     SC.land_in_order(first, root, "page_id", 2)
     SC.run_available_now(review_gate_df(SC.file_stream(spark, root, t.schema)), sink, ckpt)

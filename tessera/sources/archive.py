@@ -13,11 +13,11 @@ import hashlib
 import io
 import os
 import posixpath
-import uuid
 import zipfile
 
 import pandas as pd
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +43,14 @@ def _open_zip(uri: str) -> zipfile.ZipFile:
 
 def write_archives(df: DataFrame, root: str, entry_col: str = "entry", content_col: str = "content") -> DataFrame:
     """Write each partition of (entry, content) rows as one zip under ``root``
-    (a shared folder); entries ending in '/' become directory entries. Returns
-    the archive paths."""
+    (a fresh shared folder); entries ending in '/' become directory entries.
+    Returns the archive paths."""
 
     def write(batches):
         fs, base = _resolve(root)
         fs.create_dir(base, recursive=True)
-        name = f"archive-{uuid.uuid4().hex[:12]}.zip"
+        # named by partition, so a retried task attempt overwrites its own archive
+        name = f"archive-{TaskContext.get().partitionId():05d}.zip"
         buf = io.BytesIO()  # one partition's entries; the archive is then written once
         n = 0
         with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as z:
@@ -79,7 +80,7 @@ def list_entries(archives: DataFrame, path_col: str = "archive") -> DataFrame:
                     with _open_zip(a) as z:
                         for i, info in enumerate(z.infolist()):
                             rows.append((a, i, info.filename, info.is_dir(), info.file_size, None))
-                except (zipfile.BadZipFile, OSError) as e:
+                except (zipfile.BadZipFile, OSError, ValueError) as e:  # pyarrow raises ValueError on bad seeks
                     rows.append((a, -1, None, None, None, f"Corrupt zip file: {e}"))
             yield pd.DataFrame(rows, columns=["archive", "idx", "entry", "is_dir", "size", "error"])
 
@@ -98,7 +99,7 @@ def read_entries(entries: DataFrame) -> DataFrame:
             for a, g in pdf.groupby("archive", sort=False):
                 try:
                     z = _open_zip(a)
-                except (zipfile.BadZipFile, OSError) as e:
+                except (zipfile.BadZipFile, OSError, ValueError) as e:  # pyarrow raises ValueError on bad seeks
                     out += [(a, n, os.path.basename(n), None, None, f"Corrupt zip file: {e}") for n in g["entry"]]
                     continue
                 with z:

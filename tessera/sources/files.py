@@ -31,39 +31,66 @@ def write_labelled(df: DataFrame, path: str) -> None:
 
 
 # ------------------------------------------------------------------ A3 / A4
-def write_catalogue(df: DataFrame, root: str, folder_cols=("category", "spec_id")) -> None:
-    """A4: one folder per artefact keyed by the *spec* (category/id), holding its
-    meta.json, index.html and style.css as partitioned text (``file=...``).
-    Absent files (null content) are simply not written."""
-    long = df.select(
-        *folder_cols,
-        F.explode(
-            F.array(
-                F.struct(F.lit("meta.json").alias("file"), F.col("meta").alias("value")),
-                F.struct(F.lit("index.html").alias("file"), F.col("html").alias("value")),
-                F.struct(F.lit("style.css").alias("file"), F.col("css").alias("value")),
-            )
-        ).alias("f"),
-    ).select(*folder_cols, "f.file", "f.value")
-    long.where(F.col("value").isNotNull()).write.mode("overwrite").partitionBy(*folder_cols, "file").text(root)
-
-
-def scan_catalogue(spark: SparkSession, root: str, folder_cols=("category", "spec_id")) -> DataFrame:
-    """A3: every folder with its meta.json / index.html / style.css content joined
-    into one row; ``path`` is the folder relative to the root."""
-    prev = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        raw = spark.read.text(root, wholetext=True)
-        # the text writer ends each value with one newline; drop exactly that one
-        v = F.col("value")
-        trimmed = F.when(v.endswith("\n"), v.substr(F.lit(1), F.length(v) - 1)).otherwise(v)
-        raw = raw.select(*folder_cols, "file", trimmed.alias("value"))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", prev)
+ARTEFACT_FILES = ("meta.json", "index.html", "style.css")
+
+
+def write_catalogue(df: DataFrame, root: str, partition_col: str = "category") -> None:
+    """A4, Spark-native: one row per artefact (spec id, meta, html, css) in a
+    parquet table partitioned by category — no per-artefact small files."""
+    df.select(partition_col, "spec_id", "meta", "html", "css").write.mode("overwrite").partitionBy(partition_col).parquet(root)
+
+
+def read_catalogue(spark: SparkSession, root: str, partition_col: str = "category") -> DataFrame:
+    t = spark.read.parquet(root)
+    return t.withColumn("path", F.concat_ws("/", partition_col, "spec_id"))
+
+
+def write_catalogue_tree(df: DataFrame, root: str, folder_cols=("category", "spec_id")) -> DataFrame:
+    """A4, interchange layout: ``root/<category>/<spec id>/{meta.json,index.html,
+    style.css}`` written by the tasks themselves (the folder comes from the spec,
+    not from meta). Absent content -> no file. Returns (folder, n_files) rows."""
+    from tessera.sources.archive import _resolve  # same URI handling as archives
+
+    cols = [*folder_cols, "meta", "html", "css"]
+
+    def write(batches):
+        import pandas as pd
+
+        fs, base = _resolve(root)
+        out = []
+        for pdf in batches:
+            for row in pdf[cols].itertuples(index=False):
+                folder = "/".join(str(getattr(row, c)) for c in folder_cols)
+                fs.create_dir(f"{base}/{folder}", recursive=True)
+                n = 0
+                for name, content in zip(ARTEFACT_FILES, (row.meta, row.html, row.css)):
+                    if content is not None:
+                        with fs.open_output_stream(f"{base}/{folder}/{name}") as f:
+                            f.write(content.encode("utf-8"))
+                        n += 1
+                out.append((folder, n))
+        yield pd.DataFrame(out, columns=["folder", "n_files"])
+
+    return df.select(*cols).mapInPandas(write, "folder string, n_files long")
+
+
+def scan_catalogue_tree(spark: SparkSession, root: str) -> DataFrame:
+    """A3: every ``meta.json`` under ``root`` (any depth) joined with the sibling
+    ``index.html`` / ``style.css`` of its folder; ``path`` is the folder relative
+    to the root. Folders without meta.json are not artefacts."""
+    raw = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "{" + ",".join(ARTEFACT_FILES) + "}")
+        .load(root)
+    )
+    root_path = root.split(":", 1)[1].lstrip("/") if ":" in root.split("/", 1)[0] else root.lstrip("/")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    rel = F.regexp_replace(folder, r"^.*?\Q" + root_path.rstrip("/") + r"\E/", "")
+    files = raw.select(rel.alias("path"), F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content").cast("string").alias("value"))
     pick = lambda name: F.max(F.when(F.col("file") == name, F.col("value")))
-    g = raw.groupBy(*folder_cols).agg(pick("meta.json").alias("meta"), pick("index.html").alias("html"), pick("style.css").alias("css"))
-    return g.withColumn("path", F.concat_ws("/", *folder_cols)).where(F.col("meta").isNotNull())
+    g = files.groupBy("path").agg(pick("meta.json").alias("meta"), pick("index.html").alias("html"), pick("style.css").alias("css"))
+    return g.where(F.col("meta").isNotNull())
 
 
 # ------------------------------------------------------------------ A7 / A8

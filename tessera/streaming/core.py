@@ -31,7 +31,7 @@ def land_in_order(df: DataFrame, root: str, order_col: str, n_files: int) -> Non
     dtype = dict(df.dtypes)[order_col]
     key = F.unix_micros(F.col(order_col).cast("timestamp")) if dtype.startswith("timestamp") else F.col(order_col)
     keyed = df.withColumn("_ord", key)
-    qs = keyed.approxQuantile("_ord", [i / n_files for i in range(1, n_files)], 0.0) if n_files > 1 else []
+    qs = keyed.approxQuantile("_ord", [i / n_files for i in range(1, n_files)], 0.001) if n_files > 1 else []
     lo = None
     for hi in qs + [None]:
         part = keyed
