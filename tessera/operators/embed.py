@@ -9,6 +9,7 @@ the model once per Python worker and encodes Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Iterator
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -48,7 +49,7 @@ def encoder_udf(load: Callable[[], Callable[[list[str]], list[list[float]]]], di
     and returns ``encode(texts) -> vectors`` (expected unit-normalised)."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def encode(batches):
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = load()
         for s in batches:
             yield pd.Series([list(map(float, v)) for v in enc(s.fillna("").tolist())])

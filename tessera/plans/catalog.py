@@ -12,6 +12,8 @@ from tessera.operators.ordering import range_rank
 from tessera.plans import fixtures as X
 from tessera.plans import sql as S
 from tessera.plans.registry import register
+from tessera.session import scratch_path
+from tessera.sources.files import write_report
 from tessera.sources.tables import table
 
 # Prompt text pieces (rendered by concatenation, like str.format).
@@ -42,6 +44,17 @@ _ID_SQL = (
 )
 
 
+def explode_specs(nested: DataFrame, category_col: str = "category", variants_col: str = "variants") -> DataFrame:
+    """C13 from the declaration shape: ``(category, array<struct<variant, guidance>>)``
+    -> one spec row per variant, declaration position kept in ``pos``."""
+    e = nested.select(category_col, F.posexplode(variants_col).alias("pos", "v"))
+    out = e.select(
+        "pos", category_col, F.lit(None).cast("string").alias("component_type"), F.col("v.variant").alias("variant"),
+        F.col("v.guidance").alias("guidance"),
+    )
+    return out.withColumn("spec_id", spec_id())
+
+
 def all_specs(spark: SparkSession, sf: str) -> DataFrame:
     """Site specs ∪ component specs with ids."""
     u = X.site_specs(spark, sf).unionByName(X.component_specs(spark, sf))
@@ -395,10 +408,14 @@ def catalog_audit(spark, sf):
     found = t.select(ident.alias("id"), K.files_missing("html", "css").alias("issue"))
     fid = found.groupBy("id").agg(F.count_if("issue").alias("issues"))
     j = ex.withColumn("e", F.lit(1)).join(fid.withColumn("g", F.lit(1)), "id", "full_outer")
-    return j.agg(
+    report = j.agg(
         F.count("e").alias("expected_count"),
         F.count("g").alias("found_count"),
         F.count_if(F.col("g").isNull()).alias("n_missing"),
         F.count_if(F.col("e").isNull()).alias("n_extra"),
         F.coalesce(F.sum("issues"), F.lit(0)).cast("long").alias("n_file_issues"),
     )
+    # The one-row report as a JSON file, read back
+    path = scratch_path(spark, "audit-report")
+    write_report(report, path)
+    return spark.read.schema(report.schema).json(path)

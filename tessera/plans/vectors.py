@@ -15,6 +15,7 @@ from tessera.operators import vectors as V
 from tessera.plans import fixtures as X
 from tessera.plans.catalog import embed_text_col
 from tessera.plans.registry import register
+from tessera.session import scratch_path
 from tessera.sources.tables import table
 
 TOP_K = 3
@@ -81,5 +82,9 @@ def index_build_df(spark, sf, num_features: int = EM.NUM_FEATURES):
 FROM {X.TEMPLATES_SQL} WHERE json_type(meta, '$.reviewed') = 'BOOLEAN' AND json_extract_string(meta, '$.reviewed') = 'true'""",
 )
 def index_build(spark, sf):
-    out = index_build_df(spark, sf)
+    """G8 then A5: the index is one parquet table (metadata and vector in the same
+    row, no positional alignment), written and scanned back."""
+    path = scratch_path(spark, "index")
+    index_build_df(spark, sf).write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
     return out.select("id", "category", "subcategory", "level", "description", "path", F.size("embedding").alias("dim"))

@@ -68,3 +68,31 @@ def test_dataset_card_format(spark):
     card = FS.dataset_card(df, "2024-01-01_00-00-00").first().card
     assert card.startswith("# Classifier Training Data\n\n## Overview\n- Total: 1,201\n- Generated: 2024-01-01_00-00-00\n")
     assert "- **x:** 1,200\n- **y:** 1\n" in card and card.endswith("```\n")
+
+
+def test_explode_nested_specs(spark):
+    from tessera.plans.catalog import explode_specs
+
+    nested = spark.createDataFrame(
+        [("restaurant", [("Fine Dining!", "g1"), ("Food-truck  menu", "g2")]), ("law", [("Solo practice", "g3")])],
+        "category string, variants array<struct<variant: string, guidance: string>>",
+    )
+    got = sorted((r.category, r.pos, r.spec_id) for r in explode_specs(nested).collect())
+    assert got == [("law", 0, "law-solo-practice-v1"), ("restaurant", 0, "restaurant-fine-dining-v1"), ("restaurant", 1, "restaurant-food-truck-menu-v1")]
+
+
+def test_encoder_plugin(spark):
+    from tessera.operators.embed import encoder_udf
+
+    def load():
+        import numpy as np
+
+        def encode(texts):
+            v = np.array([[len(t), t.count("a"), 1.0] for t in texts], dtype=float)
+            return (v / np.linalg.norm(v, axis=1, keepdims=True)).tolist()
+
+        return encode
+
+    df = spark.createDataFrame([("banana",), ("",)], "text string")
+    out = df.select(encoder_udf(load, 3)("text").alias("e")).collect()
+    assert all(abs(sum(x * x for x in r.e) - 1) < 1e-6 for r in out)
