@@ -137,12 +137,14 @@ def top1(
 
 
 def centroids(df: DataFrame, group_col: str, vec_col: str = "embedding") -> DataFrame:
-    """Unit-normalised mean vector per group: per-dimension sums with partial
-    aggregation (one row per group and dimension leaves each task)."""
-    e = df.select(group_col, F.posexplode(vec_col).alias("dim", "v"))
-    m = e.groupBy(group_col, "dim").agg(F.avg(F.col("v").cast("double")).alias("v"))
-    n = m.withColumn("norm", F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(group_col))))
-    u = n.select(group_col, "dim", (F.col("v") / F.col("norm")).alias("v"))
-    return u.groupBy(group_col).agg(F.array_sort(F.collect_list(F.struct("dim", "v"))).alias("s")).select(
-        group_col, F.col("s.v").alias(vec_col)
-    )
+    """Unit-normalised mean vector per group. ``Summarizer.mean`` aggregates whole
+    vectors with a map-side partial step (one buffer per group per task), so
+    nothing is exploded to one row per dimension."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    v = df.select(group_col, array_to_vector(F.col(vec_col)).alias("_v"))
+    m = v.groupBy(group_col).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+    a = m.select(group_col, vector_to_array("_m", "float64").alias("_a"))
+    norm = F.sqrt(F.aggregate("_a", F.lit(0.0), lambda acc, x: acc + x * x))
+    return a.select(group_col, F.transform("_a", lambda x: x / norm).alias(vec_col))

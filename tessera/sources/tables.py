@@ -24,13 +24,41 @@ KEYS = {
 }
 
 
+# Spread a small-split scan only when it holds at least this much data.
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def _row_groups_and_bytes(files: list[str]) -> tuple[int, int]:
+    """Row groups and bytes of a few parquet files (footers only)."""
+    import pyarrow.parquet as pq
+
+    from tessera.sources.archive import _resolve
+
+    groups = size = 0
+    for f in files:
+        fs, p = _resolve(f)
+        size += fs.get_file_info(p).size or 0
+        with fs.open_input_file(p) as fh:
+            groups += pq.ParquetFile(fh).metadata.num_row_groups
+    return groups, size
+
+
 def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hash-repartition on the row key only when the scan gives fewer splits than
-    the cluster's default parallelism (e.g. one large single-row-group file). At
-    scale the scan already has many splits and this is a no-op; the key-hash
-    placement is deterministic, so a retried task rebuilds the same partition."""
+    """Hash-repartition on the row key when the scan cannot use the cluster: a
+    parquet scan runs at most one task per row group, so a large file with one
+    row group is read (and regex-cleaned) by a single task however many byte
+    splits it has. At scale the scan has many splits and returns at once; only
+    a scan with fewer splits than the default parallelism reads its footers.
+    The key-hash placement is deterministic, so a retried task rebuilds the same
+    partition."""
     n = df.sparkSession.sparkContext.defaultParallelism
-    if keys and df.rdd.getNumPartitions() < n:
+    if not keys or df.rdd.getNumPartitions() >= n:
+        return df
+    try:
+        groups, size = _row_groups_and_bytes(df.inputFiles())
+    except Exception:  # noqa: BLE001 - footers unreadable: leave the scan as it is
+        return df
+    if groups < n and size >= SPREAD_MIN_BYTES:
         return df.repartition(n, *keys)
     return df
 
@@ -39,8 +67,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one fixture table. Projection and filters are left to Catalyst,
     so only the columns a query touches reach the parquet scan."""
     ensure_job_conf(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, KEYS.get(name, []))
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), KEYS.get(name, []))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
