@@ -130,3 +130,22 @@ def test_top1_threshold_edges(spark):
     one = spark.createDataFrame([(0, [1.0, 0.0])], "vec_id long, embedding array<double>")
     q = spark.createDataFrame([(7, [0.4, 0.9165151389911680])], "query_id long, embedding array<double>")
     assert V.top1(one, q, 0.4).first().query_id == 7
+
+
+@pytest.mark.parametrize(
+    "name", ["clean_dedupe_documents", "union_new_first", "stratified_split", "seeded_shuffle_rank", "topk_vectors", "rate_minute", "build_training_set"]
+)
+def test_query_partition_invariance(spark, name):
+    import sys, os
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    import __spark_entry__ as E
+    from oracle_check import digest
+
+    hashes = []
+    for n in ("1", "13"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        df = E.queries()[name](spark, SF_SMALL)
+        hashes.append(digest(df.columns, [tuple(r) for r in df.collect()])[2])
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert hashes[0] == hashes[1]
