@@ -13,13 +13,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.fmt import fmt
 
 REPEATING_SCHEMA = "map<string, struct<container_marker: string, fields: array<string>>>"
 PLACEHOLDERS_SCHEMA = f"struct<scalar: array<string>, repeating: {REPEATING_SCHEMA}>"
+
+# Fixed values (must equal the reference's rules and messages), in rule order.
 TEMPLATE_REQUIRED = ["id", "level", "category", "subcategory", "placeholders"]
+END_MARKERS = ["<!-- END:{block} -->", "<!--END:{block}-->"]
+MSG_TOP_KEYS = "Missing required top-level keys (meta/html/css)"
+MSG_MISSING_FIELD = "meta.json missing required field: {field}"
+MSG_UNDECLARED = "Placeholders used but not declared in meta: {names}"
+MSG_UNUSED = "Scalar placeholders declared but never used: {names}"
+MSG_NO_BLOCK = "Declared repeating block '{block}' not found in html"
+MSG_NO_END = "Repeating block '{block}' missing matching END marker"
+MSG_MISSING_FILES = "Missing index.html or style.css"
 EFFECT_REQUIRED = ["id", "type", "trigger", "name", "category", "css_class", "requires_js", "requires_shared_js"]
-# The shared scroll helper id and the two accepted END spellings.
+EFFECT_CLASS_PREFIX = "fx-"
 SCROLL_HELPER_ID = "scroll-reveal-observer-v1"
+CSS_REDUCED_MOTION = "prefers-reduced-motion"
+CSS_IN_VIEW = "fx-in-view"
+CSS_SCROLL_TARGET = "fx-scroll-target"
+CSS_KEYFRAMES = "@keyframes"
+CSS_HOVER = ":hover"
+MSG_TRIGGER = "trigger mismatch: expected '{expected}', got '{got}'"
+MSG_PREFIX = "css_class must start with 'fx-', got: {css_class}"
+MSG_CLASS_NOT_IN_CSS = "css_class '{css_class}' declared in meta but not found in css"
+MSG_REDUCED_MOTION = "Missing required @media (prefers-reduced-motion: reduce) block"
+MSG_SCROLL_JS = "onscroll effect must have requires_js: true"
+MSG_SCROLL_SHARED = "onscroll effect must set requires_shared_js to 'scroll-reveal-observer-v1'"
+MSG_SCROLL_IN_VIEW = "onscroll effect css must reference fx-in-view state"
+MSG_SCROLL_TARGET = "onscroll effect css must reference fx-scroll-target class"
+MSG_NO_JS = "{trigger} effect must have requires_js: false"
+MSG_NO_SHARED = "{trigger} effect must have requires_shared_js: null"
+MSG_KEYFRAMES = "onload effect should use a @keyframes animation"
+MSG_HOVER = "hover effect css must include a :hover selector"
 HEX_COLOR = r"^#([0-9a-fA-F]{3}|[0-9a-fA-F]{6})$"
 
 
@@ -42,9 +70,8 @@ def missing_field(meta, fields) -> Column:
     out = None
     for f in fields:
         cond = ~F.array_contains(keys, f)
-        out = F.when(cond, F.lit(f"meta.json missing required field: {f}")) if out is None else out.when(
-            cond, F.lit(f"meta.json missing required field: {f}")
-        )
+        msg = fmt(MSG_MISSING_FIELD, field=f)
+        out = F.when(cond, msg) if out is None else out.when(cond, msg)
     return out
 
 
@@ -67,20 +94,18 @@ def template_error(meta, html, css) -> Column:
     blocks = T.repeat_blocks(html)
 
     def end_ok(b):
-        return html.contains(F.concat(F.lit("<!-- END:"), b, F.lit(" -->"))) | html.contains(
-            F.concat(F.lit("<!--END:"), b, F.lit("-->"))
-        )
+        found = [html.contains(fmt(m, block=b)) for m in END_MARKERS]
+        return found[0] | found[1]
 
     # get(): null (not an error under ANSI) when no block fails
     bad_block = F.get(F.filter(F.map_keys(rep), lambda b: ~F.array_contains(blocks, b) | ~end_ok(b)), 0)
-    block_msg = F.when(
-        ~F.array_contains(blocks, bad_block),
-        F.concat(F.lit("Declared repeating block '"), bad_block, F.lit("' not found in html")),
-    ).otherwise(F.concat(F.lit("Repeating block '"), bad_block, F.lit("' missing matching END marker")))
+    block_msg = F.when(~F.array_contains(blocks, bad_block), fmt(MSG_NO_BLOCK, block=bad_block)).otherwise(
+        fmt(MSG_NO_END, block=bad_block)
+    )
     return F.coalesce(
         missing_field(meta, TEMPLATE_REQUIRED),
-        F.when(F.size(undeclared) > 0, F.concat(F.lit("Placeholders used but not declared in meta: "), py_set(undeclared))),
-        F.when(F.size(unused) > 0, F.concat(F.lit("Scalar placeholders declared but never used: "), py_set(unused))),
+        F.when(F.size(undeclared) > 0, fmt(MSG_UNDECLARED, names=py_set(undeclared))),
+        F.when(F.size(unused) > 0, fmt(MSG_UNUSED, names=py_set(unused))),
         F.when(bad_block.isNotNull(), block_msg),
     )
 
@@ -111,24 +136,18 @@ def effect_error(meta: str, css: str, trigger: str) -> Column:
     onscroll = t == "onscroll"
     return F.coalesce(
         missing_field(m, EFFECT_REQUIRED),
-        F.when(
-            ~got_trigger.eqNullSafe(t),
-            F.concat(F.lit("trigger mismatch: expected '"), t, F.lit("', got '"), F.coalesce(got_trigger, F.lit("None")), F.lit("'")),
-        ),
-        F.when(~css_class.startswith("fx-"), F.concat(F.lit("css_class must start with 'fx-', got: "), css_class)),
-        F.when(~c.contains(css_class), F.concat(F.lit("css_class '"), css_class, F.lit("' declared in meta but not found in css"))),
-        F.when(~c.contains("prefers-reduced-motion"), F.lit("Missing required @media (prefers-reduced-motion: reduce) block")),
-        F.when(onscroll & ~is_true, F.lit("onscroll effect must have requires_js: true")),
-        F.when(
-            onscroll & ~((shared_type == "STRING") & shared_val.eqNullSafe(F.lit(SCROLL_HELPER_ID))),
-            F.lit(f"onscroll effect must set requires_shared_js to '{SCROLL_HELPER_ID}'"),
-        ),
-        F.when(onscroll & ~c.contains("fx-in-view"), F.lit("onscroll effect css must reference fx-in-view state")),
-        F.when(onscroll & ~c.contains("fx-scroll-target"), F.lit("onscroll effect css must reference fx-scroll-target class")),
-        F.when(~onscroll & ~is_false, F.concat(t, F.lit(" effect must have requires_js: false"))),
-        F.when(~onscroll & ~(shared_type == "VOID"), F.concat(t, F.lit(" effect must have requires_shared_js: null"))),
-        F.when((t == "onload") & ~c.contains("@keyframes"), F.lit("onload effect should use a @keyframes animation")),
-        F.when((t == "hover") & ~c.contains(":hover"), F.lit("hover effect css must include a :hover selector")),
+        F.when(~got_trigger.eqNullSafe(t), fmt(MSG_TRIGGER, expected=t, got=F.coalesce(got_trigger, F.lit("None")))),
+        F.when(~css_class.startswith(EFFECT_CLASS_PREFIX), fmt(MSG_PREFIX, css_class=css_class)),
+        F.when(~c.contains(css_class), fmt(MSG_CLASS_NOT_IN_CSS, css_class=css_class)),
+        F.when(~c.contains(CSS_REDUCED_MOTION), F.lit(MSG_REDUCED_MOTION)),
+        F.when(onscroll & ~is_true, F.lit(MSG_SCROLL_JS)),
+        F.when(onscroll & ~((shared_type == "STRING") & shared_val.eqNullSafe(F.lit(SCROLL_HELPER_ID))), F.lit(MSG_SCROLL_SHARED)),
+        F.when(onscroll & ~c.contains(CSS_IN_VIEW), F.lit(MSG_SCROLL_IN_VIEW)),
+        F.when(onscroll & ~c.contains(CSS_SCROLL_TARGET), F.lit(MSG_SCROLL_TARGET)),
+        F.when(~onscroll & ~is_false, fmt(MSG_NO_JS, trigger=t)),
+        F.when(~onscroll & ~(shared_type == "VOID"), fmt(MSG_NO_SHARED, trigger=t)),
+        F.when((t == "onload") & ~c.contains(CSS_KEYFRAMES), F.lit(MSG_KEYFRAMES)),
+        F.when((t == "hover") & ~c.contains(CSS_HOVER), F.lit(MSG_HOVER)),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions import contracts as K
+from tessera.functions.fmt import fmt
 from tessera.functions.text import WS
 
 # Default business data used when a request carries none.
@@ -32,6 +33,7 @@ DEFAULT_FIELDS = {
     "instagram_handle": "@riversidebakery",
 }
 DEFAULT_COLOR = "#8b5a2b"
+PLEASE_FILL = "Please fill: {field}"
 DEFAULT_ITEM_FIELDS = {
     "item_name": "Sourdough Loaf",
     "product_name": "Sourdough Loaf",
@@ -42,13 +44,21 @@ DEFAULT_ITEM_FIELDS = {
 }
 
 
+# Business-data problem formats and their separator.
+MSG_MISSING_SCALAR = "Missing: {field}"
+MSG_BAD_COLOR = "Bad color: {field}"
+MSG_MISSING_BLOCK = "Missing/empty repeating block: {block}"
+PROBLEM_SEPARATOR = "; "
+COLOR_FIELD_MARK = "color"
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
 def _join_problems(parts: list[Column]) -> Column:
     flat = F.flatten(F.array(*parts))
-    return F.when(F.size(flat) > 0, F.array_join(flat, "; "))
+    return F.when(F.size(flat) > 0, F.array_join(flat, PROBLEM_SEPARATOR))
 
 
 def business_data_problems(scalar_fields, block_names, scalars, blocks) -> Column:
@@ -58,8 +68,8 @@ def business_data_problems(scalar_fields, block_names, scalars, blocks) -> Colum
     scalar_p = F.filter(
         F.transform(
             _c(scalar_fields),
-            lambda f: F.when(~F.map_contains_key(sc, f), F.concat(F.lit("Missing: "), f)).when(
-                F.lower(f).contains("color") & ~K.hex_color(sc[f]), F.concat(F.lit("Bad color: "), f)
+            lambda f: F.when(~F.map_contains_key(sc, f), fmt(MSG_MISSING_SCALAR, field=f)).when(
+                F.lower(f).contains(COLOR_FIELD_MARK) & ~K.hex_color(sc[f]), fmt(MSG_BAD_COLOR, field=f)
             ),
         ),
         lambda x: x.isNotNull(),
@@ -69,7 +79,7 @@ def business_data_problems(scalar_fields, block_names, scalars, blocks) -> Colum
             _c(block_names),
             lambda b: F.when(
                 ~F.map_contains_key(bl, b) | (F.coalesce(F.size(bl[b]), F.lit(0)) <= 0),
-                F.concat(F.lit("Missing/empty repeating block: "), b),
+                fmt(MSG_MISSING_BLOCK, block=b),
             ),
         ),
         lambda x: x.isNotNull(),
@@ -125,7 +135,7 @@ def default_scalars(scalar_fields) -> Column:
     fl = _c(scalar_fields)
     vals = F.transform(
         fl,
-        lambda f: F.coalesce(known[f], F.when(F.lower(f).contains("color"), F.lit(DEFAULT_COLOR)), F.concat(F.lit("Please fill: "), f)),
+        lambda f: F.coalesce(known[f], F.when(F.lower(f).contains(COLOR_FIELD_MARK), F.lit(DEFAULT_COLOR)), fmt(PLEASE_FILL, field=f)),
     )
     return F.map_from_arrays(fl, vals)
 
@@ -134,7 +144,7 @@ def default_item(fields) -> Column:
     """One sample item for a block."""
     known = F.create_map(*[x for k, v in DEFAULT_ITEM_FIELDS.items() for x in (F.lit(k), F.lit(v))])
     fl = _c(fields)
-    return F.map_from_arrays(fl, F.transform(fl, lambda f: F.coalesce(known[f], F.concat(F.lit("Please fill: "), f))))
+    return F.map_from_arrays(fl, F.transform(fl, lambda f: F.coalesce(known[f], fmt(PLEASE_FILL, field=f))))
 
 
 def map_text(m) -> Column:

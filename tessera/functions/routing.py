@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.fmt import fmt
 
 # The website hard-rule phrases, in order.
 WEBSITE_KEYWORDS = [
@@ -36,6 +37,9 @@ MODEL_ALIAS = {"direct": "router"}
 MAX_TOKENS = {"router": 300, "terminal": 100, "coder": 1500}
 DEFAULT_MAX_TOKENS = 300
 CATEGORY_MODEL = {"terminal": "terminal", "code": "coder", "direct": "direct"}
+# Confirmation tiers and the action preview format.
+TIER_DANGEROUS, TIER_DEFAULT = "strict", "confirm"
+PREVIEW = "Run shell command: {command}"
 
 
 def _c(x) -> Column:
@@ -59,12 +63,12 @@ def danger_reason(cmd) -> Column:
 
 def confirm_level(reason: Column) -> Column:
     """Dangerous -> 'strict', else 'confirm'."""
-    return F.when(reason.isNotNull(), F.lit("strict")).otherwise(F.lit("confirm"))
+    return F.when(reason.isNotNull(), F.lit(TIER_DANGEROUS)).otherwise(F.lit(TIER_DEFAULT))
 
 
 def preview(cmd) -> Column:
     """``Run shell command: {command}`` (missing command -> '')."""
-    return F.concat(F.lit("Run shell command: "), F.coalesce(_c(cmd), F.lit("")))
+    return fmt(PREVIEW, command=F.coalesce(_c(cmd), F.lit("")))
 
 
 def draft_command(answer) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import contracts as K
 from tessera.functions import text as T
+from tessera.functions.fmt import sql_fmt
 from tessera.operators.ordering import range_rank
 from tessera.plans import fixtures as X
 from tessera.plans import sql as S
@@ -243,8 +244,9 @@ def _sql_pyset(x):
 def sql_template_error(src: str) -> str:
     """DuckDB twin of ``contracts.template_error`` over a relation with meta/html/css."""
     req = " ".join(
-        f"WHEN NOT list_contains(keys, '{f}') THEN 'meta.json missing required field: {f}'" for f in K.TEMPLATE_REQUIRED
+        f"WHEN NOT list_contains(keys, '{f}') THEN {sql_fmt(K.MSG_MISSING_FIELD, field=repr(f))}" for f in K.TEMPLATE_REQUIRED
     )
+    ends = " OR ".join(f"contains(html, {sql_fmt(m, block='b')})" for m in K.END_MARKERS)
     return f"""
 (WITH p AS (SELECT *, json_keys(meta) AS keys,
         coalesce(CAST(json_extract(meta, '$.placeholders.scalar') AS VARCHAR[]), []) AS scalar,
@@ -254,14 +256,14 @@ def sql_template_error(src: str) -> str:
  q AS (SELECT *, flatten(list_transform(rep_keys, lambda b: coalesce(CAST(json_extract(meta, '$.placeholders.repeating."' || b || '".fields') AS VARCHAR[]), []))) AS rep_fields FROM p),
  r AS (SELECT *, list_distinct(list_filter(used, lambda e: NOT list_contains(list_concat(scalar, rep_fields), e))) AS undeclared,
               list_distinct(list_filter(scalar, lambda e: NOT list_contains(used, e))) AS unused,
-              list_filter(rep_keys, lambda b: NOT list_contains(blocks, b) OR NOT (contains(html, '<!-- END:' || b || ' -->') OR contains(html, '<!--END:' || b || '-->')))[1] AS bad_block
+              list_filter(rep_keys, lambda b: NOT list_contains(blocks, b) OR NOT ({ends}))[1] AS bad_block
        FROM q)
  SELECT *, CASE {req}
-   WHEN len(undeclared) > 0 THEN 'Placeholders used but not declared in meta: ' || {_sql_pyset('undeclared')}
-   WHEN len(unused) > 0 THEN 'Scalar placeholders declared but never used: ' || {_sql_pyset('unused')}
+   WHEN len(undeclared) > 0 THEN {sql_fmt(K.MSG_UNDECLARED, names=_sql_pyset('undeclared'))}
+   WHEN len(unused) > 0 THEN {sql_fmt(K.MSG_UNUSED, names=_sql_pyset('unused'))}
    WHEN bad_block IS NOT NULL THEN CASE WHEN NOT list_contains(blocks, bad_block)
-        THEN 'Declared repeating block ''' || bad_block || ''' not found in html'
-        ELSE 'Repeating block ''' || bad_block || ''' missing matching END marker' END
+        THEN {sql_fmt(K.MSG_NO_BLOCK, block='bad_block')}
+        ELSE {sql_fmt(K.MSG_NO_END, block='bad_block')} END
    END AS error FROM r)"""
 
 
@@ -315,25 +317,28 @@ def template_validation(spark, sf):
 
 
 def _sql_effect_error():
-    req = " ".join(f"WHEN NOT list_contains(json_keys(meta), '{f}') THEN 'meta.json missing required field: {f}'" for f in K.EFFECT_REQUIRED)
+    req = " ".join(
+        f"WHEN NOT list_contains(json_keys(meta), '{f}') THEN {sql_fmt(K.MSG_MISSING_FIELD, field=repr(f))}" for f in K.EFFECT_REQUIRED
+    )
     t, cc = "json_extract_string(meta, '$.trigger')", "json_extract_string(meta, '$.css_class')"
     js_t, js_v = "json_type(meta, '$.requires_js')", "json_extract_string(meta, '$.requires_js')"
     sh_t, sh_v = "json_type(meta, '$.requires_shared_js')", "json_extract_string(meta, '$.requires_shared_js')"
     is_true = f"({js_t} = 'BOOLEAN' AND {js_v} = 'true')"
     is_false = f"({js_t} = 'BOOLEAN' AND {js_v} = 'false')"
+    q = lambda x: "'" + x.replace("'", "''") + "'"
     return f"""CASE {req}
-  WHEN {t} IS DISTINCT FROM expected_trigger THEN 'trigger mismatch: expected ''' || expected_trigger || ''', got ''' || coalesce({t}, 'None') || ''''
-  WHEN NOT starts_with({cc}, 'fx-') THEN 'css_class must start with ''fx-'', got: ' || {cc}
-  WHEN NOT contains(css, {cc}) THEN 'css_class ''' || {cc} || ''' declared in meta but not found in css'
-  WHEN NOT contains(css, 'prefers-reduced-motion') THEN 'Missing required @media (prefers-reduced-motion: reduce) block'
-  WHEN expected_trigger = 'onscroll' AND NOT {is_true} THEN 'onscroll effect must have requires_js: true'
-  WHEN expected_trigger = 'onscroll' AND NOT ({sh_t} = 'VARCHAR' AND {sh_v} = '{K.SCROLL_HELPER_ID}') THEN 'onscroll effect must set requires_shared_js to ''{K.SCROLL_HELPER_ID}'''
-  WHEN expected_trigger = 'onscroll' AND NOT contains(css, 'fx-in-view') THEN 'onscroll effect css must reference fx-in-view state'
-  WHEN expected_trigger = 'onscroll' AND NOT contains(css, 'fx-scroll-target') THEN 'onscroll effect css must reference fx-scroll-target class'
-  WHEN expected_trigger <> 'onscroll' AND NOT {is_false} THEN expected_trigger || ' effect must have requires_js: false'
-  WHEN expected_trigger <> 'onscroll' AND {sh_t} IS DISTINCT FROM 'NULL' THEN expected_trigger || ' effect must have requires_shared_js: null'
-  WHEN expected_trigger = 'onload' AND NOT contains(css, '@keyframes') THEN 'onload effect should use a @keyframes animation'
-  WHEN expected_trigger = 'hover' AND NOT contains(css, ':hover') THEN 'hover effect css must include a :hover selector'
+  WHEN {t} IS DISTINCT FROM expected_trigger THEN {sql_fmt(K.MSG_TRIGGER, expected='expected_trigger', got=f"coalesce({t}, 'None')")}
+  WHEN NOT starts_with({cc}, {q(K.EFFECT_CLASS_PREFIX)}) THEN {sql_fmt(K.MSG_PREFIX, css_class=cc)}
+  WHEN NOT contains(css, {cc}) THEN {sql_fmt(K.MSG_CLASS_NOT_IN_CSS, css_class=cc)}
+  WHEN NOT contains(css, {q(K.CSS_REDUCED_MOTION)}) THEN {q(K.MSG_REDUCED_MOTION)}
+  WHEN expected_trigger = 'onscroll' AND NOT {is_true} THEN {q(K.MSG_SCROLL_JS)}
+  WHEN expected_trigger = 'onscroll' AND NOT ({sh_t} = 'VARCHAR' AND {sh_v} = {q(K.SCROLL_HELPER_ID)}) THEN {q(K.MSG_SCROLL_SHARED)}
+  WHEN expected_trigger = 'onscroll' AND NOT contains(css, {q(K.CSS_IN_VIEW)}) THEN {q(K.MSG_SCROLL_IN_VIEW)}
+  WHEN expected_trigger = 'onscroll' AND NOT contains(css, {q(K.CSS_SCROLL_TARGET)}) THEN {q(K.MSG_SCROLL_TARGET)}
+  WHEN expected_trigger <> 'onscroll' AND NOT {is_false} THEN {sql_fmt(K.MSG_NO_JS, trigger='expected_trigger')}
+  WHEN expected_trigger <> 'onscroll' AND {sh_t} IS DISTINCT FROM 'NULL' THEN {sql_fmt(K.MSG_NO_SHARED, trigger='expected_trigger')}
+  WHEN expected_trigger = 'onload' AND NOT contains(css, {q(K.CSS_KEYFRAMES)}) THEN {q(K.MSG_KEYFRAMES)}
+  WHEN expected_trigger = 'hover' AND NOT contains(css, {q(K.CSS_HOVER)}) THEN {q(K.MSG_HOVER)}
 END"""
 
 
@@ -359,7 +364,7 @@ def review_gate_df(t: DataFrame) -> DataFrame:
         "id",
         "path",
         "status",
-        F.when(F.col("status") == "missing_files", F.lit("Missing index.html or style.css"))
+        F.when(F.col("status") == "missing_files", F.lit(K.MSG_MISSING_FILES))
         .when(F.col("status") == "failed_validation", F.col("_err"))
         .alias("error"),
     )
@@ -371,7 +376,7 @@ SELECT page_id, coalesce(json_extract_string(meta, '$.id'), path) AS id, path,
        WHEN html IS NULL OR css IS NULL THEN 'missing_files'
        WHEN error IS NOT NULL THEN 'failed_validation' ELSE 'marked_reviewed' END AS status,
   CASE WHEN json_type(meta, '$.reviewed') = 'BOOLEAN' AND json_extract_string(meta, '$.reviewed') = 'true' THEN NULL
-       WHEN html IS NULL OR css IS NULL THEN 'Missing index.html or style.css'
+       WHEN html IS NULL OR css IS NULL THEN '{K.MSG_MISSING_FILES}'
        ELSE error END AS error
 FROM {sql_template_error(X.TEMPLATES_SQL)})"""
 

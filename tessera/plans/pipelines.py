@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import contracts as K
 from tessera.functions import text as T
+from tessera.functions.fmt import fmt, sql_fmt
 from tessera.operators.dedupe import append_if_absent, first_wins
 from tessera.operators.ordering import seeded_key
 from tessera.plans import fixtures as X
@@ -38,7 +39,10 @@ from tessera.sources import files as FS
 from tessera.sources.tables import table
 
 AUG_TARGETS = {"fr": 50, "de": 20}
+# Retry budget and the final failure message.
 MAX_ATTEMPTS = 4
+MSG_GAVE_UP = "Failed after {attempts} attempts. Last error: {error}"
+MSG_INVALID_JSON = "Invalid JSON"
 
 
 def _label_ord() -> F.Column:
@@ -223,8 +227,8 @@ def response_error(raw: str = "raw") -> F.Column:
     has_all = F.array_contains(keys, "meta") & F.array_contains(keys, "html") & F.array_contains(keys, "css")
     meta, html, css = F.get_json_object(cleaned, "$.meta"), F.get_json_object(cleaned, "$.html"), F.get_json_object(cleaned, "$.css")
     return (
-        F.when(parsed.isNull(), F.lit("Invalid JSON"))
-        .when(~F.coalesce(has_all, F.lit(False)), F.lit("Missing required top-level keys (meta/html/css)"))
+        F.when(parsed.isNull(), F.lit(MSG_INVALID_JSON))
+        .when(~F.coalesce(has_all, F.lit(False)), F.lit(K.MSG_TOP_KEYS))
         .otherwise(K.template_error(meta, html, css))
     )
 
@@ -258,12 +262,12 @@ _PARSED_SQL = f"""(SELECT page_id, spec_id, attempt, cleaned,
 @register(
     "ingest_generated",
     f"""WITH e AS (SELECT page_id, spec_id, attempt,
-    CASE WHEN NOT ok_json THEN 'Invalid JSON' WHEN NOT ok_keys THEN 'Missing required top-level keys (meta/html/css)' ELSE error END AS err
+    CASE WHEN NOT ok_json THEN '{MSG_INVALID_JSON}' WHEN NOT ok_keys THEN '{K.MSG_TOP_KEYS}' ELSE error END AS err
   FROM {sql_template_error(_PARSED_SQL)}),
  r AS (SELECT * FROM e WHERE page_id % 9 <> 0),
  g AS (SELECT spec_id, min(CASE WHEN err IS NULL THEN attempt END) AS first_ok, max_by(err, attempt) AS last_err FROM r GROUP BY spec_id)
 SELECT spec_id, CASE WHEN first_ok IS NULL THEN 'failed' ELSE 'saved' END AS status, CAST(first_ok AS BIGINT) AS attempt_used,
-  CASE WHEN first_ok IS NULL THEN 'Failed after {MAX_ATTEMPTS} attempts. Last error: ' || last_err END AS error FROM g""",
+  CASE WHEN first_ok IS NULL THEN {sql_fmt(MSG_GAVE_UP, attempts=str(MAX_ATTEMPTS), error='last_err')} END AS error FROM g""",
 )
 def ingest_generated(spark, sf):
     """Resume (C1 against the progress log, A7) -> per spec the first valid of
@@ -281,5 +285,5 @@ def ingest_generated(spark, sf):
         "spec_id",
         F.when(F.col("first_ok").isNull(), "failed").otherwise("saved").alias("status"),
         F.col("first_ok").cast("long").alias("attempt_used"),
-        F.when(F.col("first_ok").isNull(), F.concat(F.lit(f"Failed after {MAX_ATTEMPTS} attempts. Last error: "), "last_err")).alias("error"),
+        F.when(F.col("first_ok").isNull(), fmt(MSG_GAVE_UP, attempts=MAX_ATTEMPTS, error=F.col("last_err"))).alias("error"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import contracts as K
 from tessera.functions import render as R
+from tessera.functions.fmt import sql_fmt
 from tessera.functions.text import WS
 from tessera.operators.joins import bounded_broadcast
 from tessera.plans import fixtures as X
@@ -82,12 +83,12 @@ _MATCHED_SQL = f"""(SELECT b.s_suppkey, t.page_id, t.meta, t.html, t.css, b.scal
 
 
 def _sql_problems():
-    return """nullif(array_to_string(list_concat(
-   list_filter(list_transform(scalar, lambda f: CASE WHEN NOT map_contains(scalars, f) THEN 'Missing: ' || f
-        WHEN contains(lower(f), 'color') AND NOT coalesce(regexp_matches(scalars[f], '^#([0-9a-fA-F]{3}|[0-9a-fA-F]{6})$'), false) THEN 'Bad color: ' || f END),
+    return f"""nullif(array_to_string(list_concat(
+   list_filter(list_transform(scalar, lambda f: CASE WHEN NOT map_contains(scalars, f) THEN {sql_fmt(R.MSG_MISSING_SCALAR, field='f')}
+        WHEN contains(lower(f), '{R.COLOR_FIELD_MARK}') AND NOT coalesce(regexp_matches(scalars[f], '{K.HEX_COLOR}'), false) THEN {sql_fmt(R.MSG_BAD_COLOR, field='f')} END),
         lambda x: x IS NOT NULL),
    list_filter(list_transform(rep_keys, lambda b: CASE WHEN NOT map_contains(blocks, b) OR coalesce(len(blocks[b]), 0) = 0
-        THEN 'Missing/empty repeating block: ' || b END), lambda x: x IS NOT NULL)), '; '), '')"""
+        THEN {sql_fmt(R.MSG_MISSING_BLOCK, block='b')} END), lambda x: x IS NOT NULL)), '{R.PROBLEM_SEPARATOR}'), '')"""
 
 
 def _sql_patch(x):
@@ -118,7 +119,7 @@ def _sql_default_scalars():
     known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in R.DEFAULT_FIELDS.items()) + "}"
     return (
         f"array_to_string(list_transform(list_sort(list_distinct(scalar)), lambda f: f || '=' || coalesce({known}[f], "
-        f"CASE WHEN contains(lower(f), 'color') THEN '{R.DEFAULT_COLOR}' END, 'Please fill: ' || f)), ';')"
+        f"CASE WHEN contains(lower(f), '{R.COLOR_FIELD_MARK}') THEN '{R.DEFAULT_COLOR}' END, {sql_fmt(R.PLEASE_FILL, field='f')})), ';')"
     )
 
 
@@ -127,7 +128,7 @@ def _sql_default_blocks():
     fields = "coalesce(CAST(json_extract(meta, '$.placeholders.repeating.\"' || b || '\".fields') AS VARCHAR[]), [])"
     return (
         f"array_to_string(list_transform(rep_keys, lambda b: b || ':' || array_to_string(list_transform(list_sort(list_distinct({fields})), "
-        f"lambda f: f || '=' || coalesce({known}[f], 'Please fill: ' || f)), ';')), '|')"
+        f"lambda f: f || '=' || coalesce({known}[f], {sql_fmt(R.PLEASE_FILL, field='f')})), ';')), '|')"
     )
 
 

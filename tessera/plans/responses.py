@@ -265,6 +265,10 @@ def batch_growth(spark, sf):
 
 
 # ------------------------------------------------------------------ envelopes
+# Envelope error messages and the default finish reason.
+MSG_NO_CANDIDATES = "No candidates in response"
+MSG_EMPTY_TEXT = "Empty text in response"
+DEFAULT_FINISH = "unknown"
 _ENV_SCHEMA = "candidates array<struct<content: struct<parts: array<struct<text: string>>>>>"
 
 
@@ -297,8 +301,8 @@ def envelope_text(body: str) -> F.Column:
    CASE WHEN doc_id % 10 = 7 THEN 0 ELSE 1 END AS n_cand,
    CASE WHEN doc_id % 10 = 7 THEN NULL ELSE CASE WHEN doc_id % 10 = 9 THEN ' ' ELSE text END
         || CASE WHEN doc_id % 10 >= 8 THEN '' ELSE ' (' || source || ')' END END AS t,
-   CASE WHEN doc_id % 3 = 0 THEN 'length' ELSE 'unknown' END AS finish_reason FROM documents)
-SELECT doc_id, CASE WHEN n_cand = 0 THEN 'No candidates in response' WHEN {S.strip('t')} = '' THEN 'Empty text in response' END AS error,
+   CASE WHEN doc_id % 3 = 0 THEN 'length' ELSE '{DEFAULT_FINISH}' END AS finish_reason FROM documents)
+SELECT doc_id, CASE WHEN n_cand = 0 THEN '{MSG_NO_CANDIDATES}' WHEN {S.strip('t')} = '' THEN '{MSG_EMPTY_TEXT}' END AS error,
   CASE WHEN n_cand > 0 AND {S.strip('t')} <> '' THEN md5(t) END AS text_md5, finish_reason FROM e""",
 )
 def envelope_extract(spark, sf):
@@ -307,10 +311,10 @@ def envelope_extract(spark, sf):
     e = envelopes(spark, sf)
     n = F.size(F.from_json("body", _ENV_SCHEMA)["candidates"])
     t = envelope_text("body")
-    err = F.when(F.coalesce(n, F.lit(0)) <= 0, "No candidates in response").when(T.py_strip(t) == "", "Empty text in response")
+    err = F.when(F.coalesce(n, F.lit(0)) <= 0, MSG_NO_CANDIDATES).when(T.py_strip(t) == "", MSG_EMPTY_TEXT)
     return e.select(
         "doc_id",
         err.alias("error"),
         F.when(err.isNull(), F.md5(t)).alias("text_md5"),
-        F.coalesce(F.get_json_object("chat", "$.choices[0].finish_reason"), F.lit("unknown")).alias("finish_reason"),
+        F.coalesce(F.get_json_object("chat", "$.choices[0].finish_reason"), F.lit(DEFAULT_FINISH)).alias("finish_reason"),
     )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import routing as R
 from tessera.functions import text as T
+from tessera.functions.fmt import sql_fmt
 from tessera.plans import fixtures as X
 from tessera.plans import sql as S
 from tessera.plans.registry import register
@@ -75,8 +76,8 @@ def danger_tags(spark, sf):
 
 @register(
     "confirm_tiers",
-    f"""SELECT event_id, CASE WHEN {_sql_danger(_sql_paired('cmd'))} IS NOT NULL THEN 'strict' ELSE 'confirm' END AS confirm_level,
-  'Run shell command: ' || coalesce({_sql_paired('cmd')}, '') AS preview FROM {_EV_CMDS_SQL}""",
+    f"""SELECT event_id, CASE WHEN {_sql_danger(_sql_paired('cmd'))} IS NOT NULL THEN '{R.TIER_DANGEROUS}' ELSE '{R.TIER_DEFAULT}' END AS confirm_level,
+  {sql_fmt(R.PREVIEW, command=f"coalesce({_sql_paired('cmd')}, '')")} AS preview FROM {_EV_CMDS_SQL}""",
 )
 def confirm_tiers(spark, sf):
     """B30."""

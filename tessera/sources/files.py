@@ -10,8 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tessera.functions.fmt import fmt
+
 LABELLED_SCHEMA = "text string, label string"
 
+# The dataset card (Markdown) pieces, in output order.
+CARD_HEAD = "# Classifier Training Data\n\n## Overview\n- Total: {total}\n- Generated: {generated}\n"
+CARD_LINE = "- **{label}:** {n}\n"
+CARD_TAIL = '\n## Format\n```json\n{"text": "user request", "label": "category"}\n```\n'
+
 
 # ------------------------------------------------------------------ A1 / A2
 def read_labelled(spark: SparkSession, path: str, schema: str = LABELLED_SCHEMA, missing_ok: bool = True) -> DataFrame:
@@ -132,12 +139,7 @@ def dataset_card(labelled: DataFrame, generated: str) -> DataFrame:
         F.sum("n").alias("total"),
         F.array_sort(F.collect_list(F.struct("label", "n"))).alias("c"),
     )
-    fmt = F.transform("c", lambda x: F.concat(F.lit("- **"), x["label"], F.lit(":** "), F.format_number(x["n"], 0), F.lit("\n")))
-    card = F.concat(
-        F.lit("# Classifier Training Data\n\n## Overview\n- Total: "),
-        F.format_number(F.coalesce("total", F.lit(0)), 0),
-        F.lit(f"\n- Generated: {generated}\n"),
-        F.array_join(fmt, ""),
-        F.lit('\n## Format\n```json\n{"text": "user request", "label": "category"}\n```\n'),
-    )
+    body = F.array_join(F.transform("c", lambda x: fmt(CARD_LINE, label=x["label"], n=F.format_number(x["n"], 0))), "")
+    head = fmt(CARD_HEAD, total=F.format_number(F.coalesce("total", F.lit(0)), 0), generated=generated)
+    card = F.concat(head, body, F.lit(CARD_TAIL))
     return lines.select(card.alias("card"))
