@@ -109,3 +109,34 @@ def tfidf_vectors(spark, sf):
         F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("nnz"),
         F.round(F.sqrt(sq), 4).alias("norm"),
     )
+
+
+@register("train_metadata")
+def train_metadata(spark, sf):
+    """G9 tail (M18 via A9): one-row model report — classes and their codes, split
+    sizes, regression-suite accuracy text and failures — written as JSON and read
+    back. Every field is an aggregate over bounded tables (classes, cases)."""
+    from tessera.session import scratch_path
+    from tessera.sources.files import write_report
+
+    idx, model, val = _trained(spark, sf)
+    d = _training_frame(spark, sf)
+    split = stratified_split_df(d, VAL_FRACTION_PCT, SEED)
+    sizes = split.groupBy().agg(
+        F.count_if(F.col("split") == "train").alias("train_size"), F.count_if(F.col("split") == "val").alias("val_size")
+    )
+    cases = label_queries(spark, sf).select(
+        F.col("query_id").cast("string").alias("expected"), array_to_vector("embedding").alias("features")
+    )
+    res = predict(idx, model, cases).select("expected", "got")
+    acc = EV.accuracy(res).first()  # one row over the bounded case list
+    sz = sizes.first()  # one row
+    report = spark.createDataFrame(
+        [("hashed-tfidf / embeddings table", list(idx.labels), {c: i for i, c in enumerate(idx.labels)},
+          sz["train_size"], sz["val_size"], acc["summary"], acc["n_total"] - acc["n_correct"])],
+        "embedding_model string, classes array<string>, class_mapping map<string,int>, train_size long, val_size long, "
+        "regression_accuracy string, failures long",
+    )
+    path = scratch_path(spark, "model-metadata")
+    write_report(report, path)
+    return spark.read.json(path)
