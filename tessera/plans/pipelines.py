@@ -33,7 +33,7 @@ from tessera.plans.dataset import (
     validate_clean,
 )
 from tessera.plans.registry import register
-from tessera.plans.responses import items_sql, parse_string_batch, raw_batches, strict_parse_json
+from tessera.plans.responses import items_sql, parse_string_batch, raw_batches, strict_json_valid
 from tessera.session import checkpoint_dir, scratch_path
 from tessera.sources import files as FS
 from tessera.sources.tables import table
@@ -222,12 +222,12 @@ def responses(spark, sf) -> DataFrame:
 def response_error(raw: str = "raw") -> F.Column:
     """Strip fences -> JSON (whole text) -> top-level keys -> B13."""
     cleaned = T.strip_code_fences(raw)
-    parsed = strict_parse_json(cleaned)
+    valid = strict_json_valid(cleaned)
     keys = F.json_object_keys(cleaned)
     has_all = F.array_contains(keys, "meta") & F.array_contains(keys, "html") & F.array_contains(keys, "css")
     meta, html, css = F.get_json_object(cleaned, "$.meta"), F.get_json_object(cleaned, "$.html"), F.get_json_object(cleaned, "$.css")
     return (
-        F.when(parsed.isNull(), F.lit(MSG_INVALID_JSON))
+        F.when(~valid, F.lit(MSG_INVALID_JSON))
         .when(~F.coalesce(has_all, F.lit(False)), F.lit(K.MSG_TOP_KEYS))
         .otherwise(K.template_error(meta, html, css))
     )

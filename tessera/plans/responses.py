@@ -225,6 +225,11 @@ def strict_parse_json(x: F.Column) -> F.Column:
     return F.when(F.size(F.try_variant_get(w, "$", "array<variant>")) == 1, F.try_variant_get(w, "$[0]", "variant"))
 
 
+def strict_json_valid(x: F.Column) -> F.Column:
+    """Validity only (no value built): the whole text is one JSON value."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), x, F.lit("]"))) == 1, F.lit(False))
+
+
 def parse_string_batch(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     """B5 + B7: strip fences, parse JSON; only a top-level array contributes; keep
     string elements, stripped, non-blank. Bad JSON contributes nothing."""
