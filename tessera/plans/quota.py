@@ -106,3 +106,21 @@ def fallback_pick(spark, sf):
     daily = calls.groupBy("name", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n_day"))
     days = c.select(F.to_date("ts").alias("day")).distinct()
     return Q.priority_pick(daily, days, [(p, n, r) for p, n, r, _ in MODELS])
+
+
+@register(
+    "quota_calls",
+    f"""SELECT event_id, user_id, CAST(ts AS DATE) AS day,
+  row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY epoch_us(ts), event_id) AS call_no,
+  row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY epoch_us(ts), event_id) > {RPD} AS refused
+FROM events""",
+)
+def quota_calls(spark, sf):
+    """E10 per call: ordinal of each call within its (user, UTC day) and whether a
+    daily limit of RPD would have refused it. The rank is bucketed (time ranges
+    inside the group), so a hot user-day is spread over many tasks."""
+    from tessera.operators.ordering import range_rank
+
+    c = call_log(spark, sf).select("event_id", "user_id", F.to_date("ts").alias("day"), F.unix_micros("ts").alias("us"))
+    r = range_rank(c, "us", ["user_id", "day"], ["event_id"], rank_col="call_no")
+    return r.select("event_id", "user_id", "day", "call_no", (F.col("call_no") > RPD).alias("refused"))
