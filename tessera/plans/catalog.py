@@ -424,3 +424,38 @@ def catalog_audit(spark, sf):
     path = scratch_path(spark, "audit-report")
     write_report(report, path)
     return spark.read.schema(report.schema).json(path)
+
+
+@register(
+    "catalog_audit_all",
+    f"""WITH ex AS (SELECT DISTINCT 'page-' || CAST(page_id AS VARCHAR) || '-v1' AS id FROM pages),
+     arts AS (SELECT coalesce(json_extract_string(meta, '$.id'), path) AS id, (html IS NULL OR css IS NULL) AS issue FROM {X.TEMPLATES_SQL}
+              UNION ALL SELECT coalesce(json_extract_string(meta, '$.id'), 'effects/' || effect_id) AS id, true AS issue FROM {X.EFFECTS_SQL}),
+     found AS (SELECT DISTINCT id FROM arts)
+SELECT (SELECT count(*) FROM ex) AS expected_count, (SELECT count(*) FROM found) AS found_count,
+       (SELECT count(*) FROM (SELECT id FROM ex EXCEPT SELECT id FROM found)) AS n_missing,
+       (SELECT count(*) FROM (SELECT id FROM found EXCEPT SELECT id FROM ex)) AS n_extra,
+       (SELECT count_if(issue) FROM arts) AS n_file_issues
+""",
+)
+def catalog_audit_all(spark, sf):
+    """G7 without the type filter: effect metas live in the same tree, carry no
+    index.html, so they count as extra ids and as missing-file artefacts."""
+    t = X.templates(spark, sf).select(
+        F.coalesce(F.get_json_object("meta", "$.id"), F.col("path")).alias("id"), K.files_missing("html", "css").alias("issue")
+    )
+    e = X.effects(spark, sf).select(
+        F.coalesce(F.get_json_object("meta", "$.id"), F.concat(F.lit("effects/"), "effect_id")).alias("id"),
+        F.lit(True).alias("issue"),  # effects have no index.html
+    )
+    arts = t.unionByName(e)
+    ex = table(spark, sf, "pages").select(F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit("-v1")).alias("id")).distinct()
+    fid = arts.groupBy("id").agg(F.count_if("issue").alias("issues"))
+    j = ex.withColumn("e", F.lit(1)).join(fid.withColumn("g", F.lit(1)), "id", "full_outer")
+    return j.agg(
+        F.count("e").alias("expected_count"),
+        F.count("g").alias("found_count"),
+        F.count_if(F.col("g").isNull()).alias("n_missing"),
+        F.count_if(F.col("e").isNull()).alias("n_extra"),
+        F.coalesce(F.sum("issues"), F.lit(0)).cast("long").alias("n_file_issues"),
+    )
