@@ -36,7 +36,7 @@ PLAN_MODULES = [
     "vectors",
     "models",
     "streaming_plans",
-    "pipelines",
+    "jobs",
     "listing",
     "io_plans",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators.dedupe import append_if_absent, first_wins, ordered_union
 from tessera.plans.dataset import build_training_set, downsample_label, stratified_split_df
-from tessera.plans.pipelines import response_error
+from tessera.plans.jobs import response_error
 from tessera.plans.responses import parse_string_batch
 from tessera.operators.evaluate import classification_report
 
