@@ -18,6 +18,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def default_buckets(df: DataFrame) -> int:
+    """At least 16 buckets per shuffle partition (and never fewer than 4,096), so
+    every task numbers many small buckets and a hot group is spread over all
+    tasks; the offset table stays tiny (only populated buckets appear)."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(4096, 16 * parts)
+
+
 def seeded_key(seed: str | int, *cols) -> Column:
     """Deterministic uniform order key ``md5(seed || '|' || key)`` (same hex in DuckDB)."""
     parts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols]
@@ -56,10 +64,12 @@ def hash_rank(
     group_cols: Sequence[str] = (),
     tie_cols: Sequence[str] = (),
     rank_col: str = "rank",
-    bucket_digits: int = 3,
+    bucket_digits: int | None = None,
     total_col: str | None = None,
 ) -> DataFrame:
     """Rank by a hex digest column (uniform, so 16**digits balanced buckets)."""
+    if bucket_digits is None:
+        bucket_digits = max(3, math.ceil(math.log(default_buckets(df), 16)))
     return bucket_rank(
         df, F.substring(F.col(hash_col), 1, bucket_digits), [hash_col, *tie_cols], group_cols, rank_col, total_col
     )
@@ -71,11 +81,12 @@ def range_rank(
     group_cols: Sequence[str] = (),
     tie_cols: Sequence[str] = (),
     rank_col: str = "rank",
-    buckets: int = 4096,
+    buckets: int | None = None,
     total_col: str | None = None,
 ) -> DataFrame:
     """Rank by a numeric column using equal-width value ranges as buckets. Only
     two scalars (min, max) come back to the driver to size the ranges."""
+    buckets = buckets or default_buckets(df)
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         lo, hi = 0, 0
@@ -89,11 +100,12 @@ def running_sum(
     order_col: str,
     value_col: str,
     out_col: str = "running",
-    buckets: int = 4096,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Cumulative sum of ``value_col`` in ``order_col`` order (order values unique),
     computed per equal-width range bucket plus a small table of bucket totals —
     no window over the whole table."""
+    buckets = buckets or default_buckets(df)
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         lo, hi = 0, 0
