@@ -58,26 +58,22 @@ def classification_report(pairs: DataFrame) -> DataFrame:
     denom = 2 * F.col("tp") + (F.col("pred") - F.col("tp")) + (F.col("support") - F.col("tp"))
     f1 = F.when(denom > 0, 2 * F.col("tp") / denom).otherwise(F.lit(0.0))
     m = c.select(F.col("cls").alias("class"), p.alias("precision"), r.alias("recall"), f1.alias("f1"), "support", "tp")
-    tot = m.agg(
-        F.sum("support").alias("n"),
-        F.sum("tp").alias("tp"),
-        F.avg("precision").alias("mp"),
-        F.avg("recall").alias("mr"),
-        F.avg("f1").alias("mf"),
-        F.sum(F.col("precision") * F.col("support")).alias("wp"),
-        F.sum(F.col("recall") * F.col("support")).alias("wr"),
-        F.sum(F.col("f1") * F.col("support")).alias("wf"),
+    row = lambda name, pr, rc, f, sup: F.struct(
+        F.lit(name).alias("class") if isinstance(name, str) else name.alias("class"),
+        pr.cast("double").alias("precision"), rc.cast("double").alias("recall"), f.cast("double").alias("f1"),
+        sup.cast("long").alias("support"),
     )
-    acc = tot.select(
-        F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"),
-        (F.col("tp") / F.col("n")).alias("f1"), F.col("n").alias("support"),
+    n, tp = F.sum("support"), F.sum("tp")
+    # one aggregation over the per-class table (one row per class, so the class
+    # list is bounded) gives the class rows and the three summary rows together
+    one = m.agg(
+        F.collect_list(row(F.col("class"), F.col("precision"), F.col("recall"), F.col("f1"), F.col("support"))).alias("rows"),
+        row("accuracy", F.lit(None), F.lit(None), tp / n, n).alias("acc"),
+        row("macro avg", F.avg("precision"), F.avg("recall"), F.avg("f1"), n).alias("macro"),
+        row("weighted avg", F.sum(F.col("precision") * F.col("support")) / n, F.sum(F.col("recall") * F.col("support")) / n,
+            F.sum(F.col("f1") * F.col("support")) / n, n).alias("weighted"),
     )
-    macro = tot.select(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                       F.col("mf").alias("f1"), F.col("n").alias("support"))
-    weighted = tot.select(F.lit("weighted avg").alias("class"), (F.col("wp") / F.col("n")).alias("precision"),
-                          (F.col("wr") / F.col("n")).alias("recall"), (F.col("wf") / F.col("n")).alias("f1"),
-                          F.col("n").alias("support"))
-    out = m.drop("tp").unionByName(acc).unionByName(macro).unionByName(weighted)
+    out = one.select(F.explode(F.concat("rows", F.array("acc", "macro", "weighted"))).alias("x")).select("x.*")
     return out.select(
         "class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], F.col("support").cast("long")
     )
