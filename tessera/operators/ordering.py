@@ -22,7 +22,8 @@ def default_buckets(df: DataFrame) -> int:
     """At least 16 buckets per shuffle partition (and never fewer than 4,096), so
     every task numbers many small buckets and a hot group is spread over all
     tasks; the offset table stays tiny (only populated buckets appear)."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    value = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
+    parts = int(value) if str(value).isdigit() else df.sparkSession.sparkContext.defaultParallelism
     return max(4096, 16 * parts)
 
 
