@@ -114,12 +114,15 @@ def top_up(spark, sf):
     items (rank <= needed); then existing rows not yet collected (C6); then G1's
     validate / clean / dedupe."""
     ex = existing_rows(spark, sf)
-    gap = category_gap_df(spark, ex, TARGET_PER_LABEL).select("label", "needed")
+    # one row per expected label (a fixed list): fetch it and use literals below
+    needed = {r.label: r.needed for r in category_gap_df(spark, ex, TARGET_PER_LABEL).collect()}
+    full_labels = [lab for lab, n in needed.items() if n == 0]
+    needed_of = F.create_map(*[x for lab, n in needed.items() for x in (F.lit(lab), F.lit(n))])
     # needed <= TARGET_PER_LABEL, so the literal bound gets a partial WindowGroupLimit
     # (at most TARGET rows per label leave each task); the exact per-label cut follows
     w = Window.partitionBy("label").orderBy(seeded_key(SEED, "item"), "item")
     items = generated_items(spark, sf).withColumn("seq", F.row_number().over(w).cast("long"))
-    ranked = items.where(F.col("seq") <= TARGET_PER_LABEL).join(F.broadcast(gap), "label")  # gap: one row per label
+    ranked = items.where(F.col("seq") <= TARGET_PER_LABEL).withColumn("needed", needed_of[F.col("label")])
     new = ranked.where((F.col("needed") > 0) & (F.col("seq") <= F.col("needed"))).select(
         F.col("item").alias("text"), "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq"
     )
@@ -127,14 +130,12 @@ def top_up(spark, sf):
     # the batch parse is not run a second time for the anti-join below
     checkpoint_dir(spark)  # the cluster's shared folder (set only when the session names none)
     new = new.checkpoint()
-    full_labels = F.broadcast(gap.where(F.col("needed") == 0).select("label"))
-    full = ex.join(full_labels, "label", "left_semi").select(
-        "text", "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq"
-    )
+    is_full = F.col("label").isin(full_labels) if full_labels else F.lit(False)
+    full = ex.where(is_full).select("text", "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq")
     phase0 = new.unionByName(full)
     # Rows of full labels are all collected already; the others are kept once
     # unless equal (text and label) to a new row
-    rest = append_if_absent(new, ex.join(full_labels, "label", "left_anti"), ["text", "label"], ["seq"]).select(
+    rest = append_if_absent(new, ex.where(~is_full), ["text", "label"], ["seq"]).select(
         "text", "label", F.lit(1).alias("phase"), F.lit(0).alias("label_ord"), "seq"
     )
     rows = validate_clean(phase0.unionByName(rest), DOC_MAX)
