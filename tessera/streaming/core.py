@@ -64,30 +64,38 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "par
     q.awaitTermination()
 
 
+def dedupe_micro_batch(
+    batch: DataFrame, batch_id: int, target: str, key: Column, order_cols: list[str], keep_cols: list[str]
+) -> None:
+    """One H1 step: first row per key inside the batch, minus keys already in the
+    target (from other batches), written as the ``batch_id=`` partition with
+    dynamic overwrite — replaying the same batch id replaces, never duplicates."""
+    spark = batch.sparkSession
+    firsts = first_wins(batch.withColumn("_k", F.sha2(key, 256)), F.col("_k"), order_cols, ["_k", *keep_cols], hash_key=False)
+    try:
+        target_keys = spark.read.parquet(target).where(F.col("batch_id") != batch_id).select("_k")
+    except AnalysisException:  # first batch: no target yet
+        target_keys = None
+    if target_keys is not None:
+        # A micro-batch is bounded (maxFilesPerTrigger); its keys are broadcast
+        # after a size check, so the growing target is scanned, not shuffled.
+        batch_keys = bounded_broadcast(firsts.select("_k"))
+        seen = target_keys.join(batch_keys, "_k", "left_semi").distinct()
+        firsts = firsts.join(seen, "_k", "left_anti")
+    (
+        firsts.withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(target)
+    )
+
+
 def dedupe_into(stream: DataFrame, target: str, checkpoint: str, key: Column, order_cols: list[str], keep_cols: list[str]) -> None:
     """H1: keep the first arrival per key across the whole stream."""
-    spark = stream.sparkSession
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        firsts = first_wins(batch.withColumn("_k", F.sha2(key, 256)), F.col("_k"), order_cols, ["_k", *keep_cols], hash_key=False)
-        try:
-            target_keys = spark.read.parquet(target).where(F.col("batch_id") != batch_id).select("_k")
-        except AnalysisException:  # first batch: no target yet
-            target_keys = None
-        if target_keys is not None:
-            # A micro-batch is bounded (maxFilesPerTrigger); its keys are broadcast
-            # after a size check, so the growing target is scanned, not shuffled.
-            batch_keys = bounded_broadcast(firsts.select("_k"))
-            seen = target_keys.join(batch_keys, "_k", "left_semi").distinct()
-            firsts = firsts.join(seen, "_k", "left_anti")
-        (
-            firsts.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(target)
-        )
+        dedupe_micro_batch(batch, batch_id, target, key, order_cols, keep_cols)
 
     q = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-

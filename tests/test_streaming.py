@@ -25,3 +25,14 @@ def test_late_rows_are_dropped(spark):
     around_late = out.where((F.col("window_start") >= F.lit(t0 + dt.timedelta(minutes=4))) & (F.col("window_end") <= F.lit(t0 + dt.timedelta(minutes=6))))
     assert around_late.count() == 0
     assert out.where(F.col("window_start") == F.lit(t0)).first().n == 1
+
+
+def test_dedupe_batch_replay_is_idempotent(spark):
+    target = scratch_path(spark, "dedupe-replay")
+    key = F.lower(F.col("t"))
+    b0 = spark.createDataFrame([(1, "A"), (2, "b"), (3, "a")], "seq long, t string")
+    b1 = spark.createDataFrame([(4, "B"), (5, "c")], "seq long, t string")
+    for bid, b in [(0, b0), (1, b1), (1, b1), (0, b0)]:  # batches 1 and 0 are replayed
+        SC.dedupe_micro_batch(b, bid, target, key, ["seq"], ["seq", "t"])
+    got = sorted((r.seq, r.t) for r in spark.read.parquet(target).collect())
+    assert got == [(1, "A"), (2, "b"), (5, "c")]
