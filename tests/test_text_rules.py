@@ -78,3 +78,9 @@ def test_quote_strips(spark):
     vals = ['"ls -la"', "'ls'", "\"mixed'", '"', "''", ' "a" ', "'\"q\"'"]
     assert one_col(spark, vals, T.strip_paired_quotes) == ["ls -la", "ls", "\"mixed'", '"', "", ' "a" ', '"q"']
     assert one_col(spark, vals, T.strip_quote_chars) == ["ls -la", "ls", "mixed", "", "", ' "a" ', "q"]
+
+
+def test_length_counts_code_points(spark):
+    # 😀 is one code point (two UTF-16 units): "😀éa" has length 3 and is valid, "😀é" is too short
+    assert one_col(spark, ["😀éa", "😀é"], T.validate_text) == [True, False]
+    assert one_col(spark, ["😀" * 201, "x" + "😀" * 199], lambda c: T.validate_text(c)) == [False, True]
