@@ -59,8 +59,13 @@ def unquote_once(x) -> Column:
 
 
 def upper_first(x) -> Column:
+    """Upper-case the first character only when it is lower-case (``islower``):
+    a character equal to its lower case but not to its upper case. Titlecase
+    letters such as U+01C5 are left alone, as in Python."""
     c = _c(x)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 2147483647))
+    first = F.substring(c, 1, 1)
+    is_lower = (F.lower(first) == first) & (F.upper(first) != first)
+    return F.concat(F.when(is_lower, F.upper(first)).otherwise(first), F.substring(c, 2, 2147483647))
 
 
 def clean_text(x) -> Column:

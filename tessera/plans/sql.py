@@ -23,7 +23,8 @@ def validate(x: str, lo: int = 3, hi: int = 200) -> str:
 
 def clean(x: str) -> str:
     t = f"regexp_replace({collapse(strip(x))}, '^[''\"](.*)[''\"]$', '\\1')"
-    return f"(upper(substr({t}, 1, 1)) || substr({t}, 2))"
+    first = f"substr({t}, 1, 1)"
+    return f"(CASE WHEN lower({first}) = {first} AND upper({first}) <> {first} THEN upper({first}) ELSE {first} END || substr({t}, 2))"
 
 
 def key(x: str) -> str:

@@ -84,3 +84,8 @@ def test_length_counts_code_points(spark):
     # 😀 is one code point (two UTF-16 units): "😀éa" has length 3 and is valid, "😀é" is too short
     assert one_col(spark, ["😀éa", "😀é"], T.validate_text) == [True, False]
     assert one_col(spark, ["😀" * 201, "x" + "😀" * 199], lambda c: T.validate_text(c)) == [False, True]
+
+
+def test_capitalise_only_lowercase_first(spark):
+    # U+01C5 is titlecase (islower() is False), so it stays; digits and capitals stay too
+    assert one_col(spark, ["ǅungla", "9 lives", "Already", "über"], T.clean_text) == ["ǅungla", "9 lives", "Already", "Über"]
