@@ -6,7 +6,7 @@ shapes differ (``'g'`` flag, ``\\1`` back-references).
 
 from __future__ import annotations
 
-from tessera.functions.text import CODE_BLOCK, WORD, WS
+from tessera.functions.text import WORD, WS
 
 
 def strip(x: str) -> str:
@@ -43,9 +43,5 @@ def repeat_blocks(x: str) -> str:
     return f"list_distinct(regexp_extract_all({x}, '<!--{WS}*REPEAT:({WORD}+){WS}*-->', 1))"
 
 
-def code_block_re() -> str:
-    return CODE_BLOCK
-
-
 def md5_order(seed: str, x: str) -> str:
     return f"md5('{seed}' || '|' || {x})"

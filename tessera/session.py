@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,6 +66,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
