@@ -10,3 +10,10 @@ streaming  Structured Streaming forms of the batch operators.
 """
 
 __all__ = ["functions", "operators", "sources", "plans", "streaming"]
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Functions that run in tasks travel by value: workers need no copy of the package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -28,7 +28,6 @@ PLAN_MODULES = [
     "dataset",
     "evaluation",
     "catalog",
-    "contracts_plans",
     "render",
     "responses",
     "routing",
@@ -45,9 +44,6 @@ PLAN_MODULES = [
 def load_all() -> None:
     """Import every plan module so its queries register."""
     import importlib
-    import importlib.util
 
     for m in PLAN_MODULES:
-        name = f"tessera.plans.{m}"
-        if importlib.util.find_spec(name) is not None:
-            importlib.import_module(name)
+        importlib.import_module(f"tessera.plans.{m}")

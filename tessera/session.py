@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,31 +39,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.getCheckpointDir():
-        # Tests only: on a cluster spark.checkpoint.dir names a shared folder.
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a private folder created.
+    A session on a ``local`` master shares one disk, so a private folder serves
+    when it names none; anywhere else executors would write to their own disks
+    and rows would vanish, so a missing folder is an error.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    import uuid
-
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
