@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import secret_scan
+from tessera.llm import packing, secret_scan
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,9 @@ def query(fn):
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     return secret_scan.scan(read_table(spark, sf_dir, "documents")).drop("secrets")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 ids."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
