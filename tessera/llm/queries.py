@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import packing, secret_scan
+from tessera.llm import packing, secret_scan, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 ids."""
     return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), model)
