@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import packing, secret_scan, url_filter
+from tessera.llm import packing, quality, secret_scan, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +36,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     model = url_filter.fit(url_filter.labelled_urls(spark))
     return url_filter.judge(read_table(spark, sf_dir, "pages"), model)
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; cut-offs per language from the labelled rows."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    return quality.kept(docs, labels).select("doc_id", *[f"_q.{c}" for c in counts], F.col("_kept").alias("kept"))
