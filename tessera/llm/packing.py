@@ -157,7 +157,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | Non
 
     def run(batches):
         enc = encoder(path)
-        enders = np.frombuffer(b"".join(v for v in enc.ids(list(SENTENCE_END)).values() if len(v) == 4), "<u4")
+        enders = np.frombuffer(b"".join(v for v in map(enc.chunk, SENTENCE_END) if len(v) == 4), "<u4")
         packer = Packer(enders, capacity, block_tokens)
         base = TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u4")

@@ -1,21 +1,29 @@
-"""Whole-text token ids by a public `tokenizers` file, with a per-worker word cache.
+"""Whole-text token ids by a public `tokenizers` file, with per-worker caches.
 
-The tokenizer drops white space and never merges across it, so the ids of a text are the ids of its
-blank-separated chunks in order (Unicode composition and lower-casing do not reach across a blank
-either). Each worker keeps the ids of the first ``CACHE_WORDS`` chunks it meets; later ones are
-encoded batch by batch, so memory is bounded and results never depend on the cache.
+The word tokenizer drops white space and never merges across it, so the ids of a text are the ids of
+its blank-separated chunks in order (Unicode composition and lower-casing do not reach across a blank
+either). Chunks of plain Latin-1 characters are cut into letter runs, digits and other runs as the file's
+own pattern does, and each part goes to the file's merge model; all other chunks go through the library
+whole. A file for which a probe shows any difference is used on whole texts.
+
+Each worker keeps the ids of the first ``CACHE`` chunks and parts it meets; the rest is encoded again,
+so memory is bounded and results never depend on the caches.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
 
 from tessera.llm.common import worker_cache
 
-CACHE_WORDS = 600_000
-FLUSH_WORDS = 200_000
+CACHE = 800_000
+PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+PART = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+PROBE = ["The Straße,", "naïve;Café", "x1y22.&&&", "éa", "a|b--C", "ÀÖÿ!", "don", "AKIA12QZ==", "###"]
 
 
 def vocabulary() -> str:
@@ -25,6 +33,15 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> dict[int, str]:
+    """Letters of byte-level models for the characters whose UTF-8 bytes they replace: printable Latin-1
+    stands for itself as a byte, all other bytes take the code points from 256 on, in order."""
+    keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in keep]
+    letter = {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class ChunkEncoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
@@ -33,47 +50,49 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        self.letters = byte_letters()
         self.cache: dict[str, bytes] = {"": b""}
-
-    def ids(self, chunks: list[str]) -> dict[str, bytes]:
-        got = self.tok.encode_batch_fast(chunks, add_special_tokens=False)
-        return {c: np.asarray(e.ids, "<u4").tobytes() for c, e in zip(chunks, got)}
+        self.parts: dict[str, bytes] = {}
+        probe = self.whole(PROBE)
+        self.by_part = True
+        self.by_part = [self.chunk(c) for c in PROBE] == probe
+        self.cache = {"": b""}
+        self.by_chunk = self.whole([" ".join(PROBE) + "\n" + " \n".join(PROBE)]) == [b"".join(probe * 2)]
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _part(self, part: str) -> bytes:
+        got = self.parts.get(part)
+        if got is None:
+            letters = part if part.isascii() else part.translate(self.letters)
+            got = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(self.parts) < CACHE:
+                self.parts[part] = got
+        return got
+
+    def chunk(self, chunk: str) -> bytes:
+        """The ids of one chunk without blanks."""
+        if self.by_part and PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            got = b"".join([self._part(p) for p in PART.findall(chunk.lower())])
+        else:
+            got = self.whole([chunk])[0]
+        if len(self.cache) < CACHE:
+            self.cache[chunk] = got
+        return got
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text; null and empty texts have none."""
-        out: list[bytes] = [b""] * len(texts)
-        waiting: list[tuple[int, list[str]]] = []
-        missing: dict[str, None] = {}
-        n = 0
-        get = self.cache.get
-
-        def flush():
-            nonlocal n
-            found = self.ids(list(missing))
-            room = CACHE_WORDS - len(self.cache)
-            for i, chunks in waiting:
-                out[i] = b"".join([get(c) or found.get(c, b"") for c in chunks])
-            if room > 0:
-                self.cache.update(list(found.items())[:room])
-            waiting.clear()
-            missing.clear()
-            n = 0
-
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            chunks = text.replace("\n", " ").split(" ")
-            parts = list(map(get, chunks))
+        if not self.by_chunk:
+            return self.whole([t or "" for t in texts])
+        out = []
+        for text in texts:
+            chunks = text.replace("\n", " ").split(" ") if text else []
+            parts = list(map(self.cache.get, chunks))
             if None in parts:
-                missing.update((c, None) for c, p in zip(chunks, parts) if p is None)
-                waiting.append((i, chunks))
-                n += len(chunks)
-                if n >= FLUSH_WORDS:
-                    flush()
-            else:
-                out[i] = b"".join(parts)
-        if waiting:
-            flush()
+                parts = [self.chunk(c) if p is None else p for c, p in zip(chunks, parts)]
+            out.append(b"".join(parts))
         return out
 
 
