@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, quality, secret_scan, url_filter
+from tessera.llm import packing, quality, secret_scan, toxicity, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,4 +43,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document; cut-offs per language from the labelled rows."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return quality.kept(docs, labels).select("doc_id", *[f"_q.{c}" for c in counts], F.col("_kept").alias("kept"))
+    return quality.kept(docs, labels, columns=["doc_id", "lang"]).select("doc_id", *[f"_q.{c}" for c in counts], F.col("_kept").alias("kept"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and prediction of every document."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), ["doc_id"])
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.CUT, 1).otherwise(0).alias("predicted"),
+    )
