@@ -12,6 +12,7 @@ from tessera.session import scratch_path
 
 # Words are runs of anything but ASCII white space (the contracts' `[^\x20\x09-\x0D]+`).
 WORD_SPACE = "[\\x20\\x09-\\x0D]"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +23,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and return the reread table.
 
-    Cuts the lineage: a lost executor costs at most a reread of finished files.
+    Cuts the lineage: a lost executor costs at most a reread of finished files. The shuffle files of
+    the write go when it ends.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    was = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def worker_cache(name: str, build):

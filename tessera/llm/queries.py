@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, quality, secret_scan, toxicity, url_filter
+from tessera.llm import jaccard_join, packing, quality, secret_scan, toxicity, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= toxicity.CUT, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return jaccard_join.classes(read_table(spark, sf_dir, "documents"))
