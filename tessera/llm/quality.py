@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import labelled_once
+from tessera.llm.common import labelled_once, written
 
 ALPHA = 0.05
 DELTA = 0.05
@@ -178,9 +178,11 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang", grid:
     return out.select(*measured.columns, (~F.col("_q.base_failed") & ~over).alias("_kept"))
 
 
-def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", **how) -> DataFrame:
-    """All rows of ``docs`` with ``_q`` and ``_kept``; cut-offs come from its labelled rows, which are
-    measured first (a semi join on the labels), the rest in the same pass as the verdict."""
-    mine = docs.select(F.col(key), F.col(text), F.col(stratum))
-    known = mine.join(labels.select(F.col(key)).distinct(), key, "left_semi")
-    return judge(measures(docs, text), thresholds(measures(known, text), labels, key, stratum, **how), stratum)
+def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang",
+         columns: list[str] | None = None, **how) -> DataFrame:
+    """All rows of ``docs`` (``columns`` of them, by default all) with ``_q`` and ``_kept``.
+
+    Every text is measured once, into a written table; cut-offs come from its labelled rows, joined
+    without their texts."""
+    measured = written(measures(docs, text).select(*(columns or docs.columns), "_q"), "quality")
+    return judge(measured, thresholds(measured, labels, key, stratum, **how), stratum)
