@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import jaccard_join, packing, quality, secret_scan, toxicity, url_filter
+from tessera.llm import embed_join, jaccard_join, packing, quality, secret_scan, toxicity, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return jaccard_join.classes(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, class and keep flag of every embedding."""
+    return embed_join.links(read_table(spark, sf_dir, "embeddings"))
