@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import embed_join, jaccard_join, packing, quality, secret_scan, toxicity, url_filter
+from tessera.llm import embed_join, html_extract, jaccard_join, packing, quality, secret_scan, toxicity, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, class and keep flag of every embedding."""
     return embed_join.links(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    model = html_extract.fit(html_extract.labelled_pages())
+    return html_extract.extract(read_table(spark, sf_dir, "pages"), model, ["page_id", "url"])
