@@ -31,6 +31,7 @@ INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del",
 # A start tag on the left ends an open element on the right, if no element of the stop set is in between.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 STOPS = {"ul", "ol", "dl", "table", "tbody", "thead", "article", "section", "main", "body"}
+SECTIONS = {f"tag={t}" for t in ("nav", "header", "footer", "aside", "form", "article", "main", "section", "dialog", "figure")}
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -125,7 +126,7 @@ def parse(html: str | None) -> Page:
 def labelled_pages() -> list[str]:
     """Small labelled pages made by rule: every block of a page carries ``data-label`` (1: article)."""
     sentence = "The report describes how the plan was made and what the people of the town think about it today"
-    content = [("article", ""), ("main", ""), ("div", "content"), ("div", "post body"), ("section", "entry content"), ("div", "article body"), ("div", ""), ("section", "story text"), ("article", "post main")]
+    content = [("article", ""), ("main", ""), ("div", "content"), ("div", "post body"), ("section", "entry content"), ("div", "article body"), ("div", ""), ("section", "story text"), ("article", "post main"), ("div", "main"), ("div", "main text column")]
     boiler = [("nav", ""), ("nav", "menu top"), ("header", "site header"), ("header", ""), ("footer", ""), ("footer", "site footer"), ("aside", ""), ("aside", "sidebar"),
               ("div", "ad"), ("div", "ads banner"), ("div", "advert promo"), ("div", "sidebar widget"), ("div", "cookie notice"), ("div", "notice banner"), ("div", "consent popup"),
               ("div", "comments"), ("section", "comments list"), ("div", "comment reply"), ("div", "share social"), ("div", "related links"), ("div", "breadcrumb"),
@@ -179,9 +180,16 @@ def labelled_pages() -> list[str]:
     return pages
 
 
+def tie(feats: list[str], text: str | None) -> str:
+    """Kind of a node's bond to its parent: text, a named or sectioning block, or a plain block."""
+    if text is not None:
+        return "leaf"
+    return "named" if feats[0] in SECTIONS or any(f.startswith("word=") for f in feats) else "plain"
+
+
 class TreeModel:
     """Potentials of the labelled tree, as logs: ``node[feature] = (boilerplate, content)`` and
-    ``edge[leaf?][parent][child]``."""
+    ``edge[tie][parent][child]``."""
 
     def __init__(self, node: dict, edge: dict, prior: tuple[float, float]):
         self.node, self.edge, self.prior = node, edge, prior
@@ -201,7 +209,7 @@ class TreeModel:
         up = [(0.0, 0.0)] * n
         for i in range(n - 1, 0, -1):  # children come after their parents
             parent, feats, text = nodes[i]
-            e = self.edge[text is not None]
+            e = self.edge[tie(feats, text)]
             m0 = _logadd(e[0][0] + own0[i], e[0][1] + own1[i])
             m1 = _logadd(e[1][0] + own0[i], e[1][1] + own1[i])
             up[i] = (m0, m1)
@@ -212,8 +220,8 @@ class TreeModel:
         for i in range(n):
             b0, b1 = own0[i] + down[i][0], own1[i] + down[i][1]
             if i:
-                parent, _, text = nodes[i]
-                e = self.edge[text is not None]
+                parent, feats, text = nodes[i]
+                e = self.edge[tie(feats, text)]
                 p0 = own0[parent] + down[parent][0] - up[i][0]
                 p1 = own1[parent] + down[parent][1] - up[i][1]
                 d0, d1 = _logadd(p0 + e[0][0], p1 + e[1][0]), _logadd(p0 + e[0][1], p1 + e[1][1])
@@ -240,7 +248,7 @@ def fit(pages: list[str], smooth: float = 0.5) -> TreeModel:
     """Potentials from labelled pages; a leaf or unlabelled block has the label of its parent."""
     seen = defaultdict(lambda: [0, 0])
     total = {"leaf": [0, 0], "block": [0, 0]}
-    edge = {k: [[smooth, smooth], [smooth, smooth]] for k in (False, True)}
+    edge = {k: [[smooth, smooth], [smooth, smooth]] for k in ("leaf", "plain", "named")}
     prior = Counter()
     for html in pages:
         page = parse(html)
@@ -253,7 +261,7 @@ def fit(pages: list[str], smooth: float = 0.5) -> TreeModel:
             for f in feats:
                 seen[f][y[i]] += 1
             if i:
-                edge[text is not None][y[parent]][y[i]] += 1
+                edge[tie(feats, text)][y[parent]][y[i]] += 1
             else:
                 prior[y[0]] += 1
     node = {}
