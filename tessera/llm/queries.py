@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import embed_join, html_extract, jaccard_join, packing, quality, secret_scan, toxicity, url_filter
+from tessera.llm import embed_join, html_extract, jaccard_join, packing, piece_sampler, quality, secret_scan, toxicity, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,12 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     model = html_extract.fit(html_extract.labelled_pages())
     return html_extract.extract(read_table(spark, sf_dir, "pages"), model, ["page_id", "url"])
+
+
+@query
+def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, and the text decoded from them."""
+    coded = piece_sampler.encode(read_table(spark, sf_dir, "documents"))
+    coded = coded.withColumn("n_pieces", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint"))
+    text = piece_sampler.decode(coded.withColumn("ids_hash", F.xxhash64("ids")), ["doc_id", "n_pieces", "ids_hash"])
+    return text.select("doc_id", "n_pieces", "ids_hash", F.length("decoded").cast("bigint").alias("n_chars"), F.crc32(F.encode("decoded", "UTF-8")).alias("text_crc32"))
