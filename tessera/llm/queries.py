@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import embed_join, html_extract, jaccard_join, packing, piece_sampler, quality, secret_scan, toxicity, url_filter
+from tessera.llm import embed_join, html_extract, jaccard_join, packing, piece_sampler, quality, secret_scan, token_store, toxicity, url_filter
 from tessera.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = coded.withColumn("n_pieces", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint"))
     text = piece_sampler.decode(coded.withColumn("ids_hash", F.xxhash64("ids")), ["doc_id", "n_pieces", "ids_hash"])
     return text.select("doc_id", "n_pieces", "ids_hash", F.length("decoded").cast("bigint").alias("n_chars"), F.crc32(F.encode("decoded", "UTF-8")).alias("text_crc32"))
+
+
+@query
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to token-id files and read back."""
+    return token_store.load(spark, token_store.stored(read_table(spark, sf_dir, "documents")))
