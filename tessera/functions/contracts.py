@@ -21,6 +21,8 @@ PLACEHOLDERS_SCHEMA = f"struct<scalar: array<string>, repeating: {REPEATING_SCHE
 # Fixed values (must equal the reference's rules and messages), in rule order.
 TEMPLATE_REQUIRED = ["id", "level", "category", "subcategory", "placeholders"]
 END_MARKERS = ["<!-- END:{block} -->", "<!--END:{block}-->"]
+# Own message: meta is not an object, or its placeholders are not one.
+MSG_BAD_META = "Meta is not a valid object"
 MSG_TOP_KEYS = "Missing required top-level keys (meta/html/css)"
 MSG_MISSING_FIELD = "meta.json missing required field: {field}"
 MSG_UNDECLARED = "Placeholders used but not declared in meta: {names}"
@@ -80,7 +82,7 @@ def placeholders_struct(meta) -> Column:
 
 
 def template_error(meta, html, css) -> Column:
-    """B13 (review form): required fields -> undeclared used -> unused scalar ->
+    """B13 (review form): meta an object whose placeholders are one -> required fields -> undeclared used -> unused scalar ->
     per declared block (declaration order): block absent, then END absent."""
     meta, html, css = _c(meta), _c(html), _c(css)
     ph = placeholders_struct(meta)
@@ -102,7 +104,10 @@ def template_error(meta, html, css) -> Column:
     block_msg = F.when(~F.array_contains(blocks, bad_block), fmt(MSG_NO_BLOCK, block=bad_block)).otherwise(
         fmt(MSG_NO_END, block=bad_block)
     )
+    spec = F.get_json_object(meta, "$.placeholders")
+    broken = meta.isNotNull() & (F.json_object_keys(meta).isNull() | F.coalesce(~T.py_strip(spec).startswith("{"), F.lit(False)))
     return F.coalesce(
+        F.when(broken, F.lit(MSG_BAD_META)),
         missing_field(meta, TEMPLATE_REQUIRED),
         F.when(F.size(undeclared) > 0, fmt(MSG_UNDECLARED, names=py_set(undeclared))),
         F.when(F.size(unused) > 0, fmt(MSG_UNUSED, names=py_set(unused))),

@@ -46,6 +46,30 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# White space of Python's str patterns, as an explicit class that Java and RE2 read alike.
+PY_SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
+def python_pattern(pattern: str) -> str:
+    """A Python pattern's ``\\s``, ``\\S`` and ``.`` outside classes, written so that every engine reads
+    them as Python does: Unicode white space, and any character but a line feed."""
+    out, i, inside = [], 0, False
+    while i < len(pattern):
+        two, one = pattern[i : i + 2], pattern[i]
+        if two in (r"\s", r"\S"):
+            body = PY_SPACE
+            out.append(body if inside else f"[{'^' if two == chr(92) + 'S' else ''}{body}]")
+            i += 2
+        elif one == "\\":
+            out.append(two)
+            i += 2
+        else:
+            inside = one == "[" or inside and one != "]"
+            out.append(r"[^\n]" if one == "." and not inside else one)
+            i += 1
+    return "".join(out)
+
+
 def keyword_hit(x, keywords: Sequence[str] = WEBSITE_KEYWORDS) -> Column:
     """The lower-cased request contains any phrase."""
     low = F.lower(_c(x))
@@ -57,7 +81,7 @@ def danger_reason(cmd) -> Column:
     c = _c(cmd)
     out = None
     for pat, reason in DANGEROUS_PATTERNS:
-        out = F.when(c.rlike(pat), F.lit(reason)) if out is None else out.when(c.rlike(pat), F.lit(reason))
+        out = F.when(c.rlike(python_pattern(pat)), F.lit(reason)) if out is None else out.when(c.rlike(python_pattern(pat)), F.lit(reason))
     return out
 
 

@@ -46,11 +46,12 @@ def has_ascii_letter(x) -> Column:
     return _c(x).rlike("[a-zA-Z]")
 
 
-def validate_text(x, min_len: int = 3, max_len: int = 200) -> Column:
+def validate_text(x, min_len: int = 3, max_len: int | None = 200) -> Column:
     """String whose stripped length is in [min_len, max_len] and that has an
-    ASCII letter. Length is taken before whitespace collapse. Null -> false."""
+    ASCII letter; ``max_len=None`` sets no ceiling. Length is taken before whitespace collapse. Null -> false."""
     n = F.length(py_strip(x))
-    return F.coalesce(n.between(min_len, max_len) & has_ascii_letter(x), F.lit(False))
+    fits = n >= min_len if max_len is None else n.between(min_len, max_len)
+    return F.coalesce(fits & has_ascii_letter(x), F.lit(False))
 
 
 def unquote_once(x) -> Column:
@@ -166,4 +167,4 @@ def strip_paired_quotes(x) -> Column:
 
 def strip_quote_chars(x) -> Column:
     """``s.strip('"\\'')`` — any run of either quote at both ends."""
-    return F.regexp_replace(_c(x), r"""^["']+|["']+$""", "")
+    return F.btrim(_c(x), F.lit("\"'"))

@@ -20,6 +20,7 @@ from tessera.plans import fixtures as X
 from tessera.plans import sql as S
 from tessera.plans.catalog import sql_template_error
 from tessera.plans.dataset import (
+    BALANCE_KEPT,
     BALANCE_LABEL,
     BALANCE_TARGET,
     DOC_MAX,
@@ -176,7 +177,7 @@ def augment(spark, sf):
 @register(
     "balance",
     f"""SELECT label, count(*) AS n FROM (
-  SELECT lang AS label FROM documents WHERE lang <> '{BALANCE_LABEL}'
+  SELECT lang AS label FROM documents WHERE lang <> '{BALANCE_LABEL}' AND lang IN ({', '.join(repr(x) for x in BALANCE_KEPT)})
   UNION ALL SELECT label FROM (SELECT lang AS label FROM documents WHERE lang = '{BALANCE_LABEL}'
     ORDER BY {S.md5_order(SEED, 'CAST(doc_id AS VARCHAR)')}, doc_id LIMIT {BALANCE_TARGET})) GROUP BY label""",
 )
@@ -187,7 +188,7 @@ def balance(spark, sf):
     d = table(spark, sf, "documents").select("text", F.col("lang").alias("label"), "doc_id")
     d.write.json(src)
     data = spark.read.schema("text string, label string, doc_id long").option("mode", "FAILFAST").json(src)
-    kept = downsample_label(data.withColumnRenamed("doc_id", "seq"), BALANCE_LABEL, BALANCE_TARGET, SEED)
+    kept = downsample_label(data.withColumnRenamed("doc_id", "seq"), BALANCE_LABEL, BALANCE_TARGET, SEED, kept_labels=BALANCE_KEPT)
     # the shuffled order is materialised as the file order of a range-partitioned, sorted write
     shuffled = kept.withColumn("_h", seeded_key(SEED, "seq")).orderBy("_h", "seq")
     FS.write_labelled(shuffled, dst)
@@ -202,10 +203,12 @@ def _json_str(c: str) -> F.Column:
     return j.substr(F.lit(2), F.length(j) - 2)
 
 
-def responses(spark, sf) -> DataFrame:
+def responses(spark, sf, done: DataFrame | None = None) -> DataFrame:
     """Up to 4 generated responses per remaining spec: broken JSON on attempt 1 for
     page_id % 4 = 1, fenced on 2, css key missing on 3, plain on 4."""
     t = X.templates(spark, sf)
+    if done is not None:  # resume before anything is built for finished specs
+        t = t.join(done, "spec_id", "left_anti")
     base = F.concat(
         F.lit('{"meta": '), "meta", F.lit(', "html": '), _json_str("html"),
         F.when(F.col("css").isNull(), F.lit("")).otherwise(F.concat(F.lit(', "css": '), _json_str("css"))), F.lit("}"),
@@ -265,7 +268,7 @@ _PARSED_SQL = f"""(SELECT page_id, spec_id, attempt, cleaned,
     f"""WITH e AS (SELECT page_id, spec_id, attempt,
     CASE WHEN NOT ok_json THEN '{MSG_INVALID_JSON}' WHEN NOT ok_keys THEN '{K.MSG_TOP_KEYS}' ELSE error END AS err
   FROM {sql_template_error(_PARSED_SQL)}),
- r AS (SELECT * FROM e WHERE page_id % 9 <> 0),
+ r AS (SELECT * FROM e WHERE page_id % 9 <> 0 AND attempt <= {MAX_ATTEMPTS}),
  g AS (SELECT spec_id, min(CASE WHEN err IS NULL THEN attempt END) AS first_ok, max_by(err, attempt) AS last_err FROM r GROUP BY spec_id)
 SELECT spec_id, CASE WHEN first_ok IS NULL THEN 'failed' ELSE 'saved' END AS status, CAST(first_ok AS BIGINT) AS attempt_used,
   CASE WHEN first_ok IS NULL THEN {sql_fmt(MSG_GAVE_UP, attempts=str(MAX_ATTEMPTS), error='last_err')} END AS error FROM g""",
@@ -277,7 +280,7 @@ def ingest_generated(spark, sf):
     done = X.templates(spark, sf).where(F.col("page_id") % 9 == 0).select(F.col("spec_id").alias("id"))
     FS.append_log(done, progress)
     completed = FS.completed_ids(spark, progress).withColumnRenamed("id", "spec_id")
-    r = responses(spark, sf).join(completed, "spec_id", "left_anti")
+    r = responses(spark, sf, completed).where(F.col("attempt") <= MAX_ATTEMPTS)
     e = r.select("spec_id", "attempt", response_error("raw").alias("err"))
     g = e.groupBy("spec_id").agg(
         F.min(F.when(F.col("err").isNull(), F.col("attempt"))).alias("first_ok"), F.max_by("err", "attempt").alias("last_err")

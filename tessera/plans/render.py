@@ -14,7 +14,6 @@ from tessera.functions import contracts as K
 from tessera.functions import render as R
 from tessera.functions.fmt import sql_fmt
 from tessera.functions.text import WS
-from tessera.operators.joins import bounded_broadcast
 from tessera.plans import fixtures as X
 from tessera.plans.registry import register
 from tessera.sources.tables import table
@@ -26,7 +25,7 @@ def business_data(spark, sf) -> DataFrame:
     itself holds ``{{primary_color}}`` (exercises sequential patching)."""
     s = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    j = s.join(bounded_broadcast(n), "s_nationkey")  # a dimension: broadcast after a size check
+    j = s.join(n, "s_nationkey")
     k = F.col("s_suppkey")
     color = F.element_at(F.array(F.lit("#8b5a2b"), F.lit("#AbC"), F.lit("#abcd"), F.lit("red")), (k % 4 + 1).cast("int"))
     tagline = (

@@ -216,18 +216,26 @@ SELECT {kc}, CAST(pos AS INTEGER) AS pos, item FROM
 WHERE item <> '')"""
 
 
+def _wrapped(x: F.Column) -> tuple[F.Column, F.Column]:
+    """The text as the first value of an object whose second key is the text's own digest, parsed strictly, and
+    that key. Only a text that is one whole JSON value leaves exactly these two keys: junk behind the
+    value, a second value, single quotes or raw control characters end in a syntax error or other keys, and
+    no text can hold its own digest. Duplicate keys and NaN are rejected too."""
+    k = F.concat(F.lit("k"), F.sha2(x, 256))
+    w = F.try_parse_json(F.concat(F.lit('{"v":'), x, F.lit(',"'), k, F.lit('":1}')))
+    return F.try_variant_get(w, "$", "map<string,variant>"), k
+
+
 def strict_parse_json(x: F.Column) -> F.Column:
-    """Parse JSON that must span the whole text (like ``json.loads``). Spark's
-    parser stops after the first value, so ``[1] junk`` would pass; wrapping the
-    text in ``[...]`` turns trailing junk into a syntax error, and a valid whole
-    text then parses to exactly one element."""
-    w = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
-    return F.when(F.size(F.try_variant_get(w, "$", "array<variant>")) == 1, F.try_variant_get(w, "$[0]", "variant"))
+    """Parse JSON that must span the whole text (like ``json.loads``), as a variant; else null."""
+    m, k = _wrapped(x)
+    return F.when((F.size(m) == 2) & F.map_contains_key(m, k), F.try_element_at(m, F.lit("v")))
 
 
 def strict_json_valid(x: F.Column) -> F.Column:
-    """Validity only (no value built): the whole text is one JSON value."""
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), x, F.lit("]"))) == 1, F.lit(False))
+    """The whole text is one JSON value."""
+    m, k = _wrapped(x)
+    return F.coalesce((F.size(m) == 2) & F.map_contains_key(m, k), F.lit(False))
 
 
 def parse_string_batch(df: DataFrame, raw_col: str = "raw") -> DataFrame:

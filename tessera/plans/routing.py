@@ -53,7 +53,7 @@ _EV_CMDS_SQL = f"(SELECT e.event_id, c.cmd FROM events e JOIN {_CMDS_SQL} c ON e
 
 
 def _sql_danger(x):
-    return "CASE " + " ".join(f"WHEN regexp_matches({x}, {_q(p)}) THEN {_q(r)}" for p, r in R.DANGEROUS_PATTERNS) + " END"
+    return "CASE " + " ".join(f"WHEN regexp_matches({x}, {_q(R.python_pattern(p))}) THEN {_q(r)}" for p, r in R.DANGEROUS_PATTERNS) + " END"
 
 
 def _sql_paired(x):

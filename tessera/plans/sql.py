@@ -17,8 +17,9 @@ def collapse(x: str) -> str:
     return f"regexp_replace({x}, '{WS}+', ' ', 'g')"
 
 
-def validate(x: str, lo: int = 3, hi: int = 200) -> str:
-    return f"coalesce(length({strip(x)}) BETWEEN {lo} AND {hi} AND regexp_matches({x}, '[a-zA-Z]'), false)"
+def validate(x: str, lo: int = 3, hi: int | None = 200) -> str:
+    fits = f">= {lo}" if hi is None else f"BETWEEN {lo} AND {hi}"
+    return f"coalesce(length({strip(x)}) {fits} AND regexp_matches({x}, '[a-zA-Z]'), false)"
 
 
 def clean(x: str) -> str:

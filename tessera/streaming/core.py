@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tessera.operators.dedupe import first_wins
-from tessera.operators.joins import bounded_broadcast
 
 WATERMARK = "10 minutes"
 
@@ -74,12 +73,12 @@ def dedupe_micro_batch(
     firsts = first_wins(batch.withColumn("_k", F.sha2(key, 256)), F.col("_k"), order_cols, ["_k", *keep_cols], hash_key=False)
     try:
         target_keys = spark.read.parquet(target).where(F.col("batch_id") != batch_id).select("_k")
-    except AnalysisException:  # first batch: no target yet
-        target_keys = None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target_keys = None  # first batch: no target yet
     if target_keys is not None:
-        # A micro-batch is bounded (maxFilesPerTrigger); its keys are broadcast
-        # after a size check, so the growing target is scanned, not shuffled.
-        batch_keys = bounded_broadcast(firsts.select("_k"))
+        batch_keys = firsts.select("_k")
         seen = target_keys.join(batch_keys, "_k", "left_semi").distinct()
         firsts = firsts.join(seen, "_k", "left_anti")
     (

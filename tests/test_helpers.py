@@ -1,15 +1,8 @@
-"""Small helpers added for scale: strict JSON validity, bounded broadcast, scan spreading."""
+"""Small helpers added for scale: strict JSON, text rules off the fixtures, shared scratch folder."""
 
-import os
-import tempfile
-
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import bounded_broadcast
 from tessera.plans.responses import strict_json_valid, strict_parse_json
-from tessera.sources import tables
 
 
 def test_strict_json_validity_matches_parse(spark):
@@ -21,22 +14,50 @@ def test_strict_json_validity_matches_parse(spark):
     assert [r.p for r in rows][:-1] == [r.v for r in rows][:-1]
 
 
-def test_bounded_broadcast_falls_back(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in small.join(bounded_broadcast(small, 50), "id")._jdf.queryExecution().analyzed().toString().lower()
-    plan = big.join(bounded_broadcast(big, 50), "id")._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in plan
-
-
-def test_spread_only_big_single_group_files(spark):
-    d = tempfile.mkdtemp(prefix="spread-")
-    small = os.path.join(d, "small.parquet")
-    pq.write_table(pa.table({"k": list(range(100)), "v": ["x"] * 100}), small)
-    df = spark.read.parquet(small)
-    assert tables.spread(df, ["k"]) is df  # too small to be worth a shuffle
-    big = os.path.join(d, "big.parquet")
-    pq.write_table(pa.table({"k": list(range(2000)), "v": [os.urandom(2500).hex() for _ in range(2000)]}), big, row_group_size=10**6)
-    df2 = spark.read.parquet(big)
-    out = tables.spread(df2, ["k"])
-    assert out is not df2 and out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_strict_json_rejects_what_python_rejects(spark):
+    bad = ['{"a":1}] junk', "1], [2", "['a']", '["a\nb"]', '["a\tb"]', '["a"]], [["b"]', '1,"v":2', "{'a':1}"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(bad)], "i int, x string")
+    assert not any(r[0] for r in df.select(strict_json_valid(F.col("x"))).collect())
+    assert all(r[0] is None for r in df.select(strict_parse_json(F.col("x"))).collect())
+
+
+def test_long_documents_and_quotes(spark):
+    from tessera.functions import routing as R
+    from tessera.functions import text as T
+
+    df = spark.createDataFrame([("a" * 50_000,)], "x string")
+    assert df.select(T.validate_text("x", 3, None)).first()[0] and not df.select(T.validate_text("x")).first()[0]
+    q = spark.createDataFrame([('"abc"\n',), ("'\"x'",)], "x string").select(T.strip_quote_chars("x")).collect()
+    assert [r[0] for r in q] == ['abc"\n', "x"]
+    cmds = ["rm\u00a0-rf /x", "rm\x1f-rf *", "git push a\r--force", "git push\u2028--force", "dd a\r of=/dev/sda", "ls -la"]
+    tagged = spark.createDataFrame([(i, c) for i, c in enumerate(cmds)], "i int, c string").orderBy("i").select(R.danger_reason("c")).collect()
+    assert [r[0] is not None for r in tagged] == [True] * 5 + [False]
+
+
+def test_corrupt_meta_is_an_error(spark):
+    from tessera.functions import contracts as K
+
+    metas = ["{broken", "[1]", '{"id":"a","name":"n","category":"c","placeholders":"zzz"}']
+    df = spark.createDataFrame([(m,) for m in metas], "m string").select(K.template_error("m", F.lit("<p></p>"), F.lit("")))
+    assert [r[0] for r in df.collect()] == [K.MSG_BAD_META] * 3
+
+
+def test_scratch_needs_a_shared_folder_off_local():
+    import pytest
+
+    from tessera.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Session())
