@@ -87,6 +87,8 @@ def topk(
             kernel, f"{query_id} long, {index_id} long, score double"
         )
         parts.append(cand)
+    if not parts:  # no queries: no rows
+        return index.sparkSession.createDataFrame([], f"{query_id} long, rank long, {index_id} long, score double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
@@ -124,6 +126,9 @@ def top1(
         parts.append(
             index.select(index_id, vec_col).where(F.col(vec_col).isNotNull()).mapInArrow(kernel, f"{index_id} long, {query_id} long, score double")
         )
+    if not parts:  # no queries: nothing matches
+        none = index.where(F.col(vec_col).isNotNull())
+        return none.select(index_id, F.lit(None).cast("long").alias(query_id), F.lit(None).cast("double").alias("score"))
     best = parts[0]
     if len(parts) > 1:
         u = parts[0]

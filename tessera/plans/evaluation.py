@@ -33,9 +33,9 @@ PAIRS_SQL = f"(SELECT d.doc_id, d.source, d.lang AS expected, {_GUESS_SQL} AS go
 
 def pairs(spark, sf) -> DataFrame:
     lab = table(spark, sf, "labels").select("doc_id")
-    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "text")
-    j = lab.join(docs, "doc_id")
-    return j.select("doc_id", "source", F.col("lang").alias("expected"), guess_lang().alias("got"))
+    # the guess is made in the scan, so no text crosses the join
+    docs = table(spark, sf, "documents").select("doc_id", "source", F.col("lang").alias("expected"), guess_lang().alias("got"))
+    return lab.join(docs, "doc_id")
 
 
 @register(

@@ -83,7 +83,11 @@ def archive_entries(spark, sf):
     """Write the pages as zip archives, list their entries, skip directories
     and base names already uploaded (under the prefix), read the rest."""
     root = scratch_path(spark, "archives")
-    archives = A.write_archives(page_entries(spark, sf).repartition(4), root).select("archive")
+    # written once: what is listed below must not be a plan that writes again
+    written = A.write_archives(page_entries(spark, sf).repartition(4), root).select("archive")
+    listing = scratch_path(spark, "archive-list")
+    written.write.parquet(listing)
+    archives = spark.read.parquet(listing)
     entries = A.list_entries(archives)
     files = entries.where(F.col("error").isNull() & ~F.col("is_dir"))
     # path inside the page folder, then its base name (C2 matches base names only)

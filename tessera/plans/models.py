@@ -132,7 +132,7 @@ def train_metadata(spark, sf):
     acc = EV.accuracy(res).first()  # one row over the bounded case list
     sz = sizes.first()  # one row
     report = spark.createDataFrame(
-        [("hashed-tfidf / embeddings table", list(idx.labels), {c: i for i, c in enumerate(idx.labels)},
+        [("embeddings table", list(idx.labels), {c: i for i, c in enumerate(idx.labels)},
           sz["train_size"], sz["val_size"], acc["summary"], acc["n_total"] - acc["n_correct"])],
         "embedding_model string, classes array<string>, class_mapping map<string,int>, train_size long, val_size long, "
         "regression_accuracy string, failures long",

@@ -61,3 +61,12 @@ def test_scratch_needs_a_shared_folder_off_local():
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
+
+
+def test_vector_search_without_queries(spark):
+    from tessera.operators.vectors import top1, topk
+
+    index = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    none = spark.createDataFrame([], "query_id long, embedding array<double>")
+    assert topk(index, none, 3).count() == 0
+    assert [tuple(r) for r in top1(index, none, 0.4).collect()] == [(1, None, None)]
