@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm import embed_join, html_extract, jaccard_join, packing, piece_sampler, quality, secret_scan, token_store, toxicity, url_filter
 from tessera.llm.common import read_table
+from tessera.llm.oracle import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(SQL)
 
 
 def query(fn):
