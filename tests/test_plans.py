@@ -4,7 +4,9 @@ import pytest
 
 from conftest import SF_SMALL
 
-import __spark_entry__ as E
+from tessera.plans.registry import QUERIES, load_all
+
+load_all()
 
 # queries that write files or train models while being defined are planned elsewhere
 SIDE_EFFECTS = {
@@ -17,10 +19,10 @@ VECTOR_QUERIES = {"topk_vectors", "top1_threshold", "tfidf_vectors"}
 
 
 def _plan(spark, name):
-    return E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
 def test_no_cartesian_and_python_only_in_vectors(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -30,12 +32,12 @@ def test_no_cartesian_and_python_only_in_vectors(spark, name):
 
 @pytest.mark.parametrize("name", ["cap_per_label", "balance_downsample", "build_training_set", "augment"])
 def test_capped_samples_limit_before_shuffle(spark, name):
-    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_flagship_scan_is_pruned(spark):
-    df = E.queries()["clean_dedupe_documents"](spark, SF_SMALL)
+    df = QUERIES["clean_dedupe_documents"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan
     assert "source" not in plan.split("ReadSchema")[1].split("\n")[0]
