@@ -40,6 +40,10 @@ HEADLINE = [
     "topk_vectors",
     "top1_threshold",
     "ingest_generated",
+    "index_build",
+    "tfidf_vectors",
+    "stream_dedupe",
+    "train_head",
 ]
 
 
