@@ -28,9 +28,14 @@ from tessera.llm.common import worker_cache
 
 ALPHA = 2e-4
 BYTE_SCORE = -40_000.0  # of one byte piece
-UNIT = re.compile(r"\n| ?[^ \n]+| ")
-CACHE = 250_000
-GROUP_CHARS = 1 << 20
+# Units: Latin runs and ASCII punctuation runs with the blank before them, other chunks whole; if some
+# piece spans such a border, all blank-separated chunks whole.
+LATIN, MARKS = r"[0-9A-Za-z\u00c0-\u024f]", r"[!-/:-@\[-`{-~]"
+FINE = re.compile(rf"\n| ?{LATIN}+(?=[!-/:-@\[-`{{-~ \n]|$)| ?{MARKS}+(?=[0-9A-Za-z\u00c0-\u024f \n]|$)| ?[^ \n]+| ")
+COARSE = re.compile(r"\n| ?[^ \n]+| ")
+BORDER = re.compile(f"{LATIN}{MARKS}|{MARKS}{LATIN}")
+CACHE = 200_000
+GROUP_CHARS = 1 << 19
 
 
 def vocabulary() -> str:
@@ -62,37 +67,45 @@ class PieceModel:
                 if " " not in plain[1:] and "\n" not in plain:
                     self.pieces[plain] = (i, alpha * sp.get_score(i))
         self.longest = max(map(len, self.pieces))
+        self.unit = COARSE if any(map(BORDER.search, self.pieces)) else FINE
         self.byte_weight = alpha * BYTE_SCORE
         self.cache: dict[str, tuple[bytes, bytes, bytes, bytes]] = {}
 
     def lattice(self, unit: str) -> tuple[bytes, bytes, bytes, bytes]:
         """Forward filter of a unit: per position its number of incoming pieces, and per piece the
         cumulative probability, start position and id (``size + code point``: byte pieces)."""
-        get, longest = self.pieces.get, self.longest
+        get, longest, exp = self.pieces.get, self.longest, math.exp
         total = [0.0]
         count, cum, start, ids = array("i"), array("d"), array("i"), array("i")
         for j in range(1, len(unit) + 1):
-            into = []
-            for i in range(max(0, j - longest), j):
-                p = get(unit[i:j])
-                if p:
-                    into.append((total[i] + p[1], i, p[0]))
-            if not into or into[-1][1] != j - 1:
+            last = None
+            weights = []
+            for i in range(j - longest if j > longest else 0, j):
+                last = get(unit[i:j])
+                if last:
+                    weights.append(total[i] + last[1])
+                    start.append(i)
+                    ids.append(last[0])
+            if not last:
                 c = unit[j - 1]
-                n = len(c.encode("utf-8", "surrogatepass"))
-                into.append((total[j - 1] + n * self.byte_weight, j - 1, self.size + ord(c)))
-            top = max(x[0] for x in into)
-            w = [math.exp(x[0] - top) for x in into]
-            s = sum(w)
+                weights.append(total[j - 1] + len(c.encode("utf-8", "surrogatepass")) * self.byte_weight)
+                start.append(j - 1)
+                ids.append(self.size + ord(c))
+            if len(weights) == 1:
+                total.append(weights[0])
+                cum.append(1.0)
+                count.append(1)
+                continue
+            top = max(weights)
+            weights = [exp(w - top) for w in weights]
+            s = sum(weights)
             total.append(top + math.log(s))
             acc = 0.0
-            for x, v in zip(into, w):
-                acc += v / s
+            for w in weights:
+                acc += w / s
                 cum.append(acc)
-                start.append(x[1])
-                ids.append(x[2])
             cum[-1] = 1.0
-            count.append(len(into))
+            count.append(len(weights))
         got = (count.tobytes(), cum.tobytes(), start.tobytes(), ids.tobytes())
         if len(self.cache) < CACHE and len(unit) <= 64:
             self.cache[unit] = got
@@ -103,7 +116,7 @@ class PieceModel:
         local: dict[str, int] = {}
         which, lengths = [], np.array([len(t) for t in texts])
         for t in texts:
-            which += [local.setdefault(u, len(local)) for u in UNIT.findall(t)]
+            which += [local.setdefault(u, len(local)) for u in self.unit.findall(t)]
         if not which:
             return [np.empty(0, "i4") for _ in texts]
         got = [self.cache.get(u) or self.lattice(u) for u in local]
@@ -184,7 +197,10 @@ def decode(df: DataFrame, keep: list[str], ids: str = "ids", path: str | None =
     def run(batches):
         m = model(path, ALPHA)
         for b in batches:
-            texts = [None if x is None else m.decode(x) for x in b.column(len(keep)).to_pylist()]
+            lists = b.column(len(keep))
+            at = lists.offsets.to_numpy()
+            ids, gone = lists.values.to_numpy(zero_copy_only=False), lists.is_null().to_pylist()
+            texts = [None if x else m.decode(ids[i:j].tolist()) for x, i, j in zip(gone, at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     return df.select(*keep, F.col(ids).alias("_ids")).mapInArrow(run, schema)
