@@ -6,10 +6,12 @@ link share (never from wording); parent-child potentials tie labels along the tr
 up (children to parents) and down, giving the exact content marginal of every node; leaves with a
 marginal of at least one half are the article. Potentials are smoothed counts over labelled pages.
 
-Scripts, styles, forms' controls, comments in markup and the head hold no text. Character references are
-decoded, white space inside a block becomes one blank, blocks are joined by one newline in page order;
-nothing is shortened. Null and empty pages give an empty text; unclosed and stray tags are repaired as
-browsers do (a block start ends an open paragraph). Row-local: no shuffle.
+Scripts, styles, forms' controls, comments in markup, the head and fallbacks that browsers never show
+(canvas, audio, video, iframe) hold no text; formulas, drawn text (svg) and object fallbacks do. Character
+references are decoded, white space inside a block becomes one blank, blocks are joined by one newline in
+page order; nothing is shortened. Null and empty pages give an empty text; unclosed and stray tags are
+repaired as browsers do (a block start ends an open paragraph; what may not stand in a head ends it; an
+HTML tag ends an open formula or drawing). Row-local: no shuffle.
 """
 
 from __future__ import annotations
@@ -23,14 +25,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object", "canvas", "audio", "video",
+HIDDEN = {"script", "style", "noscript", "template", "head", "title", "iframe", "canvas", "audio", "video",
           "select", "option", "button", "textarea", "datalist"}
+HEAD = {"html", "head", "base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+# Formulas and drawings: their own tags are no blocks; some hold no shown text, in some HTML is allowed again.
+FOREIGN = {"math", "svg"}
+FOREIGN_HIDDEN = {"annotation", "annotation-xml", "defs", "desc", "metadata", "symbol"}
+FOREIGN_HTML = {"foreignobject", "desc", "title", "mi", "mo", "mn", "ms", "mtext", "annotation-xml"}
+BREAKOUT = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3", "h4", "h5",
+            "h6", "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span",
+            "strong", "strike", "sub", "sup", "table", "tt", "u", "ul", "var"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
-          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "center", "nobr"}
+          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "center", "nobr", "object", "math", "svg"}
 # A start tag on the left ends an open element on the right, if no element of the stop set is in between.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-STOPS = {"ul", "ol", "dl", "table", "tbody", "thead", "article", "section", "main", "body"}
+STOPS = {"ul", "ol", "dl", "table", "tbody", "thead", "article", "section", "main", "body", "object", "foreignobject"}
 SECTIONS = {f"tag={t}" for t in ("nav", "header", "footer", "aside", "form", "article", "main", "section", "dialog", "figure")}
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
@@ -42,8 +52,10 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[tuple[int, list[str], str | None]] = [(-1, ["tag=root"], None)]
         self.labels: list[int | None] = [None]
-        self.stack: list[tuple[str, int]] = [("root", 0)]  # tag, node of the nearest block
+        self.stack: list[tuple[str, int, bool]] = [("root", 0, False)]  # tag, node of the nearest block, hides its text
         self.hidden = 0
+        self.foreign = 0
+        self.in_body = False  # a head may no longer start
         self.text: list[str] = []
         self.linked = 0
         self.in_link = 0
@@ -58,21 +70,55 @@ class Page(HTMLParser):
         self.text, self.linked = [], 0
 
     def close_to(self, at: int) -> None:
-        self.flush()
-        for tag, _ in self.stack[at:]:
-            self.hidden -= tag in HIDDEN
+        if self.stack[-1][1] != self.stack[at - 1][1]:  # a block ends
+            self.flush()
+        for tag, _, hides in self.stack[at:]:
+            self.hidden -= hides
+            self.foreign -= tag in FOREIGN
             self.in_link -= tag == "a"
         del self.stack[at:]
 
+    def open_within(self, tag: str, hides: bool) -> None:
+        """An element without a block of its own."""
+        self.stack.append((tag, self.stack[-1][1], hides))
+        self.hidden += hides
+        self.foreign += tag in FOREIGN
+        self.in_link += tag == "a"
+
+    def leave_head(self) -> None:
+        """Body content starts: an open head ends, unless the content is inside one of the head's elements."""
+        if self.stack[-1][0] == "head":
+            self.close_to(len(self.stack) - 1)
+        self.in_body = self.in_body or self.stack[-1][0] in ("root", "html")
+
+    def in_foreign(self, tag: str) -> bool:
+        """Whether a start tag belongs to an open formula or drawing; an HTML tag there ends it."""
+        if not self.foreign:
+            return False
+        inner = next(t for t, *_ in reversed(self.stack) if t in FOREIGN or t in FOREIGN_HTML)
+        if inner in FOREIGN_HTML:
+            return False
+        if tag in BREAKOUT:
+            self.close_to(next(at for at, (t, *_) in enumerate(self.stack) if t in FOREIGN))
+            return False
+        return True
+
     def handle_starttag(self, tag, attrs):
+        if tag == "head" and (self.in_body or any(t == "head" for t, *_ in self.stack)):
+            return
+        if tag not in HEAD:
+            self.leave_head()
+        if self.in_foreign(tag):
+            if tag == "text":
+                self.text.append(" ")
+            self.open_within(tag, tag in HIDDEN or tag in FOREIGN_HIDDEN)
+            return
         if tag in VOID:
             if tag in ("br", "hr"):
                 self.text.append(" ")
             return
         if tag in INLINE or tag in HIDDEN:
-            self.stack.append((tag, self.stack[-1][1]))
-            self.hidden += tag in HIDDEN
-            self.in_link += tag == "a"
+            self.open_within(tag, tag in HIDDEN)
             return
         self.flush()
         over = {"p"} | ENDS.get(tag, set())
@@ -91,23 +137,20 @@ class Page(HTMLParser):
                 label = int(v)
         self.nodes.append((self.stack[-1][1], feats, None))
         self.labels.append(label)
-        self.stack.append((tag, len(self.nodes) - 1))
+        self.stack.append((tag, len(self.nodes) - 1, False))
 
     def handle_endtag(self, tag):
         for at in range(len(self.stack) - 1, 0, -1):
             if self.stack[at][0] == tag:
-                if tag in INLINE or tag in HIDDEN:
-                    if any(t not in INLINE and t not in HIDDEN for t, _ in self.stack[at + 1 :]):
-                        return  # a block is open inside: the stray end is dropped
-                    for t, _ in self.stack[at:]:
-                        self.hidden -= t in HIDDEN
-                        self.in_link -= t == "a"
-                    del self.stack[at:]
-                else:
-                    self.close_to(at)
+                if tag in INLINE - FOREIGN and self.stack[-1][1] != self.stack[at][1]:
+                    return  # a block is open inside: the stray end is dropped
+                self.close_to(at)
+                self.in_body = self.in_body or tag == "head"
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self.leave_head()
         if not self.hidden:
             self.text.append(data)
             if self.in_link:

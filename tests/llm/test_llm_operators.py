@@ -123,6 +123,33 @@ def test_article_is_found():
     assert [m.text(x) for x in (None, "", "<script>x</script>", "bare text")] == ["", "", "", "bare text"]
 
 
+def test_pages_without_optional_end_tags():
+    """The same text with and without the end tags that HTML leaves to the parser."""
+    model = html_extract.fit(html_extract.labelled_pages())
+    story = ["The town opened a new library on Monday after years of planning.", "Many people came to see the rooms and the old books there."]
+    body = f"<article><p>{story[0]}<p>{story[1]}</article>"
+    whole = f"<html><head><title>t</title><style>p{{}}</style></head><body>{body}</body></html>"
+    assert model.text(whole) == "\n".join(story)
+    open_head = "<html><head><title>t</title><meta charset=utf-8><noscript><p>Use scripts<img src=x></noscript><style>p{}</style>"
+    for page in (f"{open_head}<body>{body}", f"{open_head}{body}", f"<head><title>t</title>\n{body}</html>", f"{open_head}</body>{body}", f"<head><title>t</title><body>{body}<head></body>",
+                 f"<html><body><article><noscript><p>Use scripts</noscript><p>{story[0]}<head><p>{story[1]}"):
+        assert model.text(page) == "\n".join(story), page
+    assert model.text(f"<head><title>t</title>{story[0]}") == story[0]
+    assert model.text("<html><head><title>only a title</title>") == ""
+
+
+def test_formulas_drawings_and_objects_are_text():
+    model = html_extract.fit(html_extract.labelled_pages())
+    shown = lambda inner: model.text(f"<html><body><article><h1>The report of the year</h1><p>It says that {inner} holds for the people of the town today.</p></article></body></html>").split("\n")[1:]
+    line = lambda mid: [f"It says that {mid} holds for the people of the town today."]
+    assert shown("<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>4</mn></mrow><annotation>x=4</annotation></semantics></math>") == line("x=4")
+    assert shown("<object data=a.swf><param name=a><b>this</b> claim</object>") == line("this claim")
+    assert shown("<svg><title>icon</title><defs><text>no</text></defs><path/><g><text>a label</text></g></svg>") == line("a label")
+    assert shown("<canvas>no drawing</canvas>it") == line("it")
+    assert shown("<svg><path><b>this</b>") == line("this")  # an HTML tag ends an open drawing
+    assert shown("<u>this</u></p><symbol>so</symbol><desc>it</desc><p>that") == ["It says that this", "so", "it", "that holds for the people of the town today."]
+
+
 def test_marginals_equal_enumeration():
     m = html_extract.fit(html_extract.labelled_pages())
     nodes = html_extract.parse("<body><nav><p>a</p></nav><div><p>Some words</p>b</div></body>").nodes
