@@ -394,6 +394,30 @@ def test_transducers_mark_clauses():
     assert m.features("An Idiot! " * 50)[0] > m.features("An idiot.")[0] > 0
 
 
+def test_threats_and_insults_before_their_target():
+    m = toxicity.Matcher({"=idiot": 4.0})
+    kinds = lambda t: [k for k, _ in m.clause(t.lower())]
+    for t in ("I will kill you", "we will murder them", "I'll be killing you soon", "he killed them", "Ich werde dich töten", "Ich töte dich", "Ich bringe dich um",
+              "Ich werde euch umbringen", "Je vais te tuer", "Je te tuerai", "Je vais vous tuer", "Te voy a matar", "Voy a matarte", "Te mataré", "No, I will kill you"):
+        assert kinds(t) == ["threat"], t
+        x = m.features(t + ".")
+        assert 1 / (1 + math.exp(-toxicity.PRIOR["bias"] - toxicity.PRIOR["threat"] * x[4])) >= toxicity.CUT and x[:4] == [0.0] * 4
+    for t in ("I will never kill you", "I won't kill you", "he said I will kill you", "kill the lights", "Ich töte dich nicht", "Ich bringe dich um fünf Uhr nach Hause",
+              "Je ne te tuerai pas", "No te voy a matar", "No voy a matarte", "killing time"):
+        assert kinds(t) == [], t
+    assert kinds("idiot, you did it") == ["targeted"] and kinds("not an idiot, you see") == ["negated"] and kinds("the idiot of our small old town") == ["plain"]
+
+
+def test_unlabelled_kinds_keep_their_odds():
+    """Labels without any threat lower the bias, but must not clear a threat."""
+    x = np.zeros((900, len(toxicity.KINDS)))
+    x[:100, 0] = 1.0
+    w = dict(zip(("bias", *toxicity.KINDS), toxicity.fit_weights(x, (np.arange(900) < 100).astype(float))))
+    one = toxicity.Matcher({}).features("I will kill you.")[4]
+    assert w["bias"] < toxicity.PRIOR["bias"] - 0.5
+    assert abs(w["bias"] + w["threat"] * one - toxicity.PRIOR["bias"] - toxicity.PRIOR["threat"] * one) < 1e-6
+
+
 def test_toxicity_learns_new_words(spark):
     rng = random.Random(4)
     rows = []
