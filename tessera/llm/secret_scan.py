@@ -1,7 +1,7 @@
 """Secret scans by assignment-aware lexing.
 
 Source and configuration text is read as name-literal pairs (``name = "literal"``, ``name: literal``,
-``"name" => 'a' + b``); constants are propagated through names assigned earlier in the text, and a
+``"name" => 'a' + b``; a declared type between name and ``=`` is stepped over); constants are propagated through names assigned earlier in the text, and a
 literal is a secret when the score of its target name and of the literal itself is high enough.
 Three plain patterns (`assign`, `access`, `hex`) are always reported; the lexer adds `literal` spans.
 
@@ -40,12 +40,16 @@ ABOUT = {"count", "length", "len", "limit", "max", "min", "type", "name", "url",
 PLACEHOLDER = re.compile(r"(?i)^(?:x{4,}|\*{3,}|\.{3,}|changeme|change_me|example.*|your[-_ ]?.*|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s|none|null|true|false|todo.*|test|dummy.*|sample.*|placeholder.*|redacted)$")
 
 OPERATOR = re.compile(r":=|=>|[=!<>]=+|::|=|:")
-NAME_BEFORE = re.compile(r"""([A-Za-z_$][\w$.\-]*)["'`]?(?:\s*\]\s*)?[ \t]*$""")
+NAME = re.compile(r"[A-Za-z_$][\w$.\-]*")
+NAME_PART = re.compile(r"[\w$.\-]")
+DECLARE = {"var", "let", "const", "val"}
+# A type of a declaration: names with dots, blanks only inside brackets or around | and &.
+TYPE_PART = re.compile(r"[\w$.?!*&|]")
+OPENS = {"]": "[", ")": "(", ">": "<", "}": "{"}
 STRING = re.compile(r'''"""(.*?)"""|\'\'\'(.*?)\'\'\'|[bruf]?"((?:[^"\\\n]|\\.)*)"|[bruf]?'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`''', re.S)
 BARE = re.compile(r"""[^\s"'`,;{}\[\]()<>#]+""")
-JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*")
+JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)\s*")
 BLANK = re.compile(r"[ \t]*")
-LOOKBACK = 160  # longest name read before an operator
 THRESHOLD = 0.5
 
 
@@ -86,20 +90,87 @@ def _operand(text: str, at: int, env: dict):
     return (word, [(at, end)], end) if word else None
 
 
+def _back(text: str, at: int, chars: str = " \t") -> int:
+    """Where the run of ``chars`` that ends at ``at`` starts."""
+    while at and text[at - 1] in chars:
+        at -= 1
+    return at
+
+
+def _name_before(text: str, end: int) -> tuple[str, int] | None:
+    """The name that ends at ``end``, blanks, a bracket and a quote aside, and where it starts."""
+    at = _back(text, end)
+    if at and text[at - 1] == "]":
+        at = _back(text, at - 1, " \t\r\n")
+    elif (line := _back(text, end, " \t\r\n")) and text[line - 1] == "]":
+        at = _back(text, line - 1, " \t\r\n")
+    if at and text[at - 1] in "\"'`":
+        at -= 1
+    start = at
+    while start and NAME_PART.match(text, start - 1):
+        start -= 1
+    m = NAME.search(text, start, at)
+    return (m[0], m.start()) if m else None
+
+
+def _type_start(text: str, end: int) -> int | None:
+    """Where the type that ends at ``end`` starts: on one line, brackets balanced."""
+    at, closed = _back(text, end), []
+    stop = at
+    while at:
+        c = text[at - 1]
+        if c in "\n=;":
+            break
+        if c in OPENS:
+            closed.append(OPENS[c])
+        elif closed and c == closed[-1]:
+            closed.pop()
+        elif not closed and not TYPE_PART.match(c) and text[max(0, at - 2) : at] != "&'":
+            before = word = _back(text, at)
+            while word and text[word - 1].isalnum():
+                word -= 1
+            borrowed = text[max(0, word - 2) : word] == "&'" or text[max(0, word - 1) : before] == "&mut"
+            if before == at or not before or not (borrowed or text[before - 1] in "|&" or at < stop and text[at] in "|&"):
+                break
+            at = before
+            continue
+        at -= 1
+    return at if at < stop and not closed else None
+
+
+def _declared(text: str, end: int) -> tuple[str, int] | None:
+    """The name of ``name : type`` or, after var, let, const or val, ``name type`` that ends at ``end``, and where
+    the colon or the type stands."""
+    at = _type_start(text, end)
+    if at is None:
+        return None
+    colon = _back(text, at)
+    if colon and text[colon - 1] == ":" and text[colon - 2 : colon - 1] != ":":
+        left = _name_before(text, colon - 1 - (text[colon - 2 : colon - 1] in ("?", "!")))
+        return (left[0], colon - 1) if left else None
+    left = _name_before(text, at) if colon < at else None
+    if left and left[0] not in DECLARE:
+        word = _name_before(text, left[1])
+        if word and word[0] in DECLARE and _back(text, left[1]) < left[1]:
+            return left[0], at
+    return None
+
+
 def literal_spans(text: str) -> list[tuple[int, int, float]]:
     """Spans of literals that reach a sensitive name, with their scores; constants are propagated."""
     env: dict[str, tuple[str, list]] = {}
     found: dict[tuple[int, int], float] = {}
+    after: dict[int, list] = {}  # bare words found behind a colon
     for op in OPERATOR.finditer(text):
         if op[0] not in (":=", "=>", "=", ":"):
             continue
         at = BLANK.match(text, op.end()).end()
         if op[0] == ":" and text.startswith("//", op.end()):
             continue
-        left = NAME_BEFORE.search(text[max(0, op.start() - LOOKBACK) : op.start()])
-        if not left:
+        left, typed = _name_before(text, op.start()), _declared(text, op.start()) if op[0] == "=" else None
+        names = [n[0] for n in (left, typed) if n]  # ``auth: token=...`` may be read either way
+        if not names:
             continue
-        name = left[1]
         got = _operand(text, at, env)
         if not got:
             continue
@@ -112,9 +183,14 @@ def literal_spans(text: str) -> list[tuple[int, int, float]]:
             value, spans, end = value + more[0], spans + list(more[1]), more[2]
         if text.startswith("(", end):  # a call: its result is not a literal
             continue
-        env[name] = (value, spans)
-        score = name_score(name) * literal_score(value)
+        env.update(dict.fromkeys(names, (value, spans)))
+        for s in after.pop(typed[1], ()) if typed else ():
+            if s[1] <= op.start():
+                found.pop(s, None)  # a type, no literal
+        score = max(map(name_score, names)) * literal_score(value)
         if score >= THRESHOLD:
+            if op[0] == ":":
+                after[op.start()] = [s for s in spans if s[0] >= at and s not in found and text[s[0] - 1] not in "\"'`"]
             for s in spans:
                 found[s] = max(score, found.get(s, 0.0))
     return sorted((a, b, s) for (a, b), s in found.items() if b > a)

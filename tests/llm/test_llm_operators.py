@@ -82,6 +82,23 @@ def test_lexer_propagates_constants_and_masks():
     assert secret_scan.redacted("nothing here") == "nothing here" and secret_scan.redacted(None) is None
 
 
+def test_typed_declarations_and_long_names():
+    key = "k9QzX2mPw8r7Lt4"
+    texts = [f'password: str = "{key}"', f'const apiKey: string = "{key}"', f'let token: String = "{key}";', f'var token string = "{key}"', f'db_password: Optional[str] = "{key}"',
+             f'let token: &\'static str = "{key}"', f'secret?: string | null = "{key}"', f'const keys: Map<string, string> = 1\nval apiKey : String = "{key}"', f'var token [4]string = "{key}"',
+             f'part: str = "{key}"\nname = 1\npassword = part', f'{"x" * 300}_passphrase = "{key}"', f'passphrase{" " * 300}= "{key}"', f'config["passphrase"] = "{key}"',
+             f'{"x" * 200}_part = "{key}"\npassphrase = {"x" * 200}_part']
+    for text in texts:
+        assert [text[a:b] for k, a, b, _ in secret_scan.spans_of(text)] == [key], text
+        assert secret_scan.redacted(text) == text.replace(key, secret_scan.MASK)
+    for text in (f'passphrase = "{key[:8]}" +\n    "{key[8:]}"', f'password: str = "{key[:8]}" +\r\n    "{key[8:]}"'):
+        assert [text[a:b] for k, a, b, _ in secret_scan.spans_of(text)] == [key[:8], key[8:]], text
+    assert [text[a:b] for text in (f"auth: pwd={key}", f"auth_pwd: {key}=x") for _, a, b, _ in secret_scan.spans_of(text)] == [key, f"{key}=x"]
+    assert len(secret_scan.spans_of("a]=" * 200_000 + f'x: str = "{key}"')) == 0  # linear
+    for text in (f'name: str = "{key}"', f'token_count: int = "{key}"', f'f(password: str, name="{key}")', f'password: str\nname = "{key}"'):
+        assert secret_scan.spans_of(text) == [], text
+
+
 def test_redact_keeps_rows_and_columns(spark, docs, rows):
     got = secret_scan.redact(docs)
     assert got.columns == docs.columns and got.count() == len(rows)
