@@ -81,21 +81,22 @@ WHERE NOT ends_with(e.entry, '/') AND e.base_name NOT IN
 )
 def archive_entries(spark, sf):
     """Write the pages as zip archives, list their entries, skip directories
-    and base names already uploaded (under the prefix), read the rest."""
+    and base names already uploaded (under the prefix), read the rest. A corrupt
+    archive or entry ends the query with its message: the result has no error column."""
     root = scratch_path(spark, "archives")
     # written once: what is listed below must not be a plan that writes again
-    written = A.write_archives(page_entries(spark, sf).repartition(4), root).select("archive")
+    written = A.write_archives(page_entries(spark, sf), root).select("archive")
     listing = scratch_path(spark, "archive-list")
     written.write.parquet(listing)
     archives = spark.read.parquet(listing)
-    entries = A.list_entries(archives)
-    files = entries.where(F.col("error").isNull() & ~F.col("is_dir"))
+    entries = A.list_entries(archives, strict=True)
+    files = entries.where(~F.col("is_dir"))
     # path inside the page folder, then its base name (C2 matches base names only)
     inner = F.regexp_replace("entry", "^p[0-9]+/", "")
     named = files.withColumn("inner", inner).withColumn("base_name", F.element_at(F.split("inner", "/"), -1))
     uploaded = named.where(F.col("inner").startswith(UPLOADED_PREFIX)).select("base_name").distinct()
     todo = named.join(uploaded, "base_name", "left_anti").drop("inner", "base_name")
-    got = A.read_entries(todo)
+    got = A.read_entries(todo, strict=True)
     return got.select("entry", "base_name", "n_bytes", "content_md5")
 
 

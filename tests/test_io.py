@@ -1,10 +1,12 @@
 """Sources and sinks on small hand-made inputs."""
 
+import hashlib
 import json
 import os
 import tempfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_path
@@ -41,6 +43,29 @@ def test_tree_roundtrip(spark):
     assert back == {"site/x-v1": ('{"id": "x-v1"}', "<p>x</p>", None), "site/y-v1": ("{}", "y", "y{}")}
 
 
+def test_archives_are_bounded_and_errors_show(spark, tmp_path):
+    rows = [(f"d{i}/", None) if i % 7 == 0 else (f"d/{i}.html", f"text é {i} " * (i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "entry string, content string").coalesce(1)
+    archives = A.write_archives(df, str(tmp_path / "zips"), max_bytes=100).select("archive").collect()
+    assert len({r.archive for r in archives}) == len(archives) > 5  # one task, many archives
+    archives = spark.createDataFrame(archives, "archive string")
+    listed = A.list_entries(archives)
+    assert sorted(r.entry for r in listed.collect()) == sorted(e for e, _ in rows)
+    want = {e: (len((c or "").encode()), hashlib.md5((c or "").encode()).hexdigest()) for e, c in rows if not e.endswith("/")}
+    assert {r.entry: (r.n_bytes, r.content_md5) for r in A.read_entries(listed, strict=True).collect()} == want
+    assert A.write_archives(df.repartition(3).limit(0), str(tmp_path / "none")).count() == 0
+    with zipfile.ZipFile(tmp_path / "empty.zip", "w"):
+        pass
+    assert A.list_entries(spark.createDataFrame([(str(tmp_path / "empty.zip"),)], "archive string")).count() == 0
+    (tmp_path / "bad.zip").write_bytes(b"no zip")
+    bad = spark.createDataFrame([(str(tmp_path / "bad.zip"),)], "archive string")
+    with pytest.raises(Exception, match="Corrupt zip file"):
+        A.list_entries(bad, strict=True).collect()
+    entry = bad.selectExpr("archive", "0L AS idx", "'x' AS entry", "false AS is_dir", "0L AS size", "CAST(NULL AS STRING) AS error")
+    with pytest.raises(Exception, match="Corrupt zip file"):
+        A.read_entries(entry, strict=True).collect()
+
+
 def test_archive_corrupt_and_directories(spark):
     d = tempfile.mkdtemp(prefix="zips-")
     good = os.path.join(d, "good.zip")
