@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import embed_join, html_extract, jaccard_join, packing, piece_sampler, quality, secret_scan, token_store, toxicity, url_filter
+from tessera.llm import (
+    conversation_repair, embed_join, hash_ring, html_extract, jaccard_join, packing, piece_sampler, quality, secret_scan, token_align, token_store, toxicity, url_filter,
+)
 from tessera.llm.common import read_table
 from tessera.llm.oracle import SQL
 
@@ -90,3 +92,21 @@ def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to token-id files and read back."""
     return token_store.load(spark, token_store.stored(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the ids of two tokenizers, for every document."""
+    return token_align.align(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return hash_ring.assign(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation."""
+    return conversation_repair.digests(read_table(spark, sf_dir, "conversations"))
