@@ -3,11 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,11 +13,3 @@ def spark():
     s = local_session("*", shuffle_partitions=8, app="tessera-tests")
     yield s
     s.stop()
-
-
-def one_col(spark, values, expr, schema="x string"):
-    """Evaluate a Column expression over a list of single values, in order."""
-    from pyspark.sql import functions as F
-
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, {schema}")
-    return [r[0] for r in df.orderBy("i").select(expr(F.col(schema.split()[0]))).collect()]

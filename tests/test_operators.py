@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tessera.operators import ordering as O
 from tessera.operators import quota as Q
 from tessera.operators import vectors as V

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from tessera.plans.registry import QUERIES, load_all
 

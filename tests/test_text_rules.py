@@ -1,7 +1,7 @@
 """Table-driven tests of the text rules; expectations derived by reading the
 reference's rules (SURVEY §2.9 traps)."""
 
-from conftest import one_col
+from support import one_col
 
 from tessera.functions import text as T
 
