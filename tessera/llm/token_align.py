@@ -35,10 +35,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import worker_cache, written
 
-BLOCK_TOKENS = 1 << 20  # A tokens of a block; a longer document is a block of its own
+BLOCK_TOKENS = 1 << 19  # A tokens of a block; a longer document is a block of its own
 LANE_TOKENS = 256  # A tokens of a lane, about
 LOOK = 32  # A tokens looked at for a common end to part lanes at
-CACHE = 300_000  # chunks whose ids a worker keeps
+CACHE = 150_000  # chunks whose ids a worker keeps
 CHUNK = re.compile(r"[ \n]?[^ \n]+")
 SPACE_PIECE = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
@@ -196,7 +196,7 @@ def spelled_groups(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.nd
     """``a1,a2|b1;a3|b2,b3`` of all documents in one byte array and the offset after each document; ``last`` marks the last group of
     each document, which has no separator behind it."""
     a0, b0 = np.concatenate([[0], a_cut[:-1]]), np.concatenate([[0], b_cut[:-1]])
-    ids = np.empty(len(a) + len(b), np.int64)
+    ids = np.empty(len(a) + len(b), np.int32)
     ids[np.arange(len(a)) + np.repeat(b0, a_cut - a0)] = a
     ids[np.arange(len(b)) + np.repeat(a_cut, b_cut - b0)] = b
     mark = np.full(len(ids), ord(","), np.uint8)
@@ -204,12 +204,11 @@ def spelled_groups(a: np.ndarray, b: np.ndarray, a_cut: np.ndarray, b_cut: np.nd
     end = a_cut + b_cut - 1
     mark[end] = np.where(last, 0, ord(";"))
     digits = np.zeros((len(ids), 8), np.uint8)
-    rest = ids.copy()
     for k in range(6, -1, -1):
-        digits[:, k] = np.where((rest > 0) | (k == 6), rest % 10 + 48, 0)
-        rest //= 10
+        digits[:, k] = np.where((ids > 0) | (k == 6), ids % 10 + 48, 0)
+        ids //= 10
     digits[:, 7] = mark
-    size = np.cumsum((digits > 0).sum(1))
+    size = np.cumsum(np.count_nonzero(digits, axis=1))
     flat = digits.ravel()
     return flat[flat > 0], size[end[last]]
 
