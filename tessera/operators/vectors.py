@@ -1,101 +1,92 @@
-"""Similarity search over an embedding table.
-
-The index side (large, grows with the data) is never shuffled for scoring: each
-task scores its own Arrow batches against the query matrix with one matrix
-product per batch and keeps only candidates. The query side is the small one; it
-is shipped to the tasks only after a size check, and beyond that bound it is
-streamed through in bounded blocks (one scoring pass per block) rather than
-broadcast whole.
+"""Similarity search over embedding tables (C9, E5, E6), with both sides as tables.
+
+Queries and index rows are dealt into slices of at most about ``SLICE_ROWS`` rows by hash. Every pair of a query slice and an
+index slice is one cell: a shuffle brings both slices of a cell to one task, which scores them with matrix
+products and keeps the best ``k`` of each query (ties trimmed exactly); the cells' winners are merged by a second
+ranking of at most ``k`` rows per query and index slice. Nothing passes through the driver but two row counts, and a cell's
+memory is fixed by ``SLICE_ROWS``. Each side is sent once per slice of the other side; the smaller it is, the
+less the larger side moves.
+
+Vectors that are null or hold null or non-finite components match nothing; only vectors of one length are compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many query vectors are shipped to tasks at once (x dims x 8 bytes;
-# 4096 x 384 doubles is 12 MiB).
-MAX_QUERY_BLOCK = 4096
-# Candidates within this margin of the k-th local score are kept, so ranking by
-# the 6-decimal rounded score (then id) after the merge stays exact.
-ROUND_MARGIN = 1e-6
+SLICE_ROWS = 16_384
+TILE = 1024  # index rows scored at once
+
+
+def usable(vec: Column) -> Column:
+    """Whether a vector can be compared."""
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce((F.size(vec) > 0) & finite, F.lit(False))
+
+
+def _side(df: DataFrame, id_col: str, vec_col: str, rows: int) -> tuple[DataFrame, int]:
+    """``(id, vec, dim, slice)`` of one side, and its number of slices."""
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    n = max(1, math.ceil(df.count() / rows))
+    return own.where(usable(F.col("vec"))).withColumn("dim", F.size("vec")).withColumn("slice", F.pmod(F.xxhash64("id", "vec"), F.lit(n))), n
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = whole.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(-1, dim) if dim else flat.reshape(0, 0)
 
 
-def _query_blocks(queries: DataFrame, id_col: str, vec_col: str, limit: int = MAX_QUERY_BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    n = queries.count()
-    rows = queries.select(id_col, vec_col).orderBy(id_col)
-    it = rows.collect() if n <= limit else rows.toLocalIterator()
-    ids, vecs = [], []
-    for r in it:
-        ids.append(r[0])
-        vecs.append(np.asarray(r[1], dtype=np.float64))
-        if len(ids) == limit:
-            yield np.asarray(ids), np.vstack(vecs)
-            ids, vecs = [], []
-    if ids:
-        yield np.asarray(ids), np.vstack(vecs)
+def best_of_cell(Q: np.ndarray, X: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query row, index id, score)``: the best ``k`` index rows of every query by (score in millionths, id)."""
+    pool_s = np.empty((len(Q), 0))
+    pool_i = np.empty((len(Q), 0), np.int64)
+    for at in range(0, len(X), TILE):
+        s = np.rint(Q @ X[at : at + TILE].T * 1e6)
+        i = np.broadcast_to(x_ids[at : at + TILE], s.shape)
+        pool_s, pool_i = np.concatenate([pool_s, s], 1), np.concatenate([pool_i, i], 1)
+        order = np.lexsort((pool_i, -pool_s), axis=1)[:, :k]
+        pool_s, pool_i = np.take_along_axis(pool_s, order, 1), np.take_along_axis(pool_i, order, 1)
+    row = np.repeat(np.arange(len(Q)), pool_s.shape[1])
+    return row, pool_i.ravel(), pool_s.ravel() / 1e6
 
 
-def _matrix(batch: pa.RecordBatch, col: str, dim: int) -> np.ndarray:
-    arr = batch.column(col)
-    flat = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(len(batch), dim)
+def cell_winners(index: DataFrame, queries: DataFrame, k: int, index_id: str, query_id: str, index_vec: str, query_vec: str, rows: int | None = None) -> DataFrame:
+    """``(query, id, score)``: the best ``k`` index rows of every query in each cell, scores in millionths."""
+    rows = rows or SLICE_ROWS
+    x, n_x = _side(index, index_id, index_vec, rows)
+    q, n_q = _side(queries, query_id, query_vec, rows)
+    across = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    x = x.withColumnRenamed("slice", "xs").withColumn("qs", across(n_q))
+    q = q.withColumnRenamed("slice", "qs").withColumn("xs", across(n_x))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return pa.table({"query": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        dim = left.column("dim")[0].as_py()
+        ids = left.column("id").to_numpy()
+        row, i, s = best_of_cell(_matrix(left.column("vec"), dim), _matrix(right.column("vec"), dim), right.column("id").to_numpy(), k)
+        return pa.table({"query": ids[row], "id": i, "score": s})
+
+    cells = ["dim", "qs", "xs"]
+    return q.groupBy(*cells).cogroup(x.groupBy(*cells)).applyInArrow(score, "query long, id long, score double")
 
 
 def topk(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int,
-    index_id: str = "vec_id",
-    query_id: str = "query_id",
-    vec_col: str = "embedding",
+    index: DataFrame, queries: DataFrame, k: int, index_id: str = "vec_id", query_id: str = "query_id", vec_col: str = "embedding", rows: int | None = None
 ) -> DataFrame:
     """E5: for every query, the k index rows with the largest dot product
     (score rounded to 6 decimals, ties by index id ascending)."""
-    parts = []
-    for qids, Q in _query_blocks(queries, query_id, vec_col):
-        dim = Q.shape[1]
-
-        def kernel(batches, Q=Q, qids=qids, dim=dim):
-            pool_s = [np.empty(0) for _ in qids]
-            pool_i = [np.empty(0, dtype=np.int64) for _ in qids]
-            for b in batches:
-                if b.num_rows == 0:
-                    continue
-                X = _matrix(b, vec_col, dim)
-                S = X @ Q.T
-                ids = b.column(index_id).to_numpy(zero_copy_only=False).astype(np.int64)
-                for j in range(len(qids)):
-                    s = np.concatenate([pool_s[j], S[:, j]])
-                    i = np.concatenate([pool_i[j], ids])
-                    if len(s) > k:
-                        kth = np.partition(s, len(s) - k)[len(s) - k]
-                        keep = s >= kth - ROUND_MARGIN
-                        s, i = s[keep], i[keep]
-                    pool_s[j], pool_i[j] = s, i
-            q = np.concatenate([np.full(len(s), qid) for qid, s in zip(qids, pool_s)]) if qids.size else np.empty(0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q.astype(np.int64)), pa.array(np.concatenate(pool_i)), pa.array(np.concatenate(pool_s))],
-                names=[query_id, index_id, "score"],
-            )
-
-        cand = index.select(index_id, vec_col).where(F.col(vec_col).isNotNull()).mapInArrow(
-            kernel, f"{query_id} long, {index_id} long, score double"
-        )
-        parts.append(cand)
-    if not parts:  # no queries: no rows
-        return index.sparkSession.createDataFrame([], f"{query_id} long, rank long, {index_id} long, score double")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # candidates per query are ~k per task, so this window is small
-    w = Window.partitionBy(query_id).orderBy(F.round("score", 6).desc(), index_id)
-    r = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return r.select(query_id, F.col("rank").cast("long"), index_id, F.round("score", 6).alias("score"))
+    cand = cell_winners(index, queries, k, index_id, query_id, vec_col, vec_col, rows)
+    # k rows per query and index slice at most, cut to k per task before the shuffle
+    w = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    r = cand.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+    return r.select(F.col("query").alias(query_id), "rank", F.col("id").alias(index_id), "score")
 
 
 def top1(
@@ -105,40 +96,16 @@ def top1(
     index_id: str = "vec_id",
     query_id: str = "query_id",
     vec_col: str = "embedding",
+    rows: int | None = None,
 ) -> DataFrame:
-    """For every index row, the best query (first in id order on equal scores);
-    a score below ``threshold`` means no match (the threshold itself matches)."""
-    parts = []
-    for qids, Q in _query_blocks(queries, query_id, vec_col):
-        dim = Q.shape[1]
-
-        def kernel(batches, Q=Q, qids=qids, dim=dim):
-            for b in batches:
-                if b.num_rows == 0:
-                    continue
-                S = _matrix(b, vec_col, dim) @ Q.T
-                best = np.argmax(S, axis=1)  # first maximum = lowest query id
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(index_id), pa.array(qids[best].astype(np.int64)), pa.array(S[np.arange(len(best)), best])],
-                    names=[index_id, query_id, "score"],
-                )
-
-        parts.append(
-            index.select(index_id, vec_col).where(F.col(vec_col).isNotNull()).mapInArrow(kernel, f"{index_id} long, {query_id} long, score double")
-        )
-    if not parts:  # no queries: nothing matches
-        none = index.where(F.col(vec_col).isNotNull())
-        return none.select(index_id, F.lit(None).cast("long").alias(query_id), F.lit(None).cast("double").alias("score"))
-    best = parts[0]
-    if len(parts) > 1:
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        best = u.groupBy(index_id).agg(F.max_by(F.struct("score", query_id), F.struct("score", -F.col(query_id))).alias("b")).select(
-            index_id, "b.score", f"b.{query_id}"
-        )
-    match = F.col("score") >= threshold if threshold is not None else F.lit(True)
-    return best.select(index_id, F.when(match, F.col(query_id)).alias(query_id), F.round("score", 6).alias("score"))
+    """For every index row, the best query (first in id order on equal scores); a score below ``threshold`` means no match
+    (the threshold itself matches). Rows without a comparable vector have no match and no score."""
+    cand = cell_winners(queries, index, 1, query_id, index_id, vec_col, vec_col, rows)
+    best = cand.groupBy("query").agg(F.max_by(F.struct("score", "id"), F.struct("score", -F.col("id"))).alias("b"))
+    match = F.col("b.score") >= threshold if threshold is not None else F.lit(True)
+    own = index.select(F.col(index_id).cast("long").alias(index_id))
+    out = own.join(best, F.col(index_id) == F.col("query"), "left")
+    return out.select(index_id, F.when(match, F.col("b.id")).alias(query_id), F.col("b.score").alias("score"))
 
 
 def centroids(df: DataFrame, group_col: str, vec_col: str = "embedding") -> DataFrame:

@@ -19,8 +19,7 @@ from tessera.sources.tables import table
 
 # Prompt text pieces (rendered by concatenation, like str.format).
 PROMPT_PIECES = ("Create a ", " website template, variant \"", "\". Guidance: ")
-PLAN_MAX_SIZE = 45  # catalogue plan: parts up to this size
-DONE_MIN_QTY = 45  # "generated so far": parts on lineitems above this quantity
+OLD_NAME = " old"  # fixture: a part returned more often than kept was generated under an older name
 UPLOADED_PREFIX = "en/"
 
 
@@ -105,14 +104,14 @@ def embed_text_col(meta: str = "meta") -> F.Column:
     return F.concat(g("category"), F.lit(" "), g("subcategory"), F.lit(". "), g("description"))
 
 
-def _sql_embed(meta="meta"):
+def sql_embed_text(meta="meta"):
     g = lambda k: f"coalesce(json_extract_string({meta}, '$.{k}'), '')"
     return f"{g('category')} || ' ' || {g('subcategory')} || '. ' || {g('description')}"
 
 
 @register(
     "embed_text",
-    f"SELECT page_id, path, coalesce(json_extract_string(meta, '$.level'), 'whole-site') AS level, {_sql_embed()} AS embed_text "
+    f"SELECT page_id, path, coalesce(json_extract_string(meta, '$.level'), 'whole-site') AS level, {sql_embed_text()} AS embed_text "
     f"FROM {X.TEMPLATES_SQL}",
 )
 def embed_text(spark, sf):
@@ -124,22 +123,25 @@ def embed_text(spark, sf):
 
 # --------------------------------------------------------------------------- audit
 def planned_specs(spark, sf) -> DataFrame:
-    """Site specs of the catalogue plan (parts up to PLAN_MAX_SIZE)."""
-    p = table(spark, sf, "part").where(F.col("p_size") <= PLAN_MAX_SIZE)
-    return p.selectExpr(*X._SITE).withColumn("spec_id", spec_id())
+    """Site specs of the catalogue plan: all parts."""
+    return X.site_specs(spark, sf).withColumn("spec_id", spec_id())
 
 
 def done_ids(spark, sf) -> DataFrame:
-    """Ids already generated: site specs of parts sold above DONE_MIN_QTY."""
-    li = table(spark, sf, "lineitem").where(F.col("l_quantity") > DONE_MIN_QTY).select(F.col("l_partkey").alias("p_partkey")).distinct()
-    p = table(spark, sf, "part").join(li, "p_partkey", "left_semi")
+    """Ids already generated: one per sold part, over all line items; parts with more returned than open lines carry the
+    id of an older name, which no plan holds."""
+    flag = lambda x: F.count_if(F.col("l_returnflag") == x)
+    sold = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg((flag("R") > flag("N")).alias("old"))
+    p = table(spark, sf, "part").join(sold, "p_partkey")
+    p = p.withColumn("p_name", F.concat("p_name", F.when(F.col("old"), OLD_NAME).otherwise("")))
     return p.selectExpr(*X._SITE).withColumn("spec_id", spec_id()).select("spec_id").distinct()
 
 
-_PLANNED_SQL = f"(SELECT *, {_ID_SQL} AS spec_id FROM (SELECT {', '.join(X._SITE)} FROM part WHERE p_size <= {PLAN_MAX_SIZE}))"
+_PLANNED_SQL = f"(SELECT *, {_ID_SQL} AS spec_id FROM {X.SITE_SQL})"
 _DONE_SQL = (
-    f"(SELECT DISTINCT {_ID_SQL} AS spec_id FROM (SELECT {', '.join(X._SITE)} FROM part "
-    f"WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > {DONE_MIN_QTY})))"
+    f"(SELECT DISTINCT {_ID_SQL} AS spec_id FROM (SELECT {', '.join(X._SITE)} FROM (SELECT p.* REPLACE (p_name || CASE WHEN old THEN '{OLD_NAME}' ELSE '' END AS p_name) "
+    "FROM part p JOIN (SELECT l_partkey, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) > sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS old "
+    "FROM lineitem GROUP BY l_partkey) l ON l_partkey = p_partkey)))"
 )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators.dedupe import append_absent_text, append_if_absent, first_wins, ordered_union
 from tessera.operators.ordering import hash_rank, seeded_key
+from tessera.operators.sampling import marked, smallest
 from tessera.plans import sql as S
 from tessera.plans.registry import register
 from tessera.sources.tables import table
@@ -145,15 +146,14 @@ def category_gap_df(spark, existing: DataFrame, target: int) -> DataFrame:
 
 _GAP_SQL = f"""
 SELECT l.label, coalesce(c.n, 0) AS existing, greatest(0, {TARGET_PER_LABEL} - coalesce(c.n, 0)) AS needed
-FROM {_LABELS_SQL} l LEFT JOIN (SELECT lang AS label, count(*) AS n FROM documents WHERE doc_id % 2 = 0 GROUP BY lang) c
+FROM {_LABELS_SQL} l LEFT JOIN (SELECT lang AS label, count(*) AS n FROM documents GROUP BY lang) c
 ON l.label = c.label
 """
 
 
 @register("category_gap", _GAP_SQL)
 def category_gap(spark, sf):
-    existing = examples(spark, sf).where(F.col("seq") % 2 == 0)
-    return category_gap_df(spark, existing, TARGET_PER_LABEL)
+    return category_gap_df(spark, examples(spark, sf), TARGET_PER_LABEL)
 
 
 def generation_plan_df(gap: DataFrame, batch: int, factor: int) -> DataFrame:
@@ -261,11 +261,8 @@ def append_if_absent_q(spark, sf):
 
 
 def cap_per_label_df(df: DataFrame, n: int, seed, key_col: str = "seq") -> DataFrame:
-    """At most n rows per label, the n smallest seeded hashes. The literal
-    ``rank <= n`` lets Spark insert a partial WindowGroupLimit before the shuffle,
-    so at most n rows per label leave each map task."""
-    w = Window.partitionBy("label").orderBy(seeded_key(seed, key_col), key_col)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    """At most n rows per label, the n smallest seeded hashes, cut off where they are read."""
+    return smallest(df.withColumn("_h", seeded_key(seed, key_col)), "_h", n, ["label"], [key_col]).drop("_h")
 
 
 @register(
@@ -283,12 +280,10 @@ def cap_per_label(spark, sf):
 
 def downsample_label(df: DataFrame, label: str, target: int, seed, key_col: str = "seq", kept_labels: list[str] | None = None) -> DataFrame:
     """Exactly ``target`` rows of ``label`` (smallest seeded hashes) when it has
-    more; of the others only ``kept_labels``, whole (None: all others, null labels too). The literal ``rank <= target`` gets a partial
-    WindowGroupLimit before the shuffle, so each task sends at most ``target``
-    rows and the big class never sits in one task."""
-    big = df.where(F.col("label") == label)
-    w = Window.partitionBy("label").orderBy(seeded_key(seed, key_col), key_col)
-    kept = big.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= target).drop("_rn")
+    more; of the others only ``kept_labels``, whole (None: all others, null labels too). Rows of the big class are cut off
+    where they are read, so it never sits in one task."""
+    big = df.where(F.col("label") == label).withColumn("_h", seeded_key(seed, key_col))
+    kept = smallest(big, "_h", target, ["label"], [key_col]).drop("_h")
     other = ~F.col("label").eqNullSafe(label)
     if kept_labels is not None:
         other = other & F.col("label").isin(kept_labels)
@@ -335,11 +330,8 @@ def stratified_split_df(df: DataFrame, pct: int, seed, key_col: str = "seq") ->
     q = q.withColumn("short", F.col("n_val") - F.sum("base").over(tot))
     q = q.withColumn("rr", F.row_number().over(Window.orderBy(F.desc("rem"), "label")))
     quota = q.select("label", (F.col("base") + F.when(F.col("rr") <= F.col("short"), 1).otherwise(0)).alias("quota"))
-    ranked = hash_rank(df.withColumn("_h", seeded_key(seed, key_col)), "_h", ["label"], [key_col], "_r")
-    out = ranked.join(quota, "label")  # one row per label: the optimizer sees its size
-    return out.withColumn("split", F.when(F.col("_r") <= F.col("quota"), "val").otherwise("train")).drop(
-        "_h", "_r", "quota"
-    )
+    taken = marked(df.withColumn("_h", seeded_key(seed, key_col)), "_h", quota, ["label"], [key_col])
+    return taken.withColumn("split", F.when(F.col("_in"), "val").otherwise("train")).drop("_h", "_in")
 
 
 @register(

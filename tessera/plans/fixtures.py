@@ -94,7 +94,7 @@ EFFECTS_SQL = f"(SELECT {', '.join(_E2)} FROM (SELECT {', '.join(_E1)} FROM part
 
 # ---------------------------------------------------------------- specs (M2/M3)
 # Site specs: category = p_type, variant = p_name + key. Component specs:
-# component_type from the brand, for parts of size <= 10.
+# component_type from the brand.
 _SITE = [
     "p_partkey AS pos",
     "lower(p_type) AS category",
@@ -116,8 +116,8 @@ def site_specs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def component_specs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "part").where("p_size <= 10").selectExpr(*_COMP)
+    return table(spark, sf, "part").selectExpr(*_COMP)
 
 
 SITE_SQL = f"(SELECT {', '.join(_SITE)} FROM part)"
-COMP_SQL = f"(SELECT {', '.join(_COMP)} FROM part WHERE p_size <= 10)"
+COMP_SQL = f"(SELECT {', '.join(_COMP)} FROM part)"

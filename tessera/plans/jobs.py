@@ -8,14 +8,15 @@ order (SURVEY §2.9(11)).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import contracts as K
 from tessera.functions import text as T
 from tessera.functions.fmt import fmt, sql_fmt
 from tessera.operators.dedupe import append_if_absent, first_wins
-from tessera.operators.ordering import seeded_key
+from tessera.operators.ordering import hash_rank, seeded_key
+from tessera.operators.sampling import numbered, smallest
 from tessera.plans import fixtures as X
 from tessera.plans import sql as S
 from tessera.plans.catalog import sql_template_error
@@ -60,9 +61,18 @@ def existing_rows(spark, sf) -> DataFrame:
 
 
 def generated_items(spark, sf) -> DataFrame:
-    """Distinct (label, item) pairs from the new batches (a set per category)."""
+    """Distinct (label, item) pairs from the new batches (a set per category), with the item's seeded digest, which is the
+    order key and, in place of the text, the shuffle key. Written once: samples read it more than once."""
     items = parse_string_batch(raw_batches(spark, sf, "doc_id % 2 = 1", by_label=True))
-    return items.select("label", "item").distinct()
+    path = scratch_path(spark, "items")
+    items.select("label", "item", seeded_key(SEED, "item").alias("_h")).dropDuplicates(["label", "_h"]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _capped(items: DataFrame, quota, labels: list[str] | None = None) -> DataFrame:
+    """The first items of every label in seeded order, numbered; ``quota`` as in ``sampling.smallest``."""
+    items = items if labels is None else items.where(F.col("label").isin(labels))
+    return numbered(smallest(items, "_h", quota), "_h").withColumn("seq", F.col("seq").cast("long"))
 
 
 # --------------------------------------------------------------------------- G1
@@ -79,9 +89,8 @@ SELECT src_rank, label, seq, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS tex
 def build_training_set(spark, sf):
     """G1: new items capped per label (E2) first, then existing rows (C7) ->
     validate (B8) -> clean (B9) -> first-wins dedupe (E1)."""
-    w = Window.partitionBy("label").orderBy(seeded_key(SEED, "item"), "item")
-    capped = generated_items(spark, sf).withColumn("seq", F.row_number().over(w)).where(F.col("seq") <= TARGET_PER_LABEL)
-    new = capped.select(F.col("item").alias("text"), "label", F.lit(0).alias("src_rank"), _label_ord().alias("label_ord"), F.col("seq").cast("long"))
+    capped = _capped(generated_items(spark, sf), TARGET_PER_LABEL)
+    new = capped.select(F.col("item").alias("text"), "label", F.lit(0).alias("src_rank"), _label_ord().alias("label_ord"), "seq")
     old = existing_rows(spark, sf).select("text", "label", F.lit(1).alias("src_rank"), F.lit(0).alias("label_ord"), "seq")
     rows = validate_clean(new.unionByName(old), DOC_MAX)
     out = first_wins(rows, T.dedup_key("text"), ["src_rank", "label_ord", "seq"])
@@ -118,13 +127,8 @@ def top_up(spark, sf):
     # one row per expected label (a fixed list): fetch it and use literals below
     needed = {r.label: r.needed for r in category_gap_df(spark, ex, TARGET_PER_LABEL).collect()}
     full_labels = [lab for lab, n in needed.items() if n == 0]
-    needed_of = F.create_map(*[x for lab, n in needed.items() for x in (F.lit(lab), F.lit(n))])
-    # needed <= TARGET_PER_LABEL, so the literal bound gets a partial WindowGroupLimit
-    # (at most TARGET rows per label leave each task); the exact per-label cut follows
-    w = Window.partitionBy("label").orderBy(seeded_key(SEED, "item"), "item")
-    items = generated_items(spark, sf).withColumn("seq", F.row_number().over(w).cast("long"))
-    ranked = items.where(F.col("seq") <= TARGET_PER_LABEL).withColumn("needed", needed_of[F.col("label")])
-    new = ranked.where((F.col("needed") > 0) & (F.col("seq") <= F.col("needed"))).select(
+    quota = spark.createDataFrame([(lab, n) for lab, n in needed.items() if n > 0], "label string, quota long")
+    new = _capped(generated_items(spark, sf), quota).select(
         F.col("item").alias("text"), "label", F.lit(0).alias("phase"), _label_ord().alias("label_ord"), "seq"
     )
     # at most TARGET rows per label: materialise once in the checkpoint folder, so
@@ -148,52 +152,77 @@ def top_up(spark, sf):
 _AUG_SQL_LABELS = ", ".join(f"('{k}', {v})" for k, v in AUG_TARGETS.items())
 
 
-@register(
-    "augment",
-    f"""WITH s AS (SELECT DISTINCT label, item FROM {items_sql('doc_id % 2 = 1', True)}),
+_AUG_ROWS_SQL = f"""WITH s AS (SELECT DISTINCT label, item FROM {items_sql('doc_id % 2 = 1', True)}),
  t AS (SELECT * FROM (VALUES {_AUG_SQL_LABELS}) v(label, target)),
  c AS (SELECT s.label, item, t.target, row_number() OVER (PARTITION BY s.label ORDER BY {S.md5_order(SEED, 'item')}, item) AS r
        FROM s JOIN t USING (label)),
  u AS (SELECT text, lang AS label, 0 AS src_rank, doc_id AS seq FROM documents WHERE doc_id % 2 = 0
        UNION ALL SELECT item, label, 1, r FROM c WHERE r <= target),
- k AS (SELECT label, row_number() OVER (PARTITION BY {S.key('text')} ORDER BY src_rank, seq) AS rn FROM u),
- n AS (SELECT label, count(*) AS n FROM k WHERE rn = 1 GROUP BY label)
-SELECT l.label, coalesce(n.n, 0) AS n FROM {_LABELS_SQL} l LEFT JOIN n USING (label)""",
-)
-def augment(spark, sf):
+ k AS (SELECT label, src_rank, seq, text, row_number() OVER (PARTITION BY {S.key('text')} ORDER BY src_rank, seq) AS rn FROM u),
+"""
+
+
+def augmented(spark, sf) -> DataFrame:
     """Existing + capped new items (existing wins), de-duplicated on the raw
-    text key (no cleaning), counted for the fixed label list."""
-    targets = F.create_map(*[x for k, v in AUG_TARGETS.items() for x in (F.lit(k), F.lit(v))])
-    items = generated_items(spark, sf).where(F.col("label").isin(list(AUG_TARGETS)))
-    w = Window.partitionBy("label").orderBy(seeded_key(SEED, "item"), "item")
-    ranked = items.withColumn("seq", F.row_number().over(w).cast("long")).where(F.col("seq") <= max(AUG_TARGETS.values()))
-    new = ranked.where(F.col("seq") <= targets[F.col("label")]).select(F.col("item").alias("text"), "label", F.lit(1).alias("src_rank"), "seq")
+    text key (no cleaning)."""
+    targets = spark.createDataFrame(list(AUG_TARGETS.items()), "label string, quota long")
+    ranked = _capped(generated_items(spark, sf), targets, list(AUG_TARGETS))
+    new = ranked.select(F.col("item").alias("text"), "label", F.lit(1).alias("src_rank"), "seq")
     old = existing_rows(spark, sf).select("text", "label", F.lit(0).alias("src_rank"), "seq")
-    kept = first_wins(new.unionByName(old), T.dedup_key("text"), ["src_rank", "seq"], ["label"])
-    return label_counts_with_zero_df(spark, kept.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+    return first_wins(new.unionByName(old), T.dedup_key("text"), ["src_rank", "seq"])
 
 
-# --------------------------------------------------------------------------- G4
 @register(
-    "balance",
-    f"""SELECT label, count(*) AS n FROM (
-  SELECT lang AS label FROM documents WHERE lang <> '{BALANCE_LABEL}' AND lang IN ({', '.join(repr(x) for x in BALANCE_KEPT)})
-  UNION ALL SELECT label FROM (SELECT lang AS label FROM documents WHERE lang = '{BALANCE_LABEL}'
-    ORDER BY {S.md5_order(SEED, 'CAST(doc_id AS VARCHAR)')}, doc_id LIMIT {BALANCE_TARGET})) GROUP BY label""",
+    "augment",
+    f"""{_AUG_ROWS_SQL} n AS (SELECT label, count(*) AS n FROM k WHERE rn = 1 GROUP BY label)
+SELECT l.label, coalesce(n.n, 0) AS n FROM {_LABELS_SQL} l LEFT JOIN n USING (label)""",
 )
-def balance(spark, sf):
-    """JSONL in (A1) -> downsample one class (E3) -> seeded shuffle order
-    -> JSONL out (A2) -> label histogram (D1) of what was written."""
+def augment(spark, sf):
+    """G3's report: rows of the augmented set, counted for the fixed label list."""
+    return label_counts_with_zero_df(spark, augmented(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("augment_rows", f"{_AUG_ROWS_SQL.rstrip().rstrip(',')} SELECT src_rank, label, CAST(seq AS BIGINT) AS seq, md5(text) AS text_md5 FROM k WHERE rn = 1")
+def augment_rows(spark, sf):
+    """G3's data set as a user gets it: written (A2) and read back (A1), one row per example."""
+    path = scratch_path(spark, "augmented")
+    augmented(spark, sf).select("text", "label", "src_rank", "seq").write.json(path)
+    back = spark.read.schema("text string, label string, src_rank int, seq long").option("mode", "FAILFAST").json(path)
+    return back.select("src_rank", "label", "seq", F.md5("text").alias("text_md5"))
+
+
+# --------------------------------------------------------------------------- G4
+_BALANCED_SQL = f"""(SELECT doc_id, lang AS label, text FROM documents WHERE lang <> '{BALANCE_LABEL}' AND lang IN ({', '.join(repr(x) for x in BALANCE_KEPT)})
+  UNION ALL SELECT doc_id, label, text FROM (SELECT doc_id, lang AS label, text FROM documents WHERE lang = '{BALANCE_LABEL}'
+    ORDER BY {S.md5_order(SEED, 'CAST(doc_id AS VARCHAR)')}, doc_id LIMIT {BALANCE_TARGET}))"""
+
+
+def balanced(spark, sf) -> DataFrame:
+    """JSONL in (A1) -> downsample one class (E3) -> seeded shuffle position (E4) -> JSONL out (A2) -> read back."""
     src, dst = scratch_path(spark, "balance-in"), scratch_path(spark, "balance-out")
     d = table(spark, sf, "documents").select("text", F.col("lang").alias("label"), "doc_id")
     d.write.json(src)
     data = spark.read.schema("text string, label string, doc_id long").option("mode", "FAILFAST").json(src)
     kept = downsample_label(data.withColumnRenamed("doc_id", "seq"), BALANCE_LABEL, BALANCE_TARGET, SEED, kept_labels=BALANCE_KEPT)
-    # the shuffled order is materialised as the file order of a range-partitioned, sorted write
-    shuffled = kept.withColumn("_h", seeded_key(SEED, "seq")).orderBy("_h", "seq")
-    FS.write_labelled(shuffled, dst)
-    back = FS.read_labelled(spark, dst)
-    return back.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    placed = hash_rank(kept.withColumn("_h", seeded_key(SEED, "seq")), "_h", (), ["seq"], "position")
+    # the shuffled order is also the file order of a range-partitioned, sorted write
+    placed.orderBy("_h", "seq").select("text", "label", "position").write.json(dst)
+    return spark.read.schema("text string, label string, position long").option("mode", "FAILFAST").json(dst)
+
+
+@register("balance", f"SELECT label, count(*) AS n FROM {_BALANCED_SQL} GROUP BY label")
+def balance(spark, sf):
+    """G4's report: label histogram (D1) of what was written."""
+    return balanced(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "balance_rows",
+    f"""SELECT row_number() OVER (ORDER BY {S.md5_order(SEED, 'CAST(doc_id AS VARCHAR)')}, doc_id) AS position, label, md5(text) AS text_md5 FROM {_BALANCED_SQL}""",
+)
+def balance_rows(spark, sf):
+    """G4's data set as written: every kept example and its position in the shuffled order."""
+    return balanced(spark, sf).select("position", "label", F.md5("text").alias("text_md5"))
 
 
 # --------------------------------------------------------------------------- G5

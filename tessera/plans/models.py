@@ -7,7 +7,6 @@ model's outputs are not SQL-expressible, so these have no oracle SQL.
   be classified as its own label (accuracy + failures).
 * ``hybrid_predict``: keyword hard rule first, else a logistic-regression head on
   the built-in text vectors (trained on documents, label = lang).
-* ``tfidf_vectors``: the F1 vectoriser over all documents.
 """
 
 from __future__ import annotations
@@ -98,19 +97,6 @@ def hybrid_predict(spark, sf):
     return classify(scored, F.col("got"), FIXTURE_KEYWORDS).select("conv_id", "turn", "category", "source")
 
 
-@register("tfidf_vectors")
-def tfidf_vectors(spark, sf):
-    """F1 over all documents: non-zeros and L2 norm (1, or 0 for no informative term)."""
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    v = EM.embed(EM.fit_vectoriser(d, "text", "embedding"), d)
-    sq = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda a, x: a + x * x)
-    return v.select(
-        "doc_id",
-        F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("nnz"),
-        F.round(F.sqrt(sq), 4).alias("norm"),
-    )
-
-
 @register("train_metadata")
 def train_metadata(spark, sf):
     """G9 tail (M18 via A9): one-row model report — classes and their codes, split

@@ -107,9 +107,9 @@ def _vec_tables(spark, n=300, m=7, d=16, seed=3):
     return X.astype(np.float64), Qm, idx, qs
 
 
-@pytest.mark.parametrize("block", [V.MAX_QUERY_BLOCK, 3])
+@pytest.mark.parametrize("block", [V.SLICE_ROWS, 3])
 def test_topk_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(V, "MAX_QUERY_BLOCK", block)
+    monkeypatch.setattr(V, "SLICE_ROWS", block)
     X, Qm, idx, qs = _vec_tables(spark)
     got = V.topk(idx, qs, 4).collect()
     S = X @ Qm.T
@@ -132,6 +132,117 @@ def test_top1_threshold_edges(spark):
     assert V.top1(one, q, 0.4).first().query_id == 7
 
 
+def test_vector_search_ties_ragged_and_null_vectors(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(30)] + [(90, None), (91, [None, 1.0]), (92, [float("nan"), 0.0]), (93, [1.0, 0.0, 0.0]), (94, []), (95, [0.0, 1.0])]
+    idx = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    qs = spark.createDataFrame([(5, [0.4, 0.9]), (6, None), (7, [0.0, 0.0, 2.0])], "query_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in V.topk(idx, qs, 3, rows=4).collect())
+    assert got == [(5, 1, 95, 0.9), (5, 2, 0, 0.4), (5, 3, 1, 0.4), (7, 1, 93, 0.0)]
+    one = {r.vec_id: (r.query_id, r.score) for r in V.top1(idx, qs, 0.4, rows=4).collect()}
+    assert one[0] == (5, 0.4) and one[95] == (5, 0.9) and one[93] == (None, 0.0)
+    assert all(one[i] == (None, None) for i in (90, 91, 92, 94)) and len(one) == len(rows)
+    assert V.topk(idx.limit(0), qs, 3).count() == 0 and V.topk(idx, qs.limit(0), 3).count() == 0
+
+
+def test_cell_scores_hold_no_driver_matrix(spark):
+    """Both sides are dealt by the shuffle: the plan co-groups cells and ships no array in a closure."""
+    from pyspark import cloudpickle
+
+    _, _, idx, qs = _vec_tables(spark)
+    plan = V.cell_winners(idx, qs, 3, "vec_id", "query_id", "embedding", "embedding", 8)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert len(cloudpickle.dumps(V.best_of_cell)) < 20_000
+
+
+def _sample_rows():
+    rng = np.random.default_rng(11)
+    rows = [(i, "big" if i % 3 else ["a", "b", None][i % 2 + (i % 9 == 0)], str(i)) for i in range(3000)]
+    rng.shuffle(rows)
+    return [(int(a), None if b == "None" else b, c) for a, b, c in rows]
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_cut_off_samples_equal_a_full_sort(spark, digits):
+    import hashlib
+    from collections import defaultdict
+
+    from tessera.operators import sampling as SA
+
+    df = spark.createDataFrame(_sample_rows(), "seq long, label string, x string").withColumn("_h", F.md5("x")).repartition(6)
+    by = defaultdict(list)
+    for i, lab, x in _sample_rows():
+        by[lab].append((hashlib.md5(x.encode()).hexdigest(), i))
+    for n in (0, 1, 17, 400, 5000):
+        got = defaultdict(set)
+        for r in SA.smallest(df, "_h", n, ties=["seq"], digits=digits).collect():
+            got[r.label].add(r.seq)
+        assert got == {k: {i for _, i in sorted(v)[:n]} for k, v in by.items() if n}
+    quota = spark.createDataFrame([("big", 700), ("a", 0), (None, 3)], "label string, quota long")
+    got = SA.marked(df, "_h", quota, ties=["seq"], digits=digits).where("_in").groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in got} == {"big": 700, None: 3}
+    ranks = {(r.label, r.seq): r.place for r in SA.numbered(SA.smallest(df, "_h", 40, digits=digits), "_h", rank_col="place").collect() if r.label}
+    assert ranks == {(k, i): n + 1 for k, v in by.items() if k for n, (_, i) in enumerate(sorted(v)[:40])}
+    # equal keys: the quota still holds
+    same = df.withColumn("_h", F.lit("ab" * 16))
+    assert SA.smallest(same.where("label = 'big'"), "_h", 5, ties=["seq"]).count() == 5
+    assert SA.smallest(df.limit(0), "_h", 5).count() == 0
+
+
+def test_samples_shuffle_the_edge_bucket_alone(spark):
+    """No window over a whole label: the only ranked rows are those of the edge bucket."""
+    from tessera.operators import sampling as SA
+
+    df = spark.range(200_000).select(F.col("id").alias("seq"), F.lit("hot").alias("label"), F.md5(F.col("id").cast("string")).alias("_h"))
+    plan = SA.smallest(df, "_h", 50_000, ties=["seq"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [row_number()") == 1
+    edge = SA.cut_offs(df, "_h", 50_000, ["label"]).first()
+    close = df.where(F.substring("_h", 1, SA.DIGITS) == edge["_edge"]).count()
+    assert 0 < edge["_room"] <= close < 40
+
+
+def test_text_index_saved_reloaded_and_searched(spark, tmp_path, monkeypatch):
+    import math
+    import re
+    from collections import Counter
+
+    from tessera.operators import textindex as TI
+
+    monkeypatch.setattr(TI, "SLICE_ROWS", 7)
+    texts = {f"t{i}": f"the {w} site number {i % 4} the" for i, w in enumerate(["yoga", "law", "photo", "coffee", "yoga", "été", "yoga studio", "studio"] * 4)}
+    texts |= {"empty": "", "null": None}
+    df = spark.createDataFrame([(k, v, k.upper()) for k, v in texts.items()] + [(None, "yoga", "x")], "id string, body string, name string")
+    TI.TextIndex.build(df, f"{tmp_path}/index", "id", "body")
+    index = TI.TextIndex.load(spark, f"{tmp_path}/index")
+    assert "body" not in index.records.columns and index.vectoriser.n_docs == len(texts)
+    asked = {"q1": "a yoga studio", "q2": "nothing known", "q3": "law the site", "q4": "Été number 1", **{f"self:{k}": v for k, v in texts.items()}}
+    queries = spark.createDataFrame(list(asked.items()), "query string, body string")
+
+    words = lambda t: Counter(re.findall(r"\w+", (t or "").lower()))
+    df_of = Counter(w for t in texts.values() for w in words(t))
+    n = len(texts)
+
+    def vec(t):
+        raw = {w: c * math.log((n + 1) / (df_of[w] + 1)) for w, c in words(t).items() if w in df_of and df_of[w] < n}
+        size = math.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / size for w, x in raw.items()}
+
+    vecs = {k: vec(t) for k, t in texts.items()}
+    for threshold in (None, 0.4):
+        got = {}
+        for r in index.search(queries, "query", "body", 3, threshold).collect():
+            got.setdefault(r.query, []).append((r.rank, r.id, r.score))
+        for q, t in asked.items():
+            v = vec(t)
+            scored = [(-round(sum(x * d.get(w, 0) for w, x in v.items()), 6), k) for k, d in vecs.items() if set(v) & set(d)]
+            best = [(i + 1, k, -s) for i, (s, k) in enumerate(sorted(scored)[:3]) if threshold is None or -s >= threshold]
+            assert sorted(got.get(q, [])) == best, q
+    assert all(got[f"self:t{i}"][0][2] == 1.0 for i in range(8))
+    # any id type
+    numbers = TI.TextIndex.build(df.select(F.hash("id").alias("k"), "body"), f"{tmp_path}/other", "k", "body")
+    assert numbers.search(queries, "query", "body", 1).where("query = 'q1'").count() == 1
+    assert TI.TextIndex.build(df.limit(0), f"{tmp_path}/none", "id", "body").search(queries, "query", "body").count() == 0
+
+
 @pytest.mark.parametrize(
     "name", ["clean_dedupe_documents", "union_new_first", "stratified_split", "seeded_shuffle_rank", "topk_vectors", "rate_minute", "build_training_set"]
 )
