@@ -1,4 +1,4 @@
-"""Streaming queries (H1-H4): each lands its input as time-ordered files in a
+"""Streaming queries (H1-H4): each lands its input as ordered files (one parallel job) in a
 fresh folder under the checkpoint directory, drains it with ``availableNow`` and
 returns the sink as a table.
 
@@ -21,14 +21,14 @@ from tessera.session import scratch_path
 from tessera.sources.tables import events, table
 from tessera.streaming import core as SC
 
-N_FILES = 4
+BATCHES = 4  # micro-batches that a landed table is taken in
 
 
 def _landed_events(spark, sf):
     root = scratch_path(spark, "events-landing")
     e = events(spark, sf).select("event_id", "ts", "user_id", "event_type")
-    SC.land_in_order(e, root, "ts", N_FILES)
-    return SC.file_stream(spark, root, e.schema)
+    n = SC.land_in_order(e, root, "ts")
+    return SC.file_stream(spark, root, e.schema, -(-n // BATCHES))
 
 
 _WM = "(SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events)"
@@ -81,8 +81,8 @@ def stream_dedupe(spark, sf):
     across all micro-batches (files land in doc_id order)."""
     root = scratch_path(spark, "docs-landing")
     d = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    SC.land_in_order(d, root, "doc_id", N_FILES)
-    s = SC.file_stream(spark, root, d.schema)
+    n = SC.land_in_order(d, root, "doc_id")
+    s = SC.file_stream(spark, root, d.schema, -(-n // BATCHES))
     v = s.where(T.validate_text("text", 3, DOC_MAX)).select("doc_id", "lang", T.clean_text("text").alias("t"))
     v = v.select("doc_id", "lang", "t", F.length("t").cast("long").alias("n_chars"))
     target, ckpt = scratch_path(spark, "dedupe-target"), scratch_path(spark, "dedupe-ckpt")
@@ -93,14 +93,13 @@ def stream_dedupe(spark, sf):
 @register("stream_resume", f"SELECT page_id, id, path, status, error FROM {_REVIEW_SQL}")
 def stream_resume(spark, sf):
     """H4: review gate over a file stream of templates, stopped and restarted on the
-    same checkpoint; the second run processes only the newly landed file."""
+    same checkpoint; the second run processes only the newly landed files."""
     t = X.templates(spark, sf)
     root = scratch_path(spark, "tpl-landing")
     sink, ckpt = scratch_path(spark, "review-sink"), scratch_path(spark, "review-ckpt")
     cut = t.approxQuantile("page_id", [0.66], 0.001)[0]
     first, rest = t.where(F.col("page_id") <= cut), t.where(F.col("page_id") > cut)
-    SC.land_in_order(first, root, "page_id", 2)
-    SC.run_available_now(review_gate_df(SC.file_stream(spark, root, t.schema)), sink, ckpt)
-    SC.land_in_order(rest, root, "page_id", 1)
-    SC.run_available_now(review_gate_df(SC.file_stream(spark, root, t.schema)), sink, ckpt)
+    for part in (first, rest):
+        n = SC.land_in_order(part, root, "page_id")
+        SC.run_available_now(review_gate_df(SC.file_stream(spark, root, t.schema, -(-n // 2))), sink, ckpt)
     return spark.read.parquet(sink)

@@ -36,3 +36,33 @@ def test_dedupe_batch_replay_is_idempotent(spark):
         SC.dedupe_micro_batch(b, bid, target, key, ["seq"], ["seq", "t"])
     got = sorted((r.seq, r.t) for r in spark.read.parquet(target).collect())
     assert got == [(1, "A"), (2, "b"), (5, "c")]
+
+
+def test_landing_is_one_parallel_job_in_stream_order(spark):
+    root = scratch_path(spark, "landing")
+    df = spark.range(0, 4000, 1, 6).select((F.hash("id") % 100_000).cast("long").alias("k"), "id")
+    n = SC.land_in_order(df.where("id < 3000"), root, "k", 12)
+    m = SC.land_in_order(df.where("id >= 3000"), root, "k", 5)
+    files = sorted(SC.landed_files(spark, root), key=lambda x: x[1])
+    assert len(files) == n + m and len({t for _, t in files}) == n + m and n > 8
+    spans = [spark.read.parquet(p).agg(F.min("k"), F.max("k")).first() for p, _ in files]
+    for part in (spans[:n], spans[n:]):
+        assert all(a[1] <= b[0] for a, b in zip(part, part[1:]))
+    assert spark.read.parquet(root).count() == 4000
+    sink, ck = scratch_path(spark, "landing-sink"), scratch_path(spark, "landing-ck")
+    SC.run_available_now(SC.file_stream(spark, root, df.schema, 3), sink, ck)
+    assert spark.read.parquet(sink).count() == 4000
+
+
+def test_dedupe_reads_only_the_buckets_of_the_batch(spark):
+    target = scratch_path(spark, "dedupe-buckets")
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(300)], "seq long, t string")
+    SC.dedupe_micro_batch(rows, 0, target, F.col("t"), ["seq"], ["seq", "t"], 2)
+    one = spark.createDataFrame([(900, "t7"), (901, "new")], "seq long, t string")
+    buckets = ["p" + r[0] for r in one.select(F.substring(F.sha2("t", 256), 1, 2)).collect()]
+    plan = SC.seen_keys(spark, target, 1, buckets)._jdf.queryExecution().executedPlan().toString()
+    part = plan[plan.index("PartitionFilters") :]
+    assert "bucket" in part.split("]")[0] and all(b in part for b in buckets)
+    SC.dedupe_micro_batch(one, 1, target, F.col("t"), ["seq"], ["seq", "t"], 2)
+    back = spark.read.parquet(target)
+    assert back.count() == 301 and back.where("t = 't7'").first().seq == 7 and back.where("batch_id = 1").count() == 1
