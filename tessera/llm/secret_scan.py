@@ -51,6 +51,7 @@ BARE = re.compile(r"""[^\s"'`,;{}\[\]()<>#]+""")
 JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)\s*")
 BLANK = re.compile(r"[ \t]*")
 THRESHOLD = 0.5
+ENDS = 64  # characters of a constant's beginning and end that are kept
 
 
 def name_score(name: str) -> float:
@@ -61,33 +62,73 @@ def name_score(name: str) -> float:
     return best * 0.3 if parts and parts[-1] in ABOUT else best
 
 
+class Literal:
+    """What is known of a constant: a leaf is one literal of the text, any other a concatenation. Only a bounded description is
+    kept (length, letter counts, both ends), so that a constant costs the same however long its value grows."""
+
+    __slots__ = ("n", "counts", "head", "tail", "url", "at_sign", "span", "parts", "score")
+
+    def __init__(self, value: str = "", span: tuple[int, int] | None = None, parts: tuple[Literal, ...] = ()):
+        self.span, self.parts, self.score = span, parts, 0.0
+        if parts:
+            a, b = parts
+            self.n, self.counts = a.n + b.n, a.counts + b.counts
+            self.head = (a.head + b.head)[:ENDS] if a.n == len(a.head) else a.head
+            self.tail = (a.tail + b.tail)[-ENDS:] if b.n == len(b.tail) else b.tail
+            self.url, self.at_sign = a.url or b.url or "://" in a.tail[-2:] + b.head[:2], a.at_sign or b.at_sign
+        else:
+            self.n, self.counts, self.head, self.tail = len(value), Counter(value), value[:ENDS], value[-ENDS:]
+            self.url, self.at_sign = "://" in value, "@" in value
+
+    def placeholder(self) -> bool:
+        if self.n <= ENDS:
+            return bool(PLACEHOLDER.match(self.head))
+        return bool(PLACEHOLDER.match(self.head + self.tail)) and (self.head[0] not in "xX*." or len(self.counts) == 1)
+
+    def secrecy(self) -> float:
+        """How much it looks like key material, 0 to 1: length, entropy, character classes."""
+        if self.n < 8 or self.placeholder() or self.url and not self.at_sign:
+            return 0.0
+        if any(c.isspace() for c in self.counts):
+            return 0.2
+        entropy = -sum(c / self.n * math.log2(c / self.n) for c in self.counts.values())
+        letters = "".join(self.counts)
+        classes = sum(bool(re.search(p, letters)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
+        return min(1.0, 0.35 * min(entropy / 3.0, 1.0) + 0.35 * min(self.n, 12) / 12 + 0.15 * classes)
+
+    def report(self, score: float) -> list[tuple[int, int]]:
+        """Spans of its literals that no score as high has reached before; every constant is entered once per rise."""
+        out, todo = [], [self]
+        while todo:
+            x = todo.pop()
+            if x.score >= score:
+                continue
+            x.score = score
+            if x.span:
+                out.append(x.span)
+            todo += x.parts
+        return out
+
+
 def literal_score(value: str) -> float:
-    """How much a literal looks like key material, 0 to 1: length, entropy, character classes."""
-    if len(value) < 8 or PLACEHOLDER.match(value) or "://" in value and "@" not in value:
-        return 0.0
-    if any(c.isspace() for c in value):
-        return 0.2
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
-    return min(1.0, 0.35 * min(entropy / 3.0, 1.0) + 0.35 * min(n / 12, 1.0) + 0.15 * classes)
-
-
-def _operand(text: str, at: int, env: dict):
-    """One operand at ``at``: (value, literal spans, end) or None."""
+    """How much a literal looks like key material, 0 to 1."""
+    return Literal(value).secrecy()
+
+
+def _operand(text: str, at: int, env: dict[str, Literal]) -> tuple[Literal, int, str] | None:
+    """One operand at ``at``: (literal, end, the name it was read from, if any) or None."""
     m = STRING.match(text, at)
     if m:
         g = m.lastindex
-        return m[g], [m.span(g)], m.end()
+        return Literal(m[g], m.span(g)), m.end(), ""
     m = BARE.match(text, at)
     if not m:
         return None
     word = m[0].rstrip(".:")
     end = at + len(word)
     if word in env:
-        value, spans = env[word]
-        return value, spans, end
-    return (word, [(at, end)], end) if word else None
+        return env[word], end, word
+    return (Literal(word, (at, end)), end, "") if word else None
 
 
 def _back(text: str, at: int, chars: str = " \t") -> int:
@@ -158,7 +199,7 @@ def _declared(text: str, end: int) -> tuple[str, int] | None:
 
 def literal_spans(text: str) -> list[tuple[int, int, float]]:
     """Spans of literals that reach a sensitive name, with their scores; constants are propagated."""
-    env: dict[str, tuple[str, list]] = {}
+    env: dict[str, Literal] = {}
     found: dict[tuple[int, int], float] = {}
     after: dict[int, list] = {}  # bare words found behind a colon
     for op in OPERATOR.finditer(text):
@@ -174,21 +215,27 @@ def literal_spans(text: str) -> list[tuple[int, int, float]]:
         got = _operand(text, at, env)
         if not got:
             continue
-        value, spans, end = got
-        spans = list(spans)
+        value, end, read = got
+        used = {read}
         while (j := JOIN.match(text, end)) and j.end() < len(text):
             more = _operand(text, j.end(), env)
             if not more:
                 break
-            value, spans, end = value + more[0], spans + list(more[1]), more[2]
+            value, end = Literal(parts=(value, more[0])), more[1]
+            used.add(more[2])
         if text.startswith("(", end):  # a call: its result is not a literal
             continue
-        env.update(dict.fromkeys(names, (value, spans)))
+        for n in names:  # a name in its own right side is no constant
+            if n in used:
+                env.pop(n, None)
+            else:
+                env[n] = value
         for s in after.pop(typed[1], ()) if typed else ():
             if s[1] <= op.start():
                 found.pop(s, None)  # a type, no literal
-        score = max(map(name_score, names)) * literal_score(value)
+        score = max(map(name_score, names)) * value.secrecy()
         if score >= THRESHOLD:
+            spans = value.report(score)
             if op[0] == ":":
                 after[op.start()] = [s for s in spans if s[0] >= at and s not in found and text[s[0] - 1] not in "\"'`"]
             for s in spans:
@@ -259,8 +306,11 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def redact(df: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """The same rows and columns with secrets masked; ``n_chars`` (if present) follows the new text."""
     cols = df.columns
-    src = df.withColumn("_scan", F.when(F.col(text).rlike(CANDIDATE), F.lit(True)))
-    out = src.drop("_scan")
+    mark = "_scan"
+    while mark in cols:
+        mark += "_"
+    src = df.select(*[F.col(f"`{c}`") for c in cols], F.when(F.col(text).rlike(CANDIDATE), F.lit(True)).alias(mark))
+    out = src.drop(mark)
     flag = len(cols)
     at = cols.index(text)
 

@@ -491,3 +491,68 @@ def test_chunk_encoder_equals_the_library():
     enc = tokens.ChunkEncoder(tokens.vocabulary())
     odd = ["á b̈ x", "don't It's we'LL", "İstanbul ΣΑΣ", "日本語 テスト", "<|endoftext|> x<|startoftext|>y", "t\ts\x0bq\r\nz", "½²³ x² ªº µ", " nb\u00a0sp\u2028ls", "'s 'S ' s", None, "", " ", "ß ẞ", "a…b “q”", "word. Word, WORD!! 12a3"]
     assert enc.encode(odd) == enc.whole([t or "" for t in odd])
+
+
+# ---- growth, clashes and order
+
+
+def test_secret_constants_stay_bounded():
+    import time
+
+    t = time.time()
+    for lines in ("x = x + x\n" * 60, "b = x + x\nx = b + b\n" * 60):
+        spans = secret_scan.spans_of("x = 'k9QzX2mPw8'\n" + lines + "password = x")
+        assert all(k == "literal" for k, *_ in spans)
+    text = "password0 = 'k9QzX2mPw8'\n" + "".join(f"password{i + 1} = password{i} + 'a{i}'\n" for i in range(500))
+    assert len({s[1:3] for s in secret_scan.spans_of(text)}) == 501
+    assert time.time() - t < 5
+    parts = ["k9QzX2mPw8", "x" * 90, "ab", "://", "u@h", "your-"]
+    for a in parts:
+        for b in parts:
+            joined = secret_scan.Literal(parts=(secret_scan.Literal(a), secret_scan.Literal(b)))
+            assert joined.secrecy() == pytest.approx(secret_scan.literal_score(a + b))
+
+
+def test_unknown_elements_are_part_of_a_line():
+    model = html_extract.fit(html_extract.labelled_pages())
+    page = "<article><h1>The title</h1><p>It uses <acronym>HTML</acronym> and <my-term>other</my-term> <output>5</output> tools.</p><figure><img src=x><figcaption>What the picture shows here</figcaption></figure><ruby>a<rt>b</rt></ruby></article>"
+    assert model.text(page) == "The title\nIt uses HTML and other 5 tools.\nWhat the picture shows here\nab"
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    model = html_extract.fit(html_extract.labelled_pages())
+    t = time.time()
+    page = "<article>" + "<div><span>" * 20_000 + "inner words of the page" + "</span></div>" * 20_000 + "</article>"
+    assert len(html_extract.parse(page).nodes) == 20_003 and time.time() - t < 20
+    assert model.text("<li>" * 500 + "x") is not None
+
+
+def test_redact_with_a_clashing_column(spark):
+    df = spark.createDataFrame([(1, "password=abcdef123456", True)], "doc_id bigint, text string, _scan boolean")
+    got = secret_scan.redact(df).first()
+    assert got.text == secret_scan.MASK and got["_scan"] is True and secret_scan.redact(df).columns == df.columns
+
+
+def test_toxic_training_rows_do_not_depend_on_order(spark):
+    rng = random.Random(12)
+    base = words(rng, 30, 900)
+    rows = [(i, base + f" tail{i % 7}", i % 2) for i in range(80)]
+    got = []
+    for parts in (1, 7):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(parts)
+        picked = toxicity.training_rows(df, df.select("doc_id", "toxic"), "doc_id", "text", "toxic", 1000)
+        got.append(sorted(tuple(r) for r in picked.collect()))
+    assert got[0] == got[1]
+
+
+def test_clause_starts_do_not_search_the_whole_text():
+    import time
+
+    g = toxicity.Matcher({"=idiot": 4.0})
+    long = "you idiot. " * 100_000
+    t = time.time()
+    few, many = g.features("you idiot. " * 3), g.features(long)
+    assert time.time() - t < 30 and max(many) > max(few) > 0

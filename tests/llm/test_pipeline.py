@@ -30,3 +30,20 @@ def test_stages(spark, docs, rows, tmp_path):  # noqa: F811
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     check_pieces(pieces, whole_ids(list(steps[3].items()), 2), 4096)
     assert toxicity.CUT == 0.3
+
+
+def test_stages_with_clashing_columns_null_ids_and_empty_tables(spark, docs, tmp_path):  # noqa: F811
+    from pyspark.sql import functions as F
+
+    clash = ["stratum", "score", "_x", "_scan", "_t", "_q", "_kept", "row", "_row"]
+    table = docs.unionByName(spark.createDataFrame([(None, "a text without an id " * 9, "en", "s", 9)], docs.schema))
+    for c in clash:
+        table = table.withColumn(c, F.lit(f"own {c}"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for at in (table, table.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            at = spark.createDataFrame(stage(spark, at, str(tmp_path)).collect(), table.schema)
+            assert at.columns == table.columns, name
+            assert {tuple(r) for r in at.select(*clash).distinct().collect()} <= {tuple(f"own {c}" for c in clash)}
+        assert at.where("doc_id is null").count() in (0, 1)
+        assert corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).count() >= at.count()
