@@ -36,12 +36,15 @@ BREAKOUT = {"b", "big", "blockquote", "body", "br", "center", "code", "dd", "div
             "h6", "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s", "small", "span",
             "strong", "strike", "sub", "sup", "table", "tt", "u", "ul", "var"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
-          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "center", "nobr", "object", "math", "svg"}
+# Elements that begin and end a block; every other element, known or not, is part of a line.
+BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "colgroup", "dd", "details", "dialog", "dir", "div", "dl", "dt",
+          "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "html",
+          "legend", "li", "listing", "main", "menu", "nav", "noframes", "ol", "optgroup", "p", "plaintext", "pre", "search", "section",
+          "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "xmp", "head"} - HIDDEN
 # A start tag on the left ends an open element on the right, if no element of the stop set is in between.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 STOPS = {"ul", "ol", "dl", "table", "tbody", "thead", "article", "section", "main", "body", "object", "foreignobject"}
-SECTIONS = {f"tag={t}" for t in ("nav", "header", "footer", "aside", "form", "article", "main", "section", "dialog", "figure")}
+SECTIONS = {f"tag={t}" for t in ("nav", "header", "footer", "aside", "form", "article", "main", "section", "dialog")}
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -53,6 +56,7 @@ class Page(HTMLParser):
         self.nodes: list[tuple[int, list[str], str | None]] = [(-1, ["tag=root"], None)]
         self.labels: list[int | None] = [None]
         self.stack: list[tuple[str, int, bool]] = [("root", 0, False)]  # tag, node of the nearest block, hides its text
+        self.places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
         self.hidden = 0
         self.foreign = 0
         self.in_body = False  # a head may no longer start
@@ -76,11 +80,20 @@ class Page(HTMLParser):
             self.hidden -= hides
             self.foreign -= tag in FOREIGN
             self.in_link -= tag == "a"
+            self.places[tag].pop()
         del self.stack[at:]
 
+    def push(self, tag: str, node: int, hides: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, node, hides))
+
+    def last(self, tags: set[str]) -> int:
+        """Place of the innermost open element of these tags; 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def open_within(self, tag: str, hides: bool) -> None:
         """An element without a block of its own."""
-        self.stack.append((tag, self.stack[-1][1], hides))
+        self.push(tag, self.stack[-1][1], hides)
         self.hidden += hides
         self.foreign += tag in FOREIGN
         self.in_link += tag == "a"
@@ -95,16 +108,15 @@ class Page(HTMLParser):
         """Whether a start tag belongs to an open formula or drawing; an HTML tag there ends it."""
         if not self.foreign:
             return False
-        inner = next(t for t, *_ in reversed(self.stack) if t in FOREIGN or t in FOREIGN_HTML)
-        if inner in FOREIGN_HTML:
+        if self.last(FOREIGN_HTML) > self.last(FOREIGN):
             return False
         if tag in BREAKOUT:
-            self.close_to(next(at for at, (t, *_) in enumerate(self.stack) if t in FOREIGN))
+            self.close_to(min(self.places[t][0] for t in FOREIGN if self.places.get(t)))
             return False
         return True
 
     def handle_starttag(self, tag, attrs):
-        if tag == "head" and (self.in_body or any(t == "head" for t, *_ in self.stack)):
+        if tag == "head" and (self.in_body or self.places.get("head")):
             return
         if tag not in HEAD:
             self.leave_head()
@@ -117,17 +129,14 @@ class Page(HTMLParser):
             if tag in ("br", "hr"):
                 self.text.append(" ")
             return
-        if tag in INLINE or tag in HIDDEN:
+        if tag not in BLOCKS:
             self.open_within(tag, tag in HIDDEN)
             return
         self.flush()
         over = {"p"} | ENDS.get(tag, set())
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at][0] in over:
-                self.close_to(at)
-                break
-            if self.stack[at][0] in STOPS:
-                break
+        at = self.last(over)
+        if at > self.last(STOPS):
+            self.close_to(at)
         feats = [f"tag={tag}"]
         label = None
         for k, v in attrs:
@@ -137,16 +146,16 @@ class Page(HTMLParser):
                 label = int(v)
         self.nodes.append((self.stack[-1][1], feats, None))
         self.labels.append(label)
-        self.stack.append((tag, len(self.nodes) - 1, False))
+        self.push(tag, len(self.nodes) - 1, False)
 
     def handle_endtag(self, tag):
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at][0] == tag:
-                if tag in INLINE - FOREIGN and self.stack[-1][1] != self.stack[at][1]:
-                    return  # a block is open inside: the stray end is dropped
-                self.close_to(at)
-                self.in_body = self.in_body or tag == "head"
-                return
+        at = self.last({tag})
+        if not at:
+            return
+        if tag not in BLOCKS and tag not in HIDDEN and tag not in FOREIGN and self.stack[-1][1] != self.stack[at][1]:
+            return  # a block is open inside: the stray end is dropped
+        self.close_to(at)
+        self.in_body = self.in_body or tag == "head"
 
     def handle_data(self, data):
         if data.strip():
@@ -220,6 +229,17 @@ def labelled_pages() -> list[str]:
         kids = "".join(block(inner[(i + j) % len(inner)], i + j) for j in range(2 + i % 4))
         kids = [kids, f"<div data-label=1>{kids}</div>", f"<div data-label=1>{text(8, i)}</div>{kids}", f"<p data-label=1>{text(2, i)}</p>"][i % 4]
         pages.append(f"<body data-label=1>{kids}{junk(boiler[i % len(boiler)], i) if i % 2 else ''}</body>")
+    parts = [
+        lambda i: f"<figure data-label=1><img><figcaption data-label=1>{text(3 + i % 9, i)}</figcaption></figure>",
+        lambda i: f"<details data-label=1><summary data-label=1>{text(3, i)}</summary><p data-label=1>{text(12, i)}</p></details>",
+        lambda i: f"<dl data-label=1><dt data-label=1>{text(2, i)}</dt><dd data-label=1>{text(9, i)}</dd></dl>",
+        lambda i: f"<section data-label=1><h2 data-label=1>{text(4, i)[:-1]}</h2>{block('p', i)}{block('ul', i)}</section>",
+    ]
+    for i in range(len(boiler)):  # articles with figures, details, definitions and sections of their own
+        tag, words = content[i % len(content)]
+        kids = "".join([block("p", i), parts[i % 4](i), block("p", i + 1), parts[(i + 1) % 4](i + 2)])
+        main = f'<{tag} class="{words}" data-label=1><h1 data-label=1>{text(6, i)[:-1]}</h1>{kids}</{tag}>'
+        pages.append(f"<body data-label=1>{junk(boiler[i], i)}{main}{junk(boiler[(i + 7) % len(boiler)], i + 1)}</body>")
     return pages
 
 
