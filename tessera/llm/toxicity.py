@@ -188,7 +188,8 @@ class Matcher:
                 at = end - n + 1
                 if at <= done or at and low[at - 1].isalnum():
                     continue
-                start = max(low.rfind(c, 0, at) for c in ".!?;\n") + 1
+                floor = done + 1  # no clause starts before the last one's end
+                start = max(floor, *(low.rfind(c, floor, at) + 1 for c in ".!?;\n"))
                 stop = CLAUSE_END.search(low, at)
                 done = stop.start() if stop else len(low)
                 for kind, w in self.clause(low[start:done]):
@@ -210,8 +211,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     # step by step, so that the lambdas read finished arrays
     rows = rows.withColumn("_w", words_of(F.col("_text"))).withColumn("_h", window_hashes(F.col("_w")))
     whole = F.xxhash64("_text")
-    rows = rows.select("_text", "_label", F.coalesce(F.array_min("_h"), whole).alias("_a"), F.coalesce(F.array_max("_h"), whole).alias("_b"))
-    return rows.dropDuplicates(["_a"]).dropDuplicates(["_b"]).select("_text", "_label")
+    rows = rows.select("_k", "_text", "_label", F.coalesce(F.array_min("_h"), whole).alias("_a"), F.coalesce(F.array_max("_h"), whole).alias("_b"))
+    # of each group the row of the least (text hash, key), whatever order the rows arrive in
+    for group in ("_a", "_b"):
+        least = F.min_by(F.struct("_k", "_text", "_label", "_a", "_b"), F.struct(F.xxhash64("_text"), F.col("_k").cast("string"), "_label"))
+        rows = rows.groupBy(F.col(group).alias("_g")).agg(least.alias("_r")).select("_r.*")
+    return rows.select("_text", "_label")
 
 
 def learn_patterns(rows: DataFrame, max_patterns: int = MAX_PATTERNS) -> dict[str, float]:
