@@ -12,6 +12,7 @@ from tessera.session import scratch_path
 
 # Words are runs of anything but ASCII white space (the contracts' `[^\x20\x09-\x0D]+`).
 WORD_SPACE = "[\\x20\\x09-\\x0D]"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -24,16 +25,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and return the reread table.
 
     Cuts the lineage: a lost executor costs at most a reread of finished files. The shuffle files of
-    the write go when it ends.
+    the write go when it ends, and texts are handed to Python a thousand at a time.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    was = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    wanted = {CLEANUP: "true", ARROW_ROWS: "1000"}
+    was = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -35,6 +35,7 @@ from tessera.llm.shingles import Shingler
 
 SIMILARITY = Fraction(3, 4)
 SIEVE = 0.4
+BATCH_ROWS = 1 << 15  # hashes handed over at once
 
 
 def _sieved(docs: DataFrame, key: str, text: str, share: float) -> DataFrame:
@@ -44,24 +45,33 @@ def _sieved(docs: DataFrame, key: str, text: str, share: float) -> DataFrame:
 
     def run(batches):
         shingler = Shingler()
+        def rows(ids, n, low):
+            real = np.array([len(x) > 0 for x in low])
+            low = [x if len(x) else np.array([(i or 0) * 0x9E3779B97F4A7C15 % 2**64], np.uint64) for i, x in zip(ids, low)]
+            times = np.array([len(x) for x in low])
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), times))),
+                    pa.array(np.repeat(n, times).astype("i4")),
+                    pa.array(np.concatenate(low).view("i8")),
+                    pa.array(np.repeat(real, times)),
+                ],
+                names=["id", "n", "h", "real"],
+            )
+
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                ids = part.column(0).to_pylist()
-                sets = [shingler(t) for t in part.column(1).to_pylist()]
-                low = [s[: np.searchsorted(s, limit)] for s in sets]
-                real = np.array([len(x) > 0 for x in low])
-                low = [x if len(x) else np.array([(i or 0) * 0x9E3779B97F4A7C15 % 2**64], np.uint64) for i, x in zip(ids, low)]
-                times = np.array([len(x) for x in low])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), times))),
-                        pa.array(np.repeat([len(s) for s in sets], times).astype("i4")),
-                        pa.array(np.concatenate(low).view("i8")),
-                        pa.array(np.repeat(real, times)),
-                    ],
-                    names=["id", "n", "h", "real"],
-                )
+            ids, n, low, size = [], [], [], 0
+            for k, t in zip(b.column(0), b.column(1)):
+                own = shingler(t.as_py())
+                ids.append(k.as_py())
+                n.append(len(own))
+                low.append(own[: np.searchsorted(own, limit)].copy())
+                size += len(low[-1])
+                if size >= BATCH_ROWS:
+                    yield rows(ids, n, low)
+                    ids, n, low, size = [], [], [], 0
+            if ids:
+                yield rows(ids, n, low)
 
     return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text)).mapInArrow(run, "id bigint, n int, h bigint, real boolean")
 
@@ -74,8 +84,8 @@ def _full(docs: DataFrame, key: str, text: str) -> DataFrame:
 
         shingler = Shingler()
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 32):
+                part = b.slice(at, 32)
                 sets = [shingler(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
