@@ -13,17 +13,22 @@ from tessera.llm import jaccard_join, packing, quality, secret_scan, toxicity
 from tessera.llm.common import read_table, written
 
 
+def _nested(docs: DataFrame) -> DataFrame:
+    """The columns that stages read, and the whole row as one struct: whatever else it holds cannot clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "lang")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    judged = quality.kept(docs, read_table(spark, sf_dir, "labels"))
-    return judged.where("_kept").select(docs.columns)
+    judged = quality.kept(_nested(docs), read_table(spark, sf_dir, "labels"), columns=["row", "doc_id", "lang"])
+    return judged.where("_kept").select("row.*")
 
 
 def clean_speech(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar calls toxic go."""
     grammar = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, grammar, docs.columns)
-    return scored.where(F.col("score") < toxicity.CUT).select(docs.columns)
+    scored = toxicity.score(_nested(docs), grammar, ["row"])
+    return scored.where(F.col("score") < toxicity.CUT).select("row.*")
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
