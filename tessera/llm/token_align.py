@@ -23,6 +23,7 @@ input columns are ignored, so their names cannot clash. An empty table gives no
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -38,10 +39,10 @@ from tessera.llm.common import worker_cache, written
 BLOCK_TOKENS = 1 << 19  # A tokens of a block; a longer document is a block of its own
 LANE_TOKENS = 256  # A tokens of a lane, about
 LOOK = 32  # A tokens looked at for a common end to part lanes at
-CACHE = 150_000  # chunks whose ids a worker keeps
-CHUNK = re.compile(r"[ \n]?[^ \n]+")
+PROBE = (" The Straße, don't 12  x\n\ny\t z ", "日本語 😀 <|endoftext|>", "aaaaaaaaaaaaaaaaaa", " \u00a0é́\r\n")
 SPACE_PIECE = "▁"
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
+NO_IDS = np.empty(0, np.int32)
 PAIR_BITS = 20  # a pair is a_id << PAIR_BITS | b_id; both ids stay below 2^20
 
 
@@ -67,81 +68,48 @@ def piece_bytes(piece: str) -> bytes:
 
 
 class PairEncoder:
-    """Texts to the ids of both tokenizers.
-
-    A text without neighbouring blanks is encoded chunk by chunk (a blank or line break and what follows up to
-    the next): neither tokenizer joins anything across such a chunk's start, so a chunk's ids are kept and used
-    again. Any other text goes through both libraries whole. Results never depend on the cache."""
+    """Whole texts to the ids of both tokenizers. A runs on the merge ranks of its file where those are in the order of the ids, else in
+    the file's own library."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
+        letters = letter_bytes()
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
+        self.a_bytes, self.a_encode = self._entries(a_path, letters)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        letters = letter_bytes()
-        entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
-        self.a_bytes = [bytes(letters[c] for c in e) if all(c in letters for c in e) else e.encode() for e in entries]
-        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [piece_bytes(p) for p in pieces]
+        self.b_bytes = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
-        # chunks are independent only if no piece reaches over a blank or a line break
-        self.by_chunk = not any(SPACE_PIECE in p[1:] and p.strip(SPACE_PIECE) or "\n" in p for p in pieces)
-        self.kept: dict[str, tuple[bytes, bytes]] = {}
-        self.space = np.int32(self.b.piece_to_id(SPACE_PIECE)).tobytes()
-
-    def _a(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, np.int32).tobytes() for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _b(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(x, np.int32).tobytes() for x in self.b.encode(texts, num_threads=1)]
-
-    def _spelled(self, text: str, a: bytes, b: bytes) -> bool:
-        raw = text.encode("utf-8", "surrogatepass")
-        return all(
-            b"".join([table[i] for i in np.frombuffer(ids, np.int32).tolist()]) == raw
-            for table, ids in ((self.a_bytes, a), (self.b_bytes, b))
-        )
-
-    def whole(self, text: str) -> tuple[bytes, bytes]:
-        """The ids of one text without the cache; none where they do not spell it."""
-        a, b = self._a([" " + text])[0], self._b([text])[0]
-        return (a, b) if self._spelled(" " + text, a, b) else (b"", b"")
-
-    def _learn(self, chunks: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of new chunks; None where a chunk cannot be taken by itself."""
-        got = {}
-        coded = zip(chunks, self._a(chunks), self._b([c[1:] if c[0] == " " else c for c in chunks]))
-        for c, a, b in coded:
-            if c[0] != " ":  # B's own space stands alone before a line break
-                b = b[4:] if b.startswith(self.space) else None
-            got[c] = (a, b) if b is not None and self._spelled(c, a, b) else None
-        return got
+
+    def _entries(self, path: str, letters: dict[str, int]):
+        """Bytes of A's entries, and the function from a text to its ids."""
+        entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
+        spelled = [bytes(letters[c] for c in e) if all(c in letters for c in e) else e.encode() for e in entries]
+        with open(path, encoding="utf-8") as f:
+            merges = json.load(f)["model"]["merges"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        if [x + y for x, y in pairs] == entries[256 : 256 + len(pairs)] and all(len(e) == 1 for e in entries[:256]):
+            import public_tokenizers
+            import tiktoken
+
+            ranks = {e: i for i, e in enumerate(spelled[: 256 + len(pairs)])}
+            bpe = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            if all(bpe.encode_ordinary(t) == self.a.encode(t, add_special_tokens=False).ids for t in PROBE):
+                return spelled, bpe.encode_ordinary
+        return spelled, lambda t: self.a.encode(t, add_special_tokens=False).ids
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``(a ids, b ids)`` of every text."""
-        split = [CHUNK.findall(" " + t) if t and self.by_chunk else [] for t in texts]
-        split = [c if c and sum(map(len, c)) == len(t) + 1 else None for c, t in zip(split, texts)]
-        new = {c for chunks in split if chunks for c in chunks if c not in self.kept}
-        fresh = self._learn(list(new)) if new else {}
-        for c, x in fresh.items():
-            if x is not None and len(self.kept) < CACHE:
-                self.kept[c] = x
+        """``(a ids, b ids)`` of every text; none where they do not spell it."""
         out = []
-        for text, chunks in zip(texts, split):
-            if not text:
-                a = b = b""
-            else:
-                parts = [self.kept.get(c) or fresh[c] for c in chunks] if chunks else [None]
-                if None in parts:
-                    a, b = self.whole(text)
-                else:
-                    one, two = zip(*parts)
-                    a, b = b"".join(one), b"".join(two)
-            out.append((np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)))
+        for t, b in zip(texts, self.b.encode([t or "" for t in texts], num_threads=1)):
+            a = self.a_encode(" " + t) if t else []
+            raw = (" " + t).encode("utf-8", "surrogatepass") if t else b""
+            ok = b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b])
+            out.append((np.array(a, np.int32), np.array(b, np.int32)) if ok else (NO_IDS, NO_IDS))
         return out
 
 
