@@ -31,9 +31,20 @@ def test_no_cartesian_and_python_only_in_vectors(spark, name):
 
 
 @pytest.mark.parametrize("name", ["cap_per_label", "balance_downsample", "build_training_set", "augment"])
-def test_capped_samples_limit_before_shuffle(spark, name):
-    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+def test_capped_samples_are_cut_off_where_they_are_read(spark, name):
+    """Ranks of whole labels are never taken: a window runs over an edge bucket (behind a filter on it) or over one bucket of a
+    finished sample, and no row is shuffled by its text."""
+    import re
+
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    ranks = re.findall(r"Window \[row_number\(\) windowspecdefinition\(([^,]+), ([^,]+),", plan)
+    assert ranks and "_edge" in plan
+    for label, then in ranks:
+        assert "label" in label and ("_h" in then or "_bucket" in then)
+    physical = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for keys in re.findall(r"hashpartitioning\((.*?), \d+\)", physical):
+        assert not re.search(r"\b(text|item)#", keys), keys
+
 
 
 def test_flagship_scan_is_pruned(spark):
