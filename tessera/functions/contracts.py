@@ -127,8 +127,9 @@ def _name(x) -> str:
 
 
 def effect_error(meta: str, css: str, trigger: str) -> Column:
-    """Keys -> trigger -> fx- prefix -> class in css -> reduced motion ->
-    onscroll/js rules (strict JSON booleans) -> @keyframes (onload) -> :hover (hover)."""
+    """Meta an object -> keys -> trigger -> fx- prefix -> class in css -> reduced motion ->
+    onscroll/js rules (strict JSON booleans) -> @keyframes (onload) -> :hover (hover). A rule that meets a null
+    (no css, a null class) is not met."""
     m, c, t = F.col(meta), F.col(css), F.col(trigger)
     got_trigger = F.get_json_object(m, "$.trigger")
     css_class = F.get_json_object(m, "$.css_class")
@@ -138,21 +139,25 @@ def effect_error(meta: str, css: str, trigger: str) -> Column:
     shared_val = F.get_json_object(m, "$.requires_shared_js")
     is_true = (js_type == "BOOLEAN") & (js_val == "true")
     is_false = (js_type == "BOOLEAN") & (js_val == "false")
-    onscroll = t == "onscroll"
+    onscroll = F.coalesce(t == "onscroll", F.lit(False))
+    shown = F.coalesce(css_class, F.lit("None"))
+    unless = lambda rule, message: F.when(F.coalesce(~rule, F.lit(True)), message)
+    where = lambda kind, rule, message: F.when(kind & F.coalesce(~rule, F.lit(True)), message)
     return F.coalesce(
+        F.when(m.isNotNull() & F.json_object_keys(m).isNull(), F.lit(MSG_BAD_META)),
         missing_field(m, EFFECT_REQUIRED),
         F.when(~got_trigger.eqNullSafe(t), fmt(MSG_TRIGGER, expected=t, got=F.coalesce(got_trigger, F.lit("None")))),
-        F.when(~css_class.startswith(EFFECT_CLASS_PREFIX), fmt(MSG_PREFIX, css_class=css_class)),
-        F.when(~c.contains(css_class), fmt(MSG_CLASS_NOT_IN_CSS, css_class=css_class)),
-        F.when(~c.contains(CSS_REDUCED_MOTION), F.lit(MSG_REDUCED_MOTION)),
-        F.when(onscroll & ~is_true, F.lit(MSG_SCROLL_JS)),
-        F.when(onscroll & ~((shared_type == "STRING") & shared_val.eqNullSafe(F.lit(SCROLL_HELPER_ID))), F.lit(MSG_SCROLL_SHARED)),
-        F.when(onscroll & ~c.contains(CSS_IN_VIEW), F.lit(MSG_SCROLL_IN_VIEW)),
-        F.when(onscroll & ~c.contains(CSS_SCROLL_TARGET), F.lit(MSG_SCROLL_TARGET)),
-        F.when(~onscroll & ~is_false, fmt(MSG_NO_JS, trigger=t)),
-        F.when(~onscroll & ~(shared_type == "VOID"), fmt(MSG_NO_SHARED, trigger=t)),
-        F.when((t == "onload") & ~c.contains(CSS_KEYFRAMES), F.lit(MSG_KEYFRAMES)),
-        F.when((t == "hover") & ~c.contains(CSS_HOVER), F.lit(MSG_HOVER)),
+        unless(css_class.startswith(EFFECT_CLASS_PREFIX), fmt(MSG_PREFIX, css_class=shown)),
+        unless(c.contains(css_class), fmt(MSG_CLASS_NOT_IN_CSS, css_class=shown)),
+        unless(c.contains(CSS_REDUCED_MOTION), F.lit(MSG_REDUCED_MOTION)),
+        where(onscroll, is_true, F.lit(MSG_SCROLL_JS)),
+        where(onscroll, (shared_type == "STRING") & shared_val.eqNullSafe(F.lit(SCROLL_HELPER_ID)), F.lit(MSG_SCROLL_SHARED)),
+        where(onscroll, c.contains(CSS_IN_VIEW), F.lit(MSG_SCROLL_IN_VIEW)),
+        where(onscroll, c.contains(CSS_SCROLL_TARGET), F.lit(MSG_SCROLL_TARGET)),
+        where(~onscroll, is_false, fmt(MSG_NO_JS, trigger=t)),
+        where(~onscroll, shared_type == "VOID", fmt(MSG_NO_SHARED, trigger=t)),
+        where(t == "onload", c.contains(CSS_KEYFRAMES), F.lit(MSG_KEYFRAMES)),
+        where(t == "hover", c.contains(CSS_HOVER), F.lit(MSG_HOVER)),
     )
 
 

@@ -89,8 +89,8 @@ def failure_breakdown(pairs: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def known_miss_split(failures: DataFrame, known: DataFrame, on: str) -> DataFrame:
     """C11: a failure is 'accepted' when its key is in the known-miss set, else a
-    'regression'. ``known`` is a small dimension (broadcast)."""
+    'regression'. The optimizer sees how large ``known`` is."""
     k = known.select(on).distinct().withColumn("_known", F.lit(True))
-    return failures.join(F.broadcast(k), on, "left").withColumn(
+    return failures.join(k, on, "left").withColumn(
         "status", F.when(F.col("_known"), "accepted").otherwise("regression")
     ).drop("_known")

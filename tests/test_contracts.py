@@ -127,3 +127,18 @@ def test_default_business_data(spark):
     row = df.select(R.map_text(R.default_scalars("s")), R.map_text(R.default_item("f"))).first()
     assert row[0] == "accent_color=#d2a679;brand_color=#8b5a2b;business_name=Riverside Bakery;foo=Please fill: foo"
     assert row[1] == "item_name=Sourdough Loaf;x=Please fill: x"
+
+
+@pytest.mark.parametrize("meta,css,want", [
+    ("{broken", "x", "MSG_BAD_META"), ("[1]", "x", "MSG_BAD_META"), ("null class", "ok", "css_class must start with 'fx-', got: None"), ("ok", None, "declared in meta but not found in css"),
+])
+def test_effect_rules_meet_nulls(spark, meta, css, want):
+    """A null class or css, or a meta that is no object, is an error and never passes."""
+    import json
+
+    good = {f: "x" for f in K.EFFECT_REQUIRED} | {"trigger": "hover", "css_class": "fx-a", "requires_js": False, "requires_shared_js": None}
+    meta = {"null class": json.dumps(good | {"css_class": None}), "ok": json.dumps(good)}.get(meta, meta)
+    css = f".fx-a:hover {{ }} {K.CSS_REDUCED_MOTION}" if css == "ok" else css
+    df = spark.createDataFrame([(meta, css, "hover")], "meta string, css string, t string")
+    got = df.select(K.effect_error("meta", "css", "t")).first()[0]
+    assert got is not None and getattr(K, want, want) in got
