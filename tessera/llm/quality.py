@@ -4,7 +4,7 @@ Every rule compares one text measure with a cut-off. Cut-offs are chosen per str
 holdout rows so that, with probability ``1 - delta`` over all strata and rules together, each rule
 rejects at most a share ``alpha`` of the good documents of its stratum. Per (stratum, rule) the cut-offs
 are tried from the most lenient to the strictest, and one is accepted while the exact binomial tail
-``P(Bin(n, alpha) <= rejected good rows)`` is at most its share of ``delta`` (fixed-sequence testing needs
+``P(Bin(n, alpha / rules) <= rejected good rows)`` is at most its share of ``delta`` (fixed-sequence testing needs
 no correction along the sequence; strata x rules are Bonferroni-corrected). Of the accepted cut-offs
 the one that pays most is used: rejected bad rows less ``COST`` times rejected good rows, the more
 lenient on ties, none if nothing is gained. A stratum without enough good labels accepts no cut-off,
@@ -151,7 +151,8 @@ def thresholds(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stra
     tested = rules.select(
         "_s", "known.rule", "known.cuts", "good", "bad",
         (F.lit(delta / len(grid)) / F.col("n_strata")).alias("level"),
-        F.transform("good", lambda k: binomial_tail(k, F.col("n"), alpha)).alias("tails"),
+        # the rules of a stratum share its allowance, so all of them together stay within it
+        F.transform("good", lambda k: binomial_tail(k, F.col("n"), alpha / len(grid))).alias("tails"),
     )
     # the first failure ends the sequence
     failed = F.array_position(F.transform("tails", lambda t: t <= F.col("level")), F.lit(False)).cast("int")
