@@ -1,8 +1,8 @@
 """Quality rules with risk-controlled thresholds.
 
 Every rule compares one text measure with a cut-off. Cut-offs are chosen per stratum from labelled
-holdout rows so that, with probability ``1 - delta`` over all strata and rules together, each rule
-rejects at most a share ``alpha`` of the good documents of its stratum. Per (stratum, rule) the cut-offs
+holdout rows so that, with probability ``1 - delta`` over all strata and rules together, the rules
+of a stratum reject at most a share ``alpha`` of its good documents between them (each has an equal part of it). Per (stratum, rule) the cut-offs
 are tried from the most lenient to the strictest, and one is accepted while the exact binomial tail
 ``P(Bin(n, alpha / rules) <= rejected good rows)`` is at most its share of ``delta`` (fixed-sequence testing needs
 no correction along the sequence; strata x rules are Bonferroni-corrected). Of the accepted cut-offs
