@@ -38,7 +38,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     finally:
         for k, v in was.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Delete tables that ``written`` made. Only for tables of which nothing unwritten depends any more."""
+    for df in tables:
+        if df is not None:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            path = jvm.org.apache.hadoop.fs.Path(df.scratch)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def worker_cache(name: str, build):
@@ -55,17 +66,17 @@ def labelled_once(labels: DataFrame, key: str, value: str) -> DataFrame:
     return labels.where(F.col(value).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected edge list ``(a, b)`` of longs.
 
     Returns ``(node, component)`` for every node with an edge, ``component`` being the smallest
     reachable node. Alternating large-star / small-star rounds: every round is two aggregations
     whose partial step runs before the shuffle, no adjacency list is gathered, and each round is
-    written to the shared folder. Self edges and nulls are ignored; an empty list gives no rows.
+    written to the shared folder, where the round before is deleted. Self edges and nulls are ignored; an empty list gives no rows.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = written(e, "cc")
-    for _ in range(max_rounds):
+    while True:
         # large-star: every larger neighbour of a node goes to the node's smallest neighbour
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -79,10 +90,9 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         parents = nxt.select(F.col("v").alias("u")).distinct().join(nxt.select("u").distinct(), "u", "left_semi")
         multi = nxt.groupBy("u").count().where("count > 1")
         done = parents.limit(1).count() == 0 and multi.limit(1).count() == 0
+        forget(e)
         e = nxt
         if done:
             break
-    else:
-        raise RuntimeError("components did not converge")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

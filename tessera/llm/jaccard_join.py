@@ -6,57 +6,71 @@ Two documents link when their sets have similarity >= ``t`` (distance <= ``1 - t
    ``(1 - t) n`` shingles of its own, so fewer of its sieved shingles than that are unshared. Counting
    shingles (partial aggregation) and counting shared ones per document drops all others.
 2. *Prefixes.* The remaining sets (identical sets collapsed to their smallest id) are ordered by document
-   frequency; linked sets share a shingle among their first ``n - ceil(t n) + 1``. Those postings say which
-   documents can be near which pivots.
-3. *Pivots and regions, recursively.* In every posting group pivots are chosen (the most connected
-   document of each hash class, by a partial aggregation) and every other document measures its distance to
-   them. A document belongs to the Voronoi region of its nearest pivot; documents within ``1 - t`` of a
-   pivot join its component. Then each group recurses on what is left: pivots retire, groups whose members
-   all belong to one component are closed, the number of pivots doubles, and a pair is only measured if sizes and
-   the triangle inequality around a common region pivot allow it (the boundary windows). It ends when no
-   open group is left, so every linked pair is measured or already connected.
-
-A group of copies costs one comparison per copy, not one per pair; no list of a group is ever gathered.
-Distances come from the exact hash sets (64-bit hashes of whole shingles). Null and empty texts have an
-empty set and link with nothing; a null id gets a null component. Repeated rows of an id are one document.
+   frequency; linked sets share a shingle among their first ``n - ceil(t n) + 1``. Those postings, with the
+   shingle's place in the set, say which documents can be near which pivots.
+3. *Pivots and regions, recursively.* In every posting group a pivot is chosen (from the largest component,
+   then the most connected document, by a partial aggregation) and the documents of other components measure
+   their distance to it. Documents within ``1 - t`` of a pivot join its component; every document belongs to
+   the Voronoi region of the nearest pivot it has met. Then each group recurses on what is left: pivots
+   retire, documents leave a group whose sizes leave no room for a link, groups whose members all belong to one
+   component are closed, and the number of pivots grows fourfold.
+   A pair is measured once, and only if
+
+   * the places of the shared shingle leave room for the needed intersection (were it their first shared one;
+     a linked pair meets in the group of its first shared shingle), and
+   * the windows around a common region pivot allow it: by the triangle inequality the two distances to
+     that pivot differ by ``1 - t`` at most. Pairs of different regions (the boundary) are always measured.
+
+   It ends when no open group is left, so every linked pair is measured or already connected.
+
+A group of copies costs one comparison per copy, not one per pair; no list of a group is ever gathered, and a
+large group's members meet its pivots in parts of ``PART_ROWS``. A round starts from the components of the round
+before; its tables are deleted when the next ones are written. Distances come from the exact hash sets (64-bit
+hashes of whole shingles). Null and empty texts have an empty set and link with nothing; a null id gets a null
+component. Repeated rows of an id are one document: the row with the most shingles (ties: the least signature).
 """
 
 from __future__ import annotations
 
 from fractions import Fraction
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, written
+from tessera.llm.common import components, forget, written
 from tessera.llm.shingles import Shingler
 
 SIMILARITY = Fraction(3, 4)
 SIEVE = 0.4
 BATCH_ROWS = 1 << 15  # hashes handed over at once
+PART_ROWS = 1000  # members of a posting group that meet its pivots in one part
+ABSENT, PLAIN, FIRST = 0, 1, 2  # marks of a sieved row: a set without sieved hashes, any hash, a set's first hash
 
 
 def _sieved(docs: DataFrame, key: str, text: str, share: float) -> DataFrame:
-    """``(id, n, h, real)``: the hashes of every set below the sieve limit; a set without any gives one
-    row that is not real, so that every document is there."""
+    """``(id, n, h, mark)``: the hashes of every set below the sieve limit; a set without any gives one
+    row marked ``ABSENT``, so that every document is there."""
     limit = np.uint64(min(int(share * 2**64), 2**64 - 1))
 
     def run(batches):
         shingler = Shingler()
         def rows(ids, n, low):
-            real = np.array([len(x) > 0 for x in low])
+            first = np.array([FIRST if len(x) else ABSENT for x in low], np.int8)
             low = [x if len(x) else np.array([(i or 0) * 0x9E3779B97F4A7C15 % 2**64], np.uint64) for i, x in zip(ids, low)]
             times = np.array([len(x) for x in low])
+            mark = np.full(times.sum(), PLAIN, np.int8)
+            mark[np.cumsum(times) - times] = first
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), times))),
                     pa.array(np.repeat(n, times).astype("i4")),
                     pa.array(np.concatenate(low).view("i8")),
-                    pa.array(np.repeat(real, times)),
+                    pa.array(mark),
                 ],
-                names=["id", "n", "h", "real"],
+                names=["id", "n", "h", "mark"],
             )
 
         for b in batches:
@@ -73,7 +87,7 @@ def _sieved(docs: DataFrame, key: str, text: str, share: float) -> DataFrame:
             if ids:
                 yield rows(ids, n, low)
 
-    return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text)).mapInArrow(run, "id bigint, n int, h bigint, real boolean")
+    return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text)).mapInArrow(run, "id bigint, n int, h bigint, mark tinyint")
 
 
 def _full(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -108,25 +122,31 @@ def _allowed(n: Column, t: Fraction) -> Column:
 def sieve(docs: DataFrame, key: str, text: str, t: Fraction, share: float) -> DataFrame:
     """``(id, n, maybe)`` for every document; only documents with ``maybe`` can have a link."""
     rows = _sieved(docs, key, text, share)
-    twice = rows.where("real").groupBy("h").agg(F.count("*").alias("f")).where("f > 1").select("h", F.lit(1).alias("shared"))
+    real = F.col("mark") != ABSENT
+    twice = rows.where(real).groupBy("h").agg(F.count("*").alias("f")).where("f > 1").select("h", F.lit(1).alias("shared"))
     per = rows.join(twice, "h", "left").groupBy("id").agg(
         F.max("n").alias("n"),
-        F.count(F.when(F.col("real"), 1)).alias("seen"),
-        F.count(F.when(F.col("real"), F.col("shared"))).alias("shared"),
+        F.count(F.when(F.col("mark") != PLAIN, 1)).alias("rows"),
+        F.count(F.when(real, 1)).alias("seen"),
+        F.count(F.when(real, F.col("shared"))).alias("shared"),
     )
-    maybe = (F.col("n") > 0) & F.col("id").isNotNull() & (F.col("shared") >= F.col("seen") - _allowed(F.col("n"), t))
+    # the counts of an id with several rows are sums over different sets and prove nothing
+    near = (F.col("rows") > 1) | (F.col("shared") >= F.col("seen") - _allowed(F.col("n"), t))
+    maybe = (F.col("n") > 0) & F.col("id").isNotNull() & near
     return written(per.select("id", "n", maybe.alias("maybe")), "jaccard-sieve")
 
 
 def prefixes(sets: DataFrame, t: Fraction) -> DataFrame:
-    """``(h, id, n)``: the shared shingles in the frequency-ordered prefix of every set."""
+    """``(h, id, n, place)``: the shared shingles in the frequency-ordered prefix of every set, and how many
+    of the set's shingles come before."""
     tokens = sets.select("id", "n", F.explode("hs").alias("h"))
     f = tokens.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
     shared = tokens.join(f, "h").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("f", "h"))).alias("own"))
     # shingles of one document alone come first in the order and need no posting
-    take = _allowed(F.col("n"), t) + 1 - (F.col("n") - F.size("own"))
-    shared = shared.withColumn("take", take.cast("int")).where("take > 0")
-    return shared.select(F.explode(F.slice("own", F.lit(1), F.col("take"))).alias("x"), "id", "n").select("x.h", "id", "n")
+    alone = F.col("n") - F.size("own")
+    shared = shared.withColumn("alone", alone).withColumn("take", (_allowed(F.col("n"), t) + 1 - alone).cast("int")).where("take > 0")
+    posting = F.posexplode(F.slice("own", F.lit(1), F.col("take"))).alias("i", "x")
+    return shared.select(posting, "id", "n", "alone").select("x.h", "id", "n", (F.col("alone") + F.col("i")).cast("int").alias("place"))
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -137,52 +157,88 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return out.drop("ha", "hb")
 
 
-def region_links(postings: DataFrame, sets: DataFrame, t: Fraction, max_rounds: int = 64) -> DataFrame | None:
-    """Links ``(a, b)`` that connect every pair of linked sets, by rounds of pivots."""
+def _edges(comp: DataFrame) -> DataFrame:
+    """``(a, b)``: every node with the head of its component."""
+    return comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _with_components(open_: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """``open_`` with each document's component so far and the component's size."""
+    if comp is None:
+        return open_.withColumn("comp", F.col("id")).withColumn("weight", F.lit(1).cast("bigint"))
+    size = comp.groupBy("component").agg(F.count("*").alias("weight"))
+    own = comp.join(size, "component").select(F.col("node").alias("id"), F.col("component").alias("comp"), "weight")
+    own = open_.join(own, "id", "left")
+    return own.withColumn("comp", F.coalesce("comp", "id")).withColumn("weight", F.coalesce("weight", F.lit(1).cast("bigint")))
+
+
+def _candidates(at: DataFrame, pivots: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs ``(a, b)`` of a group's documents and its pivots that can link and are not connected yet."""
+    num, den = t.numerator, t.denominator
+    spread = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int")))).drop("parts")
+    at = at.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+    room = f"{num + den} * least(n - place, nb - place_b) >= {num} * (n + nb)"
+    pairs = at.join(spread, ["h", "part"]).where(f"comp <> cb and {room}")
+    return pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+
+def _in_windows(pairs: DataFrame, cells: DataFrame, reach: float) -> DataFrame:
+    """Pairs without those that the triangle inequality around a common region pivot rules out."""
+    one = cells.select(F.col("id").alias("a"), F.col("cell").alias("ca"), F.col("d").alias("da"))
+    two = cells.select(F.col("id").alias("b"), F.col("cell").alias("cb"), F.col("d").alias("db"))
+    apart = (F.col("ca") == F.col("cb")) & (F.abs(F.col("da") - F.col("db")) > reach + 1e-9)
+    return pairs.join(one, "a", "left").join(two, "b", "left").where(~F.coalesce(apart, F.lit(False))).select("a", "b")
+
+
+def _regions(got: DataFrame, pivots: DataFrame, cells: DataFrame | None) -> DataFrame:
+    """``(id, cell, d)``: every document's nearest pivot so far, pivots being their own."""
+    d = (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d")
+    heads = pivots.select(F.col("b").alias("cell")).distinct()
+    ends = got.select(F.col("a").alias("id"), F.col("b").alias("cell"), d).unionByName(got.select(F.col("b").alias("id"), F.col("a").alias("cell"), d))
+    ends = ends.join(heads, "cell", "left_semi").unionByName(heads.select(F.col("cell").alias("id"), "cell", F.lit(0.0).alias("d")))
+    if cells is not None:
+        ends = ends.unionByName(cells)
+    return ends.groupBy("id").agg(F.min(F.struct("d", "cell")).alias("x")).select("id", "x.cell", "x.d")
+
+
+def region_components(postings: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame | None:
+    """``(node, component)`` of the linked documents, by rounds of pivots; None without any open group."""
     num, den = t.numerator, t.denominator
-    reach = float(1 - t)
-    comp = None  # id -> component, for ids with a link
-    links = None
-    cells = None  # id -> (pivot, distance) of its Voronoi region
     open_ = written(postings, "jaccard-open")
     rank = written(open_.groupBy("id").agg(F.count("*").alias("rank")), "jaccard-rank")
-    for r in range(max_rounds):
-        at = open_.select("h", "id", "n")
-        if comp is not None:
-            at = at.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-        else:
-            at = at.withColumn("comp", F.col("id"))
-        live = at.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("h")
-        at = written(at.join(live, "h", "left_semi").join(rank, "id"), "jaccard-open")
-        best = F.max(F.struct("rank", (-F.col("id")).alias("m"), "n", "comp"))
-        pivots = at.groupBy("h", F.pmod(F.xxhash64("id"), F.lit(1 << min(r, 20))).alias("class")).agg(best.alias("p"))
-        pivots = written(pivots.select("h", (-F.col("p.m")).alias("b"), F.col("p.n").alias("nb"), F.col("p.comp").alias("cb")), "jaccard-pivots")
+    comp = cells = met = None  # components, regions, pairs measured without a link
+    for r in count():
+        at = _with_components(open_, comp)
+        group = [F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("rows")]
+        group = at.groupBy("h").agg(*group, F.min("n").alias("least_n"), F.max(F.col("n") - F.col("place")).alias("rest")).where("lo < hi")
+        group = group.select("h", F.ceil(F.col("rows") / PART_ROWS).alias("parts"), "least_n", "rest")
+        live = at.join(group, "h").where(f"{num + den} * least(n - place, rest) >= {num} * (n + least_n)").drop("least_n", "rest")
+        live = written(live.join(rank, "id"), "jaccard-open")
+        best = F.max(F.struct("weight", "rank", (-F.col("id")).alias("m"), "n", "place", "comp", "parts")).alias("p")
+        pivots = live.groupBy("h", F.pmod(F.xxhash64("id"), F.lit(1 << min(2 * r, 40))).alias("class")).agg(best)
+        pivots = pivots.select("h", (-F.col("p.m")).alias("b"), F.col("p.n").alias("nb"), F.col("p.place").alias("place_b"), F.col("p.comp").alias("cb"), "p.parts")
+        pivots = written(pivots, "jaccard-pivots")
+        forget(open_)
         if not pivots.take(1):
-            return links
-        sizes = f"{den} * least(n, nb) >= {num} * greatest(n, nb)"
-        pairs = at.join(pivots, "h").where(f"comp <> cb and {sizes}")
-        pairs = pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-        if cells is not None:
-            # boundary windows: around a common region pivot the distances differ by the reach at most
-            one = cells.select(F.col("id").alias("a"), F.col("cell").alias("ca"), F.col("d").alias("da"))
-            two = cells.select(F.col("id").alias("b"), F.col("cell").alias("cb"), F.col("d").alias("db"))
-            pairs = pairs.join(one, "a", "left").join(two, "b", "left")
-            pairs = pairs.where(F.coalesce(~((F.col("ca") == F.col("cb")) & (F.abs(F.col("da") - F.col("db")) > reach + 1e-9)), F.lit(True)))
-            pairs = pairs.select("a", "b")
+            forget(live, pivots, rank, cells, met)
+            return comp
+        pairs = _candidates(live, pivots, t)
+        if met is not None:
+            pairs = _in_windows(pairs.join(met, ["a", "b"], "left_anti"), cells, float(1 - t))
         got = written(measured(pairs, sets), "jaccard-pairs")
-        union = F.col("na") + F.col("nb") - F.col("common")
-        if cells is None:
-            is_pivot = pivots.select(F.col("b").alias("cell")).distinct()
-            ends = got.select(F.col("a").alias("id"), F.col("b").alias("cell"), (1 - F.col("common") / union).alias("d"))
-            ends = ends.unionByName(got.select(F.col("b").alias("id"), F.col("a").alias("cell"), (1 - F.col("common") / union).alias("d")))
-            near = ends.join(is_pivot, "cell", "left_semi").groupBy("id").agg(F.min(F.struct("d", "cell")).alias("x"))
-            cells = written(near.select("id", "x.cell", "x.d"), "jaccard-cells")
-        new = got.where(den * F.col("common") >= num * union).select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        comp = written(components(links), "jaccard-comp")
+        linked = den * F.col("common") >= num * (F.col("na") + F.col("nb") - F.col("common"))
+        near = written(_regions(got, pivots, cells), "jaccard-cells")
+        apart = got.where(~linked).select("a", "b")
+        apart = written(apart if met is None else apart.unionByName(met), "jaccard-met")
+        links = got.where(linked).select("a", "b")
+        merged = comp
+        if comp is None or links.take(1):
+            merged = written(components(links if comp is None else links.unionByName(_edges(comp))), "jaccard-comp")
         # a retired pivot has met its whole group
-        open_ = at.select("h", "id", "n").join(pivots.select("h", F.col("b").alias("id")), ["h", "id"], "left_anti")
-    raise RuntimeError("open groups left")
+        left = live.select("h", "id", "n", "place").join(pivots.select("h", F.col("b").alias("id")), ["h", "id"], "left_anti")
+        open_ = written(left, "jaccard-open")
+        forget(live, pivots, got, cells, met, None if merged is comp else comp)
+        cells, met, comp = near, apart, merged
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", t: Fraction = SIMILARITY, share: float = SIEVE) -> DataFrame:
@@ -190,14 +246,19 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", t: Fractio
     base = sieve(docs, key, text, t, share)
     ids = base.where("maybe").select("id")
     mine = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
-    full = written(_full(mine, "id", "text"), "jaccard-sets")
-    same = written(full.groupBy("sig").agg(F.min("id").alias("rep")), "jaccard-same")
-    member = full.select("id", "sig").distinct().join(same, "sig").select("id", "rep")
+    full = written(_full(mine, "id", "text"), "jaccard-full")
+    member = full.groupBy("id").agg(F.max("n").alias("n")).join(full.select("id", "n", "sig"), ["id", "n"]).groupBy("id").agg(F.min("sig").alias("sig"))
+    member = written(member, "jaccard-member")
+    same = member.groupBy("sig").agg(F.min("id").alias("rep"))
     sets = full.join(same.select("sig", F.col("rep").alias("id")), ["sig", "id"], "left_semi").select("id", "n", "hs").dropDuplicates(["id"])
     sets = written(sets, "jaccard-sets")
-    links = region_links(prefixes(sets, t), sets, t)
-    edges = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    comp = components(edges if links is None else edges.unionByName(links))
+    forget(full)
+    comp = region_components(prefixes(sets, t), sets, t)
+    edges = member.join(same, "sig").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    if comp is not None:
+        edges = edges.unionByName(_edges(comp))
+    comp = components(edges)
+    forget(sets)
     out = base.join(comp, F.col("id") == F.col("node"), "left")
     return out.select(F.col("id").alias(key), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
