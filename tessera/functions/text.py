@@ -128,6 +128,14 @@ def code_explanation(x) -> Column:
     return py_strip(F.regexp_replace(_c(x), CODE_BLOCK, ""))
 
 
+def chat_message(x) -> Column:
+    """struct(content, finish_reason) of the first choice of a chat response; a response without a reason says
+    ``unknown``; without a choice, or where it is no JSON, the content is null."""
+    c = F.col(x) if isinstance(x, str) else x
+    reason = F.coalesce(F.get_json_object(c, "$.choices[0].finish_reason"), F.lit("unknown"))
+    return F.struct(F.get_json_object(c, "$.choices[0].message.content").alias("content"), reason.alias("finish_reason"))
+
+
 def split_reasoning(x) -> Column:
     """struct(reasoning, answer) for closed / unclosed / absent ``<think>``."""
     c = _c(x)

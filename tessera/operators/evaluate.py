@@ -87,6 +87,15 @@ def failure_breakdown(pairs: DataFrame, order: Sequence[str]) -> DataFrame:
     return f.join(F.broadcast(dim), "expected", "left").select("expected", F.col("ord").cast("long"), "got", "n")
 
 
+def failure_list(pairs: DataFrame, order: Sequence[str]) -> DataFrame:
+    """D9, the details: every failed row with its class's place in ``order`` (null for a class outside it) and how many
+    failures that class has. Pairs with a null on either side are no failures."""
+    failed = pairs.where(F.col("expected") != F.col("got"))
+    places = F.create_map(*[x for i, c in enumerate(order) for x in (F.lit(c), F.lit(i).cast("long"))])
+    per = failed.groupBy("expected").agg(F.count(F.lit(1)).alias("n_class"))
+    return failed.withColumn("ord", F.try_element_at(places, F.col("expected"))).join(per, "expected")
+
+
 def known_miss_split(failures: DataFrame, known: DataFrame, on: str) -> DataFrame:
     """C11: a failure is 'accepted' when its key is in the known-miss set, else a
     'regression'. The optimizer sees how large ``known`` is."""

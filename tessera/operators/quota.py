@@ -71,3 +71,36 @@ def priority_pick(daily: DataFrame, days: DataFrame, models: list[tuple[int, str
         lambda m: ~F.array_contains(F.coalesce(F.col("spent"), F.array().cast("array<string>")), m),
     )
     return j.select("day", F.try_element_at(free, F.lit(1)).alias("picked"), F.size(F.coalesce("spent", F.array())).cast("long").alias("n_spent"))
+
+
+def spent_since(calls: DataFrame, outcome: str, models: list[tuple[int, str, int]], ts_col: str = "ts", tie: str = "event_id") -> DataFrame:
+    """E11, the exhausted mark: ``(name, day, since)``, the microsecond at which a model is spent for the rest of a UTC
+    day: its ``rpd``-th call, or the first call refused for quota (``outcome = 'quota'``), whichever comes first.
+
+    ``calls`` has (name, ``ts_col``, ``tie``, ``outcome``). Calls are numbered by time ranges inside (name, day), so a
+    busy model spreads over many tasks; the result has at most one row per model and day. Calls without a time are
+    in no day and calls of other models in no list: they count for nothing."""
+    from tessera.operators.ordering import range_rank
+
+    limits = F.create_map(*[x for _, name, rpd in models for x in (F.lit(name), F.lit(rpd))])
+    c = calls.where(F.col(ts_col).isNotNull()).select(
+        "name", F.to_date(ts_col).alias("day"), F.unix_micros(ts_col).alias("us"), F.col(tie).alias("tie"), F.col(outcome).alias("outcome")
+    )
+    c = range_rank(c, "us", ["name", "day"], ["tie"], rank_col="call_no")
+    over = (F.col("call_no") >= F.try_element_at(limits, F.col("name"))) | (F.col("outcome") == "quota")
+    return c.where(over).groupBy("name", "day").agg(F.min("us").alias("since"))
+
+
+def pick_at(calls: DataFrame, spent: DataFrame, models: list[tuple[int, str, int]], ts_col: str = "ts") -> DataFrame:
+    """E11 per call: ``picked``, the first model in priority order that is not spent before the call, and ``n_spent``;
+    ``picked`` is null when all are spent (or the call has no time). A day's marks travel as one map of at most
+    len(models) entries."""
+    ordered = [name for _, name, _ in sorted(models)]
+    names = F.array(*[F.lit(n) for n in ordered])
+    marks = spent.where(F.col("name").isin(ordered)).groupBy("day").agg(F.map_from_entries(F.collect_list(F.struct("name", "since"))).alias("_since"))
+    day, us = F.to_date(ts_col), F.unix_micros(ts_col)
+    j = calls.withColumn("_day", day).join(marks.withColumnRenamed("day", "_day"), "_day", "left")
+    since = F.coalesce("_since", F.create_map().cast("map<string,bigint>"))
+    free = F.filter(names, lambda m: F.coalesce(F.try_element_at(since, m) >= us, us.isNotNull()))
+    j = j.withColumn("picked", F.try_element_at(free, F.lit(1))).withColumn("n_spent", (F.lit(len(ordered)) - F.size(free)).cast("long"))
+    return j.drop("_day", "_since")

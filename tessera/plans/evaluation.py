@@ -107,6 +107,18 @@ def failure_breakdown(spark, sf):
     return E.failure_breakdown(pairs(spark, sf), CLASS_ORDER)
 
 
+@register(
+    "failure_list",
+    f"""
+SELECT doc_id, f.expected, CAST(o.ord AS BIGINT) AS ord, got, count(*) OVER (PARTITION BY f.expected) AS n_class
+FROM {PAIRS_SQL} f LEFT JOIN {_ORDER_SQL} o USING (expected) WHERE f.expected <> got
+""",
+)
+def failure_list(spark, sf):
+    """Every failure under its class, with the class's count."""
+    return E.failure_list(pairs(spark, sf), CLASS_ORDER).select("doc_id", "expected", "ord", "got", "n_class")
+
+
 @register(
     "known_miss_split",
     f"""

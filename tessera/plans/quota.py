@@ -124,3 +124,28 @@ def quota_calls(spark, sf):
     c = call_log(spark, sf).select("event_id", "user_id", F.to_date("ts").alias("day"), F.unix_micros("ts").alias("us"))
     r = range_rank(c, "us", ["user_id", "day"], ["event_id"], rank_col="call_no")
     return r.select("event_id", "user_id", "day", "call_no", (F.col("call_no") > RPD).alias("refused"))
+
+
+_NAMES_SQL = "[" + ", ".join(f"'{n}'" for _, n, _, _ in sorted(MODELS)) + "]"
+
+
+@register(
+    "fallback_calls",
+    f"""WITH c AS (SELECT event_id, epoch_us(ts) AS us, CAST(ts AS DATE) AS day, {_NAMES_SQL}[event_id % 3 + 1] AS name,
+        {_STATUS_SQL} = 429 AND contains({_BODY_SQL}, 'RESOURCE_EXHAUSTED') AS refused FROM events),
+     n AS (SELECT *, row_number() OVER (PARTITION BY name, day ORDER BY us, event_id) AS call_no FROM c),
+     s AS (SELECT n.day, n.name, min(us) AS since FROM n JOIN {_MODELS_SQL} m USING (name) WHERE call_no >= rpd OR refused GROUP BY ALL),
+     p AS (SELECT event_id, c.day, m.name, m.priority FROM c CROSS JOIN {_MODELS_SQL} m LEFT JOIN s ON s.day = c.day AND s.name = m.name
+           WHERE s.since IS NULL OR s.since >= c.us)
+SELECT c.event_id, c.day, min_by(p.name, p.priority) AS picked, CAST({len(MODELS)} - count(p.name) AS BIGINT) AS n_spent
+FROM c LEFT JOIN p USING (event_id) GROUP BY c.event_id, c.day""",
+)
+def fallback_calls(spark, sf):
+    """E11 per call, with the exhausted mark: a model is out for the rest of a day after its last allowed call or its
+    first quota refusal (template mode); the call goes to the first model that is not. Fixture: a call's model by id."""
+    models = [(p, n, r) for p, n, r, _ in MODELS]
+    names = F.array(*[F.lit(n) for _, n, _ in sorted(models)])
+    c = call_log(spark, sf).withColumn("name", F.element_at(names, (F.col("event_id") % 3 + 1).cast("int")))
+    c = c.select("event_id", "ts", "name", Q.call_outcome("status", "body", "template").alias("outcome"))
+    picked = Q.pick_at(c.select("event_id", "ts"), Q.spent_since(c, "outcome", models), models)
+    return picked.select("event_id", F.to_date("ts").alias("day"), "picked", "n_spent")

@@ -87,6 +87,28 @@ def reasoning_split(spark, sf):
     )
 
 
+@register(
+    "chat_answers",
+    f"""SELECT conv_id, turn, finish_reason, reasoning, CASE WHEN answer_text <> '' THEN answer_text ELSE answer END AS final_text FROM (
+ SELECT conv_id, turn, answer, CASE WHEN turn % 3 = 0 THEN 'unknown' WHEN turn % 3 = 1 THEN 'stop' ELSE 'length' END AS finish_reason,
+  CASE WHEN regexp_matches(answer, '(?s)<think>.*?</think>') THEN {S.strip(f"regexp_extract(answer, '{_THINK}', 1)")}
+       WHEN contains(answer, '<think>') THEN {S.strip("substr(answer, strpos(answer, '<think>') + 7)")} ELSE '' END AS reasoning,
+  CASE WHEN regexp_matches(answer, '(?s)<think>.*?</think>') THEN {S.strip(f"regexp_extract(answer, '{_THINK}', 2)")}
+       WHEN contains(answer, '<think>') THEN '' ELSE {S.strip('answer')} END AS answer_text
+ FROM {ANSWERS_SQL})""",
+)
+def chat_answers(spark, sf):
+    """B6 -> B22 -> B23: chat response -> message content and finish reason -> reasoning and answer-or-raw text.
+    Fixture: the answers wrapped as chat responses, every third turn without a finish reason."""
+    reason = F.when(F.col("turn") % 3 == 1, "stop").when(F.col("turn") % 3 == 2, "length")
+    choice = F.struct(F.struct(F.col("answer").alias("content")).alias("message"), reason.alias("finish_reason"))
+    raw = answers(spark, sf).select("conv_id", "turn", F.to_json(F.struct(F.array(choice).alias("choices"))).alias("response"))
+    m = raw.select("conv_id", "turn", T.chat_message("response").alias("m")).select("conv_id", "turn", "m.content", "m.finish_reason")
+    m = m.withColumn("s", T.split_reasoning("content"))
+    final = F.when(F.col("s.answer") != "", F.col("s.answer")).otherwise(F.col("content"))
+    return m.select("conv_id", "turn", "finish_reason", F.col("s.reasoning").alias("reasoning"), final.alias("final_text"))
+
+
 def _count(col: str, sub: str) -> F.Column:
     c = F.col(col)
     return ((F.length(c) - F.length(F.replace(c, F.lit(sub), F.lit("")))) / len(sub)).cast("long")

@@ -260,3 +260,39 @@ def test_query_partition_invariance(spark, name):
         hashes.append(digest(df.columns, [tuple(r) for r in df.collect()])[2])
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert hashes[0] == hashes[1]
+
+
+def test_exhausted_models(spark):
+    """Spent by count or by a refusal, from the next moment on, for that day only; null times, other models, no rows."""
+    from tessera.operators import quota as Q
+
+    models = [(1, "a", 2), (2, "b", 9)]
+    rows = [
+        (1, "a", "2024-01-01 00:00:01", "ok"), (2, "a", "2024-01-01 00:00:02", "ok"), (3, "b", "2024-01-01 00:00:03", "quota"),
+        (4, "b", "2024-01-01 00:00:03", "ok"), (5, "b", "2024-01-01 00:00:04", "ok"), (6, "a", "2024-01-02 00:00:01", "ok"),
+        (7, "a", None, "quota"), (8, "other", "2024-01-02 00:00:00", "quota"), (9, None, "2024-01-02 00:00:00", None),
+    ]
+    c = spark.createDataFrame(rows, "event_id long, name string, ts string, outcome string").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {r.event_id: (r.picked, r.n_spent) for r in Q.pick_at(c, Q.spent_since(c, "outcome", models), models).collect()}
+    assert got == {1: ("a", 0), 2: ("a", 0), 3: ("b", 1), 4: ("b", 1), 5: (None, 2), 6: ("a", 0), 7: (None, 2), 8: ("a", 0), 9: ("a", 0)}
+    none = c.limit(0)
+    assert Q.pick_at(none, Q.spent_since(none, "outcome", models), models).count() == 0
+
+
+def test_failure_list(spark):
+    from tessera.operators import evaluate as E
+
+    df = spark.createDataFrame([(1, "x", "y"), (2, "x", "x"), (3, "x", "z"), (4, "q", "x"), (5, None, "x"), (6, "x", None)], "id int, expected string, got string")
+    got = {r.id: (r.ord, r.n_class) for r in E.failure_list(df, ["y", "x"]).collect()}
+    assert got == {1: (1, 2), 3: (1, 2), 4: (None, 1)}
+
+
+@pytest.mark.parametrize("text,want", [
+    ('{"choices": [{"message": {"content": "a \\"b\\"\\n"}, "finish_reason": "stop"}]}', ('a "b"\n', "stop")),
+    ('{"choices": [{"message": {"content": "x"}}, {"message": {"content": "y"}}]}', ("x", "unknown")),
+    ('{"choices": []}', (None, "unknown")), ("{broken", (None, "unknown")), ("", (None, "unknown")), (None, (None, "unknown")),
+])
+def test_chat_message(spark, text, want):
+    from tessera.functions import text as T
+
+    assert tuple(spark.createDataFrame([(text,)], "x string").select(T.chat_message("x")).first()[0]) == want
