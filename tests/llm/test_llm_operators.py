@@ -556,3 +556,12 @@ def test_clause_starts_do_not_search_the_whole_text():
     t = time.time()
     few, many = g.features("you idiot. " * 3), g.features(long)
     assert time.time() - t < 30 and max(many) > max(few) > 0
+
+
+def test_jaccard_repeated_ids_are_one_document(spark):
+    """Rows of one id with different texts: the row with the most shingles stands for the id, on every run."""
+    words = [f"w{i}" for i in range(60)]
+    long, short = " ".join(words), " ".join(words[:20])
+    rows = [(1, long), (1, short), (2, long + " more"), (3, short), (4, short), (4, short), (None, long), (5, None), (6, "")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (56, 1), 2: (57, 1), 3: (16, 3), 4: (16, 3), None: (56, None), 5: (0, 5), 6: (0, 6)}
