@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MINUTE_US = 60_000_000
-HOUR_US = 3_600_000_000
+SECOND_US = 1_000_000
+SLAB_UNITS = 3_600
 
 
 def call_outcome(status, body, mode: str = "data") -> Column:
@@ -27,24 +28,46 @@ def call_outcome(status, body, mode: str = "data") -> Column:
     return out.otherwise("ok")
 
 
-def trailing_count(
-    df: DataFrame, key: str, ts_col: str, window_us: int = MINUTE_US, slab_us: int = HOUR_US, out_col: str = "n_window"
-) -> DataFrame:
+def trailing_count(df: DataFrame, key: str, ts_col: str, window_us: int = MINUTE_US, unit_us: int = SECOND_US, out_col: str = "n_window") -> DataFrame:
     """Per key, rows with timestamp in ``(t - window, t]`` (strictly under a
     minute back, peers included).
 
-    A plain ``Window.partitionBy(key)`` would put a hot key in one task. Rows are
-    instead cut into (key, hour) slabs; rows in the last minute of a slab are
-    copied into the next slab as context (counted, never emitted), so every slab
-    is complete on its own and a hot key spreads over all its hours."""
-    us = F.unix_micros(F.col(ts_col))
-    base = df.withColumn("_us", us).withColumn("_slab", F.floor(F.col("_us") / slab_us).cast("long"))
-    off = F.col("_us") - F.col("_slab") * slab_us
-    ctx = base.where(off > slab_us - window_us).withColumn("_slab", F.col("_slab") + 1).withColumn("_ctx", F.lit(True))
-    rows = base.withColumn("_ctx", F.lit(False)).unionByName(ctx)
-    w = Window.partitionBy(key, "_slab").orderBy("_us").rangeBetween(-(window_us - 1), 0)
-    out = rows.withColumn(out_col, F.count(F.lit(1)).over(w).cast("long"))
-    return out.where(~F.col("_ctx")).drop("_us", "_slab", "_ctx")
+    A plain ``Window.partitionBy(key)`` would put a hot key in one task, slabs of an hour a hot key's hour. Here a row meets
+    only its own unit of time (a second): the count is the sum of (a) rows of that unit up to the row, (b) whole units in
+    between, from a table of counts per (key, unit), (c) rows of the unit one window back that are still inside, which
+    come as bare times moved on by a window. All three are rows of the same (key, unit) group, so one exchange on it
+    serves and a key spreads over all its seconds. The sliding sum (b) runs over pre-aggregated counts in slabs of
+    ``SLAB_UNITS`` units with their halo.
+
+    Rows without a time are counted among themselves; a null key is a key. ``window_us`` must be a multiple of ``unit_us``."""
+    units, rest = divmod(window_us, unit_us)
+    if rest or units < 1:
+        raise ValueError("the window must be a whole number of units")
+    at, unit = F.col("_us"), F.floor(F.col("_us") / unit_us).cast("long")
+    base = df.select(F.col(key).alias("_key"), F.unix_micros(F.col(ts_col)).alias("_us"), F.struct("*").alias("_row"))
+    base = base.withColumn("_unit", unit)
+    # (b): counts of whole units, summed over the units - 1 units before each
+    counts = base.where(at.isNotNull()).groupBy("_key", "_unit").agg(F.count(F.lit(1)).alias("_c"))
+    slab = F.floor(F.col("_unit") / SLAB_UNITS).cast("long")
+    own_slab = counts.withColumn("_slab", slab).withColumn("_halo", F.lit(False))
+    reach = F.floor((F.col("_unit") + units - 1) / SLAB_UNITS).cast("long")
+    halo = own_slab.withColumn("_slab", F.explode(F.sequence(slab, reach))).where(F.col("_slab") > slab).withColumn("_halo", F.lit(True))
+    behind = Window.partitionBy("_key", "_slab").orderBy("_unit").rangeBetween(-(units - 1), -1)
+    between = own_slab.unionByName(halo).withColumn("_between", F.sum("_c").over(behind)).where(~F.col("_halo") & F.col("_between").isNotNull())
+    # (c): the same rows' times, one window on
+    moved = base.where(at.isNotNull()).select("_key", (at + window_us).alias("_us"), (F.col("_unit") + units).alias("_unit"))
+    none = F.lit(None).cast(base.schema["_row"].dataType)
+    kind = lambda own, inside, mid: [own.cast("long").alias("_own"), inside.cast("long").alias("_in"), mid.cast("long").alias("_mid")]
+    zero, one = F.lit(0), F.lit(1)
+    rows = (
+        base.select("_key", "_us", "_unit", "_row", *kind(one, zero, zero))
+        .unionByName(moved.select("_key", "_us", "_unit", none.alias("_row"), *kind(zero, one, zero)))
+        .unionByName(between.select("_key", (F.col("_unit") * unit_us).alias("_us"), "_unit", none.alias("_row"), *kind(zero, zero, F.col("_between"))))
+    )
+    group = Window.partitionBy("_key", "_unit")
+    upto = group.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("_own").over(upto) - F.sum("_in").over(upto) + F.sum(F.col("_in") + F.col("_mid")).over(group)
+    return rows.withColumn("_n", total.cast("long")).where("_own = 1").select("_row.*", F.col("_n").alias(out_col))
 
 
 def daily_counts(df: DataFrame, key: str, ts_col: str) -> DataFrame:

@@ -350,8 +350,8 @@ def effect_validation(spark, sf):
     return e.select("p_partkey", "effect_id", "expected_trigger", K.effect_error("meta", "css", "expected_trigger").alias("error"))
 
 
-def review_gate_df(t: DataFrame) -> DataFrame:
-    """Already reviewed -> missing files -> failed validation -> reviewed."""
+def review_gate_df(t: DataFrame, keep=("page_id",)) -> DataFrame:
+    """Already reviewed -> missing files -> failed validation -> reviewed. ``keep``: more columns to return."""
     ident = F.coalesce(F.get_json_object("meta", "$.id"), F.col("path"))
     err = K.template_error("meta", "html", "css")
     status = (
@@ -360,9 +360,9 @@ def review_gate_df(t: DataFrame) -> DataFrame:
         .when(err.isNotNull(), "failed_validation")
         .otherwise("marked_reviewed")
     )
-    out = t.select("page_id", ident.alias("id"), "path", status.alias("status"), err.alias("_err"), "html", "css")
+    out = t.select(*keep, ident.alias("id"), "path", status.alias("status"), err.alias("_err"))
     return out.select(
-        "page_id",
+        *keep,
         "id",
         "path",
         "status",

@@ -123,11 +123,11 @@ def failure_log(spark, sf):
     passing ids to the progress log; read back (timestamp dropped for the check)."""
     base = scratch_path(spark, "logs")
     t = X.templates(spark, sf).where(F.col("html").isNotNull() & F.col("css").isNotNull())
-    v = t.select(F.col("spec_id").alias("id"), K.template_error("meta", "html", "css").alias("error"))
-    v = v.cache()
+    # validated once into a written table; both logs read that
+    t.select(F.col("spec_id").alias("id"), K.template_error("meta", "html", "css").alias("error")).write.parquet(f"{base}/verdicts")
+    v = spark.read.parquet(f"{base}/verdicts")
     FS.append_log(FS.failure_rows(v), f"{base}/failures")
     FS.append_log(v.where(F.col("error").isNull()).select("id"), f"{base}/progress")
-    v.unpersist()
     done = FS.completed_ids(spark, f"{base}/progress")
     fails = FS.read_log(spark, f"{base}/failures", "id string, error string, timestamp timestamp")
     # a failed id is never also completed

@@ -37,6 +37,7 @@ from tessera.plans.dataset import (
 from tessera.plans.registry import register
 from tessera.plans.responses import items_sql, parse_string_batch, raw_batches, strict_json_valid
 from tessera.session import checkpoint_dir, scratch_path
+from tessera.sources import artefacts as AR
 from tessera.sources import files as FS
 from tessera.sources.tables import table
 
@@ -45,6 +46,9 @@ AUG_TARGETS = {"fr": 50, "de": 20}
 MAX_ATTEMPTS = 4
 MSG_GAVE_UP = "Failed after {attempts} attempts. Last error: {error}"
 MSG_INVALID_JSON = "Invalid JSON"
+MSG_TOP_KEYS_OF = "Missing required top-level keys ({keys})"
+# Own message: a value that is no text.
+MSG_NO_TEXT = "html and css must be text"
 
 
 def _label_ord() -> F.Column:
@@ -252,18 +256,42 @@ def responses(spark, sf, done: DataFrame | None = None) -> DataFrame:
     return t.select("page_id", "spec_id", F.posexplode(payloads).alias("attempt", "raw")).withColumn("attempt", F.col("attempt") + 1)
 
 
+def _first_error(files, valid: F.Column, keys: F.Column, rules: F.Column) -> F.Column:
+    """B15's order: JSON (whole text) -> top-level keys (the columns ``files``) -> ``rules``."""
+    has_all = F.forall(F.array(*[F.lit(c) for c in files]), lambda c: F.array_contains(keys, c))
+    missing = MSG_TOP_KEYS_OF.format(keys="/".join(c for c in ("meta", "html", "css") if c in files))
+    return F.when(~valid, F.lit(MSG_INVALID_JSON)).when(~F.coalesce(has_all, F.lit(False)), F.lit(missing)).otherwise(rules)
+
+
+def _template_rules(meta, html, css) -> F.Column:
+    """B13; a null html or css is no text."""
+    return F.coalesce(F.when(html.isNull() | css.isNull(), F.lit(MSG_NO_TEXT)), K.template_error(meta, html, css))
+
+
 def response_error(raw: str = "raw") -> F.Column:
-    """Strip fences -> JSON (whole text) -> top-level keys -> B13."""
+    """B15 of a template response as one Column; ``parsed_templates`` is the form for whole tables."""
     cleaned = T.strip_code_fences(raw)
-    valid = strict_json_valid(cleaned)
-    keys = F.json_object_keys(cleaned)
-    has_all = F.array_contains(keys, "meta") & F.array_contains(keys, "html") & F.array_contains(keys, "css")
-    meta, html, css = F.get_json_object(cleaned, "$.meta"), F.get_json_object(cleaned, "$.html"), F.get_json_object(cleaned, "$.css")
-    return (
-        F.when(~valid, F.lit(MSG_INVALID_JSON))
-        .when(~F.coalesce(has_all, F.lit(False)), F.lit(K.MSG_TOP_KEYS))
-        .otherwise(K.template_error(meta, html, css))
-    )
+    rules = _template_rules(*[F.get_json_object(cleaned, f"$.{c}") for c in ("meta", "html", "css")])
+    return _first_error(AR.TEMPLATE_FILES, strict_json_valid(cleaned), F.json_object_keys(cleaned), rules)
+
+
+def _parsed(df: DataFrame, files, rules: F.Column) -> DataFrame:
+    """The columns ``files`` of every response, and ``err``. Every step is a projection of its own, so that a response is
+    cleaned and parsed once and not once per rule."""
+    d = df.withColumn("_clean", T.strip_code_fences("raw")).drop("raw")
+    d = d.withColumn("_valid", strict_json_valid(F.col("_clean"))).withColumn("_keys", F.json_object_keys("_clean"))
+    d = d.select("*", *[F.get_json_object("_clean", f"$.{c}").alias(c) for c in files]).drop("_clean")
+    return d.withColumn("err", _first_error(files, F.coalesce("_valid", F.lit(False)), F.col("_keys"), rules)).drop("_valid", "_keys")
+
+
+def parsed_templates(df: DataFrame) -> DataFrame:
+    """B15 with B13."""
+    return _parsed(df, AR.TEMPLATE_FILES, _template_rules(F.col("meta"), F.col("html"), F.col("css")))
+
+
+def parsed_effects(df: DataFrame) -> DataFrame:
+    """B15 with B14; ``trigger`` is the one the spec asks for."""
+    return _parsed(df, AR.EFFECT_FILES, K.effect_error("meta", "css", "trigger"))
 
 
 def _sql_response_error():
@@ -310,7 +338,7 @@ def ingest_generated(spark, sf):
     FS.append_log(done, progress)
     completed = FS.completed_ids(spark, progress).withColumnRenamed("id", "spec_id")
     r = responses(spark, sf, completed).where(F.col("attempt") <= MAX_ATTEMPTS)
-    e = r.select("spec_id", "attempt", response_error("raw").alias("err"))
+    e = parsed_templates(r.select("spec_id", "attempt", "raw"))
     g = e.groupBy("spec_id").agg(
         F.min(F.when(F.col("err").isNull(), F.col("attempt"))).alias("first_ok"), F.max_by("err", "attempt").alias("last_err")
     )

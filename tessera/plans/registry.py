@@ -38,6 +38,7 @@ PLAN_MODULES = [
     "jobs",
     "listing",
     "io_plans",
+    "artefacts",
 ]
 
 

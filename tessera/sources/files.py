@@ -81,22 +81,22 @@ def write_catalogue_tree(df: DataFrame, root: str, folder_cols=("category", "spe
     return df.select(*cols).mapInPandas(write, "folder string, n_files long")
 
 
-def scan_catalogue_tree(spark: SparkSession, root: str) -> DataFrame:
+def scan_catalogue_tree(spark: SparkSession, root: str, files: dict[str, str] | None = None) -> DataFrame:
     """A3: every ``meta.json`` under ``root`` (any depth) joined with the sibling
     ``index.html`` / ``style.css`` of its folder; ``path`` is the folder relative
-    to the root. Folders without meta.json are not artefacts."""
+    to the root. Folders without meta.json are not artefacts. ``files`` maps other columns to other file names."""
+    files = files or dict(zip(("meta", "html", "css"), ARTEFACT_FILES))
     raw = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "{" + ",".join(ARTEFACT_FILES) + "}")
+        .option("pathGlobFilter", "{" + ",".join(files.values()) + "}")
         .load(root)
     )
     root_path = root.split(":", 1)[1].lstrip("/") if ":" in root.split("/", 1)[0] else root.lstrip("/")
     folder = F.regexp_replace("path", "/[^/]*$", "")
     rel = F.regexp_replace(folder, r"^.*?\Q" + root_path.rstrip("/") + r"\E/", "")
-    files = raw.select(rel.alias("path"), F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content").cast("string").alias("value"))
-    pick = lambda name: F.max(F.when(F.col("file") == name, F.col("value")))
-    g = files.groupBy("path").agg(pick("meta.json").alias("meta"), pick("index.html").alias("html"), pick("style.css").alias("css"))
+    found = raw.select(rel.alias("path"), F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content").cast("string").alias("value"))
+    g = found.groupBy("path").agg(*[F.max(F.when(F.col("file") == name, F.col("value"))).alias(c) for c, name in files.items()])
     return g.where(F.col("meta").isNotNull())
 
 
@@ -126,6 +126,12 @@ def failure_rows(df: DataFrame, id_col: str = "id", error_col: str = "error") ->
 
 
 # ------------------------------------------------------------------ A9 / A10
+def write_lists(df: DataFrame, path: str, order: list[str]) -> None:
+    """A9 for lists of any length: one JSON line per item, sorted over the part files (range-partitioned, so no list meets
+    in one row, task or the driver)."""
+    df.orderBy(*order).write.mode("overwrite").json(path)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A one-row report (already aggregated) as a single JSON file."""
     df.coalesce(1).write.mode("overwrite").json(path)
