@@ -42,6 +42,25 @@ DEFAULT_ITEM_FIELDS = {
     "item_price": "$7",
     "price": "$7",
 }
+# The earlier default data, where it differs, and its sample items by block (others: one item, all fields unknown).
+DEFAULT_FIELDS_V1 = {
+    **DEFAULT_FIELDS,
+    "maker_story": "Baking has been my passion for 15 years. I started Riverside Bakery to share my love of sourdough with the community.",
+    "twitter_handle": "@riversidebakery",
+    "facebook_handle": "riversidebakery",
+    "business_type": "bakery",
+    "year_founded": "2015",
+}
+DEFAULT_ITEMS_V1 = {
+    "menu_items": [
+        {"item_name": "Sourdough Loaf", "product_name": "Sourdough Loaf", "item_description": "Naturally leavened, 24hr ferment",
+         "product_description": "Naturally leavened, 24hr ferment", "item_price": "$7", "price": "$7"},
+        {"item_name": "Cinnamon Roll", "product_name": "Cinnamon Roll", "item_description": "Fresh baked, glazed",
+         "product_description": "Fresh baked, glazed", "item_price": "$4", "price": "$4"},
+    ],
+    "team_members": [{"name": "Sarah Miller", "role": "Head Baker"}, {"name": "James Chen", "role": "Pastry Chef"}],
+}
+DEFAULT_ITEMS_V1["products"] = DEFAULT_ITEMS_V1["menu_items"]
 
 
 # Business-data problem formats and their separator.
@@ -147,6 +166,34 @@ def default_item(fields) -> Column:
     return F.map_from_arrays(fl, F.transform(fl, lambda f: F.coalesce(known[f], fmt(PLEASE_FILL, field=f))))
 
 
+def default_blocks(repeating) -> Column:
+    """Every declared block with one sample item."""
+    rep = _c(repeating)
+    fields = lambda b: F.coalesce(b["fields"], F.array().cast("array<string>"))
+    return F.transform_values(rep, lambda _, b: F.array(default_item(F.array_distinct(fields(b)))))
+
+
+def _known_v1(fields: Column, known: dict[str, str]) -> Column:
+    names = F.create_map(*[x for k, v in known.items() for x in (F.lit(k), F.lit(v))]) if known else F.create_map().cast("map<string,string>")
+    unknown = lambda f: F.concat(F.lit("{{ "), f, F.lit(" }}"))
+    return F.map_from_arrays(fields, F.transform(fields, lambda f: F.coalesce(F.try_element_at(names, f), unknown(f))))
+
+
+def default_scalars_v1(scalar_fields) -> Column:
+    """B20, earlier form: known field -> constant, any other -> ``{{ f }}``, which no later patch of ``{{f}}`` meets."""
+    return _known_v1(_c(scalar_fields), DEFAULT_FIELDS_V1)
+
+
+def default_items_v1(block, fields) -> Column:
+    """B20, earlier form: two sample items for menus, products and teams, else one whose fields are all ``{{ f }}``."""
+    b, fl = _c(block), _c(fields)
+    items = None
+    for name, samples in DEFAULT_ITEMS_V1.items():
+        rows = F.array(*[_known_v1(fl, sample) for sample in samples])
+        items = F.when(b == name, rows) if items is None else items.when(b == name, rows)
+    return items.otherwise(F.array(_known_v1(fl, {})))
+
+
 def map_text(m) -> Column:
     """Deterministic text of a string map: ``k=v`` sorted by key, joined by ';'."""
     mm = _c(m)

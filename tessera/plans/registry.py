@@ -39,6 +39,7 @@ PLAN_MODULES = [
     "listing",
     "io_plans",
     "artefacts",
+    "requests",
 ]
 
 

@@ -176,17 +176,22 @@ def expand_blocks(spark, sf):
     return m.select("s_suppkey", "page_id", F.md5(h).alias("html_md5"))
 
 
-def render_sites_df(m: DataFrame) -> DataFrame:
-    """Check data -> patch scalars in html and css -> expand every declared
-    block in declaration order. Failed rows carry the problem text instead."""
-    problems = R.business_data_problems("scalar", F.map_keys("repeating"), "scalars", "blocks")
-    patched = R.patch_scalars("html", "scalar", "scalars")
+def site_columns() -> tuple[F.Column, F.Column]:
+    """B18 + B19 over (html, css, scalar, repeating, scalars, blocks): scalars patched in html and css, then every declared
+    block expanded in declaration order."""
     html = F.aggregate(
         F.map_keys("repeating"),
-        patched,
+        R.patch_scalars("html", "scalar", "scalars"),
         lambda acc, b: R.expand_block(acc, b, F.col("blocks")[b], F.col("repeating")[b]["fields"]),
     )
-    css = R.patch_scalars(F.coalesce(F.col("css"), F.lit("")), "scalar", "scalars")
+    return html, R.patch_scalars(F.coalesce(F.col("css"), F.lit("")), "scalar", "scalars")
+
+
+def render_sites_df(m: DataFrame) -> DataFrame:
+    """Check data -> patch scalars in html and css -> expand every declared
+    block in declaration order. Failed rows carry the problem text instead."""
+    problems = R.business_data_problems("scalar", F.map_keys("repeating"), "scalars", "blocks")
+    html, css = site_columns()
     out = m.select("s_suppkey", "page_id", problems.alias("error"), html.alias("h"), css.alias("c"))
     ok = F.col("error").isNull()
     return out.select(
