@@ -1,190 +1,182 @@
 """Adaptive context-mixing range coder for token ids, many blocks at a time.
 
-A block of ids is coded by itself from a fresh model. Per id: the order-2 and the order-1 context each
-predict one id, with a confidence; how likely the guess holds is a logistic mix of both contexts' adaptive
-probabilities, with weights learned on the way. A wrong guess may fall back to the order-1 id; what is left is
-coded by an adaptive order-0 distribution over magnitude classes and the id's low bits. All arithmetic is on
-integers, so every machine decodes alike. Blocks run side by side as lanes of arrays: one step codes
-one id of every block.
+A block of ids is coded by itself. Its model starts from a ``Table``: how often each id occurs (order 0) and, for
+ids with a habitual follower, that follower. Per id the order-2 and the order-1 context of the block name the id
+that they expect, each with an adaptive confidence; an order-1 context not yet seen in the block takes the table's follower. Whether the
+expected id comes is coded with the logistic mix of three predictions, of order 2, 1 and 0, the first two from adaptive
+probabilities, with weights learned on the way; any other id is coded by its order-0 share. All arithmetic is on
+integers, so every machine decodes alike. Blocks run side by side as lanes of arrays: one step codes one id of every block.
 """
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import numpy as np
 
-SLOTS = 2048  # contexts kept per block and order
-CLASSES = 64
-TOTAL_BITS = 15
-TOP = np.uint64(1 << 32)
-LOW = np.uint64((1 << 32) - 1)
-S32 = np.uint64(32)
+SLOTS = 256  # contexts kept per block and order
 MAX_ID = 1 << 16
-
-_ids = np.arange(MAX_ID)
-_bits = np.maximum(np.ceil(np.log2(_ids + 1)).astype(int), 1) - 1  # position of the leading bit
-_shift = np.maximum(_bits - 2, 0)
-# class of an id: leading bit and the two bits below it; the remaining bits are coded evenly
-CLASS = np.where(_bits >= 2, 4 * _bits + ((_ids >> _shift) & 3), 4 * _bits + (_ids & 1)).astype(np.int32)
-REST_BITS = _shift.astype(np.int32)
-CLASS_BASE = np.zeros(CLASSES, np.int32)
-CLASS_REST = np.zeros(CLASSES, np.int32)
-CLASS_BASE[CLASS[::-1]] = _ids[::-1]  # the smallest id of each class
-CLASS_REST[CLASS] = REST_BITS
+SHARE_BITS = 16  # order-0 shares sum to 2 ** SHARE_BITS
+FOLLOWS = 4  # times an id must follow another to stand in the table
+TOP_BITS = 62  # of the coder's interval; words of 32 bits leave it from above
+KEEP_BITS = TOP_BITS - 32
+LOW = (1 << KEEP_BITS) - 1
+WORD = (1 << 32) - 1
 
 _x = np.arange(-2047, 2048)
-SQUASH = np.clip(np.round(4096 / (1 + np.exp(-_x / 256.0))), 1, 4094).astype(np.int32)
+SQUASH = np.clip(np.round(4096 / (1 + np.exp(-_x / 256.0))), 8, 4088).astype(np.int32)
 STRETCH = np.clip(np.round(256 * np.log((np.arange(4096) + 0.5) / (4096 - np.arange(4096) - 0.5))), -2047, 2047).astype(np.int32)
-
-
-TWELVE, TOTAL = np.uint64(12), np.uint64(TOTAL_BITS)
-SPAN = np.int32((1 << TOTAL_BITS) - CLASSES)
+# First probabilities (of 65,536) that the expected id comes, by confidence 0-3 of the context and whether order 1 agrees.
+START = np.array([[2000, 9000, 10000, 16000, 18000, 30000, 36000, 52000], [2000, 9000, 14000, 26000, 28000, 44000, 44000, 58000]], np.int32)
+WEIGHTS = (14000, 34000, 22000)  # of order 0, 1 and 2 at a block's start, of 65,536
+
+
+class Table:
+    """Order-0 shares and habitual followers that blocks start from."""
+
+    def __init__(self, share: np.ndarray, follower: np.ndarray):
+        self.share, self.follower = share.astype(np.int64), follower.astype(np.int32)
+        self.start = np.cumsum(self.share) - self.share
+        self.by_share = np.repeat(np.arange(MAX_ID, dtype=np.int32), self.share)
+        self.stretch = np.take(STRETCH, np.minimum(self.share >> (SHARE_BITS - 12), 4095))
+
+    @classmethod
+    def flat(cls) -> Table:
+        """Nothing known."""
+        return cls(np.ones(MAX_ID), np.full(MAX_ID, -1))
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Table:
+        """Of all ``ids`` (below 65,536), in their order."""
+        ids = np.asarray(ids, np.uint32)
+        if not len(ids):
+            return cls.flat()
+        count = np.bincount(ids, minlength=MAX_ID)
+        room = (1 << SHARE_BITS) - np.count_nonzero(count)
+        share = np.where(count > 0, 1 + count * room // len(ids), 0)
+        share[np.argmax(count)] += (1 << SHARE_BITS) - share.sum()
+        pairs = np.sort(ids[:-1] << 16 | ids[1:])
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(pairs), 1), bool), pairs[1:] != pairs[:-1]]))
+        often = np.diff(first, append=len(pairs))
+        first, often = first[often >= FOLLOWS], often[often >= FOLLOWS]
+        order = np.argsort(often, kind="stable")  # the most frequent one is written last
+        follower = np.full(MAX_ID, -1)
+        follower[pairs[first[order]] >> 16] = pairs[first[order]] & 0xFFFF
+        return cls(share, follower)
+
+    def to_bytes(self) -> bytes:
+        known, led = np.flatnonzero(self.share), np.flatnonzero(self.follower >= 0)
+        lists = [np.diff(known, prepend=0), self.share[known] - 1, np.diff(led, prepend=0), self.follower[led]]
+        body = b"".join(part.tobytes() for x in lists for part in (x.astype("<u2").view("u1").reshape(-1, 2).T.copy(),))
+        return struct.pack("<II", len(known), len(led)) + zlib.compress(body, 6)
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Table:
+        n, m = struct.unpack_from("<II", data)
+        body, at, lists = np.frombuffer(zlib.decompress(data[8:]), "u1"), 0, []
+        for size in (n, n, m, m):
+            lists.append(body[at : at + 2 * size].reshape(2, size).T.copy().view("<u2").ravel().astype(np.int64))
+            at += 2 * size
+        share, follower = np.zeros(MAX_ID, np.int64), np.full(MAX_ID, -1)
+        share[np.cumsum(lists[0])] = lists[1] + 1
+        follower[np.cumsum(lists[2])] = lists[3]
+        return cls(share, follower)
 
 
 class Lanes:
     """The model of ``n`` blocks, each in its own state."""
 
-    def __init__(self, n: int):
-        self.lane = np.arange(n, dtype=np.int32)
-        self.at = self.lane * SLOTS
-        self.guess = np.zeros((2, n * SLOTS), np.int32)  # id and, in the low two bits, its confidence
-        self.prob = np.full((2, n * 8), 1 << 15, np.int32)
-        self.second = np.full(n * 4, 1 << 14, np.int32)
-        self.weight = np.full((2, n), 1 << 15, np.int32)
-        self.cdf = np.tile(np.arange(CLASSES + 1) * (SPAN // CLASSES), (n, 1)).astype(np.int32)
-        self.cdf[:, -1] = SPAN
-        self.step = np.arange(CLASSES + 1, dtype=np.int32)
-        self.goal = np.where(self.step[None, :] > np.arange(CLASSES, dtype=np.int32)[:, None], SPAN, 0).astype(np.int32)
-        self.one = np.zeros(n, np.int32)
-        self.two = np.zeros(n, np.int32)
+    def __init__(self, n: int, table: Table):
+        lane = np.arange(n, dtype=np.int64)
+        self.table = table
+        self.at, self.at8 = lane * SLOTS, lane * 8
+        # an expected id and, in the low two bits, its confidence; 0: none yet
+        self.known = np.zeros((2, n * SLOTS), np.int32)
+        self.prob = np.tile(START, (1, n)).copy()
+        self.weight = [np.full(n, w, np.int32) for w in WEIGHTS]
+        self.base = (table.follower.clip(0) << 2).astype(np.int32)
+        self.one = np.zeros(n, np.int64)
+        self.two = np.zeros(n, np.int64)
 
     def predict(self):
-        """First guess, second guess, where they differ, and the 12-bit probabilities that they hold."""
-        self.s1 = self.at + ((self.one * np.int32(20011) >> 3) & (SLOTS - 1))
-        self.s2 = self.at + ((self.one * np.int32(15013) ^ self.two * np.int32(26357)) >> 4 & (SLOTS - 1))
-        e1, e2 = np.take(self.guess[0], self.s1), np.take(self.guess[1], self.s2)
-        self.g1, self.g2 = e1 >> 2, e2 >> 2
-        self.c1, self.c2 = e1 & 3, e2 & 3
-        first = np.where(self.c2 > 0, self.g2, self.g1)
-        differ = self.g1 != first
-        self.i1 = self.lane * 8 + self.c1 * 2 + differ
-        self.i2 = self.lane * 8 + self.c2 * 2 + differ
-        self.p1, self.p2 = np.take(self.prob[0], self.i1), np.take(self.prob[1], self.i2)
-        self.x1, self.x2 = np.take(STRETCH, self.p1 >> 4), np.take(STRETCH, self.p2 >> 4)
-        dot = (self.weight[0] * self.x1 + self.weight[1] * self.x2) >> 16
-        self.p = np.take(SQUASH, np.clip(dot, -2047, 2047) + 2047)
-        self.b = self.lane * 4 + self.c1
-        self.q = np.take(self.second, self.b)
-        return first, self.g1, differ, self.p, np.clip(self.q >> 4, 1, 4095)
-
-    def learn_class(self, missed, rows, cls):
-        """Move the order-0 distributions ``rows`` of ``missed`` lanes towards the classes seen."""
-        rows += (np.take(self.goal, cls, axis=0) - rows) >> 5
-        self.cdf[missed] = rows
-
-    def learn(self, hit, hit2, differ, ids):
-        """Move all probabilities, weights and predicted ids towards what was seen."""
-        err = ((hit.astype(np.int32) << 12) - self.p) * 6
-        for k, x in ((0, self.x1), (1, self.x2)):
-            self.weight[k] = np.clip(self.weight[k] + (x * err >> 10), -(1 << 18), 1 << 18)
+        """The expected id of every lane and its probability, of 4,096."""
+        one = self.one
+        self.s1 = self.at + ((one * 20011 >> 3) & (SLOTS - 1))
+        self.s2 = self.at + (((one * 15013 ^ self.two * 26357) >> 4) & (SLOTS - 1))
+        e1, e2 = self.known[0].take(self.s1), self.known[1].take(self.s2)
+        e1 = np.where(e1 & 3, e1, self.base.take(one))
+        c1, c2 = e1 & 3, e2 & 3
+        first = np.where(c2, e2, e1) >> 2
+        agree = (e1 >> 2) == first
+        self.i1 = self.at8 + (c1 * 2 + agree)
+        self.i2 = self.at8 + (c2 * 2 + agree)
+        self.p1, self.p2 = self.prob[0].take(self.i1), self.prob[1].take(self.i2)
+        self.x = (self.table.stretch.take(first), STRETCH.take(self.p1 >> 4), STRETCH.take(self.p2 >> 4))
+        w, x = self.weight, self.x
+        dot = (w[0] * x[0] + w[1] * x[1] + w[2] * x[2]) >> 16
+        self.p = SQUASH.take(dot + 2047, mode="clip")
+        self.e1, self.e2, self.c1, self.c2 = e1, e2, c1, c2
+        return first, self.p
+
+    def learn(self, hit, ids):
+        """Move probabilities, weights and expected ids towards what was seen."""
+        err = ((hit.astype(np.int32) << 12) - self.p) * 5
+        for k in range(3):
+            w = self.weight[k]
+            w += self.x[k] * err >> 10
+            np.clip(w, -(1 << 17), 1 << 17, out=w)
         goal = hit * np.int32(65535)
         self.prob[0][self.i1] = self.p1 + ((goal - self.p1) >> 4)
         self.prob[1][self.i2] = self.p2 + ((goal - self.p2) >> 4)
-        self.second[self.b] = np.where(differ & ~hit, self.q + ((hit2 * np.int32(65535) - self.q) >> 4), self.q)
-        for k, s, g, c in ((0, self.s1, self.g1, self.c1), (1, self.s2, self.g2, self.c2)):
-            right = g == ids
-            c = np.where(right, np.minimum(c + 1, 3), c - 1)
-            self.guess[k][s] = np.where(c <= 0, ids * 4 + 1, g * 4 + c)
+        fresh = (ids << 2) + 1
+        for k, s, e, c in ((0, self.s1, self.e1, self.c1), (1, self.s2, self.e2, self.c2)):
+            right = ((e ^ fresh) < 4) & ((e ^ fresh) >= 0)
+            self.known[k][s] = np.where(right, e + (c < 3), np.where(c <= 1, fresh, e - 1))
         self.two = self.one
-        self.one = ids
-
-
-class _Coder:
-    """The intervals of all blocks: 64-bit start and size, moved out in 32-bit words."""
-
-    def __init__(self, n: int):
-        self.low = np.zeros(n, np.uint64)
-        self.range = np.full(n, np.uint64(2**64 - 1))
-
-    def settle(self, lanes, move):
-        """Move out the finished words of ``lanes``; a range that straddles a word's end and got too small
-        is cut there."""
-        while len(lanes):
-            low, rng = self.low[lanes], self.range[lanes]
-            agree = (low ^ (low + rng)) < TOP
-            rng = np.where(agree, rng, (~low + np.uint64(1)) & LOW)
-            move(lanes, low >> S32)
-            low <<= S32
-            rng <<= S32
-            self.low[lanes], self.range[lanes] = low, rng
-            lanes = lanes[((low ^ (low + rng)) < TOP) | (rng < TOP)]
+        self.one = ids.astype(np.int64)
 
-    def settle_all(self, move):
-        self.settle(np.flatnonzero(((self.low ^ (self.low + self.range)) < TOP) | (self.range < TOP)), move)
 
-    def make_room(self, lanes, move):
-        """Before a class and its low bits are coded, which take up to 28 bits."""
-        self.settle(lanes[self.range[lanes] < TOP], move)
-
-
-def _flags(p, q, differ):
-    """Ends of the intervals for first guess, second guess and neither, of 4096."""
-    rest = 4096 - p
-    return p, p + np.where(differ, np.minimum((rest * q >> 12) + 1, rest - 1), 0)
-
-
-def encode(ids: np.ndarray) -> list[bytes]:
-    """One payload per row of ``ids`` (blocks x ids, all below 65,536); a block that does not shrink is
+def encode(ids: np.ndarray, table: Table | None = None) -> list[bytes]:
+    """One payload per row of ``ids`` (blocks x ids, all with a share in ``table``); a block that does not shrink is
     stored as it is, marked by its first byte."""
+    table = table or Table.flat()
     n, steps = ids.shape
-    model, coder = Lanes(n), _Coder(n)
-    cap = steps // 2 + 8
-    out = np.zeros((n, cap + 1), "<u4")
-    used = np.zeros(n, np.int64)
+    model = Lanes(n, table)
+    low, size = np.zeros(n, np.int64), np.full(n, 1 << TOP_BITS)
+    out = np.zeros((steps * 28 // 32 + 4, n), np.int64)  # words by lane; a carry stays in a word's 33rd bit until the end
+    flat, used = out.reshape(-1), np.arange(n)
     cols = np.ascontiguousarray(ids.T).astype(np.int32)
-
-    def move(lanes, words):
-        at = used[lanes]
-        out[lanes, np.minimum(at, cap)] = words
-        used[lanes] = at + 1
-
     for t in range(steps):
         s = cols[t]
-        first, other, differ, p, q = model.predict()
-        one, two = _flags(p, q, differ)
-        hit = s == first
-        hit2 = (s == other) & ~hit
-        lo = np.where(hit, 0, np.where(hit2, one, two))
-        hi = np.where(hit, one, np.where(hit2, two, 4096))
-        r = coder.range >> TWELVE
-        coder.low += lo.astype(np.uint64) * r
-        coder.range = (hi - lo).astype(np.uint64) * r
-        missed = np.flatnonzero(~(hit | hit2))
-        if len(missed):
-            coder.make_room(missed, move)
-            v = s[missed]
-            cls = CLASS[v]
-            rows = model.cdf[missed]
-            at = np.arange(len(missed))
-            lo = rows[at, cls] + cls
-            hi = rows[at, cls + 1] + cls + 1
-            bits = REST_BITS[v].astype(np.uint64)
-            r = coder.range[missed] >> TOTAL
-            low = coder.low[missed] + lo.astype(np.uint64) * r
-            r = (hi - lo).astype(np.uint64) * r >> bits
-            coder.low[missed] = low + (v - CLASS_BASE[cls]).astype(np.uint64) * r
-            coder.range[missed] = r
-            model.learn_class(missed, rows, cls)
-        coder.settle_all(move)
-        model.learn(hit, hit2, differ, s)
-    everyone = np.arange(n)
-    move(everyone, coder.low >> S32)
-    move(everyone, coder.low & LOW)
-    small = 4 * used < 2 * steps
-    return [b"\x01" + out[i, : used[i]].tobytes() if small[i] else b"\x00" + ids[i].astype("<u2").tobytes() for i in range(n)]
-
-
-def decode(payloads: list[bytes], steps: int) -> np.ndarray:
-    """The ids (blocks x ``steps``) of payloads made by ``encode``."""
+        first, p = model.predict()
+        hit = first == s
+        part = (size >> 12) * p
+        size = np.where(hit, part, size - part)
+        missed = np.flatnonzero(~hit)
+        v = s[missed]
+        r = size[missed] >> SHARE_BITS
+        low[missed] += part[missed] + table.start.take(v) * r
+        size[missed] = table.share.take(v) * r
+        full = np.flatnonzero(size < 1 << KEEP_BITS)
+        rest = low[full]
+        flat[used[full]] = rest >> KEEP_BITS
+        used[full] += n
+        low[full] = (rest & LOW) << 32
+        size[full] <<= 32
+        model.learn(hit, s)
+    lanes = np.arange(n)
+    flat[used] = low >> KEEP_BITS
+    flat[used + n] = (low & LOW) << 2
+    for j in range(len(out) - 1, 0, -1):
+        out[j - 1] += out[j] >> 32
+    words, lengths = np.ascontiguousarray((out & WORD).astype("<u4").T), (used - lanes) // n + 2
+    return [b"\x01" + words[i, :k].tobytes() if 4 * k < 2 * steps else b"\x00" + ids[i].astype("<u2").tobytes() for i, k in enumerate(lengths.tolist())]
+
+
+def decode(payloads: list[bytes], steps: int, table: Table | None = None) -> np.ndarray:
+    """The ids (blocks x ``steps``) of payloads made by ``encode`` with the same table."""
+    table = table or Table.flat()
     result = np.zeros((len(payloads), steps), np.int32)
     coded = [i for i, b in enumerate(payloads) if b[0] == 1]
     for i, b in enumerate(payloads):
@@ -193,54 +185,35 @@ def decode(payloads: list[bytes], steps: int) -> np.ndarray:
     if not coded:
         return result
     n = len(coded)
-    words = np.zeros((n, max(len(payloads[i]) // 4 for i in coded) + 4), np.uint64)
+    words = np.zeros((n, max(len(payloads[i]) // 4 for i in coded) + 3), np.int64)
     for k, i in enumerate(coded):
         w = np.frombuffer(payloads[i], "<u4", offset=1)
         words[k, : len(w)] = w
-    model, coder = Lanes(n), _Coder(n)
-    code = (words[:, 0] << S32) | words[:, 1]
-    at = np.full(n, 2)
-    last = words.shape[1] - 1
-
-    def move(lanes, _):
-        code[lanes] = (code[lanes] << S32) | words[lanes, np.minimum(at[lanes], last)]
-        at[lanes] += 1
-
+    model = Lanes(n, table)
+    code, size = (words[:, 0] << KEEP_BITS) | (words[:, 1] >> 2), np.full(n, 1 << TOP_BITS)
+    # the interval ends two bits before a word does: words as they enter it
+    entering = np.ascontiguousarray((((words[:, :-1] & 3) << KEEP_BITS) | (words[:, 1:] >> 2)).T)
+    last = len(entering) - 1
+    flat, at = entering.reshape(-1), np.arange(n) + n
     out = np.zeros((steps, n), np.int32)
-    full = np.uint64(4095)
     for t in range(steps):
-        first, other, differ, p, q = model.predict()
-        one, two = _flags(p, q, differ)
-        r = coder.range >> TWELVE
-        seen = np.minimum((code - coder.low) // r, full).astype(np.int32)
-        hit = seen < one
-        hit2 = (seen < two) & ~hit
-        lo = np.where(hit, 0, np.where(hit2, one, two))
-        hi = np.where(hit, one, np.where(hit2, two, 4096))
-        coder.low += lo.astype(np.uint64) * r
-        coder.range = (hi - lo).astype(np.uint64) * r
-        s = np.where(hit, first, other)
-        missed = np.flatnonzero(~(hit | hit2))
-        if len(missed):
-            coder.make_room(missed, move)
-            rows = model.cdf[missed]
-            at_ = np.arange(len(missed))
-            r = coder.range[missed] >> TOTAL
-            low = coder.low[missed]
-            seen = np.minimum((code[missed] - low) // r, np.uint64((1 << TOTAL_BITS) - 1)).astype(np.int32)
-            cls = ((rows + model.step) <= seen[:, None]).sum(1) - 1
-            lo = rows[at_, cls] + cls
-            hi = rows[at_, cls + 1] + cls + 1
-            bits = CLASS_REST[cls].astype(np.uint64)
-            low += lo.astype(np.uint64) * r
-            r = (hi - lo).astype(np.uint64) * r >> bits
-            rest = np.minimum((code[missed] - low) // r, (np.uint64(1) << bits) - np.uint64(1))
-            coder.low[missed] = low + rest * r
-            coder.range[missed] = r
-            s[missed] = CLASS_BASE[cls] + rest.astype(np.int32)
-            model.learn_class(missed, rows, cls)
-        coder.settle_all(move)
-        model.learn(hit, hit2, differ, s)
+        first, p = model.predict()
+        part = (size >> 12) * p
+        hit = code < part
+        size = np.where(hit, part, size - part)
+        missed = np.flatnonzero(~hit)
+        rest = code[missed] - part[missed]
+        r = size[missed] >> SHARE_BITS
+        v = table.by_share.take(rest // r, mode="clip")
+        code[missed] = rest - table.start.take(v) * r
+        size[missed] = table.share.take(v) * r
+        s = first.copy()
+        s[missed] = v
+        full = np.flatnonzero(size < 1 << KEEP_BITS)
+        code[full] = (code[full] << 32) | flat[np.minimum(at[full], last * n + full)]
+        at[full] += n
+        size[full] <<= 32
+        model.learn(hit, s)
         out[t] = s
     result[coded] = out.T
     return result

@@ -1,8 +1,9 @@
 """Token-id files: range-coded, checksummed blocks of ids in ascending document order.
 
-A *segment* holds whole documents: a header, the document table (id, number of ids) and blocks of equal
-length. Every block is coded from a fresh model (``range_coder``) and has its own checksum, so a damaged
-block is found and the others still decode. Segments of about ``SEGMENT_IDS`` ids are the rows of the
+A *segment* holds whole documents: a header, the document table (id, number of ids), the coder's table (shares of ids and
+habitual followers in this segment) and blocks of equal length. Every block is coded from a fresh model
+(``range_coder``) that starts from that table, and has its own checksum, so a damaged block is found and the others still
+decode (``unpack_segment`` with a list). Segments of about ``SEGMENT_IDS`` ids are the rows of the
 written files; a manifest (one row per segment) gives each its first id position.
 
 Documents are dealt by id ranges (sampled bounds, no single task), sorted within a range, tokenised and
@@ -18,18 +19,19 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import range_coder
 from tessera.llm.tokens import encoder, vocabulary
+from tessera.operators.ordering import running_sum
 from tessera.session import scratch_path
 
-MAGIC = b"TOKSEG1\x00"
-HEAD = "<8sIIQI"  # magic, documents, blocks, ids, ids per block
+MAGIC = b"TOKSEG2\x00"
+HEAD = "<8sIIQII"  # magic, documents, blocks, ids, ids per block, bytes of the coder's table
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u4")])
 SEGMENT_IDS = 1 << 22
-LANES = 1024  # blocks coded side by side
+LANES = 4096  # blocks coded side by side
 BLOCK_IDS = (256, 8192)  # least and most ids of a block
 END_ID = 1
 SEGMENT_SCHEMA = "segment bigint, n_docs bigint, n_tokens bigint, data binary"
@@ -46,34 +48,43 @@ def pack_segment(keys: list, counts: list[int], ids: np.ndarray) -> bytes:
     least, most = BLOCK_IDS
     length = int(min(most, max(least, -(-len(ids) // LANES))))
     n = -(-len(ids) // length)
-    blocks = np.zeros(n * length, np.int32)
+    blocks = np.full(n * length, ids[-1] if len(ids) else 0, np.int32)
     blocks[: len(ids)] = ids
-    coded = [b for at in range(0, n, LANES) for b in range_coder.encode(blocks.reshape(n, length)[at : at + LANES])]
+    known = range_coder.Table.of(ids)
+    coded = [b for at in range(0, n, LANES) for b in range_coder.encode(blocks.reshape(n, length)[at : at + LANES], known)]
     docs = np.zeros(len(keys), DOC)
     docs["id"], docs["null"], docs["n"] = [k or 0 for k in keys], [k is None for k in keys], counts
-    head = struct.pack(HEAD, MAGIC, len(keys), n, len(ids), length) + docs.tobytes()
-    table = np.array([(len(b), zlib.crc32(b)) for b in coded], "<u4").reshape(n, 2).tobytes()
-    head += table
+    model = known.to_bytes() if len(ids) else b""
+    head = struct.pack(HEAD, MAGIC, len(keys), n, len(ids), length, len(model)) + docs.tobytes() + model
+    head += np.array([(len(b), zlib.crc32(b)) for b in coded], "<u4").reshape(n, 2).tobytes()
     return head + struct.pack("<I", zlib.crc32(head)) + b"".join(coded)
 
 
-def unpack_segment(data: bytes) -> tuple[list, np.ndarray, np.ndarray]:
-    """``(keys, counts, ids)`` of a segment; raises ``Damaged`` where a checksum does not hold."""
-    magic, n_docs, n, total, length = struct.unpack_from(HEAD, data)
+def unpack_segment(data: bytes, damaged: list[int] | None = None) -> tuple[list, np.ndarray, np.ndarray]:
+    """``(keys, counts, ids)`` of a segment. A header whose checksum does not hold raises ``Damaged``; so does a block, unless
+    ``damaged`` is a list: then the numbers of such blocks are added to it, their ids are -1 and all others are decoded."""
+    magic, n_docs, n, total, length, n_model = struct.unpack_from(HEAD, data) if len(data) >= struct.calcsize(HEAD) else (b"",) + (0,) * 5
     at = struct.calcsize(HEAD) + n_docs * DOC.itemsize
-    end = at + 8 * n
-    if magic != MAGIC or zlib.crc32(data[:end]) != struct.unpack_from("<I", data, end)[0]:
+    end = at + n_model + 8 * n
+    if magic != MAGIC or end + 4 > len(data) or zlib.crc32(data[:end]) != struct.unpack_from("<I", data, end)[0]:
         raise Damaged("header")
     docs = np.frombuffer(data, DOC, n_docs, struct.calcsize(HEAD))
-    table = np.frombuffer(data, "<u4", 2 * n, at).reshape(n, 2)
+    known = range_coder.Table.from_bytes(data[at : at + n_model]) if n_model else range_coder.Table.flat()
+    table = np.frombuffer(data, "<u4", 2 * n, at + n_model).reshape(n, 2)
     stops = end + 4 + np.cumsum(table[:, 0], dtype=np.int64)
     blocks = [data[b - s : b] for b, s in zip(stops.tolist(), table[:, 0].tolist())]
+    good = []
     for i, b in enumerate(blocks):
-        if zlib.crc32(b) != table[i, 1]:
+        if zlib.crc32(b) == table[i, 1]:
+            good.append(i)
+        elif damaged is None:
             raise Damaged(f"block {i}")
-    parts = [range_coder.decode(blocks[k : k + LANES], length).ravel() for k in range(0, n, LANES)]
-    ids = np.concatenate([*parts, np.empty(0, np.int32)])[:total]
-    return [None if d["null"] else int(d["id"]) for d in docs], docs["n"].astype(np.int64), ids
+        else:
+            damaged.append(i)
+    ids = np.full((n, length), -1, np.int32)
+    for k in range(0, len(good), LANES):
+        ids[good[k : k + LANES]] = range_coder.decode([blocks[i] for i in good[k : k + LANES]], length, known)
+    return [None if d["null"] else int(d["id"]) for d in docs], docs["n"].astype(np.int64), ids.ravel()[:total]
 
 
 def segments(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -116,9 +127,8 @@ def save(df: DataFrame, path: str, **how) -> None:
     segments(df, **how).write.parquet(f"{path}/segments")
     spark = df.sparkSession
     parts = spark.read.parquet(f"{path}/segments").select("segment", "n_docs", "n_tokens")
-    # one row per segment of millions of ids
-    before = F.sum("n_tokens").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
-    parts.withColumn("start", F.coalesce(before, F.lit(0))).write.parquet(f"{path}/manifest")
+    after = running_sum(parts.withColumn("_n", F.col("n_tokens")), "segment", "_n", "_after")
+    after.withColumn("start", F.col("_after") - F.col("_n")).drop("_n", "_after").write.parquet(f"{path}/manifest")
 
 
 def load(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:

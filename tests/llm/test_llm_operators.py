@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from tessera.llm import (
 )
 from tessera.llm.common import components
 
+from support import SF_MID
+
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -475,6 +478,59 @@ def test_segment_checksums():
             token_store.unpack_segment(data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :])
 
 
+def test_damaged_blocks_leave_the_others():
+    ids = np.random.default_rng(2).integers(0, 900, 3000)
+    data = token_store.pack_segment([1], [3000], ids)
+    lost = []
+    hurt = bytearray(data)
+    hurt[-3] ^= 255  # in the last block
+    keys, n, back = token_store.unpack_segment(bytes(hurt), lost)
+    length = 256  # the least block
+    assert keys == [1] and n.tolist() == [3000] and lost == [2999 // length]
+    assert (back[: lost[0] * length] == ids[: lost[0] * length]).all() and (back[lost[0] * length :] == -1).all()
+    for cut in (b"", data[:10], data[:60]):
+        with pytest.raises(token_store.Damaged):
+            token_store.unpack_segment(cut, [])
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 5, 4000])
+def test_coder_table(size):
+    """Shares add up and meet every id; the follower is the most frequent one; both survive the file."""
+    ids = np.random.default_rng(size).choice([0, 3, 3, 3, 7, 900, 65535], size)
+    table = range_coder.Table.of(ids)
+    assert table.share.sum() == 1 << range_coder.SHARE_BITS and (size == 0 or set(np.flatnonzero(table.share)) == set(ids.tolist()))
+    for a in set(ids.tolist()):
+        after = np.bincount(ids[1:][ids[:-1] == a], minlength=1)
+        want = after.max() if after.max() >= range_coder.FOLLOWS else 0
+        got = table.follower[a]
+        assert (got >= 0) == (want > 0) and (got < 0 or after[got] == want)
+    back = range_coder.Table.from_bytes(table.to_bytes())
+    assert (back.share == table.share).all() and (back.follower == table.follower).all()
+    if size:
+        blocks = np.resize(ids, (3, size))
+        assert (range_coder.decode(range_coder.encode(blocks, table), size, table) == blocks).all()
+
+
+def test_carry_runs_through_words():
+    """Blocks whose intervals sit at the upper end, so that carries pass over many words."""
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        ids = np.where(rng.random((40, 300)) < 0.98, 65535, rng.integers(65000, 65536, (40, 300)))
+        for table in (range_coder.Table.flat(), range_coder.Table.of(ids.ravel())):
+            assert (range_coder.decode(range_coder.encode(ids, table), 300, table) == ids).all()
+
+
+def test_files_are_smaller_than_deflated_blocks():
+    """On real ids, equal blocks: all of a segment against zlib of each block, and of blocks eight times as long."""
+    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM read_parquet('{SF_MID}/documents.parquet') ORDER BY doc_id").fetchall()]
+    ids = np.frombuffer(b"".join(tokens.encoder(tokens.vocabulary()).encode(texts)), "<u4")
+    data = token_store.pack_segment([1], [len(ids)], ids)
+    length = max(256, -(-len(ids) // token_store.LANES))
+    small = ids.astype("<u2")
+    assert len(data) < 0.85 * sum(len(zlib.compress(small[i : i + 8 * length].tobytes(), 9)) for i in range(0, len(ids), 8 * length))
+    assert (token_store.unpack_segment(data)[2] == ids).all()
+
+
 def test_token_store(spark, docs, rows):
     path = token_store.stored(docs.withColumn("start", F.lit(1)).repartition(4))
     got = {r.doc_id: r for r in token_store.load(spark, path, with_ids=True).collect()}
