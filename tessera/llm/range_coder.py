@@ -15,7 +15,7 @@ import zlib
 
 import numpy as np
 
-SLOTS = 256  # contexts kept per block and order
+SLOTS = 128  # contexts kept per block and order
 MAX_ID = 1 << 16
 SHARE_BITS = 16  # order-0 shares sum to 2 ** SHARE_BITS
 FOLLOWS = 4  # times an id must follow another to stand in the table
@@ -40,6 +40,10 @@ class Table:
         self.start = np.cumsum(self.share) - self.share
         self.by_share = np.repeat(np.arange(MAX_ID, dtype=np.int32), self.share)
         self.stretch = np.take(STRETCH, np.minimum(self.share >> (SHARE_BITS - 12), 4095))
+        self.stretch16 = np.repeat(STRETCH, 16)
+        # slots of order 1, and of order 2 as a combination of the last id and the one before
+        ids = np.arange(MAX_ID, dtype=np.int64)
+        self.near, self.near2, self.far2 = (ids * 20011 >> 3) & (SLOTS - 1), (ids * 15013 >> 4) & (SLOTS - 1), (ids * 26357 >> 4) & (SLOTS - 1)
 
     @classmethod
     def flat(cls) -> Table:
@@ -85,55 +89,51 @@ class Table:
 
 
 class Lanes:
-    """The model of ``n`` blocks, each in its own state."""
+    """The model of ``n`` blocks, each in its own state; rows of arrays are orders, columns blocks."""
 
     def __init__(self, n: int, table: Table):
         lane = np.arange(n, dtype=np.int64)
         self.table = table
-        self.at, self.at8 = lane * SLOTS, lane * 8
+        self.slots = np.stack([lane, n + lane]) * SLOTS
+        self.chances = np.stack([lane, n + lane]) * 8
         # an expected id and, in the low two bits, its confidence; 0: none yet
-        self.known = np.zeros((2, n * SLOTS), np.int32)
-        self.prob = np.tile(START, (1, n)).copy()
-        self.weight = [np.full(n, w, np.int32) for w in WEIGHTS]
+        self.known = np.zeros(2 * n * SLOTS, np.int32)
+        self.prob = np.tile(START.ravel(), (n, 1)).reshape(n, 2, 8).transpose(1, 0, 2).reshape(-1).copy()
+        self.weight = np.repeat(np.array(WEIGHTS, np.int32)[:, None], n, 1)
         self.base = (table.follower.clip(0) << 2).astype(np.int32)
+        self.s = np.empty((2, n), np.int64)
+        self.x = np.empty((3, n), np.int32)
         self.one = np.zeros(n, np.int64)
-        self.two = np.zeros(n, np.int64)
+        self.before = np.zeros(n, np.int64)  # hash of the id before that
 
     def predict(self):
         """The expected id of every lane and its probability, of 4,096."""
-        one = self.one
-        self.s1 = self.at + ((one * 20011 >> 3) & (SLOTS - 1))
-        self.s2 = self.at + (((one * 15013 ^ self.two * 26357) >> 4) & (SLOTS - 1))
-        e1, e2 = self.known[0].take(self.s1), self.known[1].take(self.s2)
-        e1 = np.where(e1 & 3, e1, self.base.take(one))
-        c1, c2 = e1 & 3, e2 & 3
-        first = np.where(c2, e2, e1) >> 2
-        agree = (e1 >> 2) == first
-        self.i1 = self.at8 + (c1 * 2 + agree)
-        self.i2 = self.at8 + (c2 * 2 + agree)
-        self.p1, self.p2 = self.prob[0].take(self.i1), self.prob[1].take(self.i2)
-        self.x = (self.table.stretch.take(first), STRETCH.take(self.p1 >> 4), STRETCH.take(self.p2 >> 4))
-        w, x = self.weight, self.x
-        dot = (w[0] * x[0] + w[1] * x[1] + w[2] * x[2]) >> 16
-        self.p = SQUASH.take(dot + 2047, mode="clip")
-        self.e1, self.e2, self.c1, self.c2 = e1, e2, c1, c2
+        one, s, x = self.one, self.s, self.x
+        np.add(self.slots[0], self.table.near.take(one), out=s[0])
+        np.add(self.slots[1], self.table.near2.take(one) ^ self.before, out=s[1])
+        e = self.known.take(s)
+        e[0] = np.where(e[0] & 3, e[0], self.base.take(one))
+        c, g = e & 3, e >> 2
+        first = np.where(c[1], g[1], g[0])
+        self.i = self.chances + (c * 2 + (g[0] == first))
+        self.seen = self.prob.take(self.i)
+        x[0] = self.table.stretch.take(first)
+        x[1:] = self.table.stretch16.take(self.seen)
+        dot = (self.weight * x).sum(0, dtype=np.int32) >> 16
+        dot += 2047
+        self.p = SQUASH.take(dot, mode="clip")
+        self.e, self.c, self.g = e, c, g
         return first, self.p
 
     def learn(self, hit, ids):
         """Move probabilities, weights and expected ids towards what was seen."""
-        err = ((hit.astype(np.int32) << 12) - self.p) * 5
-        for k in range(3):
-            w = self.weight[k]
-            w += self.x[k] * err >> 10
-            np.clip(w, -(1 << 17), 1 << 17, out=w)
-        goal = hit * np.int32(65535)
-        self.prob[0][self.i1] = self.p1 + ((goal - self.p1) >> 4)
-        self.prob[1][self.i2] = self.p2 + ((goal - self.p2) >> 4)
-        fresh = (ids << 2) + 1
-        for k, s, e, c in ((0, self.s1, self.e1, self.c1), (1, self.s2, self.e2, self.c2)):
-            right = ((e ^ fresh) < 4) & ((e ^ fresh) >= 0)
-            self.known[k][s] = np.where(right, e + (c < 3), np.where(c <= 1, fresh, e - 1))
-        self.two = self.one
+        err = (hit * np.int32(4096) - self.p) * np.int32(5)
+        self.weight += self.x * err >> 10
+        np.clip(self.weight, -(1 << 17), 1 << 17, out=self.weight)
+        self.prob[self.i] = self.seen + ((hit * np.int32(65535) - self.seen) >> 4)
+        e, c = self.e, self.c
+        self.known[self.s] = np.where(self.g == ids, e + (c < 3), np.where(c <= 1, (ids << 2) + 1, e - 1))
+        self.before = self.table.far2.take(self.one)
         self.one = ids.astype(np.int64)
 
 

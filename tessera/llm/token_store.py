@@ -31,7 +31,7 @@ MAGIC = b"TOKSEG2\x00"
 HEAD = "<8sIIQII"  # magic, documents, blocks, ids, ids per block, bytes of the coder's table
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u4")])
 SEGMENT_IDS = 1 << 22
-LANES = 4096  # blocks coded side by side
+LANES = 8192  # blocks coded side by side
 BLOCK_IDS = (256, 8192)  # least and most ids of a block
 END_ID = 1
 SEGMENT_SCHEMA = "segment bigint, n_docs bigint, n_tokens bigint, data binary"
