@@ -144,8 +144,10 @@ def encode(ids: np.ndarray, table: Table | None = None) -> list[bytes]:
     n, steps = ids.shape
     model = Lanes(n, table)
     low, size = np.zeros(n, np.int64), np.full(n, 1 << TOP_BITS)
-    out = np.zeros((steps * 28 // 32 + 4, n), np.int64)  # words by lane; a carry stays in a word's 33rd bit until the end
+    # words by lane, a carry in a word's 33rd bit until the end; blocks that need more words are stored as they are
+    out = np.zeros((steps // 2 + 4, n), np.int64)
     flat, used = out.reshape(-1), np.arange(n)
+    bound = out.size - 3 * n
     cols = np.ascontiguousarray(ids.T).astype(np.int32)
     for t in range(steps):
         s = cols[t]
@@ -160,8 +162,9 @@ def encode(ids: np.ndarray, table: Table | None = None) -> list[bytes]:
         size[missed] = table.share.take(v) * r
         full = np.flatnonzero(size < 1 << KEEP_BITS)
         rest = low[full]
-        flat[used[full]] = rest >> KEEP_BITS
-        used[full] += n
+        at = used[full]
+        flat[at] = rest >> KEEP_BITS
+        used[full] = np.where(at < bound, at + n, at)
         low[full] = (rest & LOW) << 32
         size[full] <<= 32
         model.learn(hit, s)
@@ -170,7 +173,8 @@ def encode(ids: np.ndarray, table: Table | None = None) -> list[bytes]:
     flat[used + n] = (low & LOW) << 2
     for j in range(len(out) - 1, 0, -1):
         out[j - 1] += out[j] >> 32
-    words, lengths = np.ascontiguousarray((out & WORD).astype("<u4").T), (used - lanes) // n + 2
+    out &= WORD
+    words, lengths = np.ascontiguousarray(out.astype("<u4").T), (used - lanes) // n + 2
     return [b"\x01" + words[i, :k].tobytes() if 4 * k < 2 * steps else b"\x00" + ids[i].astype("<u2").tobytes() for i, k in enumerate(lengths.tolist())]
 
 

@@ -525,7 +525,7 @@ def test_files_are_smaller_than_deflated_blocks():
     texts = [r[0] for r in duckdb.sql(f"SELECT text FROM read_parquet('{SF_MID}/documents.parquet') ORDER BY doc_id").fetchall()]
     ids = np.frombuffer(b"".join(tokens.encoder(tokens.vocabulary()).encode(texts)), "<u4")
     data = token_store.pack_segment([1], [len(ids)], ids)
-    length = max(256, -(-len(ids) // token_store.LANES))
+    length = max(256, -(-len(ids) // token_store.BLOCKS))
     small = ids.astype("<u2")
     assert len(data) < 0.85 * sum(len(zlib.compress(small[i : i + 8 * length].tobytes(), 9)) for i in range(0, len(ids), 8 * length))
     assert (token_store.unpack_segment(data)[2] == ids).all()
