@@ -31,8 +31,7 @@ MAGIC = b"TOKSEG2\x00"
 HEAD = "<8sIIQII"  # magic, documents, blocks, ids, ids per block, bytes of the coder's table
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u4")])
 SEGMENT_IDS = 1 << 22
-LANES = 4096  # blocks coded side by side
-BLOCKS = 8192  # of a segment, where blocks are neither longest nor shortest
+LANES = 8192  # blocks coded side by side, and of a segment where blocks are neither longest nor shortest
 BLOCK_IDS = (256, 8192)  # least and most ids of a block
 END_ID = 1
 SEGMENT_SCHEMA = "segment bigint, n_docs bigint, n_tokens bigint, data binary"
@@ -47,7 +46,7 @@ def pack_segment(keys: list, counts: list[int], ids: np.ndarray) -> bytes:
     if len(ids) and int(ids.max()) >= range_coder.MAX_ID:
         raise ValueError("ids must be below 65,536")
     least, most = BLOCK_IDS
-    length = int(min(most, max(least, -(-len(ids) // BLOCKS))))
+    length = int(min(most, max(least, -(-len(ids) // LANES))))
     n = -(-len(ids) // length)
     blocks = np.full(n * length, ids[-1] if len(ids) else 0, np.int32)
     blocks[: len(ids)] = ids

@@ -42,6 +42,17 @@ def byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
+class Chunks(dict):
+    """Ids by chunk; a chunk that is not there is encoded when it is asked for."""
+
+    def __init__(self, encode):
+        super().__init__({"": b""})
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        return self.encode(chunk)
+
+
 class ChunkEncoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
@@ -52,12 +63,12 @@ class ChunkEncoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.letters = byte_letters()
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache = Chunks(self.chunk)
         self.parts: dict[str, bytes] = {}
         probe = self.whole(PROBE)
         self.by_part = True
         self.by_part = [self.chunk(c) for c in PROBE] == probe
-        self.cache = {"": b""}
+        self.cache = Chunks(self.chunk)
         self.by_chunk = self.whole([" ".join(PROBE) + "\n" + " \n".join(PROBE)]) == [b"".join(probe * 2)]
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -86,14 +97,8 @@ class ChunkEncoder:
         """The ids of every text; null and empty texts have none."""
         if not self.by_chunk:
             return self.whole([t or "" for t in texts])
-        out = []
-        for text in texts:
-            chunks = text.replace("\n", " ").split(" ") if text else []
-            parts = list(map(self.cache.get, chunks))
-            if None in parts:
-                parts = [self.chunk(c) if p is None else p for c, p in zip(chunks, parts)]
-            out.append(b"".join(parts))
-        return out
+        ids = self.cache.__getitem__
+        return [b"".join(map(ids, text.replace("\n", " ").split(" "))) if text else b"" for text in texts]
 
 
 def encoder(path: str) -> ChunkEncoder:
