@@ -154,6 +154,24 @@ def test_cell_scores_hold_no_driver_matrix(spark):
     assert len(cloudpickle.dumps(V.best_of_cell)) < 20_000
 
 
+def test_cell_scores_are_held_by_tiles(monkeypatch):
+    """Memory of a cell does not grow with queries times index rows, and tiles of any size give the same winners."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    Q, X = rng.normal(size=(8000, 4)), rng.normal(size=(1100, 4))
+    tracemalloc.start()
+    row, ids, score = V.best_of_cell(Q, X, np.arange(1100), 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6  # 8,000 x 1,024 scores alone are 66 MB, and several such arrays were held
+    assert list(row[:4]) == [0, 0, 1, 1] and row[-1] == 7999
+    monkeypatch.setattr(V, "TILE", 37)
+    again = V.best_of_cell(Q[:100], X, np.arange(1100), 2)
+    assert (again[0] == row[:200]).all() and (again[1] == ids[:200]).all() and np.allclose(again[2], score[:200])
+    assert [len(a) for a in V.best_of_cell(Q, X[:1], np.arange(1), 2)] == [8000] * 3
+
+
 def _sample_rows():
     rng = np.random.default_rng(11)
     rows = [(i, "big" if i % 3 else ["a", "b", None][i % 2 + (i % 9 == 0)], str(i)) for i in range(3000)]
@@ -200,6 +218,15 @@ def test_samples_shuffle_the_edge_bucket_alone(spark):
     assert 0 < edge["_room"] <= close < 40
 
 
+def test_samples_of_large_inputs_do_not_shuffle_rows_by_label(spark):
+    """The cut-offs are read back with their real size, so the rows are joined where they are read."""
+    from tessera.operators import sampling as SA
+
+    df = spark.range(4_000_000).select(F.col("id").alias("seq"), F.when(F.col("id") % 10 > 0, "hot").otherwise("b").alias("label"), F.md5(F.col("id").cast("string")).alias("_h"))
+    plan = SA.marked(df, "_h", 50_000, ties=["seq"])._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
 def test_text_index_saved_reloaded_and_searched(spark, tmp_path, monkeypatch):
     import math
     import re
