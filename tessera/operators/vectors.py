@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 16_384
-TILE = 1024  # index rows scored at once
+TILE = 1024  # index rows, and query rows, scored at once
 
 
 def usable(vec: Column) -> Column:
@@ -43,7 +43,14 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
 
 
 def best_of_cell(Q: np.ndarray, X: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(query row, index id, score)``: the best ``k`` index rows of every query by (score in millionths, id)."""
+    """``(query row, index id, score)``: the best ``k`` index rows of every query by (score in millionths, id). Scores are held
+    for ``TILE`` queries and index rows at a time."""
+    parts = [_best_of_tile(Q[at : at + TILE], X, x_ids, k) for at in range(0, len(Q), TILE)]
+    row = np.concatenate([np.repeat(np.arange(len(s)) + at * TILE, s.shape[1]) for at, (_, s) in enumerate(parts)])
+    return row, np.concatenate([i.ravel() for i, _ in parts]), np.concatenate([s.ravel() for _, s in parts]) / 1e6
+
+
+def _best_of_tile(Q: np.ndarray, X: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     pool_s = np.empty((len(Q), 0))
     pool_i = np.empty((len(Q), 0), np.int64)
     for at in range(0, len(X), TILE):
@@ -52,8 +59,7 @@ def best_of_cell(Q: np.ndarray, X: np.ndarray, x_ids: np.ndarray, k: int) -> tup
         pool_s, pool_i = np.concatenate([pool_s, s], 1), np.concatenate([pool_i, i], 1)
         order = np.lexsort((pool_i, -pool_s), axis=1)[:, :k]
         pool_s, pool_i = np.take_along_axis(pool_s, order, 1), np.take_along_axis(pool_i, order, 1)
-    row = np.repeat(np.arange(len(Q)), pool_s.shape[1])
-    return row, pool_i.ravel(), pool_s.ravel() / 1e6
+    return pool_i, pool_s
 
 
 def cell_winners(index: DataFrame, queries: DataFrame, k: int, index_id: str, query_id: str, index_vec: str, query_vec: str, rows: int | None = None) -> DataFrame:
