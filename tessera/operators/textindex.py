@@ -5,29 +5,90 @@ vector's length. Vectors are rows ``(id, term, weight)``, so nothing is as wide
 held by the driver: the vectoriser is a table of document frequencies and one number. Ids may have any type that
 can be joined; rows without an id are not indexed, rows that repeat an id are one document.
 
+Documents are dealt into parts of about ``PART_ROWS`` rows by hash. Texts are sent to their part once and counted there; what travels
+between parts is one row per part and term, with its document frequency, so words are not shuffled document by document.
+
 Search joins query terms with index postings. A frequent term's postings lie in slices of ``SLICE_ROWS``
-documents, and its query rows are repeated per slice, so no term meets in one task. With a threshold, a query's most frequent
-terms are left out of the candidate join as long as together they cannot reach the threshold (their weights' length is
-below it); candidates are then scored exactly on all terms.
+documents, and its query rows are repeated per slice, so no term meets in one task. Equal texts are vectors of one representative,
+on both sides; its members come back at the end. With a threshold, a pair is a candidate if it shares a term from which on (towards the
+more frequent ones) the two vectors' lengths multiply to the threshold or more: the rarest term that a matching pair shares is such a term.
+Candidates whose products so far and what may follow stay below the threshold are dropped, the others scored exactly on all terms.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.session import scratch_path
 
 WORD_RUN = "[\\p{L}\\p{N}_]+"
 SLICE_ROWS = 50_000  # postings of one term in one slice
-SALT = 32  # parts that a frequent term's rows are joined with their document frequency in
-
-
-def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, term, n)``."""
-    terms = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RUN), F.lit(0)))
-    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), terms.alias("term"))
-    return rows.groupBy("id", "term").agg(F.count(F.lit(1)).alias("n"))
+PART_ROWS = 4_096  # rows of one part
+EPS = 1e-6  # covers the scores' rounding and the errors of lengths
+
+
+def _part_count(df: DataFrame) -> int:
+    """Parts of a table: enough for every core, or ``PART_ROWS`` rows each."""
+    rows = df.count()
+    return max(1, math.ceil(rows / PART_ROWS), min(rows // 64, 2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def term_counts(df: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
+    """``(part, id, term, n)``, all rows of a part in one partition."""
+    rows = df.where(F.col(id_col).isNotNull()).select(
+        F.pmod(F.xxhash64(id_col), F.lit(parts)).alias("part"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
+    )
+    terms = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD_RUN), F.lit(0)))
+    words = rows.repartition(max(1, parts // 2), "part").select("part", "id", terms.alias("term"))
+    return words.groupBy("part", "id", "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def classes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, rep)``: every id once, with the smallest id of an equal text; an id with several texts stands for itself."""
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("h"))
+    own = rows.groupBy("id").agg(F.min("h").alias("h"), (F.min("h") == F.max("h")).alias("one"), F.count(F.lit(1)).alias("n"))
+    first = own.where("one").groupBy("h", "n").agg(F.min("id").alias("first")).withColumn("one", F.lit(True))
+    return own.join(first, ["h", "n", "one"], "left").select("id", F.coalesce("first", "id").alias("rep"))
+
+
+def _weights(left: pa.Table, right: pa.Table, n_docs: int) -> pa.Table | None:
+    """Terms of one part's documents with their weights; ``rest`` is the length of a term's weight and those of all more
+    frequent terms (equally frequent ones in reverse byte order) of its document."""
+    order = pc.sort_indices(right, sort_keys=[("df", "descending"), ("word", "ascending")])
+    right = right.take(order)
+    at = pc.index_in(left.column("term"), value_set=right.column("word").combine_chunks())
+    left = left.append_column("at", at).filter(at.is_valid())
+    if not len(left):
+        return None
+    ids = left.column("id").combine_chunks()
+    if pa.types.is_nested(ids.type):
+        ids = pa.array([str(x) for x in ids.to_pylist()])
+    doc = ids.dictionary_encode().indices.to_numpy()
+    place = left.column("at").to_numpy()
+    df = right.column("df").to_numpy()[place]
+    raw = left.column("n").to_numpy() * np.log((n_docs + 1) / (df + 1))
+    weight = raw / np.sqrt(np.bincount(doc, raw * raw))[doc]
+    row = np.lexsort((place, doc))
+    upto = np.cumsum((weight * weight)[row])
+    sizes = np.bincount(doc)
+    before = np.concatenate([[0.0], upto])[np.cumsum(sizes) - sizes]
+    rest = np.empty(len(row))
+    rest[row] = np.sqrt(np.maximum(upto - np.repeat(before, sizes), 0))
+    return pa.table({"id": left.column("id"), "term": left.column("term"), "df": pa.array(df, pa.int64()), "weight": weight, "rest": rest})
 
 
 @dataclass
@@ -41,7 +102,8 @@ class Vectoriser:
     def fit(cls, df: DataFrame, id_col: str, text_col: str) -> Vectoriser:
         """Frequencies over all texts; null and empty texts count as documents without terms."""
         n = df.where(F.col(id_col).isNotNull()).select(id_col).distinct().count()
-        return cls(term_counts(df, id_col, text_col).groupBy("term").agg(F.count(F.lit(1)).alias("df")), n)
+        counts = term_counts(df, id_col, text_col, _part_count(df))
+        return cls(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")), n)
 
     def save(self, path: str) -> None:
         self.terms.withColumn("n_docs", F.lit(self.n_docs).cast("long")).write.mode("overwrite").parquet(f"{path}/terms")
@@ -52,13 +114,21 @@ class Vectoriser:
         return cls(spark.read.parquet(f"{path}/terms").select("term", "df"), spark.read.parquet(f"{path}/size").first()[0])
 
     def transform(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """Unit vectors ``(id, term, df, weight)``; terms unknown to the fit and terms of every document have no weight
-        and no row."""
-        counts = term_counts(df, id_col, text_col).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(SALT)))
-        known = self.terms.where(F.col("df") < self.n_docs).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
-        raw = counts.join(known, ["term", "part"]).withColumn("raw", F.col("n") * F.log(F.lit(float(self.n_docs + 1)) / (F.col("df") + 1)))
-        length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
-        return raw.select("id", "term", "df", (F.col("raw") / length).alias("weight"))
+        """Unit vectors ``(id, term, df, weight, rest)``; terms unknown to the fit and terms of every document have no weight
+        and no row. ``rest`` as in ``_weights``."""
+        counts = term_counts(df, id_col, text_col, _part_count(df))
+        known = counts.select("part", "term").distinct().join(self.terms.where(F.col("df") < self.n_docs), "term")
+        known = known.select(F.col("part").alias("to"), F.col("term").alias("word"), "df")  # names apart from those of the counts
+        n_docs, id_type = self.n_docs, counts.schema["id"].dataType
+        schema = T.StructType().add("id", id_type).add("term", "string").add("df", "long").add("weight", "double").add("rest", "double")
+
+        def weigh(left: pa.Table, right: pa.Table) -> pa.Table:
+            out = _weights(left, right, n_docs) if len(left) and len(right) else None
+            if out is not None:
+                return out
+            return pa.table({"id": left.column("id").slice(0, 0), "term": pa.array([], pa.string()), "df": pa.array([], pa.int64()), "weight": pa.array([], pa.float64()), "rest": pa.array([], pa.float64())})
+
+        return counts.groupBy("part").cogroup(known.groupBy("to")).applyInArrow(weigh, schema)
 
 
 def _slices(df: Column) -> Column:
@@ -67,44 +137,57 @@ def _slices(df: Column) -> Column:
 
 @dataclass
 class TextIndex:
-    """A saved index: records (metadata by id), postings and the vectoriser."""
+    """A saved index: records (metadata by id), representatives of equal texts, their postings and the vectoriser."""
 
     records: DataFrame
-    postings: DataFrame  # (id, term, df, weight, slice)
+    members: DataFrame  # (id, rep)
+    postings: DataFrame  # (id, term, df, weight, rest, slice) of representatives
     vectoriser: Vectoriser
 
     @classmethod
     def build(cls, df: DataFrame, path: str, id_col: str, text_col: str) -> TextIndex:
         """Fit, vectorise and write; the indexed text is dropped from the records. Returns the index as read back."""
+        spark = df.sparkSession
         Vectoriser.fit(df, id_col, text_col).save(f"{path}/vectoriser")
-        vectoriser = Vectoriser.load(df.sparkSession, f"{path}/vectoriser")
-        rows = vectoriser.transform(df, id_col, text_col).withColumn("slice", F.pmod(F.xxhash64("id"), _slices(F.col("df"))))
+        vectoriser = Vectoriser.load(spark, f"{path}/vectoriser")
+        classes(df, id_col, text_col).write.mode("overwrite").parquet(f"{path}/members")
+        heads = spark.read.parquet(f"{path}/members").where("id = rep").select(F.col("id").alias(id_col))
+        rows = vectoriser.transform(df.select(id_col, text_col).join(heads, id_col, "left_semi"), id_col, text_col)
+        rows = rows.withColumn("slice", F.pmod(F.xxhash64("id"), _slices(F.col("df"))))
         rows.repartitionByRange("term", "slice").sortWithinPartitions("term", "slice").write.mode("overwrite").parquet(f"{path}/postings")
         df.drop(text_col).write.mode("overwrite").parquet(f"{path}/records")
-        return cls.load(df.sparkSession, path)
+        return cls.load(spark, path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TextIndex:
-        return cls(spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/postings"), Vectoriser.load(spark, f"{path}/vectoriser"))
+        read = lambda name: spark.read.parquet(f"{path}/{name}")
+        return cls(read("records"), read("members"), read("postings"), Vectoriser.load(spark, f"{path}/vectoriser"))
 
     def search(self, queries: DataFrame, query_id: str, text_col: str, k: int = 3, threshold: float | None = None) -> DataFrame:
         """``(query_id, rank, id, score)``: for every query the ``k`` documents of the largest dot product, ties by id.
 
         Scores are rounded to six decimals. Documents below ``threshold`` are no match (the threshold itself is one); without a
-        threshold only documents that share a weighted term appear. Queries without a match have no row."""
-        q = self.vectoriser.transform(queries, query_id, text_col).withColumnRenamed("id", "query")
-        asked = q
+        threshold only documents that share a weighted term appear. Queries without a match have no row. Query classes and
+        vectors are written when the search is planned."""
+        asking = _written(classes(queries, query_id, text_col), "query-classes")
+        heads = asking.where("id = rep").select(F.col("id").alias(query_id))
+        q = self.vectoriser.transform(queries.select(query_id, text_col).join(heads, query_id, "left_semi"), query_id, text_col)
+        q = _written(q.withColumnRenamed("id", "query"), "query-vectors")
+        asked, postings = q, self.postings
         if threshold is not None:
-            # the length of a term's weight and those of all more frequent terms
-            rest = Window.partitionBy("query").orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
-            asked = q.withColumn("rest", F.sum(F.col("weight") * F.col("weight")).over(rest)).where(F.sqrt("rest") >= threshold - 1e-9)
+            far = threshold - EPS
+            asked, postings = asked.where(F.col("rest") >= far), postings.where(F.col("rest") >= far)
         slices = F.explode(F.sequence(F.lit(0).cast("long"), _slices(F.col("df")) - 1)).alias("slice")
-        asked = asked.select("query", "term", F.col("weight").alias("asked"), slices)
-        hits = asked.join(self.postings.select("term", "slice", "id", "weight"), ["term", "slice"])
+        asked = asked.select("query", "term", F.col("weight").alias("asked"), F.col("rest").alias("asked_rest"), slices)
+        hits = asked.join(postings.select("term", "slice", "id", "weight", "rest"), ["term", "slice"])
         if threshold is None:
             scored = hits.groupBy("query", "id").agg(F.sum(F.col("asked") * F.col("weight")).alias("s"))
         else:
-            pairs = hits.select("query", "id").distinct()
+            after = lambda rest, weight: F.sqrt(F.greatest(F.col(rest) * F.col(rest) - F.col(weight) * F.col(weight), F.lit(0.0)))
+            sums = hits.where(F.col("asked_rest") * F.col("rest") >= far).groupBy("query", "id").agg(
+                F.sum(F.col("asked") * F.col("weight")).alias("so_far"), F.min(after("asked_rest", "asked") * after("rest", "weight")).alias("more")
+            )
+            pairs = sums.where(F.col("so_far") + F.col("more") >= far).select("query", "id")
             own = pairs.join(q.select("query", "term", F.col("weight").alias("asked")), "query")
             scored = own.join(self.postings.select("id", "term", "weight"), ["id", "term"]).groupBy("query", "id").agg(
                 F.sum(F.col("asked") * F.col("weight")).alias("s")
@@ -112,9 +195,14 @@ class TextIndex:
         scored = scored.withColumn("score", F.round("s", 6))
         if threshold is not None:
             scored = scored.where(F.col("score") >= threshold)
+        # the k best texts by their smallest id hold the k best documents, which are among the k smallest ids of each
         best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-        out = scored.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
-        return out.select(F.col("query").alias(query_id), "rank", "id", "score")
+        texts = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query", F.col("id").alias("rep"), "score")
+        nth = Window.partitionBy("rep").orderBy("id")
+        named = self.members.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= k).select("rep", "id")
+        out = texts.join(named, "rep").withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k)
+        each = asking.select(F.col("id").alias("query_id"), F.col("rep").alias("query"))
+        return out.join(each, "query").select(F.col("query_id").alias(query_id), "rank", "id", "score")
 
 
 def sql_vectors(source: str, id_expr: str, text_expr: str) -> str:

@@ -104,8 +104,8 @@ FROM {_REVIEWED_SQL} r LEFT JOIN (SELECT id, count(*) AS n_terms, round(sqrt(sum
 def index_build(spark, sf):
     """G8 then A5: the index (records, sparse vectors, vectoriser) is written and read back."""
     index = TI.TextIndex.build(index_records(spark, sf), scratch_path(spark, "index"), "id", "embed_text")
-    size = index.postings.groupBy("id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sqrt(F.sum(F.col("weight") * F.col("weight"))), 6).alias("norm"))
-    out = index.records.join(size, "id", "left").withColumn("n_terms", F.coalesce("n_terms", F.lit(0)))
+    size = index.postings.groupBy(F.col("id").alias("rep")).agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sqrt(F.sum(F.col("weight") * F.col("weight"))), 6).alias("norm"))
+    out = index.records.join(index.members, "id", "left").join(size, "rep", "left").withColumn("n_terms", F.coalesce("n_terms", F.lit(0)))
     return out.select("id", "category", "subcategory", "level", "description", "path", "n_terms", "norm")
 
 

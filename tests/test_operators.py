@@ -270,6 +270,34 @@ def test_text_index_saved_reloaded_and_searched(spark, tmp_path, monkeypatch):
     assert TI.TextIndex.build(df.limit(0), f"{tmp_path}/none", "id", "body").search(queries, "query", "body").count() == 0
 
 
+def test_equal_texts_are_searched_once(spark, tmp_path):
+    """Copies on either side are one vector in the index and in the join, and come back one by one."""
+    from tessera.operators import textindex as TI
+
+    rows = [(i, ["red fox runs", "blue fox", "green tree"][i % 3]) for i in range(60)] + [(3, "red fox runs"), (5, "blue sea"), (None, "red")]
+    df = spark.createDataFrame(rows, "id long, body string")
+    index = TI.TextIndex.build(df, f"{tmp_path}/index", "id", "body")
+    # 3 has its text twice and 5 has two texts: both stand for themselves
+    assert {r.id for r in index.postings.select("id").distinct().collect()} == {0, 1, 2, 3, 5}
+    assert {r.id: r.rep for r in index.members.collect()} == {i: i if i in (3, 5) else i % 3 for i in range(60)}
+    got = {}
+    for r in index.search(df.withColumnRenamed("id", "asked"), "asked", "body", 3, 0.4).collect():
+        got.setdefault(r.asked, []).append((r.rank, r.id, r.score))
+    assert sorted(got) == list(range(60)) and {i for i, v in got.items() if len(v) != 3} == {5}
+    assert all(sorted(got[i]) == [(1, 0, 1.0), (2, 3, 1.0), (3, 6, 1.0)] for i in range(0, 60, 3))
+    assert sorted(got[4]) == [(1, 1, 1.0), (2, 4, 1.0), (3, 7, 1.0)] and got[5] == [(1, 5, 1.0)]
+
+
+def test_words_are_not_shuffled_by_document(spark):
+    """Texts go to their part once; the vectors' plan has no exchange by id and term, nor by term and a salt."""
+    from tessera.operators import textindex as TI
+
+    df = spark.createDataFrame([(i, f"w{i % 7} common w{i % 3}") for i in range(500)], "id long, body string")
+    plan = TI.Vectoriser.fit(df, "id", "body").transform(df, "id", "body")._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    assert not [x for x in plan.split("\n") if "hashpartitioning(id#" in x] and "SortMergeJoin [part" not in plan
+
+
 @pytest.mark.parametrize(
     "name", ["clean_dedupe_documents", "union_new_first", "stratified_split", "seeded_shuffle_rank", "topk_vectors", "rate_minute", "build_training_set"]
 )
