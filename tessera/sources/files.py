@@ -81,23 +81,60 @@ def write_catalogue_tree(df: DataFrame, root: str, folder_cols=("category", "spe
     return df.select(*cols).mapInPandas(write, "folder string, n_files long")
 
 
+FOLDERS_A_TASK = 500  # folders that one task lists and reads
+
+
 def scan_catalogue_tree(spark: SparkSession, root: str, files: dict[str, str] | None = None) -> DataFrame:
-    """A3: every ``meta.json`` under ``root`` (any depth) joined with the sibling
+    """A3: every ``meta.json`` under ``root`` (any depth) with the sibling
     ``index.html`` / ``style.css`` of its folder; ``path`` is the folder relative
-    to the root. Folders without meta.json are not artefacts. ``files`` maps other columns to other file names."""
+    to the root. Folders without meta.json are not artefacts; names that start with ``_`` or ``.`` are not read. ``files`` maps other
+    columns to other file names.
+
+    Tasks list the folders, level by level, and read an artefact's files where they list it, so that the driver holds no
+    listing. The artefacts are those of the time of the call, in a written table."""
+    from tessera.session import scratch_path
+    from tessera.sources.archive import _resolve
+
     files = files or dict(zip(("meta", "html", "css"), ARTEFACT_FILES))
-    raw = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "{" + ",".join(files.values()) + "}")
-        .load(root)
-    )
-    root_path = root.split(":", 1)[1].lstrip("/") if ":" in root.split("/", 1)[0] else root.lstrip("/")
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    rel = F.regexp_replace(folder, r"^.*?\Q" + root_path.rstrip("/") + r"\E/", "")
-    found = raw.select(rel.alias("path"), F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content").cast("string").alias("value"))
-    g = found.groupBy("path").agg(*[F.max(F.when(F.col("file") == name, F.col("value"))).alias(c) for c, name in files.items()])
-    return g.where(F.col("meta").isNotNull())
+    out = scratch_path(spark, "scan")
+    fields = ", ".join(f"{c} binary" for c in files)
+
+    def visit(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        fs, base = _resolve(root)
+        schema = pa.schema([("folder", pa.string()), ("path", pa.string()), *((c, pa.binary()) for c in files)])
+
+        def content(path):
+            with fs.open_input_stream(path) as f:
+                return f.read()
+
+        rows, size = [], 0
+        for folder in (x for batch in batches for x in batch.column(0).to_pylist()):
+            at = f"{base}/{folder}".rstrip("/")
+            found = {i.base_name: i.type for i in fs.get_file_info(pafs.FileSelector(at))}
+            if folder and found.get(files["meta"]) == pafs.FileType.File:
+                got = {c: content(f"{at}/{name}") if found.get(name) == pafs.FileType.File else None for c, name in files.items()}
+                rows.append({"folder": None, "path": folder, **got})
+                size += sum(len(x) for x in got.values() if x is not None)
+            for name, kind in found.items():
+                if kind == pafs.FileType.Directory and not name.startswith(("_", ".")):
+                    rows.append({"folder": f"{folder}/{name}".lstrip("/"), "path": None})
+                if len(rows) >= 1000 or size > 8 << 20:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    level, folders, n = 0, spark.range(1).select(F.lit("").alias("folder")), 1
+    while n:
+        dealt = folders.repartition(-(-n // FOLDERS_A_TASK), "folder")
+        dealt.mapInArrow(visit, f"folder string, path string, {fields}").write.parquet(f"{out}/level={level}")
+        folders = spark.read.parquet(f"{out}/level={level}").where("folder IS NOT NULL").select("folder")
+        level, n = level + 1, folders.count()
+    seen = spark.read.schema(f"path string, {fields}").parquet(*[f"{out}/level={i}" for i in range(level)])
+    return seen.where("path IS NOT NULL").select("path", *[F.col(c).cast("string").alias(c) for c in files])
 
 
 # ------------------------------------------------------------------ A7 / A8

@@ -121,3 +121,19 @@ def test_encoder_plugin(spark):
     df = spark.createDataFrame([("banana",), ("",)], "text string")
     out = df.select(encoder_udf(load, 3)("text").alias("e")).collect()
     assert all(abs(sum(x * x for x in r.e) - 1) < 1e-6 for r in out)
+
+
+def test_tree_is_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Any depth, hidden names left out, bytes as they are; the plan holds no list of files."""
+    monkeypatch.setattr(FS, "FOLDERS_A_TASK", 2)
+    made = {"a/x/meta.json": b"{}", "a/x/index.html": b"<p>\xc3\xa9</p>", "a/y/deep/meta.json": b"", "b/meta.json": b"[1]", "b/in/meta.json": b"2", "b/in/style.css": b"c", "c/index.html": b"no meta",
+            "_log/z/meta.json": b"{}", "a/.hid/meta.json": b"{}", "a/x/.meta.json.1": b"half"}
+    for name, content in made.items():
+        (tmp_path / "t" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "t" / name).write_bytes(content)
+    tree = FS.scan_catalogue_tree(spark, str(tmp_path / "t"))
+    want = {("a/x", "{}", "<p>é</p>", None), ("a/y/deep", "", None, None), ("b", "[1]", None, None), ("b/in", "2", None, "c")}
+    assert {tuple(r) for r in tree.collect()} == want
+    assert not [f for f in tree.inputFiles() if f.endswith("meta.json")]
+    (tmp_path / "empty").mkdir()
+    assert FS.scan_catalogue_tree(spark, "file:" + str(tmp_path / "empty"), {"css": "e.css", "meta": "meta.json"}).count() == 0
