@@ -83,9 +83,15 @@ def ingest_artefacts(spark, sf):
     return _two_runs(spark, parsed_templates, resp, done, root, "category", AR.TEMPLATE_FILES)
 
 
+SPECS_A_TASK = 2_000  # a spec's row is small, its four responses are dear to check
+
+
 def effect_responses(spark, sf) -> DataFrame:
-    """Four generated responses per effect spec (one spec a part)."""
-    e = X.effects(spark, sf).select("p_partkey", F.concat(F.lit("effect-"), F.col("p_partkey").cast("string")).alias("spec_id"), F.col("expected_trigger").alias("trigger"), "meta", "css")
+    """Four generated responses per effect spec (one spec a part); the specs are dealt over tasks before responses are built,
+    since a small file is read by one task."""
+    specs = X.effects(spark, sf)
+    specs = specs.repartition(max(1, -(-specs.count() // SPECS_A_TASK)), "p_partkey")
+    e = specs.select("p_partkey", F.concat(F.lit("effect-"), F.col("p_partkey").cast("string")).alias("spec_id"), F.col("expected_trigger").alias("trigger"), "meta", "css")
     base = F.concat(F.lit('{"meta": '), "meta", F.lit(', "css": '), _json_str("css"), F.lit("}"))
     raw = F.array(
         F.when(F.col("p_partkey") % 4 == 1, F.concat(F.lit('{"meta": '), "meta")).otherwise(base),

@@ -137,3 +137,12 @@ def test_trailing_count_spreads_a_key(spark):
     plan = Q.trailing_count(df, "k", "ts")._jdf.queryExecution().executedPlan().toString()
     keys = re.findall(r"hashpartitioning\((.*?), \d+\)", plan)
     assert keys and all("_unit" in k or "_slab" in k for k in keys)
+
+
+def test_effect_specs_are_dealt_over_tasks(spark, monkeypatch):
+    """A small table is one partition of its file; its responses are built and checked in several tasks."""
+    from tessera.plans import artefacts as PA
+
+    monkeypatch.setattr(PA, "SPECS_A_TASK", 50)
+    dealt = PA.effect_responses(spark, "/root/testdata/sf0.001")
+    assert dealt.rdd.getNumPartitions() == 4 and dealt.count() == 800
