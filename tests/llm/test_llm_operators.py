@@ -401,6 +401,34 @@ def test_sampled_distribution_is_the_lattice():
     assert max(abs(got[k] / n - math.exp(w) / total) for k, w in exact.items()) < 0.03
 
 
+def test_units_are_filtered_together_as_one_by_one(monkeypatch):
+    m = piece_sampler.PieceModel(piece_sampler.vocabulary(), piece_sampler.ALPHA)
+    units = ["the", " walking", "\n", " ", "日本語", "😀x", "a" * 70, "▁é", "the"[:1], " Zürich\ud800"]
+    place, count, *parts = m.lattices(units)
+    ends = np.cumsum(count)
+    at = 0
+    for u in units:
+        n, *alone = m.lattice(u)
+        rows = place[at : at + len(u)]
+        assert count[rows].tolist() == n.tolist()
+        cum, start, ids = (np.concatenate([x[ends[r] - count[r] : ends[r]] for r in rows]) for x in parts)
+        assert start.tolist() == alone[1].tolist() and ids.tolist() == alone[2].tolist() and np.allclose(cum, alone[0], rtol=0, atol=1e-12)
+        at += len(u)
+    monkeypatch.setattr(piece_sampler.PieceModel, "lattice", None)  # no unit of ordinary length is filtered by itself
+    text = " ".join(f"word{i} ünd 日{i}" for i in range(4000))
+    assert m.decode(m.sample([text, ""], [1, 2], 3)[0].tolist()) == text
+    # the largest draw stays within its node
+    monkeypatch.setattr(piece_sampler.PieceModel, "draws", lambda self, seed, key, n: np.full(n, np.nextafter(1.0, 0.0)))
+    assert m.decode(m.sample([text], [1], 3)[0].tolist()) == text
+
+
+def test_long_units_are_sampled_too():
+    m = piece_sampler.PieceModel(piece_sampler.vocabulary(), piece_sampler.ALPHA)
+    texts = ["x" * 3000 + " and so on", "ab" * 200, "so it goes"]
+    assert [m.decode(x.tolist()) for x in m.sample(texts, [1, 2, 3], 5)] == texts
+    assert [x.tolist() for x in m.sample(texts[:1], [1], 5)] == [m.sample(texts, [1, 2, 3], 5)[0].tolist()]
+
+
 # ---- 9 toxicity
 
 
