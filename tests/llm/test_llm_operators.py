@@ -649,3 +649,50 @@ def test_jaccard_repeated_ids_are_one_document(spark):
     rows = [(1, long), (1, short), (2, long + " more"), (3, short), (4, short), (4, short), (None, long), (5, None), (6, "")]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: (56, 1), 2: (57, 1), 3: (16, 3), 4: (16, 3), None: (56, None), 5: (0, 5), 6: (0, 6)}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_not_shuffled_by_stratum(spark):
+    df = spark.createDataFrame([(i, f"plain words number {i} " * 5, "en" if i % 2 else "de", int(i % 9 > 0)) for i in range(300)], "doc_id long, text string, lang string, quality int")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        out = quality.kept(df.drop("quality"), df.select("doc_id", "quality"))
+        shown = plan(out)
+        assert "SortMergeJoin" not in shown and "BroadcastHashJoin" in shown and out.count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_buckets_are_joined_where_they_lie(spark):
+    from tessera.llm import common
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = common.written(spark.range(500).withColumn("n", F.col("id") * 2), "sets", by="id")
+        ids = spark.range(100).select((F.col("id") * 7).alias("id")).distinct()
+        got = sets.join(ids, "id", "left_semi")
+        assert plan(got).count("Exchange hashpartitioning") == 1  # of the ids alone
+        assert sorted(r.n for r in got.collect()) == [14 * i for i in range(100) if 7 * i < 500]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    common.forget(sets)
+    assert not spark.catalog.tableExists(sets.bucketed)
+
+
+def test_join_with_shuffled_texts_and_sets(spark):
+    """With nothing broadcast (as on large input) the classes are the same; only documents that can link are moved."""
+    base = [f"w{i} x{i % 7} y{i % 5}" for i in range(60)]
+    rows = [(i, " ".join(base[i % 40 : i % 40 + 12]) + (" end" if i % 3 else "")) for i in range(120)] + [(200, None), (201, ""), (None, "a b c d e f"), (5, "other words here for the id"), (202, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(tuple, jaccard_join.classes(df).collect()), key=str)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, jaccard_join.classes(df).collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
