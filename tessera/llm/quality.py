@@ -186,4 +186,6 @@ def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     Every text is measured once, into a written table; cut-offs come from its labelled rows, joined
     without their texts."""
     measured = written(measures(docs, text).select(*(columns or docs.columns), "_q"), "quality")
-    return judge(measured, thresholds(measured, labels, key, stratum, **how), stratum)
+    # written, so that the size of the cut-offs is known before the rows would be shuffled by stratum
+    cutoffs = written(thresholds(measured, labels, key, stratum, **how), "quality-cutoffs")
+    return judge(measured, cutoffs, stratum)
