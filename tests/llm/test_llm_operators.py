@@ -696,3 +696,26 @@ def test_join_with_shuffled_texts_and_sets(spark):
         assert sorted(map(tuple, jaccard_join.classes(df).collect()), key=str) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_jaccard_closes_small_groups_in_one_round(spark, monkeypatch):
+    """Texts that share passages without a link, and near copies of some: few rounds, the classes of many rounds."""
+    import itertools
+
+    block = [" ".join(f"b{k}w{i}" for i in range(20)) for k in range(6)]
+    texts = [" ".join(block[k] for k in c) for c in itertools.combinations(range(6), 3)]
+    texts += [t.replace(f"b{k}w{at}", "other") for t, k, at in zip(texts[::3], itertools.cycle(range(6)), range(0, 20, 3))]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    names, write = [], jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", lambda d, name, *a, **k: (names.append(name), write(d, name, *a, **k))[1])
+
+    def rounds():
+        names.clear()
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classes(df).collect()}
+        assert got == brute_classes(rows)
+        return names.count("jaccard-pivots")
+
+    assert rounds() == 1
+    monkeypatch.setattr(jaccard_join, "LAST_PAIRS", -1)
+    assert rounds() > 2
