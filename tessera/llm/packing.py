@@ -25,10 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import written
 from tessera.llm.tokens import encoder, vocabulary
 
 CAPACITY = 4096
 END_ID = 2
+CACHE = 250_000  # chunks a worker keeps
 SENTENCE_PENALTY = 6.0
 HARD_PENALTY = 48.0
 SHORT_COST = 24.0  # of a full window that is shorter than the capacity
@@ -156,7 +158,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | Non
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, CACHE)
         enders = np.frombuffer(b"".join(v for v in map(enc.chunk, SENTENCE_END) if len(v) == 4), "<u4")
         packer = Packer(enders, capacity, block_tokens)
         base = TaskContext.get().partitionId() << 33
@@ -191,4 +193,5 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | Non
         if (t := table(packer.close())) is not None:
             yield t
 
-    return df.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    # written here, so that a task holds a thousand texts at a time beside its block
+    return written(df.select(F.col(key), F.col(text)).mapInArrow(run, schema), "packing")

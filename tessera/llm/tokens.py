@@ -6,7 +6,7 @@ either). Chunks of plain Latin-1 characters are cut into letter runs, digits and
 own pattern does, and each part goes to the file's merge model; all other chunks go through the library
 whole. A file for which a probe shows any difference is used on whole texts.
 
-Each worker keeps the ids of the first ``CACHE`` chunks and parts it meets; the rest is encoded again,
+Each worker keeps the ids of the first ``cache`` chunks and parts it meets; the rest is encoded again,
 so memory is bounded and results never depend on the caches.
 """
 
@@ -56,7 +56,8 @@ class Chunks(dict):
 class ChunkEncoder:
     """Texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
+        self.limit = cache
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -79,7 +80,7 @@ class ChunkEncoder:
         if got is None:
             letters = part if part.isascii() else part.translate(self.letters)
             got = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-            if len(self.parts) < CACHE:
+            if len(self.parts) < self.limit:
                 self.parts[part] = got
         return got
 
@@ -89,7 +90,7 @@ class ChunkEncoder:
             got = b"".join([self._part(p) for p in PART.findall(chunk.lower())])
         else:
             got = self.whole([chunk])[0]
-        if len(self.cache) < CACHE:
+        if len(self.cache) < self.limit:
             self.cache[chunk] = got
         return got
 
@@ -101,5 +102,5 @@ class ChunkEncoder:
         return [b"".join(map(ids, text.replace("\n", " ").split(" "))) if text else b"" for text in texts]
 
 
-def encoder(path: str) -> ChunkEncoder:
-    return worker_cache(f"chunks:{path}", lambda: ChunkEncoder(path))
+def encoder(path: str, cache: int = CACHE) -> ChunkEncoder:
+    return worker_cache(f"chunks:{cache}:{path}", lambda: ChunkEncoder(path, cache))

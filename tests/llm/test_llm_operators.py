@@ -719,3 +719,12 @@ def test_jaccard_closes_small_groups_in_one_round(spark, monkeypatch):
     assert rounds() == 1
     monkeypatch.setattr(jaccard_join, "LAST_PAIRS", -1)
     assert rounds() > 2
+
+
+def test_packing_holds_little(spark, docs):
+    """Pieces are written with bounded batches; a worker's cache is bounded and does not change ids."""
+    assert packing.pack(docs).scratch
+    few, many = tokens.ChunkEncoder(tokens.vocabulary(), 12), tokens.ChunkEncoder(tokens.vocabulary())
+    texts = [f"a{i} chunk, of-{i} words" for i in range(50)]
+    assert few.encode(texts) == many.encode(texts) and len(few.cache) <= 13 and len(few.parts) <= 12 < len(many.parts)
+    assert packing.CACHE < tokens.CACHE
