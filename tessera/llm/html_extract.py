@@ -40,7 +40,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "colgroup", "dd", "details", "dialog", "dir", "div", "dl", "dt",
           "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "html",
           "legend", "li", "listing", "main", "menu", "nav", "noframes", "ol", "optgroup", "p", "plaintext", "pre", "search", "section",
-          "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "xmp", "head"} - HIDDEN
+          "summary", "symbol", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "xmp", "head", "desc"} - HIDDEN
 # A start tag on the left ends an open element on the right, if no element of the stop set is in between.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 STOPS = {"ul", "ol", "dl", "table", "tbody", "thead", "article", "section", "main", "body", "object", "foreignobject"}
@@ -152,7 +152,8 @@ class Page(HTMLParser):
         at = self.last({tag})
         if not at:
             return
-        if tag not in BLOCKS and tag not in HIDDEN and tag not in FOREIGN and self.stack[-1][1] != self.stack[at][1]:
+        inline = tag not in BLOCKS or self.foreign and tag in FOREIGN_HIDDEN
+        if inline and tag not in HIDDEN and tag not in FOREIGN and self.stack[-1][1] != self.stack[at][1]:
             return  # a block is open inside: the stray end is dropped
         self.close_to(at)
         self.in_body = self.in_body or tag == "head"
