@@ -19,24 +19,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import scratch_path
+
 NUM_FEATURES = 1 << 16
 
 
+def _counting(text_col: str, num_features: int) -> list:
+    return [
+        RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[\p{L}\p{N}_]+", gaps=False, toLowercase=True),
+        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
+    ]
+
+
+def _weighting(out_col: str) -> list:
+    return [IDF(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol=out_col, p=2.0)]
+
+
 def vectoriser(text_col: str = "text", out_col: str = "embedding", num_features: int = NUM_FEATURES) -> Pipeline:
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[\p{L}\p{N}_]+", gaps=False, toLowercase=True),
-            HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
-            IDF(inputCol="_tf", outputCol="_tfidf"),
-            Normalizer(inputCol="_tfidf", outputCol=out_col, p=2.0),
-        ]
-    )
+    return Pipeline(stages=[*_counting(text_col, num_features), *_weighting(out_col)])
 
 
 def fit_vectoriser(df: DataFrame, text_col: str = "text", out_col: str = "embedding", num_features: int = NUM_FEATURES) -> PipelineModel:
     return vectoriser(text_col, out_col, num_features).fit(df)
 
 
+def fit_embed(
+    df: DataFrame, text_col: str = "text", as_array: bool = True, out_col: str = "embedding", num_features: int = NUM_FEATURES
+) -> tuple[PipelineModel, DataFrame]:
+    """The vectoriser fitted on ``df``, and ``df`` embedded with it, without its text. Words are counted in one pass
+    and the counts written, so that neither the fit nor what is trained on the vectors reads the texts again."""
+    counting = PipelineModel(_counting(text_col, num_features))
+    path = scratch_path(df.sparkSession, "word-counts")
+    counting.transform(df).drop(text_col, "_tokens").write.parquet(path)
+    counts = df.sparkSession.read.parquet(path)
+    weighting = Pipeline(stages=_weighting(out_col)).fit(counts)
+    return PipelineModel([*counting.stages, *weighting.stages]), embed(weighting, counts, as_array, out_col)
+
+
 def embed(model: PipelineModel, df: DataFrame, as_array: bool = True, out_col: str = "embedding") -> DataFrame:
     out = model.transform(df).drop("_tokens", "_tf", "_tfidf")
     if as_array:

@@ -351,3 +351,40 @@ def test_chat_message(spark, text, want):
     from tessera.functions import text as T
 
     assert tuple(spark.createDataFrame([(text,)], "x string").select(T.chat_message("x")).first()[0]) == want
+
+
+def test_text_head_reads_texts_once(spark, monkeypatch):
+    """Fitting the vectoriser and the head takes one pass over the texts, and gives the model of the plain chain."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import vector_to_array
+
+    from tessera.operators import embed as EM
+    from tessera.plans import models as M
+
+    words = {"de": "der hund und die katze", "en": "the dog and the cat", "fr": "le chien et le chat"}
+    rows = [(f"{words[k]} {k}{i % 7} w{i % 5} Straße_{i}" if i % 20 else "", k) for i, k in enumerate(["de", "en", "fr"] * 20)]
+    docs = spark.createDataFrame([*rows, *rows[:4]], "text string, lang string").repartition(3).localCheckpoint()
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(x):
+        seen.add(1)
+        return x
+
+    watched = docs.withColumn("text", F.udf(read, "string").asNondeterministic()("text"))
+    monkeypatch.setattr(M, "table", lambda *_: watched)
+    vec, idx, lr = M.text_head(spark, "")
+    assert seen.value == 64
+
+    plain = EM.fit_vectoriser(docs, "text", "features")
+    data = idx.transform(EM.embed(plain, docs.withColumnRenamed("lang", "label"), as_array=False, out_col="features"))
+    want = LogisticRegression(featuresCol="features", labelCol="y", maxIter=50, regParam=0.01).fit(data)
+    assert np.allclose(lr.coefficientMatrix.toArray(), want.coefficientMatrix.toArray(), atol=1e-6)
+    asked = spark.createDataFrame([("The cat", "en"), ("", "de"), ("nothing known", "fr")], "text string, lang string").union(docs)
+    both = [
+        [(r.text, r.got, r.v) for r in M.predict(idx, m, EM.embed(v, asked, as_array=False, out_col="features")).select("text", "got", vector_to_array("features").alias("v")).collect()]
+        for v, m in ((vec, lr), (plain, want))
+    ]
+    assert both[0] == both[1]
+    got, emb = EM.fit_embed(docs, as_array=True)
+    norms = {round(float(np.linalg.norm(r.embedding)), 5) for r in emb.collect()}
+    assert norms == {0.0, 1.0} and emb.columns == ["lang", "embedding"] and len(got.stages) == 4
