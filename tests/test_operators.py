@@ -288,6 +288,65 @@ def test_equal_texts_are_searched_once(spark, tmp_path):
     assert sorted(got[4]) == [(1, 1, 1.0), (2, 4, 1.0), (3, 7, 1.0)] and got[5] == [(1, 5, 1.0)]
 
 
+def test_search_shuffles_vectors_not_pairs(spark, tmp_path):
+    """Every text shares a word with 59 others above the threshold: 18,000 pairs, which only the cells hold."""
+    from tessera.operators import textindex as TI
+
+    df = spark.createDataFrame([(i, f"common{i % 5} own{i} own{i}b") for i in range(300)], "id long, body string")
+    index = TI.TextIndex.build(df, f"{tmp_path}/index", "id", "body")
+    out = index.search(df.withColumnRenamed("id", "asked"), "asked", "body", 3, 0.04)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.asked, {})[r.rank] = (r.id, r.score)
+    assert len(got) == 300 and {i: [v[1], v[2][0], v[3][0]] for i, v in got.items()} == {i: [(i, 1.0), *[j for j in range(i % 5, 300, 5) if j != i][:2]] for i in range(300)}
+
+    def shuffled(node):
+        name = node.nodeName()
+        below = [node.executedPlan()] if name.startswith("AdaptiveSparkPlan") else [node.plan()] if "QueryStage" in name else [node.children().apply(i) for i in range(node.children().size())]
+        own = [node.metrics().apply("shuffleRecordsWritten").value()] if name == "Exchange" else []
+        return own + [n for x in below for n in shuffled(x)]
+
+    counts = shuffled(out._jdf.queryExecution().executedPlan())
+    assert counts and max(counts) < 5_000, counts
+
+
+@pytest.mark.parametrize("hits, cells", [(1_000_000, 1_000_000), (10, 100)])
+def test_best_of_a_cell(monkeypatch, hits, cells):
+    """Any number of pairs at once gives the best by (score, id); words that a slice doesn't have still lengthen a query."""
+    import random
+
+    import pyarrow as pa
+
+    from tessera.operators import textindex as TI
+
+    monkeypatch.setattr(TI, "HITS", hits)
+    monkeypatch.setattr(TI, "CELLS", cells)
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(40)]
+    df_of = {w: i // 2 + 1 for i, w in enumerate(words)} | {"elsewhere": 3}
+
+    def unit(ws):
+        raw = {w: 1 / df_of[w] for w in sorted(set(ws), key=lambda w: (-df_of[w], w))}
+        return {w: x / sum(y * y for y in raw.values()) ** 0.5 for w, x in raw.items()}
+
+    some = lambda n, most, of: [unit(rng.choices(of, k=rng.randint(1, most))) for _ in range(n)]
+    docs, asked = some(90, 8, words) + [unit(words[:30])], some(60, 15, [*words, "elsewhere"]) + [unit(["elsewhere"])]
+    terms = lambda vs: pa.array([list(v) for v in vs], pa.list_(pa.string()))
+    weights = lambda vs: pa.array([list(v.values()) for v in vs], pa.list_(pa.float64()))
+    ids = [f"d{i:02d}" for i in range(len(docs))]
+    index = pa.table({"id": ids, "term": terms(docs), "df": [[df_of[w] for w in v] for v in docs], "weight": weights(docs), "place": range(1, len(docs) + 1)})
+    index = index.take(rng.sample(range(len(docs)), len(docs)))
+    queries = pa.table({"query": range(len(asked)), "terms": terms(asked), "weights": weights(asked)})
+    for k, threshold in ((3, 0.4), (1, 0.9), (3, None), (2, 0.0)):
+        row, doc, score, own = TI._best(queries, index, k, threshold)
+        got = {}
+        for q, d, s in zip(row.tolist(), own.ids.take(pa.array(doc)).to_pylist(), score.tolist(), strict=True):
+            got.setdefault(q, []).append((d, round(s, 6)))
+        for q, v in enumerate(asked):
+            scored = sorted((-round(sum(x * d.get(w, 0) for w, x in v.items()), 6), i) for i, d in zip(ids, docs, strict=True) if set(v) & set(d))
+            assert got.get(q, []) == [(i, -s) for s, i in scored[:k] if threshold is None or -s >= threshold], (k, threshold, q)
+
+
 def test_words_are_not_shuffled_by_document(spark):
     """Texts go to their part once; the vectors' plan has no exchange by id and term, nor by term and a salt."""
     from tessera.operators import textindex as TI
